@@ -71,14 +71,18 @@ def reviews_sql(rating_mod: int = 5) -> str:
 
 
 # --------------------------------------------------------------- products
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str, with_description: bool = True) -> DataFrame:
     """part as canonical products; description is the document text with the
     same key (NULL when there is none)."""
     p = table(spark, sf_dir, "part")
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text").alias("doc_text"))
+    if with_description:
+        d = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text").alias("doc_text"))
+        p = p.join(d, p.p_partkey == d.doc_id, "left")
+    else:
+        p = p.withColumn("doc_text", F.lit(None).cast("string"))
     size = F.col("p_size")
     key = _s("p_partkey")
-    return p.join(d, p.p_partkey == d.doc_id, "left").select(
+    return p.select(
         F.col("p_partkey").alias("product_key"),
         F.col("p_name").alias("asin"),
         F.when(size % 10 == 0, F.lit(None))
@@ -135,7 +139,7 @@ def keyed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         "doc_id",
         F.when(F.col("lang") == "de", F.lit(None))
-        .when(F.col("lang") == "es", F.lit(" "))
+        .when(F.col("lang") == "es", F.lit(""))
         .otherwise(F.concat(F.lit("D"), _s("doc_id")))
         .alias("asin"),
         "lang",
@@ -146,7 +150,7 @@ def keyed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 KEYED_DOCUMENTS_SQL = """
     SELECT doc_id,
-           CASE WHEN lang = 'de' THEN NULL WHEN lang = 'es' THEN ' ' ELSE 'D' || doc_id END AS asin,
+           CASE WHEN lang = 'de' THEN NULL WHEN lang = 'es' THEN '' ELSE 'D' || doc_id END AS asin,
            lang, source, n_chars
     FROM documents"""
 
