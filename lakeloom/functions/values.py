@@ -57,10 +57,10 @@ def value_type(v) -> Column:
     )
 
 
-def is_empty(v) -> Column:
+def is_empty(v, t: Column | None = None) -> Column:
     """None, blank string, empty list or empty dict."""
     v = _col(v)
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     return (
         F.when(v.isNull() | (t == "VOID"), True)
         .when(t == "STRING", strip(F.try_variant_get(v, "$", "string")) == "")
@@ -75,22 +75,22 @@ def variant_text(v) -> Column:
     return F.try_variant_get(_col(v), "$", "string")
 
 
-def clean_value_string(v, list_sep: str | None = None) -> Column:
+def clean_value_string(v, list_sep: str | None = None, t: Column | None = None) -> Column:
     """P1 over a JSON value. Lists are joined with ``list_sep`` after
     cleaning their elements (empty list -> NULL)."""
     v = _col(v)
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     scalar = clean_string(variant_text(v))
     if list_sep is None:
         return F.when(t == "VOID", None).otherwise(scalar)
-    joined = F.array_join(clean_list(v), list_sep)
+    joined = F.array_join(clean_list(v, t), list_sep)
     return F.when(t == "ARRAY", F.nullif(joined, F.lit(""))).when(t == "VOID", None).otherwise(scalar)
 
 
-def clean_list(v) -> Column:
+def clean_list(v, t: Column | None = None) -> Column:
     """None->[]; string->[stripped] or []; list->cleaned, blanks dropped; other->[]."""
     v = _col(v)
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     elems = F.try_variant_get(v, "$", "array<string>")
     cleaned = F.filter(F.transform(elems, lambda x: clean_string(x)), lambda x: x.isNotNull())
     one = clean_string(variant_text(v))
@@ -105,13 +105,13 @@ def clean_list(v) -> Column:
 def parse_float_text(s) -> Column:
     """Python ``float(s.strip().replace('$','').replace(',',''))`` or NULL."""
     t = F.regexp_replace(strip(_col(s)), r"[$,]", "")
-    return F.when(t.rlike(_FLOAT_TEXT), F.try_cast(t, "double"))
+    return F.when(t.rlike(_FLOAT_TEXT), t.try_cast("double"))
 
 
-def clean_number(v) -> Column:
+def clean_number(v, t: Column | None = None) -> Column:
     """Numbers (bools as 1.0/0.0) -> double; text parsed as above; else NULL."""
     v = _col(v)
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     return (
         F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DECIMAL", "DOUBLE", "FLOAT", "BOOLEAN"),
                F.try_variant_get(v, "$", "double"))
@@ -119,39 +119,40 @@ def clean_number(v) -> Column:
     )
 
 
-def parse_vote(v) -> Column:
+def parse_vote(v, t: Column | None = None) -> Column:
     """Integers kept; '1,234' -> 1234; floats, booleans and junk -> NULL."""
     v = _col(v)
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     s = F.regexp_replace(strip(F.try_variant_get(v, "$", "string")), ",", "")
     return (
         F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.try_variant_get(v, "$", "bigint"))
-        .when((t == "STRING") & s.rlike(_INT_TEXT), F.try_cast(strip(s), "bigint"))
+        .when((t == "STRING") & s.rlike(_INT_TEXT), strip(s).try_cast("bigint"))
     )
 
 
-def parse_timestamp(v) -> tuple[Column, Column]:
+def parse_timestamp(v, t: Column | None = None) -> tuple[Column, Column]:
     """``int(value)``. Returns (seconds, is_invalid); a missing value is
     neither (callers test NULL first). Floats truncate, numeric text must be
     an integer, infinities and containers are invalid."""
     v = _col(v)
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     s = F.try_variant_get(v, "$", "string")
     seconds = (
         F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DECIMAL"), F.try_variant_get(v, "$", "bigint"))
-        .when(t.isin("DOUBLE", "FLOAT"), F.try_cast(F.try_variant_get(v, "$", "double"), "bigint"))
+        .when(t.isin("DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double").try_cast("bigint"))
         .when(t == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("bigint"))
-        .when((t == "STRING") & s.rlike(_INT_TEXT), F.try_cast(strip(s), "bigint"))
+        .when((t == "STRING") & s.rlike(_INT_TEXT), strip(s).try_cast("bigint"))
     )
     return seconds, seconds.isNull()
 
 
-def style_json(v) -> Column:
+def style_json(v, t: Column | None = None) -> Column:
     """JSON object -> text with sorted keys in ``json.dumps`` spacing; else NULL."""
     from lakeloom.functions.text import json_spaced
 
     v = _col(v)
-    return F.when(vtype(v) == "OBJECT", json_spaced(F.to_json(v)))
+    t = vtype(v) if t is None else t
+    return F.when(t == "OBJECT", json_spaced(F.to_json(v)))
 
 
 def sha256_hex(c) -> Column:
@@ -171,11 +172,11 @@ def review_id_from_parts(*parts) -> Column:
     return F.concat(F.lit("rev_"), F.substring(sha256_hex(F.concat_ws("|", *cols)), 1, 32))
 
 
-def falsy_text(v, raw_text) -> Column:
+def falsy_text(v, raw_text, t: Column | None = None) -> Column:
     """``str(value or '')`` for a JSON value: '' for null, 0, 0.0, '', false,
     [] and {}; otherwise the literal text of the value (``raw_text``)."""
     v = _col(v)
-    t = vtype(v)
+    t = vtype(v) if t is None else t
     num = F.try_variant_get(v, "$", "double")
     falsy = (
         v.isNull()
