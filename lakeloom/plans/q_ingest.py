@@ -8,29 +8,14 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.values import clean_list, clean_number, field, style_json
 from lakeloom.operators import ingest
-from lakeloom.plans import roles
+from lakeloom.plans import jsontext, roles
 from lakeloom.plans.catalog import register, rounded
 from lakeloom.sources.raw import parse_records, split_records
 
 c, lit = F.col, F.lit
 
 
-def _s(x):
-    return (c(x) if isinstance(x, str) else x).cast("string")
-
-
-def _q(*parts):
-    """JSON string literal text from pieces (inputs hold no quotes)."""
-    return F.concat(lit('"'), *[p if not isinstance(p, str) else lit(p) for p in parts], lit('"'))
-
-
-def _kv(key, value_text):
-    return F.concat(lit(f'"{key}":'), value_text)
-
-
-def _obj(*fields):
-    """'{...}' from field texts; NULL fields are left out."""
-    return F.concat(lit("{"), F.concat_ws(",", *fields), lit("}"))
+_s, _q, _kv, _obj = jsontext.s, jsontext.q, jsontext.kv, jsontext.obj
 
 
 # ------------------------------------------------------------ i1 / i2 lines

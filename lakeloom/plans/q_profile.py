@@ -1 +1,235 @@
-"""placeholder"""
+"""p*: field profile of rendered JSON, availability, text lengths,
+histograms, cardinality and the check list."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeloom.operators import profile
+from lakeloom.plans import roles
+from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.jsontext import kv, obj, q, s
+from lakeloom.plans.q_ingest import _event_lines
+from lakeloom.plans.roles import PRODUCTS_SQL, reviews_sql, sql_normalize, sql_strip
+from lakeloom.sources.raw import parse_records
+
+c, lit = F.col, F.lit
+
+
+# ------------------------------------------------------------------ p1
+def _doc_records(spark, sf_dir):
+    d = roles.table(spark, sf_dir, "documents")
+    lab = roles.table(spark, sf_dir, "labels").select(c("doc_id").alias("l_doc"), "quality", "toxic")
+    j = d.join(lab, d.doc_id == lab.l_doc, "left")
+    i = c("doc_id")
+    labeled = c("l_doc").isNotNull()
+    line = obj(
+        kv("doc_id", s("doc_id")),
+        kv("lang", F.when(c("lang") == "es", lit('""')).otherwise(q(c("lang")))),
+        kv("source", q(c("source"))),
+        kv("n_chars", F.when(i % 7 == 0, q(s("n_chars"))).otherwise(s("n_chars"))),
+        F.when(labeled, kv("quality", s("quality"))),
+        kv("toxic", F.when(labeled, s("toxic")).otherwise(lit("null"))),
+        F.when(i % 3 == 0, kv("tags", lit("[]"))).when(i % 3 == 1, kv("tags", F.concat(lit("["), q(c("lang")), lit("]")))),
+        F.when(i % 4 == 0, kv("meta", lit("{}"))).when(i % 4 == 1, kv("meta", lit('{"a":1}')))
+        .when(i % 4 == 2, kv("meta", lit("true"))),
+        F.when(i % 5 == 0, kv("score", F.concat(s("n_chars"), lit(".5")))),
+    )
+    return parse_records(j.select(line.alias("line")))
+
+
+P1_SQL = f"""
+WITH d AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic, l.doc_id IS NOT NULL AS labeled
+           FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+rec AS (
+  SELECT '{{' || concat_ws(',',
+      '"doc_id":' || doc_id,
+      '"lang":' || CASE WHEN lang = 'es' THEN '""' ELSE '"' || lang || '"' END,
+      '"source":"' || source || '"',
+      '"n_chars":' || CASE WHEN doc_id % 7 = 0 THEN '"' || n_chars || '"' ELSE CAST(n_chars AS VARCHAR) END,
+      CASE WHEN labeled THEN '"quality":' || quality END,
+      '"toxic":' || CASE WHEN labeled THEN CAST(toxic AS VARCHAR) ELSE 'null' END,
+      CASE doc_id % 3 WHEN 0 THEN '"tags":[]' WHEN 1 THEN '"tags":["' || lang || '"]' END,
+      CASE doc_id % 4 WHEN 0 THEN '"meta":{{}}' WHEN 1 THEN '"meta":{{"a":1}}' WHEN 2 THEN '"meta":true' END,
+      CASE WHEN doc_id % 5 = 0 THEN '"score":' || n_chars || '.5' END) || '}}' AS line
+  FROM d),
+kv AS (SELECT line, unnest(json_keys(line)) AS k FROM rec),
+t AS (SELECT k, json_type(line, '$.' || k) AS jt, json_extract(line, '$.' || k) AS jv FROM kv),
+typed AS (
+  SELECT k AS field,
+         CASE jt WHEN 'BIGINT' THEN 'int' WHEN 'UBIGINT' THEN 'int' WHEN 'DOUBLE' THEN 'float'
+                 WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'bool' WHEN 'NULL' THEN 'null'
+                 WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'dict' END AS type,
+         jt = 'NULL'
+           OR (jt = 'VARCHAR' AND {sql_strip("json_extract_string(jv, '$')")} = '')
+           OR (jt = 'ARRAY' AND json_array_length(jv) = 0)
+           OR (jt = 'OBJECT' AND len(json_keys(jv)) = 0) AS empty
+  FROM t),
+by_type AS (SELECT field, type, count(*) AS n, count(*) FILTER (WHERE empty) AS e FROM typed GROUP BY 1, 2),
+by_field AS (SELECT field, sum(n) AS p, sum(e) AS e, string_agg(type || ':' || n, ',' ORDER BY type) AS types
+             FROM by_type GROUP BY 1),
+names AS (SELECT field FROM by_field UNION SELECT 'doc_id' UNION SELECT 'title'),
+total AS (SELECT count(*) AS total FROM rec)
+SELECT names.field, CAST(coalesce(p, 0) AS BIGINT) AS present_records,
+       CAST(total - coalesce(p, 0) AS BIGINT) AS missing_records, CAST(coalesce(e, 0) AS BIGINT) AS empty_records,
+       round((total - coalesce(p, 0)) * 100.0 / total, 6) AS missing_percentage,
+       round(coalesce(e, 0) * 100.0 / total, 6) AS empty_percentage,
+       coalesce(types, '') AS types
+FROM names LEFT JOIN by_field USING (field), total
+"""
+
+
+def _types_text(m):
+    return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(e["key"], lit(":"), e["value"].cast("string"))), ",")
+
+
+@register("p1_field_profile", P1_SQL)
+def p1_field_profile(spark, sf_dir):
+    recs = _doc_records(spark, sf_dir).where("parse_error IS NULL")
+    prof = profile.field_profile(recs, required=("doc_id", "title"), places=None)
+    return rounded(prof.withColumn("types", _types_text(c("types"))))
+
+
+# ------------------------------------------------------------------ p2
+def _has(expr, kind):
+    if kind == "text":
+        return f"coalesce({sql_strip(expr)} <> '', FALSE)"
+    if kind == "list":
+        return f"coalesce(len({expr}) > 0, FALSE)"
+    return f"{expr} IS NOT NULL"
+
+
+_TXT = f"({_has('title', 'text')} OR {_has('description', 'text')} OR {_has('features', 'list')})"
+_IMG = f"({_has('image_urls', 'list')} OR {_has('high_res_image_urls', 'list')})"
+P2_SQL = f"""
+WITH products AS ({PRODUCTS_SQL})
+SELECT count(*) AS records,
+       count(*) FILTER (WHERE {_has('description', 'text')}) AS with_description,
+       count(*) FILTER (WHERE {_has('features', 'list')}) AS with_features,
+       count(*) FILTER (WHERE {_has('brand', 'text')}) AS with_brand,
+       count(*) FILTER (WHERE {_has('price', 'num')}) AS with_price,
+       count(*) FILTER (WHERE {_has('image_urls', 'list')}) AS with_image_urls,
+       count(*) FILTER (WHERE {_has('high_res_image_urls', 'list')}) AS with_high_res_image_urls,
+       count(*) FILTER (WHERE {_TXT}) AS with_text,
+       count(*) FILTER (WHERE {_TXT} AND {_IMG}) AS with_text_and_image,
+       round(count(*) FILTER (WHERE {_TXT}) * 100.0 / count(*), 6) AS text_percentage,
+       round(count(*) FILTER (WHERE {_TXT} AND {_IMG}) * 100.0 / count(*), 6) AS text_and_image_percentage
+FROM products
+"""
+
+
+@register("p2_availability", P2_SQL)
+def p2_availability(spark, sf_dir):
+    return rounded(profile.availability(roles.products(spark, sf_dir), places=None))
+
+
+# ------------------------------------------------------------------ p3
+_N = sql_normalize("text")
+P3_SQL = f"""
+SELECT lang, count(*) FILTER (WHERE {_N} <> '') AS with_text,
+       round(coalesce(sum(length({_N})) FILTER (WHERE {_N} <> '') / nullif(count(*) FILTER (WHERE {_N} <> ''), 0), 0), 6)
+           AS avg_text_length
+FROM documents GROUP BY lang
+"""
+
+
+@register("p3_text_lengths", P3_SQL)
+def p3_text_lengths(spark, sf_dir):
+    docs = roles.table(spark, sf_dir, "documents")
+    return rounded(profile.text_lengths(docs, ["text"], by=["lang"], places=None))
+
+
+# ------------------------------------------------------------- p4 / p5
+@register("p4_rating_histogram", f"""
+WITH reviews AS ({reviews_sql()})
+SELECT CAST(rating AS VARCHAR) AS value, count(*) AS count FROM reviews WHERE rating IS NOT NULL GROUP BY 1""")
+def p4_rating_histogram(spark, sf_dir):
+    return profile.histogram(roles.reviews(spark, sf_dir), "rating")
+
+
+@register("p5_flag_histogram", f"""
+WITH reviews AS ({reviews_sql()})
+SELECT CASE WHEN verified THEN 'True' ELSE 'False' END AS value, count(*) AS count
+FROM reviews WHERE verified IS NOT NULL GROUP BY 1""")
+def p5_flag_histogram(spark, sf_dir):
+    return profile.histogram(roles.reviews(spark, sf_dir), "verified")
+
+
+# ------------------------------------------------------------------ p6
+_CARD_SQL = """
+prod AS (SELECT count(DISTINCT p_name) AS unique_asin, count(p_name) - count(DISTINCT p_name) AS duplicate_asin_records
+         FROM part),
+rev AS (SELECT count(DISTINCT l_partkey) AS unique_review_asins, count(DISTINCT l_suppkey) AS unique_reviewers,
+               count(DISTINCT CASE WHEN k IS NULL THEN l_partkey END) AS orphan_asins
+        FROM lineitem LEFT JOIN (SELECT DISTINCT p_partkey AS k FROM part WHERE p_partkey % 10 <> 0) ON l_partkey = k),
+card AS (SELECT unique_asin, duplicate_asin_records, unique_review_asins, unique_reviewers, orphan_asins,
+                round(orphan_asins * 100.0 / unique_review_asins, 6) AS orphan_asin_percentage FROM prod, rev)
+"""
+
+
+def _cardinality(spark, sf_dir):
+    part = roles.table(spark, sf_dir, "part")
+    keys = roles.product_keys(spark, sf_dir).select(c("p_partkey").cast("string").alias("k")).distinct()
+    return profile.cardinality(part, roles.reviews(spark, sf_dir), "p_name", "product_key", "reviewer_key",
+                               key_set=keys, places=None)
+
+
+@register("p6_cardinality_integrity", "WITH " + _CARD_SQL + "SELECT * FROM card")
+def p6_cardinality_integrity(spark, sf_dir):
+    return rounded(_cardinality(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ p7
+def _violations(df, fields):
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return sum((F.count_if(~profile.present(f, types[f])) > 0).cast("long") for f in fields)
+
+
+P7_SQL = f"""
+WITH products AS ({PRODUCTS_SQL}), reviews AS ({reviews_sql()}),
+{_CARD_SQL},
+ev AS (SELECT CASE event_id % 50 WHEN 3 THEN '{{bad' WHEN 7 THEN '[1,2]' WHEN 11 THEN '' WHEN 13 THEN '"text"'
+              WHEN 17 THEN props || ' junk' WHEN 19 THEN '  ' ELSE props END AS line FROM events),
+m AS (
+  SELECT CAST(duplicate_asin_records AS DOUBLE) AS product_asin_uniqueness,
+         CAST((SELECT (count(*) FILTER (WHERE NOT {_has('asin', 'text')}) > 0)::INT
+                    + (count(*) FILTER (WHERE NOT {_has('title', 'text')}) > 0)::INT FROM products) AS DOUBLE)
+             AS product_required_fields,
+         CAST((SELECT (count(*) FILTER (WHERE product_key IS NULL) > 0)::INT
+                    + (count(*) FILTER (WHERE reviewer_key IS NULL) > 0)::INT
+                    + (count(*) FILTER (WHERE rating IS NULL) > 0)::INT
+                    + (count(*) FILTER (WHERE verified IS NULL) > 0)::INT FROM reviews) AS DOUBLE)
+             AS review_required_fields,
+         orphan_asin_percentage AS review_product_referential_integrity,
+         CAST((SELECT count(*) FROM ev WHERE trim(line) <> '' AND NOT coalesce(json_valid(line), FALSE)) AS DOUBLE)
+             AS malformed_json
+  FROM card),
+rows AS (
+  SELECT * FROM (UNPIVOT m ON product_asin_uniqueness, product_required_fields, review_required_fields,
+                 review_product_referential_integrity, malformed_json INTO NAME "check" VALUE value))
+SELECT "check", CASE WHEN value = 0 THEN 'PASS' WHEN "check" = 'malformed_json' THEN 'FAIL' ELSE 'WARN' END AS status,
+       round(value, 6) AS value FROM rows
+UNION ALL
+SELECT 'overall', CASE WHEN max(CASE WHEN value = 0 THEN 0 WHEN "check" = 'malformed_json' THEN 2 ELSE 1 END) = 2
+                       THEN 'FAIL'
+                       WHEN max(CASE WHEN value = 0 THEN 0 WHEN "check" = 'malformed_json' THEN 2 ELSE 1 END) = 1
+                       THEN 'WARN' ELSE 'PASS' END, NULL FROM rows
+"""
+
+
+@register("p7_checks", P7_SQL)
+def p7_checks(spark, sf_dir):
+    card = _cardinality(spark, sf_dir)
+    products = roles.products(spark, sf_dir, with_description=False)
+    reviews = roles.reviews(spark, sf_dir)
+    pv = products.agg(_violations(products, ["asin", "title"]).alias("product_required_violations"))
+    rv = reviews.agg(_violations(reviews, ["product_key", "reviewer_key", "rating", "verified"])
+                     .alias("review_required_violations"))
+    bad = parse_records(_event_lines(spark, sf_dir)).agg(
+        F.count_if(c("parse_error") == "malformed_json").alias("product_malformed"))
+    one = lambda df: df.withColumn("_one", lit(1))  # noqa: E731  (all sides are one-row aggregates)
+    metrics = (one(card).join(one(pv), "_one").join(one(rv), "_one").join(one(bad), "_one")
+               .withColumn("review_malformed", lit(0)))
+    return rounded(profile.checks(metrics))
+
+
