@@ -132,3 +132,15 @@ FROM part
 @register("r7_resolution_totals", R7_SQL)
 def r7_resolution_totals(spark, sf_dir):
     return rounded(resolve.resolution_totals(roles.table(spark, sf_dir, "part"), key="p_name"))
+
+
+T1_SQL = """
+SELECT sha256(text) AS text_sha256, count(*) AS dup_count, min(doc_id) AS first_doc_id
+FROM documents GROUP BY text HAVING count(*) >= 2 ORDER BY first_doc_id LIMIT 10
+"""
+
+
+@register("t1_limit_examples", T1_SQL)
+def t1_limit_examples(spark, sf_dir):
+    """The first ten duplicate groups (by first document id)."""
+    return r5_duplicate_groups(spark, sf_dir).orderBy("first_doc_id").limit(10)
