@@ -42,4 +42,4 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 # importing the query modules fills the registry
-from lakeloom.plans import q_gold, q_quality, q_resolve, q_ingest, q_profile, q_features, q_search, q_embed  # noqa: E402,F401
+from lakeloom.plans import q_gold, q_quality, q_resolve, q_ingest, q_profile, q_features, q_search, q_embed, q_stream  # noqa: E402,F401
