@@ -14,8 +14,16 @@ from pyspark.sql import functions as F
 # Java regex class: TAB LF VT FF CR, the four information separators
 # U+001C..U+001F, NEL U+0085 and every Unicode separator (category Z).
 WS_CLASS = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]"
-_EDGE = f"^{WS_CLASS}+|{WS_CLASS}+$"
 _RUN = f"{WS_CLASS}+"
+# Fixed value: the same 29 code points as a plain string, in code point order,
+# for btrim (edge trimming without a regex): U+0009..U+000D, U+001C..U+001F,
+# U+0020, U+0085, U+00A0, U+1680, U+2000..U+200A, U+2028, U+2029, U+202F,
+# U+205F, U+3000.
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(c) -> Column:
@@ -24,7 +32,7 @@ def _col(c) -> Column:
 
 def strip(c) -> Column:
     """Python ``s.strip()``."""
-    return F.regexp_replace(_col(c), _EDGE, "")
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def clean_string(c) -> Column:

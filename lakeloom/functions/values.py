@@ -30,8 +30,10 @@ def field(obj, name: str) -> Column:
 
 
 def vtype(v) -> Column:
-    """Top-level type text of a variant: OBJECT, ARRAY, STRING, BIGINT, ..."""
-    return F.regexp_extract(F.schema_of_variant(_col(v)), r"^([A-Z]+)", 1)
+    """Top-level type text of a variant: OBJECT, ARRAY, STRING, BIGINT,
+    DECIMAL, VOID, ... (the schema text up to its first '<' or '(')."""
+    sch = F.schema_of_variant(_col(v))
+    return F.substring_index(F.substring_index(sch, "<", 1), "(", 1)
 
 
 def value_type(v) -> Column:

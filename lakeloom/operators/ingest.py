@@ -45,6 +45,19 @@ def _fields(records: DataFrame, record: str, names, keep) -> DataFrame:
     return staged.select("*", *[vtype(_v(n)).alias(f"_t_{n}") for n in names])
 
 
+def boundary(df: DataFrame) -> DataFrame:
+    """Identity that filters cannot be pushed through.
+
+    The cleaning expressions form deep trees over the parsed record; if a
+    filter on their results (``error IS NULL``) were pushed below them,
+    Catalyst would inline every tree into the predicate, where common
+    subexpressions are not shared, and re-parse each line many times. A
+    generator (``inline`` of a one-element array) keeps such filters above
+    the projection, so each expression is evaluated once per row.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def _v(name: str) -> F.Column:
     return F.col(f"_v_{name}")
 
@@ -85,7 +98,7 @@ def normalize_products(records: DataFrame, record: str = "record", keep: tuple[s
     }
     assert list(cols) == PRODUCT_COLUMNS
     error = F.when(asin.isNull(), F.lit("missing_asin"))
-    return staged.select(*keep, *[c.alias(n) for n, c in cols.items()], error.alias("error"))
+    return boundary(staged.select(*keep, *[c.alias(n) for n, c in cols.items()], error.alias("error")))
 
 
 def _number_text(v, t) -> F.Column:
@@ -156,7 +169,7 @@ def normalize_reviews(
         "schema_version": F.lit(SCHEMA_VERSION),
     }
     assert list(cols) == REVIEW_COLUMNS
-    return staged.select(*keep, *[c.alias(n) for n, c in cols.items()], error.alias("error"))
+    return boundary(staged.select(*keep, *[c.alias(n) for n, c in cols.items()], error.alias("error")))
 
 
 def split_valid(normalized: DataFrame, raw: str = "line") -> tuple[DataFrame, DataFrame]:

@@ -1,45 +1,17 @@
-"""Registered queries over the driver's tables, each with its DuckDB oracle.
+"""All registered queries over the driver's tables, each with its DuckDB oracle.
 
-A query is a function (spark, sf_dir) -> DataFrame that builds a role view
-(plans.roles) and calls library operators on it. The oracle is independent
-SQL over the same parquet tables. Floats are rounded to 6 places on both
-sides, arrays are rendered as text, and column names agree.
+Importing this module imports every query module, which fills the registry.
 """
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, QueryFn] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None):
-    def wrap(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return wrap
-
-
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Round every double/float column so both engines hash the same text."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), places).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
-
-
-# importing the query modules fills the registry
-from lakeloom.plans import q_gold, q_quality, q_resolve, q_ingest, q_profile, q_features, q_search, q_embed, q_stream  # noqa: E402,F401
+from lakeloom.plans import (  # noqa: F401
+    q_embed,
+    q_features,
+    q_gold,
+    q_ingest,
+    q_profile,
+    q_quality,
+    q_resolve,
+    q_search,
+    q_stream,
+)
+from lakeloom.plans.registry import ORACLES, QUERIES, register, rounded  # noqa: F401

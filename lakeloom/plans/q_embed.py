@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.vectors import norm
 from lakeloom.operators import embed
 from lakeloom.plans import roles
-from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.q_features import _page_images
 from lakeloom.operators.features import image_tasks
 from lakeloom.session import checkpoint_dir

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import features, gold
 from lakeloom.plans import roles
-from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.roles import PRODUCTS_SQL, sql_clean, sql_has_text
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lakeloom.operators import gold
 from lakeloom.plans import roles
-from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.roles import PRODUCTS_SQL, reviews_sql, sql_clean, sql_has_text
 
 _HT = sql_has_text("review_text")

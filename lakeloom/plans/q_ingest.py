@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.values import clean_list, clean_number, field, style_json
 from lakeloom.operators import ingest
 from lakeloom.plans import jsontext, roles
-from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.registry import register, rounded
 from lakeloom.sources.raw import parse_records, split_records
 
 c, lit = F.col, F.lit

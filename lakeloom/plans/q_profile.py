@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import profile
 from lakeloom.plans import roles
-from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.jsontext import kv, obj, q, s
 from lakeloom.plans.q_ingest import _event_lines
 from lakeloom.plans.roles import PRODUCTS_SQL, reviews_sql, sql_normalize, sql_strip

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lakeloom.operators import silver
 from lakeloom.plans import roles
-from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.roles import KEYED_DOCUMENTS_SQL, PRODUCT_KEYS_SQL, PRODUCTS_SQL, reviews_sql, sql_has_text
 
 _REVIEW_COLS = ["l_orderkey", "l_linenumber", "product_key", "reviewer_key", "rating"]

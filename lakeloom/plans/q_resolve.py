@@ -8,7 +8,7 @@ from lakeloom.functions.text import normalize_lower
 from lakeloom.functions.values import sha256_hex
 from lakeloom.operators import resolve
 from lakeloom.plans import roles
-from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.roles import PRODUCT_KEYS_SQL, PRODUCTS_SQL, sql_normalize
 
 _PCOLS = ["product_key", "asin", "title", "brand", "main_category", "price"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import gold, search
 from lakeloom.plans import roles
-from lakeloom.plans.catalog import register, rounded
+from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.q_gold import G1_SQL
 from lakeloom.plans.roles import PRODUCTS_SQL
 

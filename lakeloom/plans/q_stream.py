@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.values import field
 from lakeloom.plans import roles
-from lakeloom.plans.catalog import register
+from lakeloom.plans.registry import register
 from lakeloom.session import checkpoint_dir
 from lakeloom.streaming import ingest as stream
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import strip
-from lakeloom.functions.values import vtype
 
 MALFORMED = "malformed_json"
 NOT_OBJECT = "not_object"
@@ -39,17 +38,17 @@ def parse_records(lines: DataFrame, line: str = "line") -> DataFrame:
     closing bracket; it is 'not_object' when it parses to anything but an
     object. ``NaN`` literals are malformed (Python would accept them).
     """
-    s = strip(F.col(line))
+    staged = lines.withColumn("_stripped", strip(F.col(line))).where(F.col("_stripped") != "")
+    s = F.col("_stripped")
     v = F.try_parse_json(F.col(line))
-    t = vtype(v)
-    # the variant parser stops after the first value: '{"a":1} junk' parses
-    trailing_junk = ((t == "OBJECT") & ~s.endswith("}")) | ((t == "ARRAY") & ~s.endswith("]"))
-    err = F.when(v.isNull() | trailing_junk, F.lit(MALFORMED)).when(t != "OBJECT", F.lit(NOT_OBJECT))
-    return (
-        lines.where(s != "")
-        .withColumn("record", F.when(err.isNull(), v))
-        .withColumn("parse_error", err)
-    )
+    # a valid JSON text starting with '{' is an object; the variant parser
+    # stops after the first value, so '{"a":1} junk' parses: check the end too
+    obj = s.startswith("{")
+    trailing_junk = (obj & ~s.endswith("}")) | (s.startswith("[") & ~s.endswith("]"))
+    staged = staged.withColumn("_v", v)
+    v = F.col("_v")
+    err = F.when(v.isNull() | trailing_junk, F.lit(MALFORMED)).when(~obj, F.lit(NOT_OBJECT))
+    return staged.select(*lines.columns, F.when(err.isNull(), v).alias("record"), err.alias("parse_error"))
 
 
 def split_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
