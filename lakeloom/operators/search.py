@@ -200,16 +200,40 @@ def topk_lsh(
 
 
 # ------------------------------------------------------------- enrichment
-def enriched_search(hits: DataFrame, summary: DataFrame, stats: DataFrame, key: str = "canonical_product_id") -> DataFrame:
+def materialize_hits(hits: DataFrame, max_hits: int = 10_000) -> DataFrame:
+    """Compute a top-k result once and keep it as a local table (bounded by
+    ``max_hits``, else refused), so later joins can broadcast it and do not
+    re-score the vectors."""
+    rows = hits.limit(max_hits + 1).collect()
+    if len(rows) > max_hits:
+        raise ValueError(f"more than {max_hits} hits")
+    return hits.sparkSession.createDataFrame(rows, hits.schema)
+
+
+def restrict_to_hits(df: DataFrame, hits: DataFrame, key: str, df_key: str | None = None) -> DataFrame:
+    """Rows of a large table whose key is among the (bounded) hit keys, by a
+    semi join with the broadcast keys: use it before aggregating statistics
+    for the hits only."""
+    ids = F.broadcast(hits.select(F.col(key).alias("_hit_key")))
+    return df.join(ids, df[df_key or key] == ids["_hit_key"], "left_semi")
+
+
+def enriched_search(hits: DataFrame, summary: DataFrame, stats: DataFrame, key: str = "canonical_product_id",
+                    max_hits: int = 10_000) -> DataFrame:
     """Hits left-joined to the product summary and review statistics.
-    The gold tables are first reduced to the hit keys by a semi join with the
-    broadcast hit ids (at most k per query), so the large tables are scanned
-    once and never shuffled. Missing statistics become 0 counts and ratio 0;
-    the average rating stays NULL."""
-    ids = F.broadcast(hits.select(key).distinct())
+
+    The hits (a top-k result) are computed once and held as a small local
+    table; more than ``max_hits`` rows is refused, which is the proof that
+    broadcasting them is safe. The gold tables are reduced to the hit keys by
+    a semi join with the broadcast keys, so they are scanned once and never
+    shuffled (Catalyst pushes the semi join below the statistics
+    aggregation). Missing statistics become 0 counts and ratio 0; the average
+    rating stays NULL."""
+    local = materialize_hits(hits, max_hits)
+    ids = F.broadcast(local.select(key))
     s = summary.join(ids, key, "left_semi")
     st = stats.join(ids, key, "left_semi").drop(*[c for c in ("asin",) if c in stats.columns])
-    out = hits.join(s, key, "left").join(st, key, "left")
+    out = F.broadcast(local).join(s, key, "left").join(st, key, "left")
     return out.select(
         *[c for c in out.columns if c not in ("review_count", "verified_review_count", "verified_review_ratio")],
         F.coalesce(F.col("review_count"), F.lit(0)).alias("review_count"),

@@ -88,11 +88,14 @@ FROM hits h LEFT JOIN products p ON p.product_key = h.canonical_product_id
 
 @register("s3_enriched_search", S3_SQL)
 def s3_enriched_search(spark, sf_dir):
-    hits = _hits(spark, sf_dir).select("rank", F.col("vec_id").alias("canonical_product_id"), "score")
+    hits = search.materialize_hits(
+        _hits(spark, sf_dir).select("rank", F.col("vec_id").alias("canonical_product_id"), "score"))
     products = roles.products(spark, sf_dir, with_description=False)
     summary = gold.product_summary(products, product_id="product_key").select(
         "canonical_product_id", "asin", "title", "brand", "main_category", "price")
-    stats = gold.product_review_stats(roles.reviews(spark, sf_dir), key="product_key").select(
+    # statistics for the hit products only: reviews are reduced before the aggregation
+    reviews = search.restrict_to_hits(roles.reviews(spark, sf_dir), hits, "canonical_product_id", "product_key")
+    stats = gold.product_review_stats(reviews, key="product_key").select(
         "canonical_product_id", "review_count", "avg_rating", "verified_review_count", "verified_review_ratio")
     return rounded(search.enriched_search(hits, summary, stats))
 
