@@ -55,6 +55,8 @@ def embed_text(
 ) -> DataFrame:
     """(keep..., embedding_model, embedding_dimension, embedding)
     with unit-length float32 vectors."""
+    if dim <= 0 or batch_size <= 0:
+        raise ValueError("dim and batch_size must be positive")
     if encoder_factory is None:
         from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
         from pyspark.ml.functions import vector_to_array

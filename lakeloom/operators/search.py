@@ -25,6 +25,12 @@ from lakeloom.functions.vectors import dot_literal, l2_normalize, norm
 MAX_BROADCAST_QUERIES = 4096
 
 
+def _check_k(k: int) -> None:
+    """limits must be positive."""
+    if not isinstance(k, int) or k <= 0:
+        raise ValueError(f"k must be a positive integer, got {k!r}")
+
+
 # ------------------------------------------------------------- vector table
 def vector_table(
     df: DataFrame,
@@ -91,6 +97,7 @@ def topk_exact(
 ) -> DataFrame:
     """Exact cosine top-k for one query, ranked from 1 (ties by id).
     The vector is not returned."""
+    _check_k(k)
     scored = points.select(F.col(id_col), *payload, cosine_literal(vec_col, query).alias("score"))
     top = scored.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)
     # k rows only: a global window over them is bounded
@@ -143,6 +150,9 @@ def topk_batch(
     """Exact cosine top-k for a batch of queries (ids must be integral).
     Queries are broadcast in chunks of at most ``max_broadcast``; larger
     batches run chunk by chunk, so the broadcast size stays bounded."""
+    _check_k(k)
+    if max_broadcast <= 0:
+        raise ValueError("max_broadcast must be positive")
     n = queries.count()
     chunks = max(1, -(-n // max_broadcast))
     spark = points.sparkSession
@@ -185,6 +195,7 @@ def topk_lsh(
     """T2 approximate: random-projection LSH on unit vectors (Euclidean order
     equals cosine order there). Returns rank, id, score (cosine from the
     distance) like ``topk_exact``."""
+    _check_k(k)
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.linalg import Vectors

@@ -21,6 +21,8 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
     """Lines of one or more (optionally gzip) files with their source file and
     a sequence number taken before any shuffle. Gzip files are not
     splittable, so the rows are spread over ``partitions`` tasks afterwards."""
+    if partitions is not None and partitions <= 0:
+        raise ValueError("partitions must be positive")
     df = spark.read.text(path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("source_file"),

@@ -160,3 +160,15 @@ def test_write_routed_single_pass(spark, tmp_path):
     back = spark.read.parquet(out)
     assert back.count() == r.count()
     assert {x[0] for x in back.select("_route").distinct().collect()} == {"silver", "quarantine"}
+
+
+def test_argument_checks(spark):
+    import pytest
+
+    pts = roles.table(spark, SF_SMALL, "embeddings")
+    with pytest.raises(ValueError):
+        search.topk_exact(pts, [1.0] * 64, k=0, id_col="vec_id")
+    with pytest.raises(ValueError):
+        embed.embed_query(spark, "   ")
+    with pytest.raises(ValueError):
+        embed.embed_text(pts, "label", ["vec_id"], batch_size=0)
