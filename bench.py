@@ -27,6 +27,7 @@ HEADLINE = [
     "i3_normalize_products",  # raw JSON -> canonical
     "i4_normalize_reviews",
     "p1_field_profile",  # profiling
+    "p8_review_field_profile",
     "p6_cardinality_integrity",
     "f1_multimodal_features",
     "s1_topk_exact",
@@ -53,7 +54,7 @@ def main() -> None:
 
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm):
-        for name in ("g1_product_review_stats", "i4_normalize_reviews", "s1_topk_exact"):
+        for name in ("g1_product_review_stats", "i4_normalize_reviews", "p8_review_field_profile", "s1_topk_exact"):
             run(name, warm)
 
     times = {}
@@ -72,6 +73,7 @@ def main() -> None:
         "review_rows": rows,
         "review_normalize_rows_per_sec": round(rows / times["i4_normalize_reviews"], 1),
         "silver_split_rows_per_sec": round(rows / (times["v1_silver_reviews"] + times["v2_quarantine_reviews"]), 1),
+        "review_profile_rows_per_sec": round(rows / times["p8_review_field_profile"], 1),
     }
     spark.stop()
     print(json.dumps(out))

@@ -29,14 +29,17 @@ def field(obj, name: str) -> Column:
     return F.variant_get(_col(obj), f"$['{key}']", "variant")
 
 
+def _type_of_schema(sch: Column) -> Column:
+    return F.substring_index(F.substring_index(sch, "<", 1), "(", 1)
+
+
 def vtype(v) -> Column:
     """Top-level type text of a variant: OBJECT, ARRAY, STRING, BIGINT,
     DECIMAL, VOID, ... (the schema text up to its first '<' or '(')."""
-    sch = F.schema_of_variant(_col(v))
-    return F.substring_index(F.substring_index(sch, "<", 1), "(", 1)
+    return _type_of_schema(F.schema_of_variant(_col(v)))
 
 
-def value_type(v) -> Column:
+def value_type(v, sch: Column | None = None) -> Column:
     """Python type name null/bool/int/float/string/list/dict.
 
     DECIMAL with scale 0 and more than 18 digits comes from a JSON integer
@@ -44,14 +47,15 @@ def value_type(v) -> Column:
     such as ``5.0`` and are floats.
     """
     v = _col(v)
-    sch = F.schema_of_variant(v)
-    t = vtype(v)
+    sch = F.schema_of_variant(v) if sch is None else sch
+    t = _type_of_schema(sch)
     big_int = sch.rlike(r"^DECIMAL\((19|[2-9][0-9]|[1-9][0-9]{2}),0\)$")
     return (
         F.when(v.isNull() | (t == "VOID"), "null")
         .when(t == "BOOLEAN", "bool")
-        .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | big_int, "int")
-        .when(t.isin("DECIMAL", "DOUBLE", "FLOAT"), "float")
+        .when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int")
+        .when(t == "DECIMAL", F.when(big_int, "int").otherwise("float"))
+        .when(t.isin("DOUBLE", "FLOAT"), "float")
         .when(t == "STRING", "string")
         .when(t == "ARRAY", "list")
         .when(t == "OBJECT", "dict")
@@ -59,15 +63,17 @@ def value_type(v) -> Column:
     )
 
 
-def is_empty(v, t: Column | None = None) -> Column:
-    """None, blank string, empty list or empty dict."""
+def is_empty(v, t: Column | None = None, sch: Column | None = None) -> Column:
+    """None, blank string, empty list or empty dict. Only an array whose
+    schema is ARRAY<VOID> can be empty, so other arrays are never converted."""
     v = _col(v)
-    t = vtype(v) if t is None else t
+    sch = F.schema_of_variant(v) if sch is None else sch
+    t = _type_of_schema(sch) if t is None else t
     return (
         F.when(v.isNull() | (t == "VOID"), True)
         .when(t == "STRING", strip(F.try_variant_get(v, "$", "string")) == "")
-        .when(t == "ARRAY", F.coalesce(F.size(F.try_variant_get(v, "$", "array<variant>")) == 0, F.lit(False)))
-        .when(t == "OBJECT", F.schema_of_variant(v) == "OBJECT<>")
+        .when(t == "ARRAY", (sch == "ARRAY<VOID>") & (F.to_json(v) == "[]"))
+        .when(t == "OBJECT", sch == "OBJECT<>")
         .otherwise(False)
     )
 

@@ -21,6 +21,8 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from lakeloom.frames import with_one_row
 from pyspark.sql import types as T
 
 TEXT_MODEL = "hashing-tf"
@@ -206,7 +208,7 @@ def embedding_totals(results: DataFrame, tasks_without_image: DataFrame | None =
     )
     if tasks_without_image is not None:
         n = tasks_without_image.agg(F.count(F.lit(1)).alias("products_without_image"))
-        out = out.withColumn("_one", F.lit(1)).join(n.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        out = with_one_row(out, n)
     return out
 
 

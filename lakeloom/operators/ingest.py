@@ -26,6 +26,7 @@ from lakeloom.functions.values import (
     style_json,
     vtype,
 )
+from lakeloom.frames import boundary
 from lakeloom.schemas import PRODUCT_COLUMNS, REVIEW_COLUMNS
 
 SCHEMA_VERSION = "v1"
@@ -38,26 +39,16 @@ DESCRIPTION_SEP = "\n"
 
 
 def _fields(records: DataFrame, record: str, names, keep) -> DataFrame:
-    """Project each raw field into its own VARIANT column first. Later
-    expressions refer to these columns, which keeps the generated code of the
-    final projection small (one extraction per field, not one per use)."""
-    staged = records.select(*keep, *[field(F.col(record), n).alias(f"_v_{n}") for n in names])
+    """Project the raw fields into their own VARIANT columns, with one
+    navigation of the object (a cast to a struct of variants), plus one type
+    tag per field. Later expressions refer to these columns, which keeps the
+    generated code small and evaluates each extraction once."""
+    struct = "struct<" + ",".join(f"`{n}`: variant" for n in names) + ">"
+    staged = records.select(*keep, F.variant_get(F.col(record), "$", struct).alias("_fields"))
+    staged = staged.select(*keep, *[F.col("_fields").getField(n).alias(f"_v_{n}") for n in names])
     return staged.select("*", *[vtype(_v(n)).alias(f"_t_{n}") for n in names])
 
 
-def boundary(df: DataFrame) -> DataFrame:
-    """Identity that filters cannot be pushed through.
-
-    The cleaning expressions form deep trees over the parsed record; if a
-    filter on their results (``error IS NULL``) were pushed below them,
-    Catalyst would inline every tree into the predicate, where common
-    subexpressions are not shared, and re-parse each line many times. A
-    generator (``inline`` of a one-element array) keeps such filters above
-    the projection, so each expression is evaluated once per row.
-    """
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
-
-
 def _v(name: str) -> F.Column:
     return F.col(f"_v_{name}")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.text import normalize_text, strip
-from lakeloom.functions.values import is_empty, value_type, vtype
+from lakeloom.functions.values import is_empty, value_type
 
 
 def _pct(n: Column, d: Column, places: int | None) -> Column:
@@ -39,8 +39,10 @@ def field_profile(
     (SO2). Sorted by field (T3)."""
     spark = records.sparkSession
     entries = records.select(F.explode(F.try_variant_get(F.col(record), "$", "map<string,variant>")).alias("field", "v"))
-    t = vtype("v")
-    typed = entries.select("field", value_type(F.col("v")).alias("type"), is_empty(F.col("v"), t).alias("empty"))
+    entries = entries.select("field", "v", F.schema_of_variant("v").alias("_sch"))
+    sch = F.col("_sch")
+    typed = entries.select("field", value_type(F.col("v"), sch).alias("type"),
+                           is_empty(F.col("v"), sch=sch).alias("empty"))
     by_type = typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"), F.count_if("empty").alias("e"))
     by_field = by_type.groupBy("field").agg(
         F.sum("n").alias("present_records"),

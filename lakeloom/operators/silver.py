@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.frames import with_one_row
+
 from lakeloom.functions.text import is_blank
 
 ROUTE = "_route"
@@ -138,8 +140,7 @@ def silver_status(product_q: DataFrame, review_q: DataFrame) -> DataFrame:
     """AG20: both quality rows side by side plus PASS/WARN."""
     p = product_q.select([F.col(c).alias(f"product_{c}") for c in product_q.columns])
     r = review_q.select([F.col(c).alias(f"review_{c}") for c in review_q.columns])
-    # both sides are global aggregates (exactly one row): join on a constant
-    both = p.withColumn("_one", F.lit(1)).join(r.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    both = with_one_row(p, r)
     warn = (F.col("product_missing_asin") > 0) | (F.col("review_invalid_rating") > 0) | (F.col("review_orphan_reviews") > 0)
     return both.withColumn("status", F.when(warn, "WARN").otherwise("PASS"))
 

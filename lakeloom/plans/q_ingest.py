@@ -10,7 +10,7 @@ from lakeloom.functions.values import clean_list, clean_number, field, style_jso
 from lakeloom.operators import ingest
 from lakeloom.plans import jsontext, roles
 from lakeloom.plans.registry import register, rounded
-from lakeloom.sources.raw import parse_records, split_records
+from lakeloom.sources.raw import parse_records, split_records, spread
 
 c, lit = F.col, F.lit
 
@@ -31,7 +31,7 @@ def _event_lines(spark, sf_dir):
         .when(m == 19, lit("  "))
         .otherwise(c("props"))
     )
-    return e.select("event_id", line.alias("line"))
+    return spread(e.select("event_id", line.alias("line")))
 
 
 _EVENT_LINES_SQL = """
@@ -84,7 +84,7 @@ def _product_lines(spark, sf_dir):
         .when(k % 3 == 1, _kv("imageURL", F.concat(lit("["), _q("http://i/", _s("p_partkey")), lit(',""]')))),
         _kv("date", _q(_s("p_size"), " Jan")),
     )
-    return p.select(line.alias("line"))
+    return spread(p.select(line.alias("line")))
 
 
 I3_SQL = """
@@ -143,7 +143,7 @@ def _review_lines(spark, sf_dir):
         .when(o % 4 == 2, _kv("style", _q("s"))),
         F.when(o % 5 == 0, _kv("image", F.concat(lit("["), _q("u", _s("l_partkey")), lit(',"  ",null]')))),
     )
-    return li.select(line.alias("line"))
+    return spread(li.select(line.alias("line")))
 
 
 _REVIEW_ERR_SQL = """
@@ -197,7 +197,7 @@ def i5_review_errors(spark, sf_dir):
 def _event_values(spark, sf_dir, key, rule):
     e = roles.table(spark, sf_dir, "events")
     lines = e.select("event_id", _obj(_kv(key, rule(e))).alias("line"))
-    return parse_records(lines)
+    return parse_records(spread(lines))
 
 
 def _price_text(e):

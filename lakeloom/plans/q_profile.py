@@ -11,7 +11,7 @@ from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.jsontext import kv, obj, q, s
 from lakeloom.plans.q_ingest import _event_lines
 from lakeloom.plans.roles import PRODUCTS_SQL, reviews_sql, sql_normalize, sql_strip
-from lakeloom.sources.raw import parse_records
+from lakeloom.sources.raw import parse_records, spread
 
 c, lit = F.col, F.lit
 
@@ -35,7 +35,7 @@ def _doc_records(spark, sf_dir):
         .when(i % 4 == 2, kv("meta", lit("true"))),
         F.when(i % 5 == 0, kv("score", F.concat(s("n_chars"), lit(".5")))),
     )
-    return parse_records(j.select(line.alias("line")))
+    return parse_records(spread(j.select(line.alias("line"))))
 
 
 P1_SQL = f"""
@@ -233,3 +233,47 @@ def p7_checks(spark, sf_dir):
     return rounded(profile.checks(metrics))
 
 
+
+
+# ------------------------------------------------------------------ p8
+def _review_lines_sql() -> str:
+    """The raw review lines of i4/i5, rendered by DuckDB."""
+    return """
+    SELECT '{' || concat_ws(',',
+      CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE '"reviewerID":"R' || l_suppkey || '"' END,
+      CASE WHEN l_orderkey % 89 = 0 THEN '"asin":"   "' ELSE '"asin":"A' || l_partkey || '"' END,
+      CASE WHEN l_orderkey % 83 = 0 THEN NULL WHEN l_orderkey % 79 = 0 THEN '"unixReviewTime":"x"'
+           ELSE '"unixReviewTime":' || CAST(floor(epoch(l_shipdate)) AS BIGINT) END,
+      CASE WHEN l_orderkey % 73 = 0 THEN '"overall":"abc"' WHEN l_orderkey % 71 = 0 THEN '"overall":-1'
+           WHEN l_orderkey % 67 = 0 THEN '"overall":5.5' WHEN l_quantity > 45 THEN '"overall":"4"'
+           ELSE '"overall":' || CAST(floor(l_quantity) % 6 AS BIGINT) || '.0' END,
+      '"verified":' || CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END,
+      CASE WHEN l_linenumber % 3 = 0 THEN '"reviewText":"  "' ELSE '"reviewText":"' || repeat('x', l_linenumber) || '"' END,
+      '"summary":" S' || l_linenumber || ' "',
+      CASE l_linenumber WHEN 1 THEN '"vote":"1,234"' WHEN 2 THEN '"vote":""' WHEN 3 THEN '"vote":"x"'
+           WHEN 4 THEN '"vote":3' WHEN 5 THEN '"vote":3.5' END,
+      CASE l_orderkey % 4 WHEN 0 THEN '"style":{}' WHEN 1 THEN '"style":{"b":1,"a":"' || l_returnflag || '"}'
+           WHEN 2 THEN '"style":"s"' END,
+      CASE WHEN l_orderkey % 5 = 0 THEN '"image":["u' || l_partkey || '","  ",null]' END) || '}' AS line
+    FROM lineitem"""
+
+
+# The review fields the reference treats as required.
+REVIEW_REQUIRED = ("reviewerID", "asin", "overall", "verified", "unixReviewTime", "reviewTime")
+
+P8_SQL = P1_SQL.replace(
+    P1_SQL[P1_SQL.index("WITH d AS"):P1_SQL.index("kv AS")],
+    f"WITH rec AS ({_review_lines_sql()}),\n",
+).replace(
+    "names AS (SELECT field FROM by_field UNION SELECT 'doc_id' UNION SELECT 'title')",
+    "names AS (SELECT field FROM by_field " + " ".join(f"UNION SELECT '{f}'" for f in REVIEW_REQUIRED) + ")",
+)
+
+
+@register("p8_review_field_profile", P8_SQL)
+def p8_review_field_profile(spark, sf_dir):
+    from lakeloom.plans.q_ingest import _review_lines
+
+    recs = parse_records(_review_lines(spark, sf_dir)).where("parse_error IS NULL")
+    prof = profile.field_profile(recs, required=REVIEW_REQUIRED, places=None)
+    return rounded(prof.withColumn("types", _types_text(c("types"))))

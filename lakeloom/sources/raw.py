@@ -11,26 +11,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.frames import boundary
 from lakeloom.functions.text import strip
 
 MALFORMED = "malformed_json"
 NOT_OBJECT = "not_object"
+BLANK = "blank"
 
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Lines of one or more (optionally gzip) files with their source file and
     a sequence number taken before any shuffle. Gzip files are not
-    splittable, so the rows are spread over ``partitions`` tasks afterwards."""
-    if partitions is not None and partitions <= 0:
-        raise ValueError("partitions must be positive")
+    splittable, so the rows are spread over ``partitions`` tasks afterwards
+    (default: the cluster's parallelism)."""
     df = spark.read.text(path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("source_file"),
         F.monotonically_increasing_id().alias("seq"),
     )
-    if partitions:
-        df = df.repartition(partitions)
-    return df
+    return spread(df, partitions)
+
+
+def spread(lines: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin the raw lines over ``partitions`` tasks (default: the
+    cluster's parallelism). Raw sources arrive in few splits (a gzip file is
+    one task, a single Parquet row group is one task), while parsing and
+    cleaning are CPU-bound per line; one shuffle of the raw text lets every
+    core work on them."""
+    n = partitions or lines.sparkSession.sparkContext.defaultParallelism
+    if n <= 0:
+        raise ValueError("partitions must be positive")
+    return lines.repartition(n)
 
 
 def parse_records(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -40,17 +51,19 @@ def parse_records(lines: DataFrame, line: str = "line") -> DataFrame:
     closing bracket; it is 'not_object' when it parses to anything but an
     object. ``NaN`` literals are malformed (Python would accept them).
     """
-    staged = lines.withColumn("_stripped", strip(F.col(line))).where(F.col("_stripped") != "")
-    s = F.col("_stripped")
-    v = F.try_parse_json(F.col(line))
+    staged = lines.withColumn("_stripped", strip(F.col(line))).withColumn("_v", F.try_parse_json(F.col(line)))
+    s, v = F.col("_stripped"), F.col("_v")
     # a valid JSON text starting with '{' is an object; the variant parser
     # stops after the first value, so '{"a":1} junk' parses: check the end too
     obj = s.startswith("{")
     trailing_junk = (obj & ~s.endswith("}")) | (s.startswith("[") & ~s.endswith("]"))
-    staged = staged.withColumn("_v", v)
-    v = F.col("_v")
-    err = F.when(v.isNull() | trailing_junk, F.lit(MALFORMED)).when(~obj, F.lit(NOT_OBJECT))
-    return staged.select(*lines.columns, F.when(err.isNull(), v).alias("record"), err.alias("parse_error"))
+    err = (
+        F.when(s == "", F.lit(BLANK))
+        .when(v.isNull() | trailing_junk, F.lit(MALFORMED))
+        .when(~obj, F.lit(NOT_OBJECT))
+    )
+    out = boundary(staged.select(*lines.columns, F.when(err.isNull(), v).alias("record"), err.alias("parse_error")))
+    return out.where(F.col("parse_error").isNull() | (F.col("parse_error") != BLANK))
 
 
 def split_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
