@@ -59,3 +59,37 @@ def e3_resume(spark, sf_dir):
     # ... run 2 is started on everything and only embeds what is missing
     latest = embed.run_resumable(docs, "doc_id", job, out, run_id=2)
     return latest.select("doc_id", "run_id", "embedding_dimension")
+
+
+@register("e4_embedding_totals", """
+SELECT count(*) FILTER (WHERE page_id % 3 = 1) AS tasks,
+       count(*) FILTER (WHERE page_id % 3 = 1 AND page_id % 7 <> 0) AS processed,
+       count(*) FILTER (WHERE page_id % 3 = 1 AND page_id % 7 = 0) AS failed,
+       count(*) FILTER (WHERE page_id % 3 = 1 AND page_id % 7 <> 0) AS rows_with_embedding,
+       256 AS embedding_dimension,
+       count(*) FILTER (WHERE page_id % 3 <> 1) AS products_without_image
+FROM pages""")
+def e4_embedding_totals(spark, sf_dir):
+    """AG21 over the image embedding job of e2."""
+    pages = _page_images(spark, sf_dir)
+    tasks = image_tasks(pages, id_col="page_id", keep=())
+    no_image = pages.join(tasks, "page_id", "left_anti")
+    content = roles.table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("_pid"),
+        F.when(F.col("page_id") % 7 == 0, F.lit(None)).otherwise(F.encode("html", "UTF-8")).alias("content"))
+    results = embed.embed_images(tasks.join(content, tasks.page_id == content._pid, "left").drop("_pid"),
+                                 keep=["page_id"], content_col="content")
+    return embed.embedding_totals(results, no_image)
+
+
+@register("s6_text_search")
+def s6_text_search(spark, sf_dir):
+    """Every benchmark passage is a text query; the three closest
+    documents by cosine similarity of their text embeddings (no SQL oracle:
+    the hashing encoder is not expressible in SQL)."""
+    from lakeloom.operators import search
+
+    docs = embed.embed_text(roles.table(spark, sf_dir, "documents"), "text", ["doc_id"], dim=DIM)
+    queries = embed.embed_text(roles.table(spark, sf_dir, "benchmark"), "text", ["item_id"], dim=DIM).select(
+        F.col("item_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    return rounded(search.topk_batch(docs, queries, k=3, id_col="doc_id"))
