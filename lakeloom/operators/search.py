@@ -65,13 +65,16 @@ def upsert(base: DataFrame, updates: DataFrame, key: str = "point_id", version:
 
 # --------------------------------------------------------------- centroids
 def centroids(df: DataFrame, vec_col: str = "embedding", by: Sequence[str] = ()) -> DataFrame:
-    """Unit-length mean vector of each group (or of all rows): element-wise
-    averages through one (group, position) aggregation."""
-    ex = df.select(*by, F.posexplode(vec_col).alias("pos", "x"))
-    per_pos = ex.groupBy(*by, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    grouped = per_pos.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("pos", "m"))).alias("_e"))
-    mean = F.transform("_e", lambda e: e["m"])
-    return grouped.select(*by, l2_normalize(mean, "double").alias("centroid"))
+    """Unit-length mean vector of each group (or of all rows), computed by
+    the ML ``Summarizer`` aggregate: one partial mean per group and task, no
+    explode of the vector elements."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    vecs = df.select(*by, array_to_vector(F.col(vec_col)).alias("_v"))
+    mean = Summarizer.mean(F.col("_v")).alias("_m")
+    grouped = vecs.groupBy(*by).agg(mean) if by else vecs.agg(mean)
+    return grouped.select(*by, l2_normalize(vector_to_array(F.col("_m")), "double").alias("centroid"))
 
 
 def query_vector(df: DataFrame, vec_col: str = "embedding") -> list[float]:
@@ -154,7 +157,8 @@ def topk_batch(
     if max_broadcast <= 0:
         raise ValueError("max_broadcast must be positive")
     n = queries.count()
-    chunks = max(1, -(-n // max_broadcast))
+    # hash chunks of expected size max_broadcast / 2; each is checked below
+    chunks = 1 if n <= max_broadcast else -(-2 * n // max_broadcast)
     spark = points.sparkSession
     pts = points.select(F.col(id_col).cast("long").alias(id_col), F.col(vec_col).alias("vec"))
     schema = T.StructType([
@@ -164,7 +168,9 @@ def topk_batch(
     parts = []
     for c in range(chunks):
         qdf = queries if chunks == 1 else queries.where(F.pmod(F.xxhash64(query_id), F.lit(chunks)) == c)
-        rows = qdf.select(F.col(query_id).cast("long"), query_vec).collect()  # <= max_broadcast rows
+        rows = qdf.select(F.col(query_id).cast("long"), query_vec).limit(max_broadcast + 1).collect()
+        if len(rows) > max_broadcast:
+            raise ValueError(f"query chunk {c} exceeds {max_broadcast} vectors")
         if not rows:
             continue
         qids = np.array([r[0] for r in rows], dtype=np.int64)

@@ -20,16 +20,19 @@ BLANK = "blank"
 
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Lines of one or more (optionally gzip) files with their source file and
-    a sequence number taken before any shuffle. Gzip files are not
-    splittable, so the rows are spread over ``partitions`` tasks afterwards
-    (default: the cluster's parallelism)."""
+    """Lines of one or more text files with their source file and a sequence
+    number taken before any shuffle. Gzip files are not splittable (one task
+    per file), so gzip input is spread over ``partitions`` tasks (default:
+    the cluster's parallelism) after the sequence number is taken; other
+    input keeps the scan's splits unless ``partitions`` is given."""
     df = spark.read.text(path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("source_file"),
         F.monotonically_increasing_id().alias("seq"),
     )
-    return spread(df, partitions)
+    if partitions is not None or ".gz" in path:
+        return spread(df, partitions)
+    return df
 
 
 def spread(lines: DataFrame, partitions: int | None = None) -> DataFrame:

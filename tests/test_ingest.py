@@ -143,3 +143,17 @@ def test_ingest_routes_every_line(spark):
     out = ingest(lines_df(spark, lines), "reviews")
     errs = sorted((r["error"] or "") for r in out.collect())
     assert errs == ["", "malformed_json", "missing_asin", "not_object"]
+
+
+def test_read_lines_gzip(spark, tmp_path):
+    import gzip
+
+    from lakeloom.sources.raw import read_lines
+
+    p = tmp_path / "reviews.json.gz"
+    with gzip.open(p, "wt", encoding="utf-8") as f:
+        f.write('{"asin":"A","reviewerID":"R","unixReviewTime":1,"overall":5.0}\n\n{bad\n')
+    out = ingest(read_lines(spark, str(p), partitions=2), "reviews")
+    rows = sorted((r["error"] or "", r["seq"]) for r in out.collect())
+    assert [e for e, _ in rows] == ["", "malformed_json"]
+    assert all(r["source_file"].endswith("reviews.json.gz") for r in out.collect())
