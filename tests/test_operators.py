@@ -202,3 +202,33 @@ def test_stream_equals_batch(spark):
     # same events (the stream input repeats some lines and uses another fault rule)
     assert streamed.count() == streamed.select("event_id").distinct().count()
     assert streamed.join(batch, "event_id", "left_anti").where("event_id % 50 NOT IN (7, 11, 13, 17, 19)").count() == 0
+
+
+def test_hot_key_third_of_rows(spark):
+    """One product holds a third of all reviews and of all product rows:
+    results stay whole and equal across partitionings."""
+    n = 3000
+    reviews = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), (F.col("id") % 97).cast("string")))
+        .alias("asin"),
+        (F.col("id") % 5 + 1).cast("double").alias("rating"),
+        (F.col("id") % 2 == 0).alias("verified"),
+        F.lit("text").alias("review_text"),
+        F.array(F.lit("u")).alias("image_urls"),
+        F.concat(F.lit("R"), (F.col("id") % 7).cast("string")).alias("reviewer_id"),
+    )
+    products = spark.range(300).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("P"), (F.col("id") % 97).cast("string")))
+        .alias("asin"),
+        F.concat(F.lit("id"), F.col("id").cast("string")).alias("product_id"),
+        F.col("id").alias("seq"),
+    )
+    mapping = resolve.entity_mapping(products, order_by="seq")
+    assert mapping.count() == 300
+    linked = resolve.attach_canonical(reviews, mapping)
+    assert linked.count() == n
+    a = sorted(gold.product_review_stats(linked).collect())
+    b = sorted(gold.product_review_stats(linked.repartition(13)).collect())
+    assert a == b
+    hot = [r for r in a if r.canonical_product_id == "id0"][0]
+    assert hot.review_count == n // 3
