@@ -108,6 +108,22 @@ def topk_exact(
     return top.select(F.row_number().over(w).alias("rank"), id_col, *payload, "score")
 
 
+class _Value:
+    """Stand-in for a broadcast variable where the session has no
+    SparkContext (Spark Connect): the bounded query matrix then travels with
+    the function."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def _broadcast(spark, value):
+    try:
+        return spark.sparkContext.broadcast(value)
+    except Exception:  # noqa: BLE001
+        return _Value(value)
+
+
 def _partition_topk(k: int, bq, id_name: str):
     """mapInPandas body: running top-k (with ties at the cut) per query.
     ``bq`` is a broadcast of (query ids, unit query matrix)."""
@@ -176,8 +192,7 @@ def topk_batch(
         qids = np.array([r[0] for r in rows], dtype=np.int64)
         qmat = np.array([r[1] for r in rows], dtype=np.float64)
         qmat = qmat / np.where(np.linalg.norm(qmat, axis=1) == 0, 1.0, np.linalg.norm(qmat, axis=1))[:, None]
-        bq = spark.sparkContext.broadcast((qids, qmat))
-        fn = _partition_topk(k, bq, id_col)
+        fn = _partition_topk(k, _broadcast(spark, (qids, qmat)), id_col)
         parts.append(pts.mapInPandas(fn, schema))
     cands = parts[0]
     for p in parts[1:]:

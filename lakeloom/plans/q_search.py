@@ -33,7 +33,8 @@ def _centroid_sql(by: str = "") -> str:
 S1_SQL = f"""
 WITH q AS {_centroid_sql()},
 s AS (SELECT vec_id, label, list_cosine_similarity(v, q) AS score FROM {_E}, q)
-SELECT row_number() OVER (ORDER BY score DESC, vec_id) AS rank, vec_id, label, round(score, 6) AS score
+SELECT CAST(row_number() OVER (ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, label,
+       round(score, 6) AS score
 FROM s ORDER BY score DESC, vec_id LIMIT {K}
 """
 
@@ -55,8 +56,8 @@ def s1_topk_exact(spark, sf_dir):
 
 S2_SQL = f"""
 WITH q AS {_centroid_sql('label')},
-s AS (SELECT q.label AS query_id, e.vec_id, list_cosine_similarity(e.v, q.q) AS score FROM {_E} e, q),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+s AS (SELECT CAST(q.label AS BIGINT) AS query_id, e.vec_id, list_cosine_similarity(e.v, q.q) AS score FROM {_E} e, q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= {K_BATCH}
 """
 
@@ -72,7 +73,7 @@ def s2_batch_topk(spark, sf_dir):
 S3_SQL = f"""
 WITH q AS {_centroid_sql()},
 s AS (SELECT vec_id, list_cosine_similarity(v, q) AS score FROM {_E}, q),
-hits AS (SELECT row_number() OVER (ORDER BY score DESC, vec_id) AS rank, vec_id AS canonical_product_id, score
+hits AS (SELECT CAST(row_number() OVER (ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS canonical_product_id, score
          FROM s ORDER BY score DESC, vec_id LIMIT {K}),
 products AS ({PRODUCTS_SQL}),
 stats AS ({G1_SQL})
@@ -101,11 +102,11 @@ def s3_enriched_search(spark, sf_dir):
 
 
 S4_SQL = """
-WITH base AS (SELECT vec_id AS point_id, label, 1 AS version, len(embedding) AS dim FROM embeddings),
-upd AS (SELECT vec_id AS point_id, label + 100 AS label, 2 AS version, len(embedding) AS dim
+WITH base AS (SELECT vec_id AS point_id, label, 1 AS version, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings),
+upd AS (SELECT vec_id AS point_id, label + 100 AS label, 2 AS version, CAST(len(embedding) AS INTEGER) AS dim
         FROM embeddings WHERE label % 2 = 0
         UNION ALL
-        SELECT vec_id + 1000000, label, 2, len(embedding) FROM embeddings WHERE label % 2 = 0),
+        SELECT vec_id + 1000000, label, 2, CAST(len(embedding) AS INTEGER) FROM embeddings WHERE label % 2 = 0),
 u AS (SELECT * FROM base UNION ALL SELECT * FROM upd)
 SELECT point_id, arg_max(version, version) AS version, arg_max(label, version) AS label,
        arg_max(dim, version) AS embedding_dimension

@@ -64,5 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="lakeloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        pass
     return path

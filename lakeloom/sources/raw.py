@@ -35,13 +35,20 @@ def read_lines(spark: SparkSession, path: str, partitions: int | None = None) ->
     return df
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def spread(lines: DataFrame, partitions: int | None = None) -> DataFrame:
     """Round-robin the raw lines over ``partitions`` tasks (default: the
     cluster's parallelism). Raw sources arrive in few splits (a gzip file is
     one task, a single Parquet row group is one task), while parsing and
     cleaning are CPU-bound per line; one shuffle of the raw text lets every
     core work on them."""
-    n = partitions or lines.sparkSession.sparkContext.defaultParallelism
+    n = partitions or _parallelism(lines.sparkSession)
     if n <= 0:
         raise ValueError("partitions must be positive")
     return lines.repartition(n)

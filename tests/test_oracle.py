@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
-from oracle_check import digest, duck  # noqa: E402
+from oracle_check import digest, duck, type_mismatches  # noqa: E402
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
@@ -33,6 +33,7 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(cols) == sorted(ocols)
+    assert type_mismatches(df.schema, con, ORACLES[name]) == []
     assert len(rows) == len(orows)
     assert digest(cols, rows)[0] == digest(ocols, orows)[0]
 
