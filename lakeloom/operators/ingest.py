@@ -32,6 +32,13 @@ SCHEMA_VERSION = "v1"
 # Source labels stored with every canonical row.
 PRODUCT_SOURCE = "amazon_electronics_metadata"
 REVIEW_SOURCE = "amazon_electronics_reviews"
+# Error codes, in the order the checks run.
+MISSING_ASIN = "missing_asin"
+MISSING_REVIEWER_ID = "missing_reviewer_id"
+MISSING_REVIEW_TIMESTAMP = "missing_review_timestamp"
+INVALID_REVIEW_TIMESTAMP = "invalid_review_timestamp"
+MISSING_RATING = "missing_rating"
+INVALID_RATING = "invalid_rating"
 # Separators used when a list field is stored as one text (K9).
 CATEGORY_SEP = " > "
 DESCRIPTION_SEP = "\n"
@@ -87,7 +94,7 @@ def normalize_products(records: DataFrame, record: str = "record", keep: tuple[s
         "schema_version": F.lit(SCHEMA_VERSION),
     }
     assert list(cols) == PRODUCT_COLUMNS
-    error = F.when(asin.isNull(), F.lit("missing_asin"))
+    error = F.when(asin.isNull(), F.lit(MISSING_ASIN))
     return boundary(staged.select(*keep, *[c.alias(n) for n, c in cols.items()], error.alias("error")))
 
 
@@ -126,12 +133,12 @@ def normalize_reviews(
     asin, reviewer, rating = F.col("_asin"), F.col("_reviewer"), F.col("_rating")
     ts_v, rating_v = _v("unixReviewTime"), _v("overall")
     error = (
-        F.when(asin.isNull(), F.lit("missing_asin"))
-        .when(reviewer.isNull(), F.lit("missing_reviewer_id"))
-        .when(ts_v.isNull() | (_t("unixReviewTime") == "VOID"), F.lit("missing_review_timestamp"))
-        .when(F.col("_seconds").isNull(), F.lit("invalid_review_timestamp"))
-        .when(rating.isNull(), F.lit("missing_rating"))
-        .when(F.isnan(rating) | ~rating.between(min_rating, max_rating), F.lit("invalid_rating"))
+        F.when(asin.isNull(), F.lit(MISSING_ASIN))
+        .when(reviewer.isNull(), F.lit(MISSING_REVIEWER_ID))
+        .when(ts_v.isNull() | (_t("unixReviewTime") == "VOID"), F.lit(MISSING_REVIEW_TIMESTAMP))
+        .when(F.col("_seconds").isNull(), F.lit(INVALID_REVIEW_TIMESTAMP))
+        .when(rating.isNull(), F.lit(MISSING_RATING))
+        .when(F.isnan(rating) | ~rating.between(min_rating, max_rating), F.lit(INVALID_RATING))
     )
     cols = {
         "review_id": review_id_from_parts(

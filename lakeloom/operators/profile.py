@@ -17,6 +17,17 @@ from lakeloom.functions.text import normalize_text, strip
 from lakeloom.functions.values import is_empty, value_type
 
 
+# Check names in report order, and the three statuses.
+CHECKS = (
+    "product_asin_uniqueness",
+    "product_required_fields",
+    "review_required_fields",
+    "review_product_referential_integrity",
+    "malformed_json",
+)
+PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
+
+
 def _pct(n: Column, d: Column, places: int | None) -> Column:
     v = F.coalesce(F.try_divide(n.cast("double") * 100.0, d), F.lit(0.0))
     return F.round(v, places) if places is not None else v
@@ -190,20 +201,21 @@ def checks(metrics: DataFrame) -> DataFrame:
     row (worst status). ``metrics`` is one row with duplicate_asin_records,
     product_required_violations, review_required_violations,
     orphan_asin_percentage, product_malformed and review_malformed."""
-    m = metrics.select(
-        F.col("duplicate_asin_records").cast("double").alias("product_asin_uniqueness"),
-        F.col("product_required_violations").cast("double").alias("product_required_fields"),
-        F.col("review_required_violations").cast("double").alias("review_required_fields"),
-        F.col("orphan_asin_percentage").cast("double").alias("review_product_referential_integrity"),
-        (F.col("product_malformed") + F.col("review_malformed")).cast("double").alias("malformed_json"),
-    )
+    values = [
+        F.col("duplicate_asin_records"),
+        F.col("product_required_violations"),
+        F.col("review_required_violations"),
+        F.col("orphan_asin_percentage"),
+        F.col("product_malformed") + F.col("review_malformed"),
+    ]
+    m = metrics.select(*[v.cast("double").alias(name) for name, v in zip(CHECKS, values)])
     rows = m.unpivot([], m.columns, "check", "value")
-    status = F.when(F.col("value") == 0, "PASS").when(F.col("check") == "malformed_json", "FAIL").otherwise("WARN")
+    status = F.when(F.col("value") == 0, PASS).when(F.col("check") == CHECKS[-1], FAIL).otherwise(WARN)
     rows = rows.select("check", status.alias("status"), "value")
-    severity = F.when(F.col("status") == "FAIL", 2).when(F.col("status") == "WARN", 1).otherwise(0)
+    severity = F.when(F.col("status") == FAIL, 2).when(F.col("status") == WARN, 1).otherwise(0)
     overall = rows.agg(F.max(severity).alias("s")).select(
         F.lit("overall").alias("check"),
-        F.when(F.col("s") == 2, "FAIL").when(F.col("s") == 1, "WARN").otherwise("PASS").alias("status"),
+        F.when(F.col("s") == 2, FAIL).when(F.col("s") == 1, WARN).otherwise(PASS).alias("status"),
         F.lit(None).cast("double").alias("value"),
     )
     return rows.unionByName(overall)

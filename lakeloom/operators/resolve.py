@@ -13,13 +13,19 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.text import text_equal
+from lakeloom.functions.text import strip, text_equal
+
+# Mapping labels (match types, confidence, status).
+CANONICAL = "canonical"
+EXACT_ASIN_DUPLICATE = "exact_asin_duplicate"
+CONFIDENCE = 1.0
+RESOLVED = "resolved"
 
 
 def missing_key_count(products: DataFrame, key: str = "asin") -> int:
     """F7 helper: NULL and blank keys both count (K15 fixed)."""
     k = F.col(key)
-    return products.agg(F.count_if(k.isNull() | (F.trim(k) == "")).alias("n")).first()["n"]
+    return products.agg(F.count_if(k.isNull() | (strip(k) == "")).alias("n")).first()["n"]
 
 
 def require_keys(products: DataFrame, key: str = "asin") -> None:
@@ -53,11 +59,11 @@ def entity_mapping(products: DataFrame, key: str = "asin", product_id: str = "pr
         "source_product_id",
         F.col(key).alias("asin"),
         "canonical_product_id",
-        F.when(F.col("source_product_id") == F.col("canonical_product_id"), "canonical")
-        .otherwise("exact_asin_duplicate")
+        F.when(F.col("source_product_id") == F.col("canonical_product_id"), CANONICAL)
+        .otherwise(EXACT_ASIN_DUPLICATE)
         .alias("match_type"),
-        F.lit(1.0).alias("confidence_score"),
-        F.lit("resolved").alias("resolution_status"),
+        F.lit(CONFIDENCE).alias("confidence_score"),
+        F.lit(RESOLVED).alias("resolution_status"),
     )
 
 

@@ -15,6 +15,11 @@ from lakeloom.frames import with_one_row
 from lakeloom.functions.text import is_blank
 
 ROUTE = "_route"
+# Fixed value: the product error code shared with normalization.
+MISSING_ASIN = "missing_asin"
+# Review quarantine codes, in the order the checks run.
+UNKNOWN_PRODUCT = "unknown_product"
+INVALID_RATING = "invalid_rating"
 
 
 def present_key(c) -> F.Column:
@@ -25,7 +30,7 @@ def present_key(c) -> F.Column:
 # ------------------------------------------------------------------ products
 def flag_products(products: DataFrame, asin: str = "asin") -> DataFrame:
     """error column 'missing_asin' for NULL or '' keys, NULL otherwise."""
-    return products.withColumn("error", F.when(~present_key(asin), F.lit("missing_asin")))
+    return products.withColumn("error", F.when(~present_key(asin), F.lit(MISSING_ASIN)))
 
 
 def split_products(products: DataFrame, asin: str = "asin") -> tuple[DataFrame, DataFrame]:
@@ -56,8 +61,8 @@ def flag_reviews(
     joined = reviews.join(keys, reviews[asin] == keys["_key"], "left")
     r = F.col(rating)
     error = (
-        F.when(F.col("_known").isNull(), F.lit("unknown_product"))
-        .when(r.isNull() | ~r.between(min_rating, max_rating), F.lit("invalid_rating"))
+        F.when(F.col("_known").isNull(), F.lit(UNKNOWN_PRODUCT))
+        .when(r.isNull() | ~r.between(min_rating, max_rating), F.lit(INVALID_RATING))
     )
     return joined.withColumn("error", error).drop("_key", "_known")
 
