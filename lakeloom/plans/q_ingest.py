@@ -20,7 +20,7 @@ _s, _q, _kv, _obj = jsontext.s, jsontext.q, jsontext.kv, jsontext.obj
 
 # ------------------------------------------------------------ i1 / i2 lines
 def _event_lines(spark, sf_dir):
-    e = roles.table(spark, sf_dir, "events")
+    e = spread(roles.table(spark, sf_dir, "events"))
     m = c("event_id") % 50
     line = (
         F.when(m == 3, lit("{bad"))
@@ -31,7 +31,7 @@ def _event_lines(spark, sf_dir):
         .when(m == 19, lit("  "))
         .otherwise(c("props"))
     )
-    return spread(e.select("event_id", line.alias("line")))
+    return e.select("event_id", line.alias("line"))
 
 
 _EVENT_LINES_SQL = """
@@ -62,7 +62,7 @@ def i2_malformed(spark, sf_dir):
 
 # ------------------------------------------------------------------ i3
 def _product_lines(spark, sf_dir):
-    p = roles.table(spark, sf_dir, "part")
+    p = spread(roles.table(spark, sf_dir, "part"))
     k, size = c("p_partkey"), c("p_size")
     line = _obj(
         F.when(k % 10 == 0, lit(None))
@@ -84,7 +84,7 @@ def _product_lines(spark, sf_dir):
         .when(k % 3 == 1, _kv("imageURL", F.concat(lit("["), _q("http://i/", _s("p_partkey")), lit(',""]')))),
         _kv("date", _q(_s("p_size"), " Jan")),
     )
-    return spread(p.select(line.alias("line")))
+    return p.select(line.alias("line"))
 
 
 I3_SQL = """
@@ -117,7 +117,8 @@ def i3_normalize_products(spark, sf_dir):
 
 # ------------------------------------------------------------- i4 / i5
 def _review_lines(spark, sf_dir):
-    li = roles.table(spark, sf_dir, "lineitem")
+    # the source rows are spread first, so the rendering itself runs on every core
+    li = spread(roles.table(spark, sf_dir, "lineitem"))
     o, n, qty = c("l_orderkey"), c("l_linenumber"), c("l_quantity")
     line = _obj(
         F.when(o % 97 == 0, lit(None)).otherwise(_kv("reviewerID", _q("R", _s("l_suppkey")))),
@@ -143,7 +144,7 @@ def _review_lines(spark, sf_dir):
         .when(o % 4 == 2, _kv("style", _q("s"))),
         F.when(o % 5 == 0, _kv("image", F.concat(lit("["), _q("u", _s("l_partkey")), lit(',"  ",null]')))),
     )
-    return spread(li.select(line.alias("line")))
+    return li.select(line.alias("line"))
 
 
 _REVIEW_ERR_SQL = """
@@ -195,9 +196,9 @@ def i5_review_errors(spark, sf_dir):
 
 # ------------------------------------------------------------ i6 / i7 / i8
 def _event_values(spark, sf_dir, key, rule):
-    e = roles.table(spark, sf_dir, "events")
+    e = spread(roles.table(spark, sf_dir, "events"))
     lines = e.select("event_id", _obj(_kv(key, rule(e))).alias("line"))
-    return parse_records(spread(lines))
+    return parse_records(lines)
 
 
 def _price_text(e):

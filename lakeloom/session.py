@@ -7,7 +7,9 @@ checkpoint directory, broadcast threshold) always win.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -29,14 +31,45 @@ DEFAULTS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply DEFAULTS where the session leaves them unset."""
+    """Apply DEFAULTS where the session leaves them unset and make the
+    package importable in Python workers."""
     conf = spark.conf
     for key, value in DEFAULTS.items():
         if key == "spark.sql.variant.allowDuplicateKeys" or conf.get(key, None) is None:
             conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so
+    ``mapInPandas`` functions that refer to it can be unpickled there
+    (standard ``addPyFile`` code shipping; no data goes this way)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect
+        sc = None
+    key = id(sc) if sc is not None else id(spark)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="lakeloom-pkg-"), "lakeloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    if sc is not None:
+        sc.addPyFile(path)
+    else:
+        spark.addArtifacts(path, pyfile=True)
+    _SHIPPED.add(key)
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "lakeloom") -> SparkSession:
     """Session for tests and the local benchmark (never used on a cluster)."""
     builder = (
