@@ -42,14 +42,48 @@ def start_to_parquet(
     partition_by: list[str] | None = None,
     available_now: bool = True,
 ):
-    """Write every micro-batch as Parquet (append); returns the query."""
+    """Write every micro-batch as Parquet into its own ``batch_id``
+    partition (dynamic overwrite: a replayed batch replaces its output);
+    returns the query."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        w = batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(out_path)
+        (
+            batch.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id", *(partition_by or []))
+            .parquet(out_path)
+        )
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def stream_ingest(
+    spark: SparkSession,
+    source_path: str,
+    entity: str,
+    out_path: str,
+    checkpoint: str,
+    available_now: bool = True,
+    max_files_per_trigger: int | None = None,
+):
+    """Raw files arriving in ``source_path`` -> canonical rows and quarantine
+    rows (error code, raw line) under ``out_path``. Parsing and normalization
+    are the batch functions; each micro-batch is written by
+    ``silver.write_routed`` into the partition ``run_id=batch-<id>`` with
+    dynamic overwrite, so a micro-batch replayed after a failure replaces its
+    own output instead of duplicating it."""
+    from lakeloom.operators.ingest import ingest
+    from lakeloom.operators.silver import write_routed
+
+    lines = read_raw_stream(spark, source_path, max_files_per_trigger)
+    normalized = ingest(lines, entity)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_routed(batch, out_path, run_id=f"batch-{batch_id:09d}")
+
+    writer = normalized.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()

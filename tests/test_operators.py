@@ -232,3 +232,21 @@ def test_hot_key_third_of_rows(spark):
     assert a == b
     hot = [r for r in a if r.canonical_product_id == "id0"][0]
     assert hot.review_count == n // 3
+
+
+def test_stream_ingest_routes_like_batch(spark, tmp_path):
+    from lakeloom.operators.ingest import ingest
+    from lakeloom.plans.q_ingest import _review_lines
+    from lakeloom.streaming.ingest import stream_ingest
+
+    lines = _review_lines(spark, SF_SMALL)
+    lines.write.text(str(tmp_path / "in"))
+    q = stream_ingest(spark, str(tmp_path / "in"), "reviews", str(tmp_path / "out"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    batch = ingest(lines, "reviews")
+    assert out.count() == batch.count()
+    got = {r["_route"]: r["n"] for r in out.groupBy("_route").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got["silver"] == batch.where("error IS NULL").count()
+    assert sorted(r[0] for r in out.select("error").distinct().collect() if r[0]) == \
+        sorted(r[0] for r in batch.select("error").distinct().collect() if r[0])
