@@ -13,7 +13,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.text import strip, text_equal
+from pyspark.sql import types as T
+
+from lakeloom.functions.text import normalize_lower, strip
 
 # Mapping labels (match types, confidence, status).
 CANONICAL = "canonical"
@@ -123,23 +125,29 @@ def diagnose_duplicates(
 ) -> DataFrame:
     """J8 AG16: over groups of exactly two rows, count exact duplicates and
     per-field differences. ``compare`` maps field -> 'text' (P16 normalized
-    equality), 'value' (null-safe equality) or 'list' (element equality).
-    The two rows are taken by min_by/max_by, so no group is collected and no
-    self-join is needed; groups of three or more are counted as skipped (K17)."""
+    equality) or 'value' (null-safe equality). The two rows are taken by
+    min_by/max_by over fixed-size digests of the compared values, so no group
+    is collected, no self-join is needed and long texts are not shuffled;
+    groups of three or more are counted as skipped (K17)."""
     k = F.col(key) if isinstance(key, str) else key
-    cols = [F.col(c) for c in compare]
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def comparable(name: str, kind: str) -> F.Column:
+        # fixed-size digests: the aggregation state stays small however long
+        # the texts are (equal digests <=> equal values)
+        if kind == "text":
+            return F.sha2(normalize_lower(name), 256)
+        if isinstance(types[name], T.StringType):
+            return F.sha2(F.col(name), 256)
+        return F.col(name)
+
+    cols = [comparable(c, kind).alias(c) for c, kind in compare.items()]
     g = df.groupBy(k.alias("_key")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min_by(F.struct(*cols), F.col(order_by)).alias("a"),
         F.max_by(F.struct(*cols), F.col(order_by)).alias("b"),
     )
-    same = {}
-    for name, kind in compare.items():
-        a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
-        if kind == "text":
-            same[name] = text_equal(a, b)
-        else:
-            same[name] = a.eqNullSafe(b)
+    same = {name: F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}")) for name in compare}
     pair = F.col("_n") == 2
     all_same = None
     for v in same.values():
