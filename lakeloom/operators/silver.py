@@ -72,10 +72,20 @@ def split_reviews(reviews: DataFrame, key_set: DataFrame, **kw) -> tuple[DataFra
     return flagged.where("error IS NULL").drop("error"), flagged.where("error IS NOT NULL")
 
 
-def write_routed(flagged: DataFrame, path: str, run_id: str, compression: str = "zstd") -> None:
-    """One pass writes ``route=silver`` and ``route=quarantine`` under
-    ``path/run_id=...``; re-running a run id overwrites only its partition."""
-    out = flagged.withColumn(ROUTE, F.when(F.col("error").isNull(), "silver").otherwise("quarantine"))
+def write_routed(flagged: DataFrame, path: str, run_id: str, compression: str = "zstd") -> dict[str, int]:
+    """One pass writes ``route=silver`` and ``route=quarantine``
+    under ``path/run_id=...``; re-running a run id overwrites only its
+    partition. The counts per route are observed during the same write."""
+    from pyspark.sql import Observation
+
+    obs = Observation(f"routed-{run_id}")
+    ok = F.col("error").isNull()
+    out = flagged.withColumn(ROUTE, F.when(ok, "silver").otherwise("quarantine")).observe(
+        obs,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(ok).alias("silver"),
+        F.count_if(~ok).alias("quarantine"),
+    )
     (
         out.withColumn("run_id", F.lit(run_id))
         .write.mode("overwrite")
@@ -84,6 +94,7 @@ def write_routed(flagged: DataFrame, path: str, run_id: str, compression: str =
         .partitionBy("run_id", ROUTE)
         .parquet(path)
     )
+    return {k: int(v) for k, v in obs.get.items()}
 
 
 # ------------------------------------------------------------------ profiles

@@ -155,10 +155,12 @@ def test_write_routed_single_pass(spark, tmp_path):
     keys = silver.product_key_set(roles.product_keys(spark, SF_SMALL), asin="p_partkey")
     flagged = silver.flag_reviews(r, keys, asin="product_key")
     out = str(tmp_path / "reviews")
-    silver.write_routed(flagged, out, run_id="r1")
-    silver.write_routed(flagged, out, run_id="r1")  # re-run overwrites its own partition only
+    first = silver.write_routed(flagged, out, run_id="r1")
+    again = silver.write_routed(flagged, out, run_id="r1")  # re-run overwrites its own partition only
     back = spark.read.parquet(out)
-    assert back.count() == r.count()
+    assert back.count() == r.count() == first["rows"] == again["rows"]
+    assert first["silver"] + first["quarantine"] == first["rows"]
+    assert back.where("_route = 'silver'").count() == first["silver"]
     assert {x[0] for x in back.select("_route").distinct().collect()} == {"silver", "quarantine"}
 
 
