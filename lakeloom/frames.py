@@ -20,6 +20,9 @@ def boundary(df: DataFrame) -> DataFrame:
 
 
 def with_one_row(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Put the columns of two single-row aggregates side by side (an
-    equi-join on a constant; both sides are global aggregates)."""
-    return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """Add the columns of ``right``, a single-row frame such as a global
+    aggregate, to every row of ``left``. ``right`` becomes one scalar
+    subquery (a struct), evaluated once; there is no join, and the query
+    fails if ``right`` ever holds more than one row."""
+    r = right.select(F.struct(*[F.col(c) for c in right.columns]).alias("_r")).scalar()
+    return left.select("*", r.alias("_r")).select(*left.columns, *[F.col("_r")[c].alias(c) for c in right.columns])

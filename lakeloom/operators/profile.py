@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeloom.frames import with_one_row
 from lakeloom.functions.text import normalize_text, strip
 from lakeloom.functions.values import is_empty, value_type
 
@@ -33,10 +34,6 @@ def _pct(n: Column, d: Column, places: int | None) -> Column:
     return F.round(v, places) if places is not None else v
 
 
-def _one(df: DataFrame) -> DataFrame:
-    return df.withColumn("_one", F.lit(1))
-
-
 # ------------------------------------------------------------ field profile
 def field_profile(
     records: DataFrame,
@@ -64,11 +61,10 @@ def field_profile(
         req = spark.createDataFrame([(f,) for f in required], "field string")
         names = by_field.select("field").unionByName(req).distinct()
         by_field = names.join(by_field, "field", "left")
-    total = _one(records.agg(F.count(F.lit(1)).alias("_total")))
+    total = records.agg(F.count(F.lit(1)).alias("_total"))
     present = F.coalesce(F.col("present_records"), F.lit(0)).cast("long")
     return (
-        _one(by_field)
-        .join(total, "_one")
+        with_one_row(by_field, total)
         .select(
             "field",
             present.alias("present_records"),
@@ -180,16 +176,16 @@ def cardinality(
         return F.when(s != "", s)
 
     pk = products.select(clean(product_key).alias("k"))
-    prod = _one(pk.agg(distinct("k").alias("unique_asin"), (F.count("k") - distinct("k")).alias("duplicate_asin_records")))
+    prod = pk.agg(distinct("k").alias("unique_asin"), (F.count("k") - distinct("k")).alias("duplicate_asin_records"))
     keys = key_set if key_set is not None else pk.where(F.col("k").isNotNull()).distinct()
     rk = reviews.select(clean(review_key).alias("k"), clean(reviewer).alias("r"))
     flagged = rk.join(keys.select(F.col("k").alias("_pk"), F.lit(True).alias("_known")), F.col("k") == F.col("_pk"), "left")
-    rev = _one(flagged.agg(
+    rev = flagged.agg(
         distinct("k").alias("unique_review_asins"),
         distinct("r").alias("unique_reviewers"),
         distinct(F.when(F.col("_known").isNull(), F.col("k"))).alias("orphan_asins"),
-    ))
-    return prod.join(rev, "_one").select(
+    )
+    return with_one_row(prod, rev).select(
         "unique_asin", "duplicate_asin_records", "unique_review_asins", "unique_reviewers", "orphan_asins",
         _pct(F.col("orphan_asins"), F.col("unique_review_asins"), places).alias("orphan_asin_percentage"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeloom.frames import with_one_row
 from lakeloom.operators import profile
 from lakeloom.plans import roles
 from lakeloom.plans.registry import register, rounded
@@ -227,9 +228,7 @@ def p7_checks(spark, sf_dir):
                      .alias("review_required_violations"))
     bad = parse_records(_event_lines(spark, sf_dir)).agg(
         F.count_if(c("parse_error") == "malformed_json").alias("product_malformed"))
-    one = lambda df: df.withColumn("_one", lit(1))  # noqa: E731  (all sides are one-row aggregates)
-    metrics = (one(card).join(one(pv), "_one").join(one(rv), "_one").join(one(bad), "_one")
-               .withColumn("review_malformed", lit(0)))
+    metrics = with_one_row(with_one_row(with_one_row(card, pv), rv), bad).withColumn("review_malformed", lit(0))
     return rounded(profile.checks(metrics))
 
 
