@@ -252,3 +252,24 @@ def test_stream_ingest_routes_like_batch(spark, tmp_path):
     assert got["silver"] == batch.where("error IS NULL").count()
     assert sorted(r[0] for r in out.select("error").distinct().collect() if r[0]) == \
         sorted(r[0] for r in batch.select("error").distinct().collect() if r[0])
+
+
+def test_text_search_matches_brute_force(spark):
+    """s6 against an exhaustive numpy search on the smallest fixture."""
+    import numpy as np
+
+    from lakeloom.plans import catalog
+
+    got = catalog.QUERIES["s6_text_search"](spark, SF_SMALL).collect()
+    docs = embed.embed_text(roles.table(spark, SF_SMALL, "documents"), "text", ["doc_id"]).collect()
+    bench = embed.embed_text(roles.table(spark, SF_SMALL, "benchmark"), "text", ["item_id"]).collect()
+    ids = np.array([r.doc_id for r in docs])
+    m = np.array([r.embedding for r in docs], dtype=np.float64)
+    m /= np.where(np.linalg.norm(m, axis=1) == 0, 1, np.linalg.norm(m, axis=1))[:, None]
+    for q in bench:
+        v = np.array(q.embedding, dtype=np.float64)
+        scores = m @ (v / np.linalg.norm(v))
+        order = sorted(range(len(ids)), key=lambda i: (-round(scores[i], 9), ids[i]))[:3]
+        want = [int(ids[i]) for i in order]
+        have = [r.doc_id for r in sorted((r for r in got if r.query_id == q.item_id), key=lambda r: r.rank)]
+        assert have == want, q.item_id
