@@ -81,3 +81,13 @@ def split_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = parsed.where(F.col("parse_error").isNull()).drop("parse_error")
     bad = parsed.where(F.col("parse_error").isNotNull()).drop("record")
     return good, bad
+
+
+def head(records: DataFrame, n: int, order_by: str = "seq") -> DataFrame:
+    """T1 (``--max-records``): the first ``n`` good records in source order.
+    Ordering by the sequence taken at read time makes the choice
+    deterministic; the plan is a per-partition top-n (TakeOrderedAndProject),
+    so only n rows per task move to the final merge."""
+    if n <= 0:
+        raise ValueError("n must be positive")
+    return records.orderBy(order_by).limit(n)

@@ -3,7 +3,7 @@
 from conftest import lines_df
 
 from lakeloom.operators.ingest import ingest, normalize_products, normalize_reviews
-from lakeloom.sources.raw import parse_records
+from lakeloom.sources.raw import parse_records, split_records
 
 
 def _errors(spark, lines):
@@ -157,3 +157,12 @@ def test_read_lines_gzip(spark, tmp_path):
     rows = sorted((r["error"] or "", r["seq"]) for r in out.collect())
     assert [e for e, _ in rows] == ["", "malformed_json"]
     assert all(r["source_file"].endswith("reviews.json.gz") for r in out.collect())
+
+
+def test_head_counts_only_good_records(spark):
+    from lakeloom.sources.raw import head
+
+    lines = ["{bad", '{"a":1}', "", '{"a":2}', "[1]", '{"a":3}']
+    good, _ = split_records(parse_records(lines_df(spark, lines)))
+    got = [r["line"] for r in head(good, 2).collect()]
+    assert got == ['{"a":1}', '{"a":2}']
