@@ -69,3 +69,11 @@ def test_vectors(spark):
     r = df.select(VX.dot("a", "b").alias("d"), VX.norm("a").alias("n"), VX.l2_normalize("a").alias("u")).first()
     assert r["d"] == 3.0 and r["n"] == 5.0
     assert [round(x, 6) for x in r["u"]] == [0.6, 0.8]
+
+
+def test_timestamp_follows_python_int(spark):
+    cases = {"1400000000.5": 1400000000, "1400000000": 1400000000, "1.5e9": 1500000000, '"1400000000"': 1400000000,
+             "-3.7": -3, "true": 1, '"x"': None, '"1.5"': None, "[1]": None, "123456789012345678901": None}
+    df = spark.createDataFrame([(k,) for k in cases], "x string")
+    got = {r["x"]: r["s"] for r in df.select("x", V.parse_timestamp(F.parse_json("x"))[0].alias("s")).collect()}
+    assert got == cases
