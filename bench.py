@@ -28,6 +28,7 @@ HEADLINE = [
     "i4_normalize_reviews",
     "p1_field_profile",  # profiling
     "p8_review_field_profile",
+    "p9_product_field_profile",
     "p6_cardinality_integrity",
     "f1_multimodal_features",
     "s1_topk_exact",

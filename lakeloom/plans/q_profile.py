@@ -276,3 +276,44 @@ def p8_review_field_profile(spark, sf_dir):
     recs = parse_records(_review_lines(spark, sf_dir)).where("parse_error IS NULL")
     prof = profile.field_profile(recs, required=REVIEW_REQUIRED, places=None)
     return rounded(prof.withColumn("types", _types_text(c("types"))))
+
+
+# ------------------------------------------------------------------ p9
+_PRODUCT_LINES_SQL = r"""
+    SELECT '{' || concat_ws(',',
+      CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN p_partkey % 10 = 1 THEN '"asin":"  ' || p_name || '\t"'
+           ELSE '"asin":"' || p_name || '"' END,
+      '"title":"' || p_name || '\u00a0"',
+      CASE WHEN p_size % 7 = 0 THEN '"brand":"   "' ELSE '"brand":"' || p_brand || '"' END,
+      '"category":["' || p_type || '","' || p_brand || '"]',
+      '"main_cat":"' || p_type || '"',
+      CASE p_size % 3 WHEN 0 THEN '"description":[]' WHEN 1 THEN '"description":["' || p_name || '","  "]'
+           ELSE '"description":"' || p_name || '"' END,
+      '"feature":["' || p_type || '",null," ","' || p_brand || '"]',
+      CASE p_size % 4 WHEN 0 THEN '"price":"$' || format('{:,.2f}', p_retailprice) || '"'
+           WHEN 1 THEN '"price":' || CAST(p_retailprice AS VARCHAR)
+           WHEN 2 THEN '"price":"' || CAST(p_retailprice AS VARCHAR) || 'd"' ELSE '"price":""' END,
+      CASE p_partkey % 3 WHEN 0 THEN '"imageURL":"http://i/' || p_partkey || '"'
+           WHEN 1 THEN '"imageURL":["http://i/' || p_partkey || '",""]' END,
+      '"date":"' || p_size || ' Jan"') || '}' AS line
+    FROM part"""
+
+# The product fields the reference treats as required.
+PRODUCT_REQUIRED = ("asin",)
+
+P9_SQL = P1_SQL.replace(
+    P1_SQL[P1_SQL.index("WITH d AS"):P1_SQL.index("kv AS")],
+    f"WITH rec AS ({_PRODUCT_LINES_SQL}),\n",
+).replace(
+    "names AS (SELECT field FROM by_field UNION SELECT 'doc_id' UNION SELECT 'title')",
+    "names AS (SELECT field FROM by_field " + " ".join(f"UNION SELECT '{f}'" for f in PRODUCT_REQUIRED) + ")",
+)
+
+
+@register("p9_product_field_profile", P9_SQL)
+def p9_product_field_profile(spark, sf_dir):
+    from lakeloom.plans.q_ingest import _product_lines
+
+    recs = parse_records(_product_lines(spark, sf_dir)).where("parse_error IS NULL")
+    prof = profile.field_profile(recs, required=PRODUCT_REQUIRED, places=None)
+    return rounded(prof.withColumn("types", _types_text(c("types"))))
