@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
+from lakeloom.frames import salted_left_join
 from lakeloom.functions.text import normalize_lower, strip
 
 # Mapping labels (match types, confidence, status).
@@ -70,11 +71,13 @@ def entity_mapping(products: DataFrame, key: str = "asin", product_id: str = "pr
 
 
 def attach_canonical(reviews: DataFrame, mapping: DataFrame, review_key: str = "asin",
-                     mapping_key: str = "asin", canonical: str = "canonical_product_id") -> DataFrame:
+                     mapping_key: str = "asin", canonical: str = "canonical_product_id",
+                     salt_buckets: int = 0) -> DataFrame:
     """Reviews left-joined to a key-unique mapping. Duplicated mapping
-    keys are reduced first so the join cannot fan out."""
+    keys are reduced first so the join cannot fan out. ``salt_buckets`` > 1
+    splits hot product keys explicitly (otherwise AQE's skew join does)."""
     m = mapping.groupBy(F.col(mapping_key).alias("_mkey")).agg(F.max(canonical).alias("canonical_product_id"))
-    return reviews.join(m, reviews[review_key] == m["_mkey"], "left").drop("_mkey")
+    return salted_left_join(reviews, m, review_key, "_mkey", salt_buckets).drop("_mkey")
 
 
 def split_resolved(linked: DataFrame) -> tuple[DataFrame, DataFrame]:

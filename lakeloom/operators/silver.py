@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.frames import with_one_row
+from lakeloom.frames import salted_left_join, with_one_row
 
 from lakeloom.functions.text import is_blank
 
@@ -51,14 +51,15 @@ def flag_reviews(
     rating: str = "rating",
     min_rating: float = 1.0,
     max_rating: float = 5.0,
+    salt_buckets: int = 0,
 ) -> DataFrame:
     """Left join on the distinct key set adds ``error``:
     'unknown_product' (NULL keys included, K11) first, then 'invalid_rating'
     (NULL or outside [min_rating, max_rating]). Spark picks broadcast or
     shuffled join from the key set's runtime size (AQE); a hot review key is
-    split by the skew-join rule."""
+    split by the skew-join rule, or explicitly with ``salt_buckets`` > 1."""
     keys = key_set.select(F.col("_key"), F.lit(True).alias("_known"))
-    joined = reviews.join(keys, reviews[asin] == keys["_key"], "left")
+    joined = salted_left_join(reviews, keys, asin, "_key", salt_buckets)
     r = F.col(rating)
     error = (
         F.when(F.col("_known").isNull(), F.lit(UNKNOWN_PRODUCT))

@@ -273,3 +273,17 @@ def test_text_search_matches_brute_force(spark):
         want = [int(ids[i]) for i in order]
         have = [r.doc_id for r in sorted((r for r in got if r.query_id == q.item_id), key=lambda r: r.rank)]
         assert have == want, q.item_id
+
+
+def test_salted_joins_equal_plain_joins(spark):
+    r = roles.reviews(spark, SF_SMALL, rating_mod=7)
+    keys = silver.product_key_set(roles.product_keys(spark, SF_SMALL), asin="p_partkey")
+    plain = sorted(tuple(x) for x in silver.flag_reviews(r, keys, asin="product_key").collect())
+    salted = sorted(tuple(x) for x in silver.flag_reviews(r, keys, asin="product_key", salt_buckets=7).collect())
+    assert plain == salted
+    parts = roles.product_keys(spark, SF_SMALL)
+    mapping = resolve.entity_mapping(parts, key="p_name", product_id="p_partkey", order_by="p_partkey")
+    a = resolve.attach_canonical(r, mapping, review_key="product_key", mapping_key="source_product_id")
+    b = resolve.attach_canonical(r, mapping, review_key="product_key", mapping_key="source_product_id",
+                                 salt_buckets=5)
+    assert sorted(tuple(x) for x in a.collect()) == sorted(tuple(x) for x in b.collect())
