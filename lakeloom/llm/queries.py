@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lakeloom.llm import exact_dedup, line_dedup, lm, quality
+from lakeloom.llm import bpe, exact_dedup, line_dedup, lm, quality, token_files
 from lakeloom.llm.base import ORACLES, QUERIES, documents, register  # noqa: F401
 
 _OP8 = """
@@ -51,3 +51,18 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "band", "chars_per_token", "byte_share", "token_entropy")
+
+
+@register("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_digests(*files)
+
+
+@register("op9_bpe")
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    decoded = bpe.decode(bpe.encode(documents(spark, sf_dir), path), path)
+    return decoded.select(
+        "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    )
