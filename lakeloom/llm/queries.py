@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lakeloom.llm import bpe, exact_dedup, line_dedup, lm, quality, token_files
+from lakeloom.llm import bpe, exact_dedup, line_dedup, lm, ngram_join, quality, token_files
 from lakeloom.llm.base import ORACLES, QUERIES, documents, register  # noqa: F401
 
 _OP8 = """
@@ -66,3 +66,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
     )
+
+
+@register("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(documents(spark, sf_dir)).drop("text_key")
