@@ -25,6 +25,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,5 +176,12 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     return joined.mapInArrow(_applied, "doc long, text_key long, n_lines long, n_dropped long, kept_text string")
 
 
+@F.pandas_udf("string")
+def cut_text(text: pd.Series, bitmap: pd.Series) -> pd.Series:
+    """The text without the lines that the bitmap drops; null where either is null."""
+    both = zip(text, bitmap, strict=True)
+    return pd.Series([None if t is None or m is None else "\n".join(kept_lines(t.split("\n"), m)) for t, m in both], dtype=object)
+
+
 def null_id(col: str = "doc"):
     return F.when(F.col(col) != NO_ID, F.col(col))

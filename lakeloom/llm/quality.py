@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.base import SPACE, id_of, written
+from lakeloom.llm.base import SPACE, id_of, text_of, written
 from lakeloom.llm.vocabulary import share
 from lakeloom.llm.words import text_buffer, windows, word_hashes
 
@@ -41,7 +41,7 @@ _KEEP = 1_000_000
 
 #: measure, floor of the band's half width
 MEASURES = {"chars_per_token": 0.5, "byte_share": 0.05, "token_entropy": 0.06}
-_SCHEMA = "doc_id long, band string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, token_entropy double"
+_SCHEMA = "doc_id long, text_key long, band string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, token_entropy double"
 
 
 def script(text: str) -> str:
@@ -105,7 +105,7 @@ def _measured(model):
             c = list(zip(*out, strict=True)) if out else [()] * 9
             kinds = [pa.string(), *[pa.int64()] * 5, *[pa.float64()] * 3]
             a = [pa.array(x, k) for x, k in zip(c, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *a[:5], pa.array(repeats.astype(np.int64)), *a[5:]], names=[x.split()[0] for x in _SCHEMA.split(", ")])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key"), *a[:5], pa.array(repeats.astype(np.int64)), *a[5:]], names=[x.split()[0] for x in _SCHEMA.split(", ")])
 
     return run
 
@@ -114,7 +114,7 @@ def measure(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     """All counts and measures of every row, and ``band``, the language or script and length it is judged with."""
     with open(model_path, "rb") as f:
         model = share(docs.sparkSession, f.read())
-    rows = docs.select(id_of(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = docs.select(id_of(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     return rows.mapInArrow(_measured(model), _SCHEMA)
 
 

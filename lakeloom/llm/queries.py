@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lakeloom.llm import bpe, exact_dedup, line_dedup, lm, ngram_join, quality, token_files
+from lakeloom.llm import bpe, exact_dedup, line_dedup, lm, mixing, ngram_join, quality, token_files, urls
 from lakeloom.llm.base import ORACLES, QUERIES, documents, register  # noqa: F401
 
 _OP8 = """
@@ -71,3 +71,68 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(documents(spark, sf_dir)).drop("text_key")
+
+
+def _op5_sql() -> str:
+    """The same rules and rounds, one CTE a round."""
+    rules = sorted(urls.RULES, key=lambda r: -len(r[1]))
+    fits = [f"((host = '{d}' OR ends_with(host, '.{d}')) AND starts_with(path, '/{p}'))" for d, p in (r.split("/", 1) for _, r in rules)]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{r}'" for f, (_, r) in zip(fits, rules, strict=True)) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _) in zip(fits, rules, strict=True)) + " END"
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    href = urls.HREF.replace("'", "''")
+    rounds = "".join(
+        f"""
+, s{i + 1} AS MATERIALIZED (SELECT h.host, h.allowed + 0.7::DOUBLE * coalesce(t.t, 0) AS trust, h.blocked + 0.7::DOUBLE * coalesce(d.d, 0) AS distrust FROM hosts h
+  LEFT JOIN (SELECT e.dst AS host, sum(s.trust / e.out_n) AS t FROM w e JOIN s{i} s ON s.host = e.src GROUP BY 1) t ON t.host = h.host
+  LEFT JOIN (SELECT e.src AS host, sum(s.distrust / e.in_n) AS d FROM w e JOIN s{i} s ON s.host = e.dst GROUP BY 1) d ON d.host = h.host)"""
+        for i in range(10)
+    )
+    return f"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{urls.URL}', 1), {lower}) AS host, regexp_extract(coalesce(url, ''), '{urls.URL}', 2) AS path, coalesce(html, '') AS html FROM pages)
+, base AS (SELECT page_id, host, path, {rule} AS rule, {verdict} AS ruled FROM p)
+, hosts AS MATERIALIZED (SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS allowed, avg(CASE WHEN ruled = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS blocked FROM base WHERE host <> '' GROUP BY host)
+, links AS (SELECT host AS src, translate(regexp_extract(unnest(regexp_extract_all(html, '{href}', 1)), '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)', 1), {lower}) AS dst FROM p)
+, up AS (SELECT host AS src, regexp_extract(host, '^[^.]+\.(.+)$', 1) AS dst FROM hosts)
+, e AS (SELECT DISTINCT src, dst FROM (SELECT * FROM links UNION ALL SELECT * FROM up UNION ALL SELECT dst, src FROM up) WHERE src <> dst AND src IN (SELECT host FROM hosts) AND dst IN (SELECT host FROM hosts))
+, w AS MATERIALIZED (SELECT src, dst, count(*) OVER (PARTITION BY src) AS out_n, count(*) OVER (PARTITION BY dst) AS in_n FROM e)
+, s0 AS (SELECT host, allowed AS trust, blocked AS distrust FROM hosts){rounds}
+, bad AS (SELECT host FROM s10 WHERE round(distrust, 9) >= 0.5 AND round(distrust, 9) > round(trust, 9))
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM base
+"""
+
+
+@register("op5_url_filter", _op5_sql())
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def mixing_sql(docs: str, rate: float, columns: str) -> str:
+    """Raking of ``docs`` (a table or subquery) in SQL, one CTE a step."""
+    topic = "CASE " + " ".join(f"WHEN {c} THEN '{n}'" for n, c in mixing.TOPICS) + f" ELSE '{mixing.OTHER_TOPIC}' END"
+    dims = ", ".join(mixing.DIMS)
+    shares = "".join(
+        f"\n, t_{d} AS (SELECT {d}, CASE WHEN sum(tokens) > 0 THEN pow(sum(tokens)::DOUBLE, {p}) ELSE 0 END AS weight FROM cells GROUP BY {d})" for d, p in mixing.TEMPERS.items()
+    )
+    steps, last = "", "c0"
+    for i in range(8):
+        for d in mixing.DIMS:
+            name = f"c{i + 1}_{d}"
+            have = f"sum(probability * tokens) OVER (PARTITION BY {d})"
+            steps += f"\n, {name} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {have} > 0 THEN least(1.0::DOUBLE, probability * ({d}_share * budget) / {have}) ELSE probability END AS probability) FROM {last})"
+            last = name
+    share = ", ".join(f"(SELECT t.weight / (SELECT sum(weight) FROM t_{d}) FROM t_{d} t WHERE t.{d} = cells.{d}) AS {d}_share" for d in mixing.DIMS)
+    return f"""
+WITH d0 AS (SELECT * EXCLUDE (source, lang, text), source AS source_0, lang AS lang_0, text AS text_0, CASE WHEN source <> '' THEN source ELSE 'unknown' END AS source, CASE WHEN lang <> '' THEN lang ELSE 'unknown' END AS lang, coalesce(text, '') AS text,
+  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens FROM {docs})
+, d AS (SELECT *, {topic} AS topic FROM d0)
+, cells AS MATERIALIZED (SELECT {dims}, sum(n_tokens) AS tokens FROM d GROUP BY {dims}){shares}
+, c0 AS MATERIALIZED (SELECT {dims}, tokens, {float(rate)}::DOUBLE AS probability, {float(rate)}::DOUBLE * (SELECT sum(tokens) FROM cells) AS budget, {share} FROM cells){steps}
+SELECT {columns} FROM (SELECT d.*, round(c.probability, 9) AS probability, ('0x' || substr(sha256(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / pow(2, 52) < round(c.probability, 9) AS kept FROM d JOIN {last} c USING ({dims}))
+"""
+
+
+@register("op3_source_mixing", mixing_sql("documents", 0.5, "doc_id, source, lang, topic, n_tokens, probability, kept"))
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir), rate=0.5)
+    return mixed.select("row.doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
