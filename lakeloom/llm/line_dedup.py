@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lakeloom.llm.base import NO_ID, SPACE, id_of, lower_ascii, text_of, written
 
@@ -176,7 +177,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
     return joined.mapInArrow(_applied, "doc long, text_key long, n_lines long, n_dropped long, kept_text string")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def cut_text(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     """The text without the lines that the bitmap drops; null where either is null."""
     both = zip(text, bitmap, strict=True)

@@ -9,8 +9,9 @@ tile, sets are compared as 512-bit bitmaps: the bits one has and the other
 lacks bound their overlap from above, as does the place of the shared
 shingle. Pairs that pass are compared exactly as sorted arrays.
 
-No tile gives all its pairs. In a first round each set is compared with the
-first sets of its tiles (stars) and links found are joined into components;
+No tile gives all its pairs. In a first round each set is compared with one
+set that its tiles begin with (a star's centre, the one it shares most tiles
+with) and links found are joined into components;
 in a second round only pairs of different components are looked at, all of
 them. So a group of near copies costs as many comparisons as it has members,
 and no component is missed.
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.base import NO_ID, id_of, text_of, written
 from lakeloom.llm.components import components
-from lakeloom.llm.words import combined, mix, text_buffer, windows, word_hashes
+from lakeloom.llm.words import by_document, combined, mix, text_buffer, windows, word_hashes
 
 _BUCKET_BITS = 16
 _SIG_WORDS = 8
@@ -54,7 +55,7 @@ def sets_of(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.nda
             parts.append(combined([words[start[at] + i] for i in range(k)]))
             owners.append(at)
     grams, doc = np.concatenate(parts), np.concatenate(owners)
-    order = np.lexsort((grams, doc))
+    order = by_document(doc, grams)
     grams, doc = grams[order], doc[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (doc[1:] != doc[:-1])
@@ -100,10 +101,14 @@ def _prefixes(size: int, percent: int, common):
     """The first shingles of each set, rare ones first, packed."""
 
     def run(batches):
-        counts = common.value
+        # a bucket's place by count instead of its number: the same shingles in another order
+        place = np.empty(1 << _BUCKET_BITS, np.uint64)
+        place[np.argsort(common.value, kind="stable")] = np.arange(len(place), dtype=np.uint64)
+        low = np.uint64(64 - _BUCKET_BITS)
         for b in batches:
             grams, doc, n = sets_of(b.column("text"), size)
-            order = np.lexsort((grams, counts[(grams >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)], doc))
+            key = (place[(grams >> low).astype(np.int64)] << low) | (grams & ((np.uint64(1) << low) - np.uint64(1)))
+            order = by_document(doc, key)
             start = np.cumsum(n) - n
             rank = np.arange(len(grams)) - start[doc]
             first = rank <= n[doc] + (-percent * n[doc]) // 100  # n - ceil(percent * n) + 1 of them
@@ -152,76 +157,105 @@ def _shared(batches):
 
 
 def _may_link(percent, n, pos, sig, i, js):
-    """Of the rows ``js``, those whose overlap with row ``i`` can be large enough."""
+    """Which of the pairs of rows (i, j) can have overlap enough; ``i`` is a number or as many as ``js``."""
     need = -(-percent * (n[i] + n[js]) // (100 + percent))
     ok = np.minimum(n[i] - pos[i], n[js] - pos[js]) >= need
-    js, need = js[ok], need[ok]
-    if len(js):
-        most = np.minimum(n[i] - np.bitwise_count(sig[i] & ~sig[js]).sum(1, dtype=np.int64), n[js] - np.bitwise_count(sig[js] & ~sig[i]).sum(1, dtype=np.int64))
-        js = js[most >= need]
-    return js
+    at = np.flatnonzero(ok)
+    if len(at):
+        x, y = sig[i] if np.ndim(i) == 0 else sig[i[at]], sig[js[at]]
+        ni, nj = n[i] if np.ndim(i) == 0 else n[i[at]], n[js[at]]
+        most = np.minimum(ni - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), nj - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
+        ok[at] = most >= need[at]
+    return ok
+
+
+_SMALL = 12
+
+
+def _small_tiles(percent, stars, n, pos, label, sig, first, k):
+    """Pairs of all tiles of ``k`` rows at once; ``first``: their first rows."""
+    left, right = [], []
+    for j in range(1, k):
+        free = np.ones(len(first), bool)
+        for i in range(j):
+            at = first[free] if stars else first[label[first + i] != label[first + j]]
+            ok = _may_link(percent, n, pos, sig, at + i, at + j) if len(at) else np.zeros(0, bool)
+            left.append(at[ok] + i), right.append(at[ok] + j)
+            if stars:
+                free[np.flatnonzero(free)[ok]] = False
+    return left, right
 
 
 def _tile_pairs(percent: int, stars: bool):
     """Candidate pairs of each tile, from rows sorted by shingle and size.
 
-    ``stars``: each row with the first earlier row that may link with it, of
-    those that began a star. Otherwise: all pairs of different labels.
-    A tile is read in pieces; rows too small for what is left are let go.
+    ``stars``: each row with the first earlier row that may link with it (in
+    large tiles, of those that began a star). Otherwise: all pairs of
+    different labels. A tile is read in pieces; rows too small for what is
+    left are let go.
     """
 
+    def large(n, pos, label, sig, old):
+        left, right = [], []
+        begun = np.ones(len(n), bool)
+        if stars:
+            begun[old:] = False
+            free = np.arange(old, len(n))
+            for i in [*range(old), None]:
+                while len(free):
+                    if i is None:  # a new star
+                        begun[free[0]] = True
+                    at, js = (free[0], free[1:]) if i is None else (i, free)
+                    ok = _may_link(percent, n, pos, sig, at, js)
+                    left.append(np.full(ok.sum(), at)), right.append(js[ok])
+                    free = js[~ok]
+                    if i is not None:
+                        break
+        elif label.min() != label.max():
+            for i in range(len(n) - 1):
+                js = np.arange(max(old, i + 1), len(n))
+                js = js[label[js] != label[i]]
+                js = js[_may_link(percent, n, pos, sig, i, js)]
+                left.append(np.full(len(js), i)), right.append(js)
+        return left, right, begun & (100 * n >= percent * n[-1])
+
     def run(batches):
         token, carry = None, None  # carry: rows of the open tile that later rows can link with
         for b in batches:
+            if not b.num_rows:
+                continue
             t = b.column("token").to_numpy()
-            cols = [(b.column("np").to_numpy() >> 32), b.column("np").to_numpy() & 0xFFFFFFFF, b.column("cid").to_numpy(), b.column("label").to_numpy()]
-            sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint64).reshape(-1, _SIG_WORDS)
-            cut = [0, *(np.flatnonzero(t[1:] != t[:-1]) + 1).tolist(), len(t)]
+            rows = [b.column("np").to_numpy() >> 32, b.column("np").to_numpy() & 0xFFFFFFFF, b.column("cid").to_numpy(), b.column("label").to_numpy()]
+            rows.append(np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint64).reshape(-1, _SIG_WORDS))
+            old = 0
+            if carry is not None and token == t[0]:
+                old = len(carry[0])
+                rows = [np.concatenate(x) for x in zip(carry, rows, strict=True)]
+                t = np.concatenate([np.full(old, token), t])
+            n, pos, cid, label, sig = rows
+            first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+            size = np.diff(np.append(first, len(t)))
             left, right = [], []
-            for a, z in zip(cut, cut[1:], strict=False):
-                if a == z:
-                    continue
-                n, pos, cid, label = (c[a:z] for c in cols)
-                s = sig[a:z]
-                if carry is not None and t[a] == token:
-                    n, pos, cid, label, s = (np.concatenate(x) for x in zip(carry, (n, pos, cid, label, s), strict=True))
-                    old = len(carry[0])
-                else:
-                    old = 0
-                token = t[a]
-                if len(n) == 1 or (not stars and label.min() == label.max()):
-                    begun = np.ones(len(n), bool)
-                elif stars:
-                    begun = np.zeros(len(n), bool)
-                    begun[:old] = True
-                    free = np.arange(old, len(n))
-                    i = 0
-                    while i < len(n):
-                        if i >= old and not begun[i]:
-                            if i not in free[:1]:  # it belongs to a star
-                                i += 1
-                                continue
-                            begun[i] = True
-                            free = free[1:]
-                        if not len(free):
-                            break
-                        js = _may_link(percent, n, pos, s, i, free[np.searchsorted(n[free], n[i]) :] if i >= old else free)
-                        left.append(np.full(len(js), cid[i])), right.append(cid[js])
-                        free = np.setdiff1d(free, js, assume_unique=True)
-                        i = i + 1 if i + 1 < old else (int(free[0]) if len(free) else len(n))
-                else:
-                    begun = np.ones(len(n), bool)
-                    for i in range(len(n) - 1):
-                        js = np.arange(max(old, i + 1), len(n))
-                        js = js[label[js] != label[i]]
-                        js = _may_link(percent, n, pos, s, i, js)
-                        left.append(np.full(len(js), cid[i])), right.append(cid[js])
-                still = begun & (100 * n >= percent * n[-1])
-                carry = tuple(x[still] for x in (n, pos, cid, label, s)) if z == len(t) else None
+            whole = np.ones(len(first), bool)
+            whole[-1] = False  # the open tile
+            if old:
+                whole[0] = False
+            for k in range(2, _SMALL + 1):
+                some = first[whole & (size == k)]
+                if len(some):
+                    a, c = _small_tiles(percent, stars, n, pos, label, sig, some, k)
+                    left += a
+                    right += c
+            for tile in np.flatnonzero(~whole | (size > _SMALL)).tolist():
+                a, z = int(first[tile]), int(first[tile] + size[tile])
+                i, j, still = large(n[a:z], pos[a:z], label[a:z], sig[a:z], old if tile == 0 else 0)
+                left += [x + a for x in i]
+                right += [x + a for x in j]
+                if tile == len(first) - 1:
+                    token, carry = t[-1], [x[a:z][still] for x in rows]
             if left:
-                a, c = np.concatenate(left), np.concatenate(right)
-                pairs = np.unique(np.stack([np.minimum(a, c), np.maximum(a, c)], 1)[a != c], axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                x, y = cid[np.concatenate(left)], cid[np.concatenate(right)]
+                yield pa.RecordBatch.from_arrays([pa.array(x[x != y]), pa.array(y[x != y])], names=["a", "b"])
 
     return run
 
@@ -281,7 +315,11 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     def candidates(rows_, stars):
         given = rows_.join(sigs, "cid").select("token", "np", "cid", "label", "sig")
         found = given.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tile_pairs(percent, stars), "a long, b long")
-        return written(found.distinct(), "candidates")
+        if not stars:
+            return written(found.where("a < b").union(found.where("a > b").select("b", "a")).distinct(), "candidates")
+        # of each set's stars only the one it shares most tiles with; the second round has all the rest
+        votes = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
+        return written(votes.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select("m.a", "b"), "candidates")
 
     def links(pairs):
         used = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.base import SPACE, id_of, text_of, written
 from lakeloom.llm.vocabulary import share
-from lakeloom.llm.words import text_buffer, windows, word_hashes
+from lakeloom.llm.words import by_document, text_buffer, windows, word_hashes
 
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -68,7 +68,7 @@ def _model(content: bytes):
 def repeated_words(words: np.ndarray, counts: np.ndarray, size: int = 5) -> np.ndarray:
     """Words of each document that lie in a window of ``size`` words found twice or more in it."""
     grams, doc, at = windows(words, counts, size)
-    order = np.lexsort((grams, doc))
+    order = by_document(doc, grams)
     g, d = grams[order], doc[order]
     same = (g[1:] == g[:-1]) & (d[1:] == d[:-1])
     twice = np.zeros(len(g), bool)

@@ -82,6 +82,13 @@ def windows(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarra
     return combined([words[at + k] for k in range(size)]), doc[at], at
 
 
+def by_document(doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The order by document, then key; document numbers are small (a batch's rows)."""
+    order = np.argsort(keys)
+    small = doc[order].astype(np.uint16) if len(doc) and doc.max() < 2**16 else doc[order]
+    return order[np.argsort(small, kind="stable")]
+
+
 def pack(values: np.ndarray) -> bytes:
     """Compressed integers; bytes of equal weight are laid side by side."""
     raw = np.ascontiguousarray(values)
