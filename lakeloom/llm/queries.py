@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lakeloom.llm import bpe, exact_dedup, line_dedup, lm, mixing, ngram_join, quality, token_files, urls
+from lakeloom.llm import bpe, exact_dedup, line_dedup, lm, mixing, ngram_join, quality, suffix_dedup, token_files, urls
 from lakeloom.llm.base import ORACLES, QUERIES, documents, register  # noqa: F401
 
 _OP8 = """
@@ -136,3 +136,9 @@ SELECT {columns} FROM (SELECT d.*, round(c.probability, 9) AS probability, ('0x'
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir), rate=0.5)
     return mixed.select("row.doc_id", "source", "lang", "topic", "n_tokens", "probability", "kept")
+
+
+@register("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
