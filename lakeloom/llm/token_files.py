@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import NO_ID, id_of, shared_folder, text_of, written
-from lakeloom.llm.vocabulary import WORDS, encoder, id_type, read, share
+from lakeloom.llm.vocabulary import encoder, id_type, read, share, split
 
 _MANIFEST = "part int, n_docs long, n_tokens long"
 
@@ -59,8 +59,8 @@ def _writer(folder: str, vocabulary, dtype: str, end_id: int):
                 pairs = np.empty((b.num_rows, 2), "<i8")
                 pairs[:, 0] = b.column("doc").to_numpy(zero_copy_only=False)
                 for i, t in enumerate(b.column("text")):
-                    words = WORDS.findall(t.as_py())
-                    known = enc.learn(dict.fromkeys(words))
+                    words = split(t.as_py())
+                    known = enc.learn(set(words))
                     raw = b"".join([known[w] for w in words]) + end
                     tokens.write(raw)
                     pairs[i, 1] = len(raw) // size
