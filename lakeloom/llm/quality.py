@@ -133,7 +133,7 @@ def bands(measures: DataFrame, width: float, min_words: int) -> DataFrame:
 def judge(docs: DataFrame, model_path: str, width: float = 2.0, min_words: int = 30, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` of every row."""
     m = written(measure(docs, model_path, id_col, text_col, lang_col), "quality")
-    joined = m.join(bands(m, width, min_words), "band", "left")
+    joined = m.join(written(bands(m, width, min_words), "bands"), "band", "left")
     inside = F.lit(True)
     for x in MEASURES:
         inside &= F.col(x).between(F.col(f"{x}_min"), F.col(f"{x}_max"))
