@@ -90,6 +90,7 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "
     key = ["n_blocks", "name"]
     best = F.max(F.struct("doc_id", "uid"))
     groups = rows.groupBy(*key).agg(best.alias("keep"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    groups = written(groups, "groups")  # a bare table on both sides, so that a hot group's join can be split
     joined = rows.join(groups, key, "left")
     alone = F.col("group_size").isNull()
     return joined.select(
