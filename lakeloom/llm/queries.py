@@ -92,8 +92,8 @@ def _op5_sql() -> str:
 WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{urls.URL}', 1), {lower}) AS host, regexp_extract(coalesce(url, ''), '{urls.URL}', 2) AS path, coalesce(html, '') AS html FROM pages)
 , base AS (SELECT page_id, host, path, {rule} AS rule, {verdict} AS ruled FROM p)
 , hosts AS MATERIALIZED (SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS allowed, avg(CASE WHEN ruled = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS blocked FROM base WHERE host <> '' GROUP BY host)
-, links AS (SELECT host AS src, translate(regexp_extract(unnest(regexp_extract_all(html, '{href}', 1)), '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)', 1), {lower}) AS dst FROM p)
-, up AS (SELECT host AS src, regexp_extract(host, '^[^.]+\.(.+)$', 1) AS dst FROM hosts)
+, links AS (SELECT host AS src, translate(regexp_extract(unnest(regexp_extract_all(html, '{href}', 1)), '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]+)', 1), {lower}) AS dst FROM p)
+, up AS (SELECT host AS src, regexp_extract(host, '^[^.]+\\.(.+)$', 1) AS dst FROM hosts)
 , e AS (SELECT DISTINCT src, dst FROM (SELECT * FROM links UNION ALL SELECT * FROM up UNION ALL SELECT dst, src FROM up) WHERE src <> dst AND src IN (SELECT host FROM hosts) AND dst IN (SELECT host FROM hosts))
 , w AS MATERIALIZED (SELECT src, dst, count(*) OVER (PARTITION BY src) AS out_n, count(*) OVER (PARTITION BY dst) AS in_n FROM e)
 , s0 AS (SELECT host, allowed AS trust, blocked AS distrust FROM hosts){rounds}
