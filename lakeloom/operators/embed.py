@@ -19,6 +19,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -232,8 +233,10 @@ def run_resumable(
     try:
         done = spark.read.parquet(out_path)
         rest = pending(todo, done, key)
-    except Exception:  # noqa: BLE001 - first run: nothing written yet
-        rest = todo
+    except AnalysisException as ex:
+        if ex.getCondition() not in ("PATH_NOT_FOUND",):
+            raise
+        rest = todo  # first run: nothing written yet
     (job(rest).withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(out_path))
     return read_latest(spark, out_path, key)
 

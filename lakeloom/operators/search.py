@@ -87,7 +87,8 @@ def query_vector(df: DataFrame, vec_col: str = "embedding") -> list[float]:
 # ------------------------------------------------------------------ top-k
 def cosine_literal(vec_col: str, q: Sequence[float]) -> F.Column:
     qn = float(np.linalg.norm(np.asarray(q, dtype=np.float64)))
-    return dot_literal(vec_col, q) / (norm(vec_col) * F.lit(qn))
+    size = norm(vec_col) * F.lit(qn)
+    return F.when(size == 0, F.lit(0.0)).otherwise(dot_literal(vec_col, q) / size)
 
 
 def topk_exact(

@@ -75,8 +75,8 @@ def split_reviews(reviews: DataFrame, key_set: DataFrame, **kw) -> tuple[DataFra
 
 def write_routed(flagged: DataFrame, path: str, run_id: str, compression: str = "zstd") -> dict[str, int]:
     """One pass writes ``route=silver`` and ``route=quarantine``
-    under ``path/run_id=...``; re-running a run id overwrites only its
-    partition. The counts per route are observed during the same write."""
+    under ``path/run_id=...``; re-running a run id replaces all
+    its rows and no others. The counts per route are observed during the same write."""
     from pyspark.sql import Observation
 
     obs = Observation(f"routed-{run_id}")
@@ -88,12 +88,11 @@ def write_routed(flagged: DataFrame, path: str, run_id: str, compression: str =
         F.count_if(~ok).alias("quarantine"),
     )
     (
-        out.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")  # also clears a route that has no rows this time
         .option("compression", compression)
-        .partitionBy("run_id", ROUTE)
-        .parquet(path)
+        .partitionBy(ROUTE)
+        .parquet(f"{path}/run_id={run_id}")
     )
     return {k: int(v) for k, v in obs.get.items()}
 

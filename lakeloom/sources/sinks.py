@@ -34,14 +34,9 @@ def write_quarantine(invalid: DataFrame, path: str, run_id: str, entity: str) ->
     """S9 (K25 fixed): quarantine rows (error, record) as JSON lines under
     ``entity=.../run_id=...``; re-running a run replaces only that run."""
     obs = Observation("quarantined")
-    out = invalid.withColumn("entity", F.lit(entity)).withColumn("run_id", F.lit(run_id))
-    (
-        out.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("entity", "run_id")
-        .json(path)
-    )
+    out = invalid.observe(obs, F.count(F.lit(1)).alias("rows"))
+    # the run's folder is replaced as a whole, also when it has no rows now
+    out.write.mode("overwrite").json(f"{path}/entity={entity}/run_id={run_id}")
     return int(obs.get["rows"])
 
 
