@@ -17,11 +17,13 @@ prefixes:
 4. Compare adjacent ones: of equal prefixes the earliest start stays, all
    others cover their bytes.
 
-Documents form blocks of bounded size, written once with their text
-compressed. Names and fingerprints go to buckets of the hash space, sorted
+Documents form blocks of bounded size, their text compressed. Blocks are made
+anew from the input for each step and known by a digest of their content and
+place; were the input dealt out in another way meanwhile, no answers would be
+found for a block and the job would fail. Names and fingerprints go to buckets of the hash space, sorted
 and packed, each once a block, so a passage that every document has is one
-entry a block and no key is hot. Names are 48 bits (a clash only means more
-places to sort), prefixes are told apart by 64-bit polynomial fingerprints.
+entry a block and no key is hot. Names have 8 bits more than the corpus' size needs (a
+clash only means more places to sort), prefixes are told apart by 64-bit polynomial fingerprints.
 
 Defined results: null text counts as empty; texts shorter than ``length``
 lose nothing; a null id is the smallest; of rows repeating an id the one
@@ -31,6 +33,8 @@ earlier in the written blocks comes first; an empty table gives no rows.
 from __future__ import annotations
 
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -75,8 +79,9 @@ class _Windows:
 
 def _blocks(block_bytes: int):
     def block(n, ids, texts):
-        sizes = np.array([len(t) for t in texts], np.uint64)
-        return pa.RecordBatch.from_pylist([{"block": n, "ids": pack(np.array(ids, np.int64)), "sizes": pack(sizes), "z": zstandard.compress(b"".join(texts), 3)}], _BLOCK)
+        row = {"ids": pack(np.array(ids, np.int64)), "sizes": pack(np.array([len(t) for t in texts], np.uint64)), "z": zstandard.compress(b"".join(texts), 5)}
+        name = hashlib.blake2b(n.to_bytes(8, "little") + b"".join(row.values()), digest_size=8).digest()
+        return pa.RecordBatch.from_pylist([{"block": int.from_bytes(name, "little", signed=True), **row}], _BLOCK)
 
     def run(batches):
         from pyspark import TaskContext
@@ -108,13 +113,13 @@ class _Opened:
         self.left = np.repeat(ends, self.sizes) - np.arange(len(self.data))
         self.windows = _Windows(self.data)
 
-    def samples(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+    def samples(self, length: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """(places, names) of the sampled suffixes."""
         cover = np.zeros(COVER_MODULUS, bool)
         cover[list(COVER)] = True
         size = length - COVER_MODULUS + 1
         places = np.flatnonzero(cover[self.inside % COVER_MODULUS] & (self.left >= size))
-        return places, self.windows.at(places, size) >> np.uint64(16)
+        return places, self.windows.at(places, size) >> np.uint64(64 - bits)
 
     def suspects(self, length: int, repeated: np.ndarray) -> np.ndarray:
         """Places from which a repeated sample is less than the modulus away, with ``length`` bytes left."""
@@ -131,23 +136,25 @@ def _cut(keys: np.ndarray, buckets: int, bits: int) -> list[tuple[int, int, int]
     return [(i, a, z) for i, (a, z) in enumerate(zip(at, at[1:], strict=False)) if z > a]
 
 
-_SENT = "bucket int, block long, keys binary, extra binary"
+_SENT = "bucket int, block long, base long, keys binary, extra binary"
 _BACK = "block long, bucket int, bits binary"
 
 
 def _sent(block: int, parts, keys, extra):
+    base = int(extra.min()) if len(extra) else 0  # what follows is small where a block's ids are close
+    extra = extra.astype(np.uint64) - np.uint64(base % 2**64)
     return pa.RecordBatch.from_arrays(
-        [pa.array([i for i, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()), pa.array([pack_sorted(keys[a:z]) for _, a, z in parts], pa.binary()), pa.array([pack(extra[a:z]) for _, a, z in parts], pa.binary())],
-        names=["bucket", "block", "keys", "extra"],
+        [pa.array([i for i, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()), pa.array([base] * len(parts), pa.int64()), pa.array([pack_sorted(keys[a:z]) for _, a, z in parts], pa.binary()), pa.array([pack(extra[a:z]) for _, a, z in parts], pa.binary())],
+        names=["bucket", "block", "base", "keys", "extra"],
     )
 
 
-def _names(length: int, buckets: int):
+def _names(length: int, buckets: int, bits: int):
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
-                names, n = np.unique(_Opened(row).samples(length)[1], return_counts=True)
-                yield _sent(row["block"], _cut(names, buckets, 48), names, (n > 1).astype(np.uint8))
+                names, n = np.unique(_Opened(row).samples(length, bits)[1], return_counts=True)
+                yield _sent(row["block"], _cut(names, buckets, bits), names, (n > 1).astype(np.int64))
 
     return run
 
@@ -160,7 +167,7 @@ def _flags(t: pa.Table, flag: np.ndarray, sizes: list[int]) -> pa.Table:
 def _repeated(t: pa.Table) -> pa.Table:
     """Whether each name occurs twice or more in the corpus."""
     keys = [unpack_sorted(x.as_py()) for x in t.column("keys")]
-    twice = np.concatenate([unpack(x.as_py(), np.uint8) for x in t.column("extra")])
+    twice = np.concatenate([unpack(x.as_py(), np.uint64) + np.uint64(b) for x, b in zip(t.column("extra"), t.column("base").to_pylist(), strict=True)])
     _, of, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
     again = np.bincount(of, weights=twice, minlength=len(n)) > 0
     return _flags(t, ((n > 1) | again)[of], [len(k) for k in keys])
@@ -172,10 +179,10 @@ def _gathered(right: pa.Table, parts) -> np.ndarray:
     return np.concatenate([np.zeros(0, bool), *(np.unpackbits(unpack(bits[i], np.uint8))[: z - a].astype(bool) for i, a, z in parts)])
 
 
-def _live(opened: _Opened, right: pa.Table, length: int, buckets: int) -> np.ndarray:
-    places, names = opened.samples(length)
+def _live(opened: _Opened, right: pa.Table, length: int, buckets: int, bits: int) -> np.ndarray:
+    places, names = opened.samples(length, bits)
     distinct, of = np.unique(names, return_inverse=True)
-    return opened.suspects(length, places[_gathered(right, _cut(distinct, buckets, 48))[of]])
+    return opened.suspects(length, places[_gathered(right, _cut(distinct, buckets, bits))[of]])
 
 
 def _first_in_block(opened: _Opened, places: np.ndarray, length: int):
@@ -190,14 +197,14 @@ def _first_in_block(opened: _Opened, places: np.ndarray, length: int):
     return prints[first], first, opened.ids[doc[first]]
 
 
-def _prints(length: int, buckets: int, more: int):
-    empty = pa.Table.from_pylist([], pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("extra", pa.binary())]))
+def _prints(length: int, buckets: int, bits: int, more: int):
+    empty = pa.Table.from_pylist([], pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("base", pa.int64()), ("keys", pa.binary()), ("extra", pa.binary())]))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [empty]
         for row in left.to_pylist():
             opened = _Opened(row)
-            keys, _, ids = _first_in_block(opened, _live(opened, right, length, buckets), length)
+            keys, _, ids = _first_in_block(opened, _live(opened, right, length, buckets, bits), length)
             out.append(pa.Table.from_batches([_sent(row["block"], _cut(keys, more, 64), keys, ids)]).cast(empty.schema))
         return pa.concat_tables(out)
 
@@ -208,7 +215,7 @@ def _earliest(t: pa.Table) -> pa.Table:
     """Whether each fingerprint's start in a block is the corpus' earliest."""
     keys = [unpack_sorted(x.as_py()) for x in t.column("keys")]
     sizes = [len(k) for k in keys]
-    ids = np.concatenate([unpack(x.as_py(), np.int64) for x in t.column("extra")])
+    ids = np.concatenate([unpack(x.as_py(), np.uint64).view(np.int64) + b for x, b in zip(t.column("extra"), t.column("base").to_pylist(), strict=True)])
     block = np.repeat(t.column("block").to_numpy(), sizes)
     keys = np.concatenate(keys)
     order = np.lexsort((block, ids, keys))
@@ -222,13 +229,13 @@ def _earliest(t: pa.Table) -> pa.Table:
 _DONE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
 
-def _removed(length: int, buckets: int, more: int):
+def _removed(length: int, buckets: int, bits: int, more: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
             opened = _Opened(row)
             at = right.filter(pa.compute.equal(right.column("kind"), 1)), right.filter(pa.compute.equal(right.column("kind"), 2))
-            places = _live(opened, at[0], length, buckets)
+            places = _live(opened, at[0], length, buckets, bits)
             keys, first, _ = _first_in_block(opened, places, length)
             earliest = first[_gathered(at[1], _cut(keys, more, 64))]
             later = np.delete(places, earliest)
@@ -250,15 +257,16 @@ def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 4_000_
     if length < COVER_MODULUS + 8:
         raise ValueError("strings must be longer than the cover's modulus")
     rows = docs.select(F.coalesce(id_of(id_col), F.lit(NO_ID)).alias("doc"), text_of(text_col).alias("text"))
-    blocks = written(rows.mapInArrow(_blocks(block_bytes), "block long, ids binary, sizes binary, z binary"), "blocks")
-    n_blocks = blocks.count()
+    blocks = rows.mapInArrow(_blocks(block_bytes), "block long, ids binary, sizes binary, z binary")
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = min(64, 8 + max(24, int(total).bit_length()))
     # both kinds of entries are a bounded share of the bytes, so buckets stay small
-    buckets = max(8, -(-n_blocks * block_bytes // (8 * bucket_entries)))
-    more = max(8, -(-n_blocks * block_bytes // (2 * bucket_entries)))
-    names = blocks.mapInArrow(_names(length, buckets), _SENT).groupBy("bucket").applyInArrow(_repeated, _BACK)
+    buckets = max(8, -(-total // (8 * bucket_entries)))
+    more = max(8, -(-total // (2 * bucket_entries)))
+    names = blocks.mapInArrow(_names(length, buckets, bits), _SENT).groupBy("bucket").applyInArrow(_repeated, _BACK)
     names = written(names, "repeated-names")
     by_block = blocks.groupBy("block")
-    prints = by_block.cogroup(names.groupBy("block")).applyInArrow(_prints(length, buckets, more), _SENT)
+    prints = by_block.cogroup(names.groupBy("block")).applyInArrow(_prints(length, buckets, bits, more), _SENT)
     firsts = written(prints.groupBy("bucket").applyInArrow(_earliest, _BACK), "earliest")
     answers = names.withColumn("kind", F.lit(1)).union(firsts.withColumn("kind", F.lit(2)))
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_removed(length, buckets, more), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_removed(length, buckets, bits, more), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
