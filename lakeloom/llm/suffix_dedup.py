@@ -6,13 +6,13 @@ first ``length`` bytes, so the difference-cover algorithm runs on bounded
 prefixes:
 
 1. Sample the suffixes whose place in their document is in a difference cover
-   modulo 57. Any two places meet the cover at a common offset below 57.
-2. Sort the samples by their first ``length - 56`` bytes and name them. The
+   modulo 31. Any two places meet the cover at a common offset below 31.
+2. Sort the samples by their first ``length - 30`` bytes and name them. The
    general algorithm recurses on names until they tell all suffixes apart;
    for bounded prefixes one level says all that is needed: which names occur
    more than once.
 3. Merge the remaining suffixes: a place can start a repeated string only if
-   a sample with a repeated name lies less than 57 bytes after it. Those
+   a sample with a repeated name lies less than 31 bytes after it. Those
    places are sorted by the fingerprint of their ``length`` bytes.
 4. Compare adjacent ones: of equal prefixes the earliest start stays, all
    others cover their bytes.
@@ -45,9 +45,9 @@ from pyspark.sql import functions as F
 from lakeloom.llm.base import NO_ID, id_of, text_of, written
 from lakeloom.llm.words import mix, pack, pack_sorted, unpack, unpack_sorted
 
-#: A perfect difference set, its differences are all numbers modulo 57.
-COVER_MODULUS = 57
-COVER = (0, 1, 3, 13, 32, 36, 43, 52)
+#: A perfect difference set, its differences are all numbers modulo 31.
+COVER_MODULUS = 31
+COVER = (1, 5, 11, 24, 25, 27)
 
 _BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("z", pa.binary())])
 _VALUES = np.random.default_rng(23).integers(1, 2**64, 256, dtype=np.uint64)
@@ -109,8 +109,9 @@ class _Opened:
         self.ids, self.sizes = unpack(row["ids"], np.int64), unpack(row["sizes"], np.uint64).astype(np.int64)
         ends = np.cumsum(self.sizes)
         self.starts = ends - self.sizes
-        self.inside = np.arange(len(self.data)) - np.repeat(self.starts, self.sizes)
-        self.left = np.repeat(ends, self.sizes) - np.arange(len(self.data))
+        place = np.arange(len(self.data), dtype=np.int32 if len(self.data) < 2**31 else np.int64)
+        self.inside = place - np.repeat(self.starts.astype(place.dtype), self.sizes)
+        self.left = np.repeat(ends.astype(place.dtype), self.sizes) - place
         self.windows = _Windows(self.data)
 
     def samples(self, length: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,9 +124,9 @@ class _Opened:
 
     def suspects(self, length: int, repeated: np.ndarray) -> np.ndarray:
         """Places from which a repeated sample is less than the modulus away, with ``length`` bytes left."""
-        marks = np.zeros(len(self.data) + COVER_MODULUS + 1, np.int64)
+        marks = np.zeros(len(self.data) + COVER_MODULUS + 1, np.int32)
         marks[repeated + 1] = 1
-        before = np.cumsum(marks)
+        before = np.cumsum(marks, dtype=np.int32)
         near = before[COVER_MODULUS : COVER_MODULUS + len(self.data)] > before[: len(self.data)]
         return np.flatnonzero(near & (self.left >= length))
 
@@ -149,9 +150,9 @@ def _sent(block: int, parts, keys, extra):
     )
 
 
-def _names(length: int, buckets: int, bits: int):
+def _names(length: int, buckets: int, bits: int, block_bytes: int):
     def run(batches):
-        for b in batches:
+        for b in _blocks(block_bytes)(batches):
             for row in b.to_pylist():
                 names, n = np.unique(_Opened(row).samples(length, bits)[1], return_counts=True)
                 yield _sent(row["block"], _cut(names, buckets, bits), names, (n > 1).astype(np.int64))
@@ -252,7 +253,7 @@ def _removed(length: int, buckets: int, bits: int, more: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 4_000_000, bucket_entries: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 2_000_000, bucket_entries: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): the bytes left of every text, one row per input row."""
     if length < COVER_MODULUS + 8:
         raise ValueError("strings must be longer than the cover's modulus")
@@ -263,7 +264,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 4_000_
     # both kinds of entries are a bounded share of the bytes, so buckets stay small
     buckets = max(8, -(-total // (8 * bucket_entries)))
     more = max(8, -(-total // (2 * bucket_entries)))
-    names = blocks.mapInArrow(_names(length, buckets, bits), _SENT).groupBy("bucket").applyInArrow(_repeated, _BACK)
+    names = rows.mapInArrow(_names(length, buckets, bits, block_bytes), _SENT).groupBy("bucket").applyInArrow(_repeated, _BACK)
     names = written(names, "repeated-names")
     by_block = blocks.groupBy("block")
     prints = by_block.cogroup(names.groupBy("block")).applyInArrow(_prints(length, buckets, bits, more), _SENT)
