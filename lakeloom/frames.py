@@ -28,15 +28,14 @@ def with_one_row(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select("*", r.alias("_r")).select(*left.columns, *[F.col("_r")[c].alias(c) for c in right.columns])
 
 
-def salted_left_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, buckets: int) -> DataFrame:
-    """Left join of a table whose key may be hot (one key holding a large
-    share of the rows) with a key-unique table. The key-unique side is
-    replicated ``buckets`` times and the big side is spread over the buckets,
-    so a hot key is split over ``buckets`` tasks. Every bucket holds a
-    complete copy of the small side, so the result does not depend on which
-    bucket a row lands in (a retried task may choose differently)."""
-    if buckets <= 1:
-        return big.join(small, big[big_key] == small[small_key], "left")
-    b = big.withColumn("_salt", F.floor(F.rand(17) * buckets).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return b.join(s, (b[big_key] == s[small_key]) & (b["_salt"] == s["_salt"]), "left").drop("_salt")
+def skew_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "left") -> DataFrame:
+    """Join of a table whose key may be hot with a key-unique table that is
+    itself an aggregate on the key.
+
+    AQE splits a hot partition only where both sides of the join are bare
+    shuffles. An aggregate is already partitioned by its key, so it would be
+    joined without one and the rule would never fire; the boundary hides that
+    partitioning. The few key-unique rows move once more, and a hot key is
+    then split into as many tasks as its bytes ask for."""
+    small = boundary(small)
+    return big.join(small, big[big_key] == small[small_key], how)

@@ -34,8 +34,10 @@ def multimodal_features(
             F.col("image_urls").alias("_images"),
             F.col("high_res_image_urls").alias("_hi_images"),
         )
-        .dropDuplicates(["_pid"])
     )
+    # of several rows of an id the greatest one by value stays: the choice does not depend on row order
+    others = [c for c in meta.columns if c != "_pid"]
+    meta = meta.groupBy("_pid").agg(F.max(F.struct(*others)).alias("_m")).select("_pid", *[F.col(f"_m.{c}").alias(c) for c in others])
     j = summary.join(meta, summary[summary_id] == meta["_pid"], "inner")
     feats = F.filter(F.transform(F.col("_features"), lambda x: clean_string(x)), lambda x: x.isNotNull())
     feature_text = F.array_join(F.transform(feats, lambda x: F.concat(F.lit("- "), x)), "\n")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.frames import with_one_row
+from lakeloom.frames import skew_join, with_one_row
 from lakeloom.functions.text import normalize_text, strip
 from lakeloom.functions.values import is_empty, value_type
 
@@ -179,12 +179,14 @@ def cardinality(
     prod = pk.agg(distinct("k").alias("unique_asin"), (F.count("k") - distinct("k")).alias("duplicate_asin_records"))
     keys = key_set if key_set is not None else pk.where(F.col("k").isNotNull()).distinct()
     rk = reviews.select(clean(review_key).alias("k"), clean(reviewer).alias("r"))
-    flagged = rk.join(keys.select(F.col("k").alias("_pk"), F.lit(True).alias("_known")), F.col("k") == F.col("_pk"), "left")
+    # distinct review keys meet the key set, never the review rows: a hot key is one row
+    rkeys = rk.where(F.col("k").isNotNull()).select("k").distinct()
+    flagged = skew_join(rkeys, keys.select(F.col("k").alias("_pk"), F.lit(True).alias("_known")), "k", "_pk")
     rev = flagged.agg(
-        distinct("k").alias("unique_review_asins"),
-        distinct("r").alias("unique_reviewers"),
-        distinct(F.when(F.col("_known").isNull(), F.col("k"))).alias("orphan_asins"),
+        F.count("k").alias("unique_review_asins"),
+        F.count_if(F.col("_known").isNull()).alias("orphan_asins"),
     )
+    rev = with_one_row(rev, rk.agg(distinct("r").alias("unique_reviewers")))
     return with_one_row(prod, rev).select(
         "unique_asin", "duplicate_asin_records", "unique_review_asins", "unique_reviewers", "orphan_asins",
         _pct(F.col("orphan_asins"), F.col("unique_review_asins"), places).alias("orphan_asin_percentage"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from lakeloom.frames import salted_left_join
+from lakeloom.frames import skew_join
 from lakeloom.functions.text import normalize_lower, strip
 
 # Mapping labels (match types, confidence, status).
@@ -54,11 +54,12 @@ def canonical_ids(products: DataFrame, key: str = "asin", product_id: str = "pro
 def entity_mapping(products: DataFrame, key: str = "asin", product_id: str = "product_id",
                    order_by: str = "seq") -> DataFrame:
     """Every source row with its canonical id, match type, confidence and
-    status. The canonical table has one row per key; the equi-join lets AQE
-    broadcast it or split a hot key."""
-    canon = canonical_ids(products, key, product_id, order_by)
+    status. The canonical table has one row per key; AQE broadcasts it or
+    splits a hot key. Rows with a NULL key have nothing to resolve to: call
+    ``require_keys`` first where they must not pass unnoticed."""
+    canon = canonical_ids(products, key, product_id, order_by).withColumnRenamed(key, "_ckey")
     src = products.select(F.col(product_id).alias("source_product_id"), F.col(key))
-    return src.join(canon, key, "inner").select(
+    return skew_join(src, canon, key, "_ckey", "inner").select(
         "source_product_id",
         F.col(key).alias("asin"),
         "canonical_product_id",
@@ -71,13 +72,12 @@ def entity_mapping(products: DataFrame, key: str = "asin", product_id: str = "pr
 
 
 def attach_canonical(reviews: DataFrame, mapping: DataFrame, review_key: str = "asin",
-                     mapping_key: str = "asin", canonical: str = "canonical_product_id",
-                     salt_buckets: int = 0) -> DataFrame:
+                     mapping_key: str = "asin", canonical: str = "canonical_product_id") -> DataFrame:
     """Reviews left-joined to a key-unique mapping. Duplicated mapping
-    keys are reduced first so the join cannot fan out. ``salt_buckets`` > 1
-    splits hot product keys explicitly (otherwise AQE's skew join does)."""
+    keys are reduced first so the join cannot fan out; a hot product key is
+    split by AQE (see ``skew_join``)."""
     m = mapping.groupBy(F.col(mapping_key).alias("_mkey")).agg(F.max(canonical).alias("canonical_product_id"))
-    return salted_left_join(reviews, m, review_key, "_mkey", salt_buckets).drop("_mkey")
+    return skew_join(reviews, m, review_key, "_mkey").drop("_mkey")
 
 
 def split_resolved(linked: DataFrame) -> tuple[DataFrame, DataFrame]:

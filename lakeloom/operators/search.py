@@ -4,9 +4,9 @@ search enrichment with the gold tables.
 Scoring never materializes query x point pairs as rows:
 * one query: the query vector is a literal inside the score expression and
   ``orderBy().limit(k)`` becomes a per-partition top-k (TakeOrderedAndProject);
-* a batch of queries: the query matrix (size-checked) is broadcast and each
-  partition keeps a running top-k per query with numpy (``mapInPandas``);
-  only k candidates per query and partition reach the final ranking.
+* a batch of queries: queries and points are packed into blocks of a fixed
+  size, blocks meet in a join, and each pair of blocks gives the k best
+  points of every query (numpy on Arrow batches), which are then ranked.
 """
 
 from __future__ import annotations
@@ -14,15 +14,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.vectors import dot_literal, l2_normalize, norm
 
-# Largest query batch broadcast in one pass (queries x dimension doubles).
-MAX_BROADCAST_QUERIES = 4096
+#: Bytes of vectors in a block of points or queries.
+BLOCK_BYTES = 2 << 20
+#: Tasks that share the points of one query block (the join key of the blocks).
+POINT_SLOTS = 256
 
 
 def _check_k(k: int) -> None:
@@ -109,50 +111,67 @@ def topk_exact(
     return top.select(F.row_number().over(w).alias("rank"), id_col, *payload, "score")
 
 
-class _Value:
-    """Stand-in for a broadcast variable where the session has no
-    SparkContext (Spark Connect): the bounded query matrix then travels with
-    the function."""
+_BLOCK = "block long, ids binary, vectors binary, missing binary"
 
-    def __init__(self, value):
-        self.value = value
 
+def _unit_matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors, which are NULL) of an array column; zero vectors stay zero."""
+    missing = column.is_null().to_numpy(zero_copy_only=False)
+    size = set(np.diff(column.drop_null().offsets.to_numpy()).tolist()) if not missing.all() else set()
+    if len(size) > 1:
+        raise ValueError(f"vectors of different dimensions: {sorted(size)}")
+    dim = size.pop() if size else 0
+    m = np.zeros((len(column), dim))
+    m[~missing] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    length = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(length == 0, 1.0, length), missing
 
-def _broadcast(spark, value):
-    try:
-        return spark.sparkContext.broadcast(value)
-    except Exception:  # noqa: BLE001
-        return _Value(value)
 
+def _packed(block_bytes: int):
+    """mapInArrow body: rows (id, vec) to blocks of at most ``block_bytes`` of vectors, or one vector."""
 
-def _partition_topk(k: int, bq, id_name: str):
-    """mapInPandas body: running top-k (with ties at the cut) per query.
-    ``bq`` is a broadcast of (query ids, unit query matrix)."""
+    def run(batches):
+        for b in batches:
+            ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            m, missing = _unit_matrix(b.column("vec"))
+            step = max(1, block_bytes // max(8, 8 * m.shape[1]))
+            for i in range(0, len(ids), step):
+                at = slice(i, i + step)
+                order = i + np.argsort(ids[at], kind="stable")
+                row = [0, ids[order].tobytes(), m[order].tobytes(), missing[order].tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["block", "ids", "vectors", "missing"])
+
+    return run
+
+
+def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k greatest of each row; among equals the first columns."""
+    n = score.shape[1]
+    if n > k:
+        cut = np.partition(score, n - k, axis=1)[:, n - k, None]
+        more, tie = score > cut, score == cut
+        free = k - more.sum(1, keepdims=True)
+        return np.nonzero(more | (tie & (np.cumsum(tie, axis=1) <= free)))
+    return np.nonzero(np.ones_like(score, bool))
+
+
+def _block_topk(k: int):
+    """mapInArrow body: for each pair of blocks the k best points of every query.
+    A NULL point scores below all others (-inf here, NULL in the result)."""
 
     def run(batches):
-        qids, qmat = bq.value
-        best_ids = [np.empty(0, dtype=np.int64)] * len(qids)
-        best_sc = [np.empty(0, dtype=np.float64)] * len(qids)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            m = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            norms = np.linalg.norm(m, axis=1)
-            norms[norms == 0] = 1.0
-            scores = (m @ qmat.T) / norms[:, None]
-            ids = pdf[id_name].to_numpy().astype(np.int64)
-            for j in range(len(qids)):
-                cand_ids = np.concatenate([best_ids[j], ids])
-                cand_sc = np.concatenate([best_sc[j], scores[:, j]])
-                if len(cand_sc) > k:
-                    cut = np.partition(cand_sc, len(cand_sc) - k)[len(cand_sc) - k]
-                    keep = cand_sc >= cut
-                    cand_ids, cand_sc = cand_ids[keep], cand_sc[keep]
-                best_ids[j], best_sc[j] = cand_ids, cand_sc
-        out = [pd.DataFrame({"query_id": np.full(len(best_ids[j]), qids[j]), id_name: best_ids[j], "score": best_sc[j]})
-               for j in range(len(qids)) if len(best_ids[j])]
-        if out:
-            yield pd.concat(out, ignore_index=True)
+        for b in batches:
+            for r in range(b.num_rows):
+                part = {c: b.column(c)[r].as_buffer() for c in b.schema.names}
+                qid, pid = np.frombuffer(part["q_ids"], np.int64), np.frombuffer(part["ids"], np.int64)
+                q = np.frombuffer(part["q_vectors"], np.float64).reshape(len(qid), -1)
+                p = np.frombuffer(part["vectors"], np.float64).reshape(len(pid), -1)
+                gone = np.frombuffer(part["missing"], bool)
+                for i in range(0, len(qid), 128):
+                    score = q[i : i + 128] @ p.T if p.shape[1] else np.zeros((len(qid[i : i + 128]), len(pid)))
+                    score[:, gone] = -np.inf
+                    x, y = _best(score, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(qid[i + x]), pa.array(pid[y]), pa.array(score[x, y])], names=["query_id", "id", "score"])
 
     return run
 
@@ -165,43 +184,38 @@ def topk_batch(
     vec_col: str = "embedding",
     query_id: str = "query_id",
     query_vec: str = "query_vec",
-    max_broadcast: int = MAX_BROADCAST_QUERIES,
+    block_bytes: int = BLOCK_BYTES,
+    slots: int = POINT_SLOTS,
 ) -> DataFrame:
-    """Exact cosine top-k for a batch of queries (ids must be integral).
-    Queries are broadcast in chunks of at most ``max_broadcast``; larger
-    batches run chunk by chunk, so the broadcast size stays bounded."""
+    """Exact cosine top-k for any number of queries (ids must be integral;
+    ties by id).
+
+    Nothing is collected or counted: both sides are packed into blocks, each
+    block of queries goes to every slot of point blocks, and a task holds one
+    pair of blocks at a time. As in ``topk_exact`` a zero vector scores 0 and
+    a NULL point comes last with a NULL score. NULL queries have no hits; no
+    queries or no points give no rows; all non-NULL vectors of a block and of
+    both sides must have one dimension."""
     _check_k(k)
-    if max_broadcast <= 0:
-        raise ValueError("max_broadcast must be positive")
-    n = queries.count()
-    # hash chunks of expected size max_broadcast / 2; each is checked below
-    chunks = 1 if n <= max_broadcast else -(-2 * n // max_broadcast)
-    spark = points.sparkSession
-    pts = points.select(F.col(id_col).cast("long").alias(id_col), F.col(vec_col).alias("vec"))
-    schema = T.StructType([
-        T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()),
-        T.StructField("score", T.DoubleType()),
-    ])
-    parts = []
-    for c in range(chunks):
-        qdf = queries if chunks == 1 else queries.where(F.pmod(F.xxhash64(query_id), F.lit(chunks)) == c)
-        rows = qdf.select(F.col(query_id).cast("long"), query_vec).limit(max_broadcast + 1).collect()
-        if len(rows) > max_broadcast:
-            raise ValueError(f"query chunk {c} exceeds {max_broadcast} vectors")
-        if not rows:
-            continue
-        qids = np.array([r[0] for r in rows], dtype=np.int64)
-        qmat = np.array([r[1] for r in rows], dtype=np.float64)
-        qmat = qmat / np.where(np.linalg.norm(qmat, axis=1) == 0, 1.0, np.linalg.norm(qmat, axis=1))[:, None]
-        fn = _partition_topk(k, _broadcast(spark, (qids, qmat)), id_col)
-        parts.append(pts.mapInPandas(fn, schema))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
-    # candidates: <= k (plus ties) per query and partition
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    ranked = cands.select("*", F.row_number().over(w).alias("rank"))
-    return ranked.where(F.col("rank") <= k).select(F.col("query_id").alias(query_id), "rank", id_col, "score")
+    if slots <= 0 or block_bytes <= 0:
+        raise ValueError("slots and block_bytes must be positive")
+
+    def blocks(df, key, vec):
+        rows = df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("vec"))
+        return rows.mapInArrow(_packed(block_bytes), _BLOCK)
+
+    slot = F.pmod(F.xxhash64("ids"), F.lit(slots)).alias("slot")
+    pts = blocks(points, id_col, vec_col).select(slot, "ids", "vectors", "missing")
+    qs = blocks(queries.where(F.col(query_vec).isNotNull()), query_id, query_vec).select(
+        F.explode(F.sequence(F.lit(0), F.lit(slots - 1)).cast("array<long>")).alias("slot"),
+        F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    pairs = pts.join(qs, "slot").select("ids", "vectors", "missing", "q_ids", "q_vectors")
+    hits = pairs.mapInArrow(_block_topk(k), "query_id long, id long, score double")
+    # the rank filter also limits each task's rows of a query before the shuffle
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
+    ranked = hits.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= k)
+    score = F.when(F.col("score") != float("-inf"), F.col("score")).alias("score")
+    return ranked.select(F.col("query_id").alias(query_id), "rank", F.col("id").alias(id_col), score)
 
 
 def topk_lsh(
@@ -233,40 +247,26 @@ def topk_lsh(
 
 
 # ------------------------------------------------------------- enrichment
-def materialize_hits(hits: DataFrame, max_hits: int = 10_000) -> DataFrame:
-    """Compute a top-k result once and keep it as a local table (bounded by
-    ``max_hits``, else refused), so later joins can broadcast it and do not
-    re-score the vectors."""
-    rows = hits.limit(max_hits + 1).collect()
-    if len(rows) > max_hits:
-        raise ValueError(f"more than {max_hits} hits")
-    return hits.sparkSession.createDataFrame(rows, hits.schema)
-
-
 def restrict_to_hits(df: DataFrame, hits: DataFrame, key: str, df_key: str | None = None) -> DataFrame:
-    """Rows of a large table whose key is among the (bounded) hit keys, by a
-    semi join with the broadcast keys: use it before aggregating statistics
-    for the hits only."""
-    ids = F.broadcast(hits.select(F.col(key).alias("_hit_key")))
+    """Rows of a large table whose key is among the hit keys (semi join): use
+    it before aggregating statistics for the hits only."""
+    ids = hits.select(F.col(key).alias("_hit_key"))
     return df.join(ids, df[df_key or key] == ids["_hit_key"], "left_semi")
 
 
-def enriched_search(hits: DataFrame, summary: DataFrame, stats: DataFrame, key: str = "canonical_product_id",
-                    max_hits: int = 10_000) -> DataFrame:
+def enriched_search(hits: DataFrame, summary: DataFrame, stats: DataFrame,
+                    key: str = "canonical_product_id") -> DataFrame:
     """Hits left-joined to the product summary and review statistics.
 
-    The hits (a top-k result) are computed once and held as a small local
-    table; more than ``max_hits`` rows is refused, which is the proof that
-    broadcasting them is safe. The gold tables are reduced to the hit keys by
-    a semi join with the broadcast keys, so they are scanned once and never
-    shuffled (Catalyst pushes the semi join below the statistics
-    aggregation). Missing statistics become 0 counts and ratio 0; the average
-    rating stays NULL."""
-    local = materialize_hits(hits, max_hits)
-    ids = F.broadcast(local.select(key))
-    s = summary.join(ids, key, "left_semi")
-    st = stats.join(ids, key, "left_semi").drop(*[c for c in ("asin",) if c in stats.columns])
-    out = F.broadcast(local).join(s, key, "left").join(st, key, "left")
+    The hits stay a DataFrame of any size. ``limit(k)`` tells Catalyst how
+    few a top-k has, so it broadcasts them by itself; the hits of a large
+    batch are shuffled. The gold tables are reduced to the hit keys first
+    (Catalyst pushes the semi join below the statistics aggregation).
+    Missing statistics become 0 counts and ratio 0; the average rating stays
+    NULL."""
+    s = restrict_to_hits(summary, hits, key)
+    st = restrict_to_hits(stats, hits, key).drop(*[c for c in ("asin",) if c in stats.columns])
+    out = hits.join(s, key, "left").join(st, key, "left")
     return out.select(
         *[c for c in out.columns if c not in ("review_count", "verified_review_count", "verified_review_ratio")],
         F.coalesce(F.col("review_count"), F.lit(0)).alias("review_count"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.frames import salted_left_join, with_one_row
+from lakeloom.frames import skew_join, with_one_row
 
 from lakeloom.functions.text import is_blank
 
@@ -51,15 +51,14 @@ def flag_reviews(
     rating: str = "rating",
     min_rating: float = 1.0,
     max_rating: float = 5.0,
-    salt_buckets: int = 0,
 ) -> DataFrame:
     """Left join on the distinct key set adds ``error``:
     'unknown_product' (NULL keys included, K11) first, then 'invalid_rating'
     (NULL or outside [min_rating, max_rating]). Spark picks broadcast or
     shuffled join from the key set's runtime size (AQE); a hot review key is
-    split by the skew-join rule, or explicitly with ``salt_buckets`` > 1."""
+    split by the skew-join rule (see ``skew_join``)."""
     keys = key_set.select(F.col("_key"), F.lit(True).alias("_known"))
-    joined = salted_left_join(reviews, keys, asin, "_key", salt_buckets)
+    joined = skew_join(reviews, keys, asin, "_key")
     r = F.col(rating)
     error = (
         F.when(F.col("_known").isNull(), F.lit(UNKNOWN_PRODUCT))
@@ -134,22 +133,34 @@ def review_quality(
     max_rating: float = 5.0,
     exact: bool = True,
 ) -> DataFrame:
-    """AG2: one row of review counts; orphans from the same left join as F5."""
-    distinct = F.countDistinct if exact else F.approx_count_distinct
-    keys = key_set.select(F.col("_key"), F.lit(True).alias("_known"))
-    j = reviews.join(keys, reviews[asin] == keys["_key"], "left")
-    orphan = F.col("_known").isNull()
-    r = F.col(rating)
+    """AG2: one row of review counts; orphans as in F5.
+
+    Reviews are reduced to one row per key before they meet the key set, so
+    the join carries no hot key, and each distinct count is an aggregate of
+    its own: no review row is expanded once per distinct column."""
     truthy = lambda c: F.when(present_key(c), F.col(c))
-    return j.agg(
+    r = F.col(rating)
+
+    def distinct(c, name):
+        if not exact:
+            return reviews.agg(F.approx_count_distinct(truthy(c)).alias(name))
+        return reviews.select(truthy(c).alias("_d")).distinct().agg(F.count("_d").alias(name))
+
+    rows = reviews.agg(
         F.count(F.lit(1)).alias("total_records"),
-        distinct(truthy(review_id)).alias("unique_review_id"),
-        distinct(truthy(reviewer)).alias("unique_reviewers"),
         F.count_if(r.isNull() | ~r.between(min_rating, max_rating)).alias("invalid_rating"),
-        F.count_if(orphan).alias("orphan_reviews"),
-        distinct(F.when(orphan, truthy(asin))).alias("orphan_asin_count"),
         F.count_if(is_blank(text)).alias("missing_review_text"),
     )
+    counts = reviews.groupBy(F.col(asin).alias("_asin")).agg(F.count(F.lit(1)).alias("_n"))
+    orphans = counts.join(key_set, counts["_asin"] == key_set["_key"], "left_anti").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_reviews"),
+        F.count(truthy("_asin")).alias("orphan_asin_count"),
+    )
+    out = rows
+    for part in (distinct(review_id, "unique_review_id"), distinct(reviewer, "unique_reviewers"), orphans):
+        out = with_one_row(out, part)
+    return out.select("total_records", "unique_review_id", "unique_reviewers", "invalid_rating", "orphan_reviews",
+                      "orphan_asin_count", "missing_review_text")
 
 
 def silver_status(product_q: DataFrame, review_q: DataFrame) -> DataFrame:

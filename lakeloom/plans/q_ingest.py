@@ -29,6 +29,14 @@ def _event_lines(spark, sf_dir):
         .when(m == 13, lit('"text"'))
         .when(m == 17, F.concat(c("props"), lit(" junk")))
         .when(m == 19, lit("  "))
+        .when(m == 23, F.concat(c("props"), c("props")))
+        .when(m == 29, F.concat(c("props"), lit(" junk}")))
+        .when(m == 31, F.concat(c("props"), lit(","), c("props")))
+        .when(m == 37, lit("12 abc"))
+        .when(m == 41, lit("[1] x]"))
+        .when(m == 43, lit('"t" junk"'))
+        .when(m == 47, lit('{"k":1}] {}'))
+        .when(m == 48, lit('{"k":{"n":[{"m":"}"}]},"j":"]"}  '))
         .otherwise(c("props"))
     )
     return e.select("event_id", line.alias("line"))
@@ -38,17 +46,20 @@ _EVENT_LINES_SQL = """
 WITH ev AS (
   SELECT event_id,
          CASE event_id % 50 WHEN 3 THEN '{bad' WHEN 7 THEN '[1,2]' WHEN 11 THEN '' WHEN 13 THEN '"text"'
-              WHEN 17 THEN props || ' junk' WHEN 19 THEN '  ' ELSE props END AS line
+              WHEN 17 THEN props || ' junk' WHEN 19 THEN '  '
+              WHEN 23 THEN props || props WHEN 29 THEN props || ' junk}' WHEN 31 THEN props || ',' || props
+              WHEN 37 THEN '12 abc' WHEN 41 THEN '[1] x]' WHEN 43 THEN '"t" junk"' WHEN 47 THEN '{"k":1}] {}'
+              WHEN 48 THEN '{"k":{"n":[{"m":"}"}]},"j":"]"}  ' ELSE props END AS line
   FROM events)
 """
 
 
 @register("i1_raw_objects", _EVENT_LINES_SQL + """
-SELECT event_id, CAST(json_extract(line, '$.k') AS BIGINT) AS k FROM ev
+SELECT event_id, TRY_CAST(json_extract(line, '$.k') AS BIGINT) AS k FROM ev
 WHERE trim(line) <> '' AND json_valid(line) AND CASE WHEN json_valid(line) THEN json_type(line) END = 'OBJECT'""")
 def i1_raw_objects(spark, sf_dir):
     good, _ = split_records(parse_records(_event_lines(spark, sf_dir)))
-    return good.select("event_id", F.variant_get(field("record", "k"), "$", "bigint").alias("k"))
+    return good.select("event_id", F.try_variant_get(field("record", "k"), "$", "bigint").alias("k"))
 
 
 @register("i2_malformed", _EVENT_LINES_SQL + """

@@ -10,7 +10,7 @@ from lakeloom.operators import profile
 from lakeloom.plans import roles
 from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.jsontext import kv, obj, q, s
-from lakeloom.plans.q_ingest import _event_lines
+from lakeloom.plans.q_ingest import _EVENT_LINES_SQL, _event_lines, _review_lines
 from lakeloom.plans.roles import PRODUCTS_SQL, reviews_sql, sql_normalize, sql_strip
 from lakeloom.sources.raw import parse_records, spread
 
@@ -186,11 +186,33 @@ def _violations(df, fields):
     return sum((F.count_if(~profile.present(f, types[f])) > 0).cast("long") for f in fields)
 
 
+def _review_lines_sql() -> str:
+    """The raw review lines of i4/i5, rendered by DuckDB."""
+    return """
+    SELECT '{' || concat_ws(',',
+      CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE '"reviewerID":"R' || l_suppkey || '"' END,
+      CASE WHEN l_orderkey % 89 = 0 THEN '"asin":"   "' ELSE '"asin":"A' || l_partkey || '"' END,
+      CASE WHEN l_orderkey % 83 = 0 THEN NULL WHEN l_orderkey % 79 = 0 THEN '"unixReviewTime":"x"'
+           ELSE '"unixReviewTime":' || CAST(floor(epoch(l_shipdate)) AS BIGINT) END,
+      CASE WHEN l_orderkey % 73 = 0 THEN '"overall":"abc"' WHEN l_orderkey % 71 = 0 THEN '"overall":-1'
+           WHEN l_orderkey % 67 = 0 THEN '"overall":5.5' WHEN l_quantity > 45 THEN '"overall":"4"'
+           ELSE '"overall":' || CAST(floor(l_quantity) % 6 AS BIGINT) || '.0' END,
+      '"verified":' || CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END,
+      CASE WHEN l_linenumber % 3 = 0 THEN '"reviewText":"  "' ELSE '"reviewText":"' || repeat('x', l_linenumber) || '"' END,
+      '"summary":" S' || l_linenumber || ' "',
+      CASE l_linenumber WHEN 1 THEN '"vote":"1,234"' WHEN 2 THEN '"vote":""' WHEN 3 THEN '"vote":"x"'
+           WHEN 4 THEN '"vote":3' WHEN 5 THEN '"vote":3.5' END,
+      CASE l_orderkey % 4 WHEN 0 THEN '"style":{}' WHEN 1 THEN '"style":{"b":1,"a":"' || l_returnflag || '"}'
+           WHEN 2 THEN '"style":"s"' END,
+      CASE WHEN l_orderkey % 5 = 0 THEN '"image":["u' || l_partkey || '","  ",null]' END) || '}' AS line
+    FROM lineitem"""
+
+
 P7_SQL = f"""
 WITH products AS ({PRODUCTS_SQL}), reviews AS ({reviews_sql()}),
 {_CARD_SQL},
-ev AS (SELECT CASE event_id % 50 WHEN 3 THEN '{{bad' WHEN 7 THEN '[1,2]' WHEN 11 THEN '' WHEN 13 THEN '"text"'
-              WHEN 17 THEN props || ' junk' WHEN 19 THEN '  ' ELSE props END AS line FROM events),
+{_EVENT_LINES_SQL.strip().removeprefix("WITH ")},
+raw AS (SELECT line FROM ev UNION ALL SELECT line FROM ({_review_lines_sql()})),
 m AS (
   SELECT CAST(duplicate_asin_records AS DOUBLE) AS product_asin_uniqueness,
          CAST((SELECT (count(*) FILTER (WHERE NOT {_has('asin', 'text')}) > 0)::INT
@@ -202,7 +224,8 @@ m AS (
                     + (count(*) FILTER (WHERE verified IS NULL) > 0)::INT FROM reviews) AS DOUBLE)
              AS review_required_fields,
          orphan_asin_percentage AS review_product_referential_integrity,
-         CAST((SELECT count(*) FROM ev WHERE trim(line) <> '' AND NOT coalesce(json_valid(line), FALSE)) AS DOUBLE)
+         CAST((SELECT count(*) FROM raw WHERE trim(line) <> ''
+                 AND CASE WHEN json_valid(line) THEN json_type(line) <> 'OBJECT' ELSE TRUE END) AS DOUBLE)
              AS malformed_json
   FROM card),
 rows AS (
@@ -226,37 +249,15 @@ def p7_checks(spark, sf_dir):
     pv = products.agg(_violations(products, ["asin", "title"]).alias("product_required_violations"))
     rv = reviews.agg(_violations(reviews, ["product_key", "reviewer_key", "rating", "verified"])
                      .alias("review_required_violations"))
-    bad = parse_records(_event_lines(spark, sf_dir)).agg(
-        F.count_if(c("parse_error") == "malformed_json").alias("product_malformed"))
-    metrics = with_one_row(with_one_row(with_one_row(card, pv), rv), bad).withColumn("review_malformed", lit(0))
+    # lines that are no JSON object count as malformed, like lines that do not parse
+    bad = parse_records(_event_lines(spark, sf_dir)).agg(F.count("parse_error").alias("product_malformed"))
+    bad_reviews = parse_records(_review_lines(spark, sf_dir)).agg(F.count("parse_error").alias("review_malformed"))
+    metrics = card
+    for part in (pv, rv, bad, bad_reviews):
+        metrics = with_one_row(metrics, part)
     return rounded(profile.checks(metrics))
 
 
-
-
-# ------------------------------------------------------------------ p8
-def _review_lines_sql() -> str:
-    """The raw review lines of i4/i5, rendered by DuckDB."""
-    return """
-    SELECT '{' || concat_ws(',',
-      CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE '"reviewerID":"R' || l_suppkey || '"' END,
-      CASE WHEN l_orderkey % 89 = 0 THEN '"asin":"   "' ELSE '"asin":"A' || l_partkey || '"' END,
-      CASE WHEN l_orderkey % 83 = 0 THEN NULL WHEN l_orderkey % 79 = 0 THEN '"unixReviewTime":"x"'
-           ELSE '"unixReviewTime":' || CAST(floor(epoch(l_shipdate)) AS BIGINT) END,
-      CASE WHEN l_orderkey % 73 = 0 THEN '"overall":"abc"' WHEN l_orderkey % 71 = 0 THEN '"overall":-1'
-           WHEN l_orderkey % 67 = 0 THEN '"overall":5.5' WHEN l_quantity > 45 THEN '"overall":"4"'
-           ELSE '"overall":' || CAST(floor(l_quantity) % 6 AS BIGINT) || '.0' END,
-      '"verified":' || CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END,
-      CASE WHEN l_linenumber % 3 = 0 THEN '"reviewText":"  "' ELSE '"reviewText":"' || repeat('x', l_linenumber) || '"' END,
-      '"summary":" S' || l_linenumber || ' "',
-      CASE l_linenumber WHEN 1 THEN '"vote":"1,234"' WHEN 2 THEN '"vote":""' WHEN 3 THEN '"vote":"x"'
-           WHEN 4 THEN '"vote":3' WHEN 5 THEN '"vote":3.5' END,
-      CASE l_orderkey % 4 WHEN 0 THEN '"style":{}' WHEN 1 THEN '"style":{"b":1,"a":"' || l_returnflag || '"}'
-           WHEN 2 THEN '"style":"s"' END,
-      CASE WHEN l_orderkey % 5 = 0 THEN '"image":["u' || l_partkey || '","  ",null]' END) || '}' AS line
-    FROM lineitem"""
-
-
 # The review fields the reference treats as required.
 REVIEW_REQUIRED = ("reviewerID", "asin", "overall", "verified", "unixReviewTime", "reviewTime")
 
@@ -271,8 +272,6 @@ P8_SQL = P1_SQL.replace(
 
 @register("p8_review_field_profile", P8_SQL)
 def p8_review_field_profile(spark, sf_dir):
-    from lakeloom.plans.q_ingest import _review_lines
-
     recs = parse_records(_review_lines(spark, sf_dir)).where("parse_error IS NULL")
     prof = profile.field_profile(recs, required=REVIEW_REQUIRED, places=None)
     return rounded(prof.withColumn("types", _types_text(c("types"))))
@@ -317,3 +316,16 @@ def p9_product_field_profile(spark, sf_dir):
     recs = parse_records(_product_lines(spark, sf_dir)).where("parse_error IS NULL")
     prof = profile.field_profile(recs, required=PRODUCT_REQUIRED, places=None)
     return rounded(prof.withColumn("types", _types_text(c("types"))))
+
+
+# ------------------------------------------------------------------ p11
+P11_SQL = f"""
+SELECT field, missing_records AS missing, empty_records AS empty FROM ({P8_SQL})
+WHERE field IN ({", ".join(repr(f) for f in REVIEW_REQUIRED)}) AND (missing_records > 0 OR empty_records > 0)
+"""
+
+
+@register("p11_required_violations", P11_SQL)
+def p11_required_violations(spark, sf_dir):
+    recs = parse_records(_review_lines(spark, sf_dir)).where("parse_error IS NULL")
+    return profile.required_violations(profile.field_profile(recs, required=REVIEW_REQUIRED), REVIEW_REQUIRED)

@@ -134,6 +134,19 @@ def r7_resolution_totals(spark, sf_dir):
     return rounded(resolve.resolution_totals(roles.table(spark, sf_dir, "part"), key="p_name"))
 
 
+R8_SQL = _LINK_SQL + """
+SELECT count(canonical_product_id) AS resolved_reviews,
+       count(*) - count(canonical_product_id) AS unresolved_reviews,
+       round(count(canonical_product_id) * 100.0 / count(*), 6) AS resolution_rate
+FROM linked
+"""
+
+
+@register("r8_review_resolution_totals", R8_SQL)
+def r8_review_resolution_totals(spark, sf_dir):
+    return rounded(resolve.review_resolution_totals(_linked(spark, sf_dir)))
+
+
 T1_SQL = """
 SELECT sha256(text) AS text_sha256, count(*) AS dup_count, min(doc_id) AS first_doc_id
 FROM documents GROUP BY text HAVING count(*) >= 2 ORDER BY first_doc_id LIMIT 10

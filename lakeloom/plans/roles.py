@@ -124,12 +124,13 @@ PRODUCTS_SQL = """
 
 
 def product_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reduced product side for orphan tests: parts whose key is a multiple
-    of 10 are left out, so their reviews become orphans."""
-    return table(spark, sf_dir, "part").where(F.col("p_partkey") % 10 != 0)
+    """Product side for orphan tests: every part, but the key of each tenth
+    one is NULL, so that its reviews become orphans."""
+    part = table(spark, sf_dir, "part")
+    return part.withColumn("p_partkey", F.when(F.col("p_partkey") % 10 != 0, F.col("p_partkey")))
 
 
-PRODUCT_KEYS_SQL = "SELECT * FROM part WHERE p_partkey % 10 <> 0"
+PRODUCT_KEYS_SQL = "SELECT * REPLACE (CASE WHEN p_partkey % 10 <> 0 THEN p_partkey END AS p_partkey) FROM part"
 
 
 # ------------------------------------------------------- keyed documents

@@ -21,18 +21,15 @@ BLANK = "blank"
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Lines of one or more text files with their source file and a sequence
-    number taken before any shuffle. Gzip files are not splittable (one task
-    per file), so gzip input is spread over ``partitions`` tasks (default:
-    the cluster's parallelism) after the sequence number is taken; other
-    input keeps the scan's splits unless ``partitions`` is given."""
+    number taken before any shuffle. Input keeps the scan's splits unless
+    ``partitions`` is given: gzip files are one task each, so few large ones
+    want it (the sequence number is taken before the rows move)."""
     df = spark.read.text(path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("source_file"),
         F.monotonically_increasing_id().alias("seq"),
     )
-    if partitions is not None or ".gz" in path:
-        return spread(df, partitions)
-    return df
+    return df if partitions is None else spread(df, partitions)
 
 
 def _parallelism(spark: SparkSession) -> int:
@@ -58,18 +55,26 @@ def parse_records(lines: DataFrame, line: str = "line") -> DataFrame:
     """Adds ``record`` (VARIANT) and ``parse_error``; blank lines are dropped.
 
     A line is malformed when it does not parse or carries text after its
-    closing bracket; it is 'not_object' when it parses to anything but an
+    first value; it is 'not_object' when it parses to anything but an
     object. ``NaN`` literals are malformed (Python would accept them).
+
+    The variant parser stops after the first value, so ``{"a":1}{"b":2}``
+    parses. A line whose only ``}`` is its last character cannot have text
+    after its object. Any other line is parsed once more as the first element
+    of an array whose second one is the line's own hash: text after the value
+    breaks the array or moves the hash from its place.
     """
     staged = lines.withColumn("_stripped", strip(F.col(line))).withColumn("_v", F.try_parse_json(F.col(line)))
     s, v = F.col("_stripped"), F.col("_v")
-    # a valid JSON text starting with '{' is an object; the variant parser
-    # stops after the first value, so '{"a":1} junk' parses: check the end too
     obj = s.startswith("{")
-    trailing_junk = (obj & ~s.endswith("}")) | (s.startswith("[") & ~s.endswith("]"))
+    plain = obj & (F.instr(s, "}") == F.length(s))
+    mark = F.xxhash64(F.col(line))
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(line), F.lit(","), mark.cast("string"), F.lit("]")))
+    whole = plain | F.coalesce(F.try_variant_get(wrapped, "$[1]", "bigint") == mark, F.lit(False))
     err = (
         F.when(s == "", F.lit(BLANK))
-        .when(v.isNull() | trailing_junk, F.lit(MALFORMED))
+        .when(v.isNull(), F.lit(MALFORMED))
+        .when(~whole, F.lit(MALFORMED))
         .when(~obj, F.lit(NOT_OBJECT))
     )
     out = boundary(staged.select(*lines.columns, F.when(err.isNull(), v).alias("record"), err.alias("parse_error")))
