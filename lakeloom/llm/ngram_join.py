@@ -9,12 +9,14 @@ tile, sets are compared as 512-bit bitmaps: the bits one has and the other
 lacks bound their overlap from above, as does the place of the shared
 shingle. Pairs that pass are compared exactly as sorted arrays.
 
-No tile gives all its pairs. In a first round each set is compared with one
-set that its tiles begin with (a star's centre, the one it shares most tiles
-with) and links found are joined into components;
-in a second round only pairs of different components are looked at, all of
-them. So a group of near copies costs as many comparisons as it has members,
-and no component is missed.
+No tile gives all its pairs. First each set is compared with sets that its
+tiles begin with (a star's centres, the few it shares most tiles with) and
+links found are joined into components. Then each is compared with sets of
+other components whose bitmaps are nearest to its own, and components are
+joined again. In the last round only pairs of different components are looked
+at, all of them, each in the first tile the two share or soon after. So a
+group of near copies costs a few comparisons a member, and no component is
+missed.
 
 How common a shingle is comes from counts over 65,536 hash buckets: a table
 of fixed size whatever the input, which alone reaches the driver; any order
@@ -31,7 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import NO_ID, id_of, text_of, written
@@ -156,49 +158,82 @@ def _shared(batches):
         yield held[0]
 
 
-def _may_link(percent, n, pos, sig, i, js):
-    """Which of the pairs of rows (i, j) can have overlap enough; ``i`` is a number or as many as ``js``."""
+def _margin(percent, n, pos, sig, i, js):
+    """By how much the overlap of the pairs of rows (i, j) can exceed what a link takes; negative: no link.
+
+    ``i`` is a number or as many as ``js``."""
     need = -(-percent * (n[i] + n[js]) // (100 + percent))
-    ok = np.minimum(n[i] - pos[i], n[js] - pos[js]) >= need
-    at = np.flatnonzero(ok)
+    spare = np.minimum(n[i] - pos[i], n[js] - pos[js]) - need
+    at = np.flatnonzero(spare >= 0)
     if len(at):
         x, y = sig[i] if np.ndim(i) == 0 else sig[i[at]], sig[js[at]]
         ni, nj = n[i] if np.ndim(i) == 0 else n[i[at]], n[js[at]]
         most = np.minimum(ni - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), nj - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
-        ok[at] = most >= need[at]
-    return ok
+        spare[at] = np.minimum(spare[at], most - need[at])
+    return spare
 
 
 _SMALL = 12
+#: Rounds before the last one, and the sets that a set is compared with in each: any give the same components.
+ROUNDS = ("stars", "nearest", "nearest")
+CENTRES = 3
+#: Earlier tiles of a set that its row in a tile tells of.
+_BEFORE = 4
+
+
+def _met_before(before, i, js):
+    """Which of the pairs share one of the tiles just before this one: that tile has the pair."""
+    x = before[i][None, :, None] if np.ndim(i) == 0 else before[i][:, :, None]
+    return (x == before[js][:, None, :]).any((1, 2))
 
 
-def _small_tiles(percent, stars, n, pos, label, sig, first, k):
+def _small_tiles(percent, mode, n, pos, label, sig, before, first, k):
     """Pairs of all tiles of ``k`` rows at once; ``first``: their first rows."""
     left, right = [], []
     for j in range(1, k):
-        free = np.ones(len(first), bool)
+        best, which = np.full(len(first), -1), np.zeros(len(first), np.int64)
         for i in range(j):
-            at = first[free] if stars else first[label[first + i] != label[first + j]]
-            ok = _may_link(percent, n, pos, sig, at + i, at + j) if len(at) else np.zeros(0, bool)
-            left.append(at[ok] + i), right.append(at[ok] + j)
-            if stars:
-                free[np.flatnonzero(free)[ok]] = False
+            open_ = label[first + i] != label[first + j]
+            if mode == "stars":
+                open_ &= best < 0
+            open_ = np.flatnonzero(open_)
+            if not len(open_):
+                continue
+            at = first[open_]
+            spare = _margin(percent, n, pos, sig, at + i, at + j)
+            if mode == "all":
+                at = at[spare >= 0]
+                at = at[~_met_before(before, at + i, at + j)]
+                left.append(at + i), right.append(at + j)
+            else:
+                more = spare > best[open_]
+                best[open_[more]], which[open_[more]] = spare[more], i
+        got = np.flatnonzero(best >= 0)
+        left.append(first[got] + which[got]), right.append(first[got] + j)
     return left, right
 
 
-def _tile_pairs(percent: int, stars: bool):
-    """Candidate pairs of each tile, from rows sorted by shingle and size.
+def _before_names(mode: str) -> list[str]:
+    return [f"before{k}" for k in range(1, _BEFORE + 1)] if mode == "all" else []
+
+
+def _tile_pairs(percent: int, mode: str):
+    """Candidate pairs of each tile, from rows sorted by shingle and size; only
+    rows of different labels make pairs.
 
-    ``stars``: each row with the first earlier row that may link with it (in
-    large tiles, of those that began a star). Otherwise: all pairs of
-    different labels. A tile is read in pieces; rows too small for what is
-    left are let go.
+    "stars": each row with the first earlier row that may link with it (in
+    large tiles, of those that began a star). "nearest": each row with the
+    earlier row that may overlap most beyond need. "all": all pairs, but for
+    those that one of the tiles just before has as well. A tile is read in
+    pieces; rows too small for what is left are let go.
     """
 
-    def large(n, pos, label, sig, old):
+    def large(n, pos, label, sig, before, old):
         left, right = [], []
         begun = np.ones(len(n), bool)
-        if stars:
+        if label.min() == label.max():
+            pass
+        elif mode == "stars":
             begun[old:] = False
             free = np.arange(old, len(n))
             for i in [*range(old), None]:
@@ -206,16 +241,23 @@ def _tile_pairs(percent: int, stars: bool):
                     if i is None:  # a new star
                         begun[free[0]] = True
                     at, js = (free[0], free[1:]) if i is None else (i, free)
-                    ok = _may_link(percent, n, pos, sig, at, js)
+                    ok = _margin(percent, n, pos, sig, at, js) >= 0
                     left.append(np.full(ok.sum(), at)), right.append(js[ok])
                     free = js[~ok]
                     if i is not None:
                         break
-        elif label.min() != label.max():
+        elif mode == "nearest":
+            for j in range(max(old, 1), len(n)):
+                some = np.flatnonzero(label[:j] != label[j])
+                spare = _margin(percent, n, pos, sig, j, some)
+                if len(some) and spare.max() >= 0:
+                    left.append(some[[spare.argmax()]]), right.append(np.array([j]))
+        else:
             for i in range(len(n) - 1):
                 js = np.arange(max(old, i + 1), len(n))
                 js = js[label[js] != label[i]]
-                js = js[_may_link(percent, n, pos, sig, i, js)]
+                js = js[_margin(percent, n, pos, sig, i, js) >= 0]
+                js = js[~_met_before(before, i, js)]
                 left.append(np.full(len(js), i)), right.append(js)
         return left, right, begun & (100 * n >= percent * n[-1])
 
@@ -227,12 +269,13 @@ def _tile_pairs(percent: int, stars: bool):
             t = b.column("token").to_numpy()
             rows = [b.column("np").to_numpy() >> 32, b.column("np").to_numpy() & 0xFFFFFFFF, b.column("cid").to_numpy(), b.column("label").to_numpy()]
             rows.append(np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint64).reshape(-1, _SIG_WORDS))
+            rows.append(np.stack([b.column(c).to_numpy() for c in _before_names(mode)] or [t], axis=1))
             old = 0
             if carry is not None and token == t[0]:
                 old = len(carry[0])
                 rows = [np.concatenate(x) for x in zip(carry, rows, strict=True)]
                 t = np.concatenate([np.full(old, token), t])
-            n, pos, cid, label, sig = rows
+            n, pos, cid, label, sig, before = rows
             first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
             size = np.diff(np.append(first, len(t)))
             left, right = [], []
@@ -243,12 +286,12 @@ def _tile_pairs(percent: int, stars: bool):
             for k in range(2, _SMALL + 1):
                 some = first[whole & (size == k)]
                 if len(some):
-                    a, c = _small_tiles(percent, stars, n, pos, label, sig, some, k)
+                    a, c = _small_tiles(percent, mode, n, pos, label, sig, before, some, k)
                     left += a
                     right += c
             for tile in np.flatnonzero(~whole | (size > _SMALL)).tolist():
                 a, z = int(first[tile]), int(first[tile] + size[tile])
-                i, j, still = large(n[a:z], pos[a:z], label[a:z], sig[a:z], old if tile == 0 else 0)
+                i, j, still = large(n[a:z], pos[a:z], label[a:z], sig[a:z], before[a:z], old if tile == 0 else 0)
                 left += [x + a for x in i]
                 right += [x + a for x in j]
                 if tile == len(first) - 1:
@@ -312,14 +355,24 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     tokens = prefixes.mapInArrow(_exploded, "token long, np long, cid long")
     tiles = written(tokens.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_shared, "token long, np long, cid long"), "tiles")
 
-    def candidates(rows_, stars):
-        given = rows_.join(sigs, "cid").select("token", "np", "cid", "label", "sig")
-        found = given.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tile_pairs(percent, stars), "a long, b long")
-        if not stars:
-            return written(found.where("a < b").union(found.where("a > b").select("b", "a")).distinct(), "candidates")
-        # of each set's stars only the one it shares most tiles with; the second round has all the rest
-        votes = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
-        return written(votes.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select("m.a", "b"), "candidates")
+    def found_in(rows_, mode):
+        given = rows_.join(sigs, "cid").select("token", "np", "cid", "label", *_before_names(mode), "sig")
+        return given.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tile_pairs(percent, mode), "a long, b long")
+
+    def few_pairs(rows_, mode, tried):
+        """Of the sets a set was found with the few it shares most tiles with; the last round has all the rest."""
+        votes = found_in(rows_, mode).groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
+        if tried is not None:
+            votes = votes.join(tried, ["a", "b"], "left_anti")
+        best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("k"), "a"))
+        return written(votes.withColumn("nth", best).where(F.col("nth") <= CENTRES).select("a", "b"), "candidates")
+
+    def all_pairs(rows_):
+        order = Window.partitionBy("cid").orderBy(F.col("np").bitwiseAND(0xFFFFFFFF))
+        # where there is no earlier tile, a value no other set has
+        before = [F.coalesce(F.lag("token", k).over(order), F.bitwise_not("cid")).alias(c) for k, c in enumerate(_before_names("all"), 1)]
+        found = found_in(rows_.select("*", *before), "all")
+        return written(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
 
     def links(pairs):
         used = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
@@ -328,12 +381,22 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
         sides = pairs.join(texts.select(F.col("cid").alias("a"), F.col("z").alias("za")), "a").join(texts.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
         return written(sides.select("a", "b", "za", "zb").mapInArrow(_verified(size, percent), "a long, b long"), "verified")
 
-    found = links(candidates(tiles.withColumn("label", F.col("cid")), stars=True))
-    labels = written(components(found), "labels")
-    labelled = tiles.join(labels, tiles["cid"] == labels["node"], "left").select("token", "np", "cid", F.coalesce("root", "cid").alias("label"))
-    labelled = written(labelled, "labelled")
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    rest = candidates(labelled.join(mixed, "token"), stars=False)
+    def mixed(labels):
+        """Rows of the tiles that hold more than one component."""
+        labelled = tiles.join(labels, tiles["cid"] == labels["node"], "left").select("token", "np", "cid", F.coalesce("root", "cid").alias("label"))
+        labelled = written(labelled, "labelled")
+        several = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
+        return labelled.join(several, "token")
+
+    rows_, tried, found = tiles.withColumn("label", F.col("cid")), None, None
+    for mode in ROUNDS:
+        pairs = few_pairs(rows_, mode, tried)
+        tried = pairs if tried is None else tried.union(pairs)
+        new = links(pairs)
+        found = new if found is None else found.union(new)
+        labels = written(components(found), "labels")
+        rows_ = mixed(labels)
+    rest = all_pairs(rows_)
     if not rest.isEmpty():
         labels = written(components(found.union(links(rest))), "labels")
 
