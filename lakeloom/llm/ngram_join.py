@@ -175,7 +175,7 @@ def _margin(percent, n, pos, sig, i, js):
 
 _SMALL = 12
 #: Rounds before the last one, and the sets that a set is compared with in each: any give the same components.
-ROUNDS = ("stars", "nearest", "nearest")
+ROUNDS = ("stars", "nearest")
 CENTRES = 3
 #: Earlier tiles of a set that its row in a tile tells of.
 _BEFORE = 4
@@ -355,6 +355,10 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     tokens = prefixes.mapInArrow(_exploded, "token long, np long, cid long")
     tiles = written(tokens.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_shared, "token long, np long, cid long"), "tiles")
 
+    # compressed once for all rounds; few of them are read into a comparison
+    zipped = rows.mapInArrow(_zipped, "doc long, text_key long, z binary").join(reps, one).select("cid", "z")
+    zipped = written(zipped, "zipped", "uncompressed")
+
     def found_in(rows_, mode):
         given = rows_.join(sigs, "cid").select("token", "np", "cid", "label", *_before_names(mode), "sig")
         return given.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tile_pairs(percent, mode), "a long, b long")
@@ -376,14 +380,13 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
 
     def links(pairs):
         used = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        texts = rows.mapInArrow(_zipped, "doc long, text_key long, z binary").join(reps.join(used, "cid"), one).select("cid", "z")
-        texts = written(texts.dropDuplicates(["cid"]), "texts")
+        texts = written(zipped.join(used, "cid").dropDuplicates(["cid"]), "texts", "uncompressed")
         sides = pairs.join(texts.select(F.col("cid").alias("a"), F.col("z").alias("za")), "a").join(texts.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
         return written(sides.select("a", "b", "za", "zb").mapInArrow(_verified(size, percent), "a long, b long"), "verified")
 
-    def mixed(labels):
-        """Rows of the tiles that hold more than one component."""
-        labelled = tiles.join(labels, tiles["cid"] == labels["node"], "left").select("token", "np", "cid", F.coalesce("root", "cid").alias("label"))
+    def mixed(rows_, labels):
+        """Rows of the tiles that still hold more than one component."""
+        labelled = rows_.drop("label").join(labels, rows_["cid"] == labels["node"], "left").select("token", "np", "cid", F.coalesce("root", "cid").alias("label"))
         labelled = written(labelled, "labelled")
         several = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
         return labelled.join(several, "token")
@@ -395,7 +398,7 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
         new = links(pairs)
         found = new if found is None else found.union(new)
         labels = written(components(found), "labels")
-        rows_ = mixed(labels)
+        rows_ = written(mixed(rows_, labels), "mixed")
     rest = all_pairs(rows_)
     if not rest.isEmpty():
         labels = written(components(found.union(links(rest))), "labels")
