@@ -154,6 +154,37 @@ def parse_timestamp(v, t: Column | None = None) -> tuple[Column, Column]:
     return seconds, seconds.isNull()
 
 
+def float_text(d) -> Column:
+    """``str(float)`` as Python prints it: plain digits from 0.0001 to below
+    1e16, else an exponent of two digits or more."""
+    d = _col(d)
+    java, size = d.cast("string"), F.abs(d)
+    # the shortest digits, moved to their places; 16 before and 22 behind the point
+    plain = F.regexp_replace(java.try_cast("decimal(38,22)").cast("string"), r"0+$", "")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    e = F.regexp_replace(F.regexp_replace(F.regexp_replace(java, r"\.0E", "E"), r"E-(\d)$", "E-0$1"), r"E(\d)", "E+$1")
+    return (
+        F.when(F.isnan(d), "nan")
+        .when(size == float("inf"), F.when(d > 0, "inf").otherwise("-inf"))
+        .when((size >= 1e-3) & (size < 1e7) | (size == 0), java)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(F.lower(e))
+    )
+
+
+def number_text(v, t: Column | None = None) -> Column:
+    """``str(value)`` of a JSON scalar as Python prints it (ints as digits,
+    floats through double, booleans capitalized, strings unchanged); NULL for null."""
+    v = _col(v)
+    t = vtype(v) if t is None else t
+    return (
+        F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.try_variant_get(v, "$", "bigint").cast("string"))
+        .when(t.isin("DECIMAL", "DOUBLE", "FLOAT"), float_text(F.try_variant_get(v, "$", "double")))
+        .when(t == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), "True").otherwise("False"))
+        .otherwise(F.try_variant_get(v, "$", "string"))
+    )
+
+
 def style_json(v, t: Column | None = None) -> Column:
     """JSON object -> text with sorted keys in ``json.dumps`` spacing; else NULL."""
     from lakeloom.functions.text import json_spaced

@@ -29,15 +29,17 @@ from lakeloom.frames import with_one_row
 TEXT_MODEL = "hashing-tf"
 IMAGE_MODEL = "byte-histogram-256"
 
-_WORKER_MODELS: dict[int, Callable] = {}
+_WORKER_MODELS: dict[str, Callable] = {}
 
 
-def _model(factory: Callable[[], Callable]) -> Callable:
-    """Build an injected model once per Python worker process."""
-    key = id(factory)
-    if key not in _WORKER_MODELS:
-        _WORKER_MODELS[key] = factory()
-    return _WORKER_MODELS[key]
+def _model(factory: Callable[[], Callable], name: str | None) -> Callable:
+    """An injected model: of one name it is built once per Python worker
+    process, without a name anew in each task."""
+    if name is None:
+        return factory()
+    if name not in _WORKER_MODELS:
+        _WORKER_MODELS[name] = factory()
+    return _WORKER_MODELS[name]
 
 
 def _unit_rows(m: np.ndarray) -> np.ndarray:
@@ -57,7 +59,8 @@ def embed_text(
     batch_size: int = 32,
 ) -> DataFrame:
     """(keep..., embedding_model, embedding_dimension, embedding)
-    with unit-length float32 vectors."""
+    with unit-length float32 vectors. ``model_name`` stands for one injected
+    encoder: workers keep the encoder of a name between tasks."""
     if dim <= 0 or batch_size <= 0:
         raise ValueError("dim and batch_size must be positive")
     if encoder_factory is None:
@@ -83,7 +86,7 @@ def embed_text(
     ])
 
     def run(batches):
-        encode = _model(encoder_factory)
+        encode = _model(encoder_factory, model_name)
         for pdf in batches:
             texts = pdf.pop("_text").fillna("").tolist()
             parts = [np.asarray(encode(texts[i:i + batch_size]), dtype=np.float64)
@@ -166,7 +169,7 @@ def embed_images(
     ])
 
     def run(batches):
-        encode = _model(encoder_factory)
+        encode = _model(encoder_factory, model_name)
         pool = ThreadPoolExecutor(max_workers=threads) if content_col is None else None
         try:
             for pdf in batches:
@@ -225,10 +228,17 @@ def run_resumable(
     job: Callable[[DataFrame], DataFrame],
     out_path: str,
     run_id: int,
+    parts: int = 1,
 ) -> DataFrame:
     """Process only the keys missing from ``out_path`` and append them as
     partition ``run_id``. Safe to re-run after a lost executor or a killed
-    driver: finished partitions are never recomputed."""
+    driver: finished work is never recomputed.
+
+    With ``parts`` the missing keys are dealt by hash into that many writes,
+    each a checkpoint: a run that is killed keeps all parts it has finished,
+    and the next one starts with the rest. Each part filters the input anew."""
+    if parts <= 0:
+        raise ValueError("parts must be positive")
     spark = todo.sparkSession
     try:
         done = spark.read.parquet(out_path)
@@ -237,7 +247,9 @@ def run_resumable(
         if ex.getCondition() not in ("PATH_NOT_FOUND",):
             raise
         rest = todo  # first run: nothing written yet
-    (job(rest).withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(out_path))
+    for part in range(parts):
+        mine = rest.where(F.pmod(F.xxhash64(key), F.lit(parts)) == part) if parts > 1 else rest
+        job(mine).withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(out_path)
     return read_latest(spark, out_path, key)
 
 

@@ -19,6 +19,7 @@ from lakeloom.functions.values import (
     clean_number,
     clean_value_string,
     falsy_text,
+    number_text,
     parse_timestamp,
     parse_vote,
     product_id_from_key,
@@ -98,17 +99,6 @@ def normalize_products(records: DataFrame, record: str = "record", keep: tuple[s
     return boundary(staged.select(*keep, *[c.alias(n) for n, c in cols.items()], error.alias("error")))
 
 
-def _number_text(v, t) -> F.Column:
-    """``str(value)`` of a JSON scalar as Python prints it (ints as digits,
-    floats through double, booleans capitalized, strings unchanged)."""
-    return (
-        F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.try_variant_get(v, "$", "bigint").cast("string"))
-        .when(t.isin("DECIMAL", "DOUBLE", "FLOAT"), F.try_variant_get(v, "$", "double").cast("string"))
-        .when(t == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), "True").otherwise("False"))
-        .otherwise(F.try_variant_get(v, "$", "string"))
-    )
-
-
 def normalize_reviews(
     records: DataFrame,
     record: str = "record",
@@ -144,8 +134,8 @@ def normalize_reviews(
         "review_id": review_id_from_parts(
             reviewer,
             asin,
-            falsy_text(ts_v, _number_text(ts_v, _t("unixReviewTime")), _t("unixReviewTime")),
-            falsy_text(rating_v, _number_text(rating_v, _t("overall")), _t("overall")),
+            falsy_text(ts_v, number_text(ts_v, _t("unixReviewTime")), _t("unixReviewTime")),
+            falsy_text(rating_v, number_text(rating_v, _t("overall")), _t("overall")),
             F.col("_text"),
             F.col("_summary"),
         ),

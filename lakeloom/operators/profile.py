@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.frames import skew_join, with_one_row
 from lakeloom.functions.text import normalize_text, strip
-from lakeloom.functions.values import is_empty, value_type
+from lakeloom.functions.values import clean_value_string, field, is_empty, number_text, value_type
 
 
 # Check names in report order, and the three statuses.
@@ -44,28 +44,34 @@ def field_profile(
     """AG4 P12 P13: per top-level field of the VARIANT objects: present,
     missing, empty counts, percentages and a type histogram (map type ->
     count). Required fields that never occur are listed with zero presence
-    (SO2). Sorted by field (T3)."""
+    (SO2). Sorted by field (T3). The input is parsed once: the record count and
+    the required names pass through the same aggregation."""
     spark = records.sparkSession
-    entries = records.select(F.explode(F.try_variant_get(F.col(record), "$", "map<string,variant>")).alias("field", "v"))
+    # one entry without a name per record carries the record count in the same aggregation
+    fields = F.map_entries(F.try_variant_get(F.col(record), "$", "map<string,variant>"))
+    counter = F.array(F.lit(None).cast("struct<key:string,value:variant>"))
+    entries = records.select(F.explode(F.concat(counter, F.coalesce(fields, F.array().cast("array<struct<key:string,value:variant>>")))).alias("f"))
+    entries = entries.select(F.col("f.key").alias("field"), F.col("f.value").alias("v"))
     entries = entries.select("field", "v", F.schema_of_variant("v").alias("_sch"))
     sch = F.col("_sch")
     typed = entries.select("field", value_type(F.col("v"), sch).alias("type"),
                            is_empty(F.col("v"), sch=sch).alias("empty"))
     by_type = typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"), F.count_if("empty").alias("e"))
+    if required:
+        # names alone, with zero rows
+        names = spark.createDataFrame([(f,) for f in required], "field string")
+        by_type = by_type.unionByName(names.select("field", F.lit(None).cast("string").alias("type"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("e")))
     by_field = by_type.groupBy("field").agg(
         F.sum("n").alias("present_records"),
         F.sum("e").alias("empty_records"),
-        F.map_from_entries(F.collect_list(F.struct("type", "n"))).alias("types"),
+        F.map_from_entries(F.collect_list(F.when(F.col("n") > 0, F.struct(F.coalesce("type", F.lit("")).alias("type"), "n")))).alias("types"),
     )
-    if required:
-        req = spark.createDataFrame([(f,) for f in required], "field string")
-        names = by_field.select("field").unionByName(req).distinct()
-        by_field = names.join(by_field, "field", "left")
-    total = records.agg(F.count(F.lit(1)).alias("_total"))
+    # one row per field name is left here
+    total = F.coalesce(F.max(F.when(F.col("field").isNull(), F.col("present_records"))).over(Window.partitionBy()), F.lit(0))
+    by_field = by_field.withColumn("_total", total).where(F.col("field").isNotNull())
     present = F.coalesce(F.col("present_records"), F.lit(0)).cast("long")
     return (
-        with_one_row(by_field, total)
-        .select(
+        by_field.select(
             "field",
             present.alias("present_records"),
             (F.col("_total") - present).alias("missing_records"),
@@ -154,6 +160,39 @@ def histogram(df: DataFrame, c: str, python_bool: bool = True) -> DataFrame:
     return df.where(col.isNotNull()).groupBy(key.alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
+def raw_availability(
+    records: DataFrame,
+    text_fields: Sequence[str] = ("reviewText", "summary"),
+    fields: Sequence[str] = ("style", "vote", "image"),
+    record: str = "record",
+    places: int | None = 2,
+) -> DataFrame:
+    """AG8: one row over VARIANT records: per text field, records with
+    non-blank text and its average normalized length; per other field, records
+    where the raw value is not empty (P12)."""
+    names = [*text_fields, *fields]
+    staged = records.select(*[field(record, c).alias(c) for c in names])
+    texts = {c: normalize_text(clean_value_string(F.col(c))) for c in text_fields}
+    staged = staged.select(*[texts.get(c, ~is_empty(F.col(c))).alias(c) for c in names])
+    aggs = [F.count(F.lit(1)).alias("records")]
+    for c in text_fields:
+        aggs += [F.count_if(F.col(c) != "").alias(f"with_{c}"), F.sum(F.length(c)).alias(f"_len_{c}")]
+    out = staged.agg(*aggs, *[F.count_if(c).alias(f"with_{c}") for c in fields])
+    cols = ["records"]
+    for c in text_fields:
+        avg = F.coalesce(F.try_divide(F.col(f"_len_{c}").cast("double"), F.col(f"with_{c}")), F.lit(0.0))
+        cols += [f"with_{c}", (F.round(avg, places) if places is not None else avg).alias(f"avg_{c}_length")]
+    return out.select(*cols, *[f"with_{c}" for c in fields])
+
+
+def raw_histogram(records: DataFrame, name: str, record: str = "record") -> DataFrame:
+    """AG10: records per text of the raw value as Python prints it (``5.0``,
+    ``4``, ``abc``); missing and null values are skipped."""
+    v = records.select(field(record, name).alias("v")).where(F.col("v").isNotNull())
+    text = number_text("v")
+    return v.select(text.alias("value")).where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("count"))
+
+
 # ---------------------------------------------------------- cardinality
 def cardinality(
     products: DataFrame,

@@ -12,6 +12,7 @@ from lakeloom.plans import (  # noqa: F401
     q_quality,
     q_resolve,
     q_search,
+    q_sinks,
     q_stream,
 )
 from lakeloom.plans.registry import ORACLES, QUERIES, register, rounded  # noqa: F401

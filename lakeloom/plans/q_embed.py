@@ -57,7 +57,7 @@ def e3_resume(spark, sf_dir):
     # run 1 stops after the English documents (an interrupted job) ...
     embed.run_resumable(docs.where(F.col("lang") == "en"), "doc_id", job, out, run_id=1)
     # ... run 2 is started on everything and only embeds what is missing
-    latest = embed.run_resumable(docs, "doc_id", job, out, run_id=2)
+    latest = embed.run_resumable(docs, "doc_id", job, out, run_id=2, parts=3)
     return latest.select("doc_id", "run_id", "embedding_dimension")
 
 

@@ -318,6 +318,34 @@ def p9_product_field_profile(spark, sf_dir):
     return rounded(prof.withColumn("types", _types_text(c("types"))))
 
 
+# ------------------------------------------------------------ p10 / p12
+P10_SQL = """
+SELECT count(*) AS records,
+       count(*) FILTER (WHERE l_linenumber % 3 <> 0) AS "with_reviewText",
+       round(sum(l_linenumber) FILTER (WHERE l_linenumber % 3 <> 0) / count(*) FILTER (WHERE l_linenumber % 3 <> 0), 6) AS "avg_reviewText_length",
+       count(*) AS with_summary,
+       round(sum(length('S' || l_linenumber)) / count(*), 6) AS avg_summary_length,
+       count(*) FILTER (WHERE l_orderkey % 4 IN (1, 2)) AS with_style,
+       count(*) FILTER (WHERE l_linenumber IN (1, 3, 4, 5)) AS with_vote,
+       count(*) FILTER (WHERE l_orderkey % 5 = 0) AS with_image
+FROM lineitem
+"""
+
+
+@register("p10_review_availability", P10_SQL)
+def p10_review_availability(spark, sf_dir):
+    recs = parse_records(_review_lines(spark, sf_dir)).where("parse_error IS NULL")
+    return rounded(profile.raw_availability(recs, places=None))
+
+
+@register("p12_raw_rating_histogram", f"""
+WITH lines AS ({_review_lines_sql()}), v AS (SELECT json_extract_string(line, '$.overall') AS value FROM lines)
+SELECT value, count(*) AS count FROM v WHERE value IS NOT NULL GROUP BY 1""")
+def p12_raw_rating_histogram(spark, sf_dir):
+    recs = parse_records(_review_lines(spark, sf_dir)).where("parse_error IS NULL")
+    return profile.raw_histogram(recs, "overall")
+
+
 # ------------------------------------------------------------------ p11
 P11_SQL = f"""
 SELECT field, missing_records AS missing, empty_records AS empty FROM ({P8_SQL})

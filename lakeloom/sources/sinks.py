@@ -30,6 +30,12 @@ def write_parquet(
     return int(obs.get["rows"])
 
 
+def row_count(spark: SparkSession, path: str) -> DataFrame:
+    """``n_rows`` of a Parquet table. The scan reads no column, so each
+    task takes the row count of its row groups from the footer."""
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def write_quarantine(invalid: DataFrame, path: str, run_id: str, entity: str) -> int:
     """S9 (K25 fixed): quarantine rows (error, record) as JSON lines under
     ``entity=.../run_id=...``; re-running a run replaces only that run."""

@@ -77,3 +77,11 @@ def test_timestamp_follows_python_int(spark):
     df = spark.createDataFrame([(k,) for k in cases], "x string")
     got = {r["x"]: r["s"] for r in df.select("x", V.parse_timestamp(F.parse_json("x"))[0].alias("s")).collect()}
     assert got == cases
+
+
+def test_floats_print_as_python_prints_them(spark):
+    from lakeloom.functions.values import float_text
+
+    values = [0.0, -0.0, 4.5, 1e7, 1.4e9, -1400000000.25, 123456789012345.67, 1e16, 1.5e16, 1.25e300, 1e-3, 1e-4, 0.00012345678901234567, 1e-5, -2.5e-7, 1e-12, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", float_text("v").alias("t"))
+    assert [r.t for r in df.collect()] == [str(v) for v in values]

@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from lakeloom.plans import catalog
 
 # queries that run jobs while being built (streaming, resumable writes) are skipped
-SIDE_EFFECTS = {"x1_stream_ingest", "e3_resume"}
+SIDE_EFFECTS = {"x1_stream_ingest", "e3_resume", "k1_silver_files", "k2_quarantine_files", "k3_report_file"}
 
 
 def plan(spark, name):
@@ -57,3 +57,13 @@ def test_enriched_search_reduces_reviews_before_aggregating(spark):
     partial = [i for i, line in enumerate(lines) if "partial_count" in line]
     # some semi join sits below (after, in the tree text) the partial aggregation
     assert semi and partial and max(semi) > min(partial)
+
+
+def test_field_profile_parses_its_input_once(spark):
+    p = plan(spark, "p8_review_field_profile")
+    assert p.count("FileScan parquet") == 1
+
+
+def test_row_counts_read_no_column(spark):
+    p = plan(spark, "k4_row_counts")
+    assert p.count("ReadSchema: struct<>") == p.count("FileScan parquet")

@@ -38,3 +38,30 @@ def test_zero_vectors_score_zero(spark):
     points = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "point_id long, embedding array<float>")
     got = {r.point_id: r.score for r in search.topk_exact(points, [1.0, 0.0], 2).collect()}
     assert got == {1: 0.0, 2: 1.0}
+
+
+def test_a_killed_run_keeps_the_parts_it_has_finished(spark, tmp_path):
+    out = str(tmp_path / "out")
+    todo = spark.range(100).withColumnRenamed("id", "key")
+    left = [2]
+
+    def job(df):
+        if not left[0]:
+            raise KeyboardInterrupt
+        left[0] -= 1
+        return df
+
+    with pytest.raises(KeyboardInterrupt):
+        embed.run_resumable(todo, "key", job, out, run_id=1, parts=4)
+    kept = {r.key for r in spark.read.parquet(out).collect()}
+    assert 0 < len(kept) < 100
+    left[0] = 4
+    latest = embed.run_resumable(todo, "key", job, out, run_id=2, parts=4).collect()
+    assert len(latest) == 100 and {r.key for r in latest if r.run_id == 1} == kept
+
+
+def test_models_of_two_names_do_not_mix(spark):
+    df = spark.createDataFrame([(1, "abc")], "id int, text string")
+    first = embed.embed_text(df, "text", ["id"], dim=2, encoder_factory=lambda: lambda ts: [[1.0, 0.0]] * len(ts), model_name="x")
+    second = embed.embed_text(df, "text", ["id"], dim=2, encoder_factory=lambda: lambda ts: [[0.0, 1.0]] * len(ts), model_name="y")
+    assert [list(d.first().embedding) for d in (first, second)] == [[1.0, 0.0], [0.0, 1.0]]
