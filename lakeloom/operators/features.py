@@ -17,10 +17,12 @@ def multimodal_features(
     products: DataFrame,
     summary_id: str = "canonical_product_id",
     product_id: str = "product_id",
+    order_by: str | None = None,
 ) -> DataFrame:
     """Inner join of the product summary with product metadata (one metadata
     row per id: duplicates are reduced on the join key, which shares the
-    join's partitioning) and assembly of the labeled text:
+    join's partitioning; the last by ``order_by`` stays, without it the
+    greatest by value) and assembly of the labeled text:
 
         Title: ...\\nBrand: ...\\nCategory: ...\\nDescription: ...\\nFeatures:\\n- a\\n- b
 
@@ -33,10 +35,11 @@ def multimodal_features(
             F.col("features").alias("_features"),
             F.col("image_urls").alias("_images"),
             F.col("high_res_image_urls").alias("_hi_images"),
+            *([F.col(order_by).alias("_order")] if order_by else []),
         )
     )
-    # of several rows of an id the greatest one by value stays: the choice does not depend on row order
-    others = [c for c in meta.columns if c != "_pid"]
+    # a struct compares by its first fields, so the order comes first and equal orders are told apart by value
+    others = sorted((c for c in meta.columns if c != "_pid"), key=lambda c: c != "_order")
     meta = meta.groupBy("_pid").agg(F.max(F.struct(*others)).alias("_m")).select("_pid", *[F.col(f"_m.{c}").alias(c) for c in others])
     j = summary.join(meta, summary[summary_id] == meta["_pid"], "inner")
     feats = F.filter(F.transform(F.col("_features"), lambda x: clean_string(x)), lambda x: x.isNotNull())

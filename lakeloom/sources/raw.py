@@ -8,6 +8,8 @@ instead of log messages (K8).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,11 +90,16 @@ def split_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def head(records: DataFrame, n: int, order_by: str = "seq") -> DataFrame:
+def head(records: DataFrame, n: int, order_by: str | Sequence[str] = ("source_file", "seq")) -> DataFrame:
     """T1 (``--max-records``): the first ``n`` good records in source order.
-    Ordering by the sequence taken at read time makes the choice
-    deterministic; the plan is a per-partition top-n (TakeOrderedAndProject),
-    so only n rows per task move to the final merge."""
+    Sequence numbers ascend within a file, not from file to file, so the file
+    comes first; columns that the records don't have are left out. The plan is
+    a per-partition top-n (TakeOrderedAndProject), so only n rows per task move
+    to the final merge."""
     if n <= 0:
         raise ValueError("n must be positive")
-    return records.orderBy(order_by).limit(n)
+    given = [order_by] if isinstance(order_by, str) else list(order_by)
+    there = [c for c in given if c in records.columns]
+    if not there:
+        raise ValueError(f"records have none of the columns {given}")
+    return records.orderBy(*there).limit(n)

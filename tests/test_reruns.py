@@ -65,3 +65,23 @@ def test_models_of_two_names_do_not_mix(spark):
     first = embed.embed_text(df, "text", ["id"], dim=2, encoder_factory=lambda: lambda ts: [[1.0, 0.0]] * len(ts), model_name="x")
     second = embed.embed_text(df, "text", ["id"], dim=2, encoder_factory=lambda: lambda ts: [[0.0, 1.0]] * len(ts), model_name="y")
     assert [list(d.first().embedding) for d in (first, second)] == [[1.0, 0.0], [0.0, 1.0]]
+
+
+def test_of_several_metadata_rows_the_last_one_stays(spark):
+    from lakeloom.operators import features
+
+    summary = spark.createDataFrame([(1, "a", "t", "b", "m", 1.0)], "canonical_product_id long, asin string, title string, brand string, main_category string, price double")
+    meta = spark.createDataFrame([(1, 1, "zz"), (1, 2, "aa")], "product_id long, seq long, description string").selectExpr(
+        "*", "cast(null as array<string>) as features", "cast(null as array<string>) as image_urls", "cast(null as array<string>) as high_res_image_urls")
+    text = lambda **kw: features.multimodal_features(summary, meta, **kw).first().text_content
+    assert "Description: aa" in text(order_by="seq") and "Description: zz" in text()
+
+
+def test_head_goes_file_by_file(spark):
+    from lakeloom.sources.raw import head
+
+    rows = spark.createDataFrame([("b", 1), ("a", 7), ("a", 5)], "source_file string, seq long")
+    assert [tuple(r) for r in head(rows, 2).collect()] == [("a", 5), ("a", 7)]
+    assert [r.seq for r in head(rows, 1, "seq").collect()] == [1]
+    with pytest.raises(ValueError):
+        head(rows.drop("seq", "source_file").selectExpr("1 as x"), 1)
