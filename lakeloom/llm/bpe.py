@@ -6,8 +6,8 @@ words go, packed, to buckets of the hash space. Each bucket is a part of the
 distinct-word table: it encodes every distinct word once, whatever the number
 of blocks it comes from, and returns the ids to the blocks, where they are
 joined back by position. A word that every document has is one entry a block,
-so no key is hot. Blocks are known by a digest of their words: the texts are
-split twice and moved never, and a block that finds no ids fails the job
+so no key is hot. Blocks are known by a digest of their ids and words: the texts
+are split twice and moved never, and a block that finds no ids fails the job
 rather than give wrong ids.
 
 Decoding joins ids to the vocabulary's pieces (a fixed small table, broadcast)
@@ -43,7 +43,7 @@ def _blocks(block_chars: int):
             for i, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
                 t = t.as_py()
                 docs.append((i, np.array([words.setdefault(w, len(words)) for w in SPACED_WORDS.findall(t)], np.uint32)))
-                size += len(t)
+                size += len(t) + 16  # empty texts have their ids at least
                 if size >= block_chars:
                     yield words, docs
                     words, docs, size = {}, [], 0
@@ -66,8 +66,8 @@ def _cut(data: bytes) -> list[str]:
     return [text[a:z] for a, z in zip([0, *ends], ends, strict=False)]
 
 
-def _name(words) -> int:
-    h = hashlib.blake2b(digest_size=8)
+def _name(words, docs) -> int:
+    h = hashlib.blake2b(repr([i for i, _ in docs]).encode(), digest_size=8)
     for w in words:
         h.update(w.encode())
         h.update(b"\xff")
@@ -80,12 +80,12 @@ def _bucket_of(words: list[str], buckets: int) -> np.ndarray:
 
 def _word_parts(block_chars: int, buckets: int):
     def run(batches):
-        for words, _ in _blocks(block_chars)(batches):
+        for words, docs in _blocks(block_chars)(batches):
             listed = list(words)
             bucket = _bucket_of(listed, buckets)
             order = np.argsort(bucket, kind="stable")
             cut = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist() + [len(order)]
-            block = _name(listed)
+            block = _name(listed, docs)
             out = [(int(bucket[order[a]]), block, _join([listed[k] for k in order[a:z]])) for a, z in zip(cut, cut[1:], strict=False)]
             cols = list(zip(*out, strict=True)) if out else [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["bucket", "block", "words"])
@@ -113,7 +113,7 @@ def _encoded(vocabulary, dtype: str):
 def _coded(block_chars: int):
     def run(batches):
         for words, docs in _blocks(block_chars)(batches):
-            block = _name(words)
+            block = _name(words, docs)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([len(words)], pa.int64()), pa.array([[i for i, _ in docs]], pa.list_(pa.int64())), pa.array([pack(np.array([len(c) for _, c in docs], np.uint32))], pa.binary()), pa.array([pack(np.concatenate([c for _, c in docs]))], pa.binary()), pa.array([zstandard.compress(_bucket_order(words))], pa.binary())],
                 names=["block", "n_words", "doc_ids", "sizes", "codes", "buckets"],
@@ -129,7 +129,7 @@ def _with_ids(dtype: str, buckets: int):
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        parts = {r["bucket"]: r for r in right.to_pylist()}  # blocks of equal words have equal parts
+        parts = {r["bucket"]: r for r in right.to_pylist()}  # blocks of equal ids and words have equal parts
         docs, out = [], []
         for row in left.to_pylist():
             crc = np.frombuffer(zstandard.decompress(row["buckets"]), "<u4")
