@@ -67,10 +67,10 @@ def _blocks(block_words: int, folds: int):
             w, c = word_hashes(data, offsets)
             d = b.column("doc").to_numpy(zero_copy_only=False)
             while len(d):  # whole documents, as many as reach the block's size
-                k = int(np.searchsorted(np.cumsum(c), block_words - size)) + 1
+                k = int(np.searchsorted(np.cumsum(c + 1), block_words - size)) + 1  # empty texts have their end
                 m = int(c[:k].sum())
                 ids.append(d[:k]), words.append(w[:m]), counts.append(c[:k])
-                size += m
+                size += m + len(d[:k])
                 d, w, c = d[k:], w[m:], c[k:]
                 if size >= block_words:
                     yield coded(n, ids, words, counts)
