@@ -148,3 +148,12 @@ def test_urls_rules_hosts_and_propagation(spark):
     scores = urls.host_scores(spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 1.0), ("c", 0.0, 0.0)], "host string, allowed double, blocked double"), spark.createDataFrame([("a", "c"), ("c", "b")], "src string, dst string"), rounds=3)
     s = {r.host: (r.trust, r.distrust) for r in scores.collect()}
     assert s["c"] == (pytest.approx(0.7), pytest.approx(0.7)) and s["a"][1] == pytest.approx(0.49)
+
+
+def test_blocks_of_empty_texts_are_bounded(docs_of):
+    rows = [(i, None if i % 2 else "", "en", "web", 0) for i in range(300)] + [(1000, "a word", "en", "web", 6)]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = {r.doc_id: r.ids for r in bpe.encode(docs_of(rows), path, block_chars=160).collect()}
+    assert len(coded) == 301 and [i for i, ids in coded.items() if ids] == [1000]
+    scored = {r.doc_id: r.n_tokens for r in lm.score(docs_of(rows), block_words=10).collect()}
+    assert len(scored) == 301 and scored[1000] == 3 and scored[7] == 1
