@@ -28,3 +28,19 @@ def components(links: DataFrame) -> DataFrame:
             break
         state = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select("b", "b").distinct())
+
+
+def joined_components(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) of the components of earlier links, as ``labels``, and new ``links`` (a, b).
+
+    Only roots take part: nodes of one component are one node of the new links.
+    """
+    if labels is None:
+        return components(links)
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    known = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    between = known.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")).where("a <> b").distinct()
+    merged = written(components(written(between, "root-links")), "root-labels")
+    into = merged.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    old = labels.join(into, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return old.union(merged.join(labels.select("node"), "node", "left_anti").select("node", "root"))

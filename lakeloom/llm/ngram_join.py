@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.base import NO_ID, id_of, text_of, written
-from lakeloom.llm.components import components
+from lakeloom.llm.components import joined_components
 from lakeloom.llm.words import by_document, combined, mix, text_buffer, windows, word_hashes
 
 _BUCKET_BITS = 16
@@ -339,7 +339,7 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     rows = docs.select(F.coalesce(id_of(id_col), F.lit(NO_ID)).alias("doc"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("text"))
     sets = written(rows.mapInArrow(_measured(size), _SETS), "sets")
     counts = np.zeros(1 << _BUCKET_BITS, np.int64)
-    for r in sets.where("kind = 1").groupBy("doc").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in sets.where("kind = 1").groupBy("doc").agg(F.sum("n").alias("n")).collect():  # a row a bucket at most
         counts[r.doc] = r.n
     common = spark.sparkContext.broadcast(counts)
 
@@ -391,17 +391,15 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
         several = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
         return labelled.join(several, "token")
 
-    rows_, tried, found = tiles.withColumn("label", F.col("cid")), None, None
+    rows_, tried, labels = tiles.withColumn("label", F.col("cid")), None, None
     for mode in ROUNDS:
         pairs = few_pairs(rows_, mode, tried)
         tried = pairs if tried is None else tried.union(pairs)
-        new = links(pairs)
-        found = new if found is None else found.union(new)
-        labels = written(components(found), "labels")
+        labels = written(joined_components(labels, links(pairs)), "labels")
         rows_ = written(mixed(rows_, labels), "mixed")
     rest = all_pairs(rows_)
     if not rest.isEmpty():
-        labels = written(components(found.union(links(rest))), "labels")
+        labels = written(joined_components(labels, links(rest)), "labels")
 
     named = classes.join(labels, classes["cid"] == labels["node"], "left").select(*key, classes["doc"].alias("least"), F.coalesce("root", "cid").alias("root"))
     named = written(named, "named")

@@ -120,6 +120,17 @@ def test_components_of_chains_stars_and_rings(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_joined_by_later_links(spark):
+    first = [(i, i + 1) for i in range(0, 40, 2)] + [(100, 101)]
+    later = [(i, i + 1) for i in range(1, 20, 2)] + [(41, 60), (60, 61), (101, 102), (0, 1)]
+    table = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    both = components.joined_components(components.joined_components(None, table(first)), table(later))
+    want = sorted(map(tuple, components.components(table(first + later)).collect()))
+    assert sorted(map(tuple, both.collect())) == want
+    again = components.joined_components(components.components(table(first)), table([]))
+    assert again.count() == 2 * len(first)
+
+
 def brute_suffixes(rows, length=100):
     seen, out = set(), []
     for i, t in sorted(rows, key=lambda r: low(r[0])):
