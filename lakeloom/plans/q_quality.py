@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from lakeloom.operators import silver
 from lakeloom.plans import roles
 from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.roles import KEYED_DOCUMENTS_SQL, PRODUCT_KEYS_SQL, PRODUCTS_SQL, reviews_sql, sql_has_text
 
-_REVIEW_COLS = ["l_orderkey", "l_linenumber", "product_key", "reviewer_key", "rating"]
+# whole rows; the list column is rendered as text at the end
+_REVIEW_COLS = ["l_orderkey", "l_linenumber", "product_key", "reviewer_key", "rating", "verified", "review_text", "review_id"]
+_IMAGES = F.array_join("image_urls", "|").alias("image_urls")
 
 
 def _flagged_reviews(spark, sf_dir):
-    r = roles.reviews(spark, sf_dir, rating_mod=7).select(*_REVIEW_COLS)
+    r = roles.reviews(spark, sf_dir, rating_mod=7)
     keys = silver.product_key_set(roles.product_keys(spark, sf_dir), asin="p_partkey")
     return silver.flag_reviews(r, keys, asin="product_key", rating="rating")
 
@@ -20,23 +24,24 @@ _FLAGGED_SQL = f"""
 WITH reviews AS ({reviews_sql(7)}),
      keys AS (SELECT DISTINCT p_partkey AS k FROM ({PRODUCT_KEYS_SQL}) WHERE p_partkey IS NOT NULL),
      flagged AS (
-       SELECT l_orderkey, l_linenumber, product_key, reviewer_key, rating,
+       SELECT l_orderkey, l_linenumber, product_key, reviewer_key, rating, verified, review_text, review_id,
+              array_to_string(image_urls, '|') AS image_urls,
               CASE WHEN k IS NULL THEN 'unknown_product'
                    WHEN rating IS NULL OR NOT (rating BETWEEN 1 AND 5) THEN 'invalid_rating' END AS error
        FROM reviews LEFT JOIN keys ON product_key = k)
 """
 
 
-@register("v1_silver_reviews", _FLAGGED_SQL + "SELECT l_orderkey, l_linenumber, product_key, reviewer_key, rating FROM flagged WHERE error IS NULL")
+@register("v1_silver_reviews", _FLAGGED_SQL + "SELECT * EXCLUDE (error) FROM flagged WHERE error IS NULL")
 def v1_silver_reviews(spark, sf_dir):
     f = _flagged_reviews(spark, sf_dir)
-    return rounded(f.where("error IS NULL").drop("error"))
+    return rounded(f.where("error IS NULL").select(*_REVIEW_COLS, _IMAGES))
 
 
 @register("v2_quarantine_reviews", _FLAGGED_SQL + "SELECT * FROM flagged WHERE error IS NOT NULL")
 def v2_quarantine_reviews(spark, sf_dir):
     f = _flagged_reviews(spark, sf_dir)
-    return rounded(f.where("error IS NOT NULL"))
+    return rounded(f.where("error IS NOT NULL").select(*_REVIEW_COLS, _IMAGES, "error"))
 
 
 V3_SQL = """

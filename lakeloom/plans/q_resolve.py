@@ -9,7 +9,7 @@ from lakeloom.functions.values import sha256_hex
 from lakeloom.operators import resolve
 from lakeloom.plans import roles
 from lakeloom.plans.registry import register, rounded
-from lakeloom.plans.roles import PRODUCT_KEYS_SQL, PRODUCTS_SQL, sql_normalize
+from lakeloom.plans.roles import PRODUCT_KEYS_SQL, PRODUCTS_SQL, reviews_sql, sql_normalize
 
 _PCOLS = ["product_key", "asin", "title", "brand", "main_category", "price"]
 
@@ -47,15 +47,16 @@ _LINK_SQL = f"""
 WITH m AS (SELECT p_partkey AS source_product_id,
                   min(p_partkey) OVER (PARTITION BY p_name) AS canonical_product_id
            FROM ({PRODUCT_KEYS_SQL})),
-     linked AS (SELECT l_orderkey, l_linenumber, l_partkey AS product_key, canonical_product_id
-                FROM lineitem LEFT JOIN m ON l_partkey = source_product_id)
+     linked AS (SELECT r.* EXCLUDE (image_urls), array_to_string(image_urls, '|') AS image_urls, canonical_product_id
+                FROM ({reviews_sql()}) r LEFT JOIN m ON product_key = source_product_id)
 """
 
 
 def _linked(spark, sf_dir):
     parts = roles.product_keys(spark, sf_dir)
     mapping = resolve.entity_mapping(parts, key="p_name", product_id="p_partkey", order_by="p_partkey")
-    reviews = roles.reviews(spark, sf_dir).select("l_orderkey", "l_linenumber", "product_key")
+    # whole rows; the list column is rendered as text
+    reviews = roles.reviews(spark, sf_dir).withColumn("image_urls", F.array_join("image_urls", "|"))
     return resolve.attach_canonical(reviews, mapping, review_key="product_key", mapping_key="source_product_id")
 
 
