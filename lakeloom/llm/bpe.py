@@ -100,6 +100,7 @@ def _encoded(vocabulary, dtype: str):
     def run(t: pa.Table) -> pa.Table:
         enc = encoder(vocabulary.value, dtype)
         lists = [_cut(x.as_py()) for x in t.column("words")]
+        enc.known.clear()  # no other bucket has this one's words
         known = enc.learn(dict.fromkeys(w for ws in lists for w in ws))
         size, out = enc.dtype.itemsize, []
         for block, bucket, ws in zip(t.column("block").to_pylist(), t.column("bucket").to_pylist(), lists, strict=True):
