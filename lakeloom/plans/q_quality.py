@@ -11,7 +11,10 @@ from lakeloom.plans.roles import KEYED_DOCUMENTS_SQL, PRODUCT_KEYS_SQL, PRODUCTS
 
 # whole rows; the list column is rendered as text at the end
 _REVIEW_COLS = ["l_orderkey", "l_linenumber", "product_key", "reviewer_key", "rating", "verified", "review_text", "review_id"]
-_IMAGES = F.array_join("image_urls", "|").alias("image_urls")
+
+
+def _images():
+    return F.array_join("image_urls", "|").alias("image_urls")
 
 
 def _flagged_reviews(spark, sf_dir):
@@ -35,13 +38,13 @@ WITH reviews AS ({reviews_sql(7)}),
 @register("v1_silver_reviews", _FLAGGED_SQL + "SELECT * EXCLUDE (error) FROM flagged WHERE error IS NULL")
 def v1_silver_reviews(spark, sf_dir):
     f = _flagged_reviews(spark, sf_dir)
-    return rounded(f.where("error IS NULL").select(*_REVIEW_COLS, _IMAGES))
+    return rounded(f.where("error IS NULL").select(*_REVIEW_COLS, _images()))
 
 
 @register("v2_quarantine_reviews", _FLAGGED_SQL + "SELECT * FROM flagged WHERE error IS NOT NULL")
 def v2_quarantine_reviews(spark, sf_dir):
     f = _flagged_reviews(spark, sf_dir)
-    return rounded(f.where("error IS NOT NULL").select(*_REVIEW_COLS, _IMAGES, "error"))
+    return rounded(f.where("error IS NOT NULL").select(*_REVIEW_COLS, _images(), "error"))
 
 
 V3_SQL = """
