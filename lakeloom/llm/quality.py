@@ -175,7 +175,7 @@ def bands(measures: DataFrame) -> DataFrame:
     return found.select("band", "script", F.col("of_band").isNotNull().alias("own"), *[used[m][e].alias(f"{m}_{e}") for m in MEASURES for e in ("lo", "hi")])
 
 
-def judge(docs: DataFrame, model_path: str, width: float = 2.0, min_words: int = 30, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, model_path: str, width: float = 2.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` of every row."""
     m = written(measure(docs, model_path, id_col, text_col, lang_col), "quality")
     joined = m.join(written(bands(m), "bands"), ["band", "script"], "left")
@@ -187,5 +187,5 @@ def judge(docs: DataFrame, model_path: str, width: float = 2.0, min_words: int =
         reach = F.greatest(spread, F.lit(floor) * wide)
         inside &= F.round(judged(x), 3).between(lo - reach, hi + reach * (2 if x == "token_entropy" else 1))
     failed = (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    passed = (F.col("n_words") < min_words) | (~F.col("outside") & F.coalesce(inside, F.lit(True)))
+    passed = ~F.col("outside") & F.coalesce(inside, F.lit(True))
     return joined.select(*m.columns, failed.alias("base_failed"), (~failed & passed).alias("kept"))

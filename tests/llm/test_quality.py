@@ -50,3 +50,9 @@ def test_texts_that_are_alone_meet_fixed_limits(docs_of):
     russian = "Комитет согласился что жатва начнётся до дождей и никто не покинет деревню пока работа не будет сделана"
     rows = [(1, russian, "ru"), (2, russian, None), (3, russian, "en"), (4, prose(1, 80), "en"), (5, prose(1, 80), "zh-TW"), (6, " ".join("☃☄★" + chr(0x2700 + i) for i in range(60)), "en")]
     assert kept_of(rows, docs_of) == {1, 2, 4}
+
+
+def test_short_texts_are_judged(docs_of):
+    good = [(i, prose(i, 60 + i % 40), "en") for i in range(150)] + [(400 + n, prose(n, n), "en") for n in range(10, 30)]
+    junk = [(500 + n, garbled(n, n), "en") for n in range(10, 30)]
+    assert kept_of(good + junk, docs_of) == {r[0] for r in good}
