@@ -5,9 +5,10 @@ domain and all its subdomains, the longest fitting rule wins. Urls without a
 rule get the verdict of their host. Hosts form a graph: an edge for each host
 that a page links to, and one in both directions between a host and its
 parent domain where both have pages. Trust is a personalised PageRank from
-the share of a host's pages that rules allow; distrust is one over reversed
-edges from the share that rules block, so a host that links to blocked hosts
-inherits distrust. A host is blocked when its distrust, in units of a seed,
+the share of a host's pages that rules allow. Distrust runs against the edges
+from the share that rules block, and a host inherits the mean of the hosts it
+links to, so what it gets does not depend on how many others link there. A
+host that its own pages block passes on a whole seed. A host is blocked when its distrust, in units of a seed,
 is ``threshold`` at least and more than its trust.
 
 Scores are joined to host edges round by round, each round written to the
@@ -76,14 +77,13 @@ def host_edges(pages: DataFrame, hosts: DataFrame, url_col: str = "url", html_co
 def host_scores(hosts: DataFrame, edges: DataFrame, damping: float = 0.7, rounds: int = 10) -> DataFrame:
     """(host, trust, distrust) from (host, allowed, blocked) seeds, in units of a seed."""
     out_n = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_n"))
-    in_n = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("in_n"))
-    weighted = written(edges.join(out_n, "src").join(in_n, "dst"), "host-edges")
+    weighted = written(edges.join(out_n, "src"), "host-edges")
     seeds = written(hosts.select("host", "allowed", "blocked"), "host-seeds")
     scores = seeds.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
     for _ in range(rounds):
         zero = F.lit(0.0)
         forward = weighted.join(scores, weighted["src"] == scores["host"]).select(F.col("dst").alias("to"), (F.col("trust") / F.col("out_n")).alias("t"), zero.alias("d"))
-        back = weighted.join(scores, weighted["dst"] == scores["host"]).select(F.col("src").alias("to"), zero.alias("t"), (F.col("distrust") / F.col("in_n")).alias("d"))
+        back = weighted.join(scores, weighted["dst"] == scores["host"]).select(F.col("src").alias("to"), zero.alias("t"), (F.col("distrust") / F.col("out_n")).alias("d"))
         got = forward.union(back).groupBy("to").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
         step = lambda seed, got_: (F.col(seed) + F.lit(damping) * F.coalesce(F.col(got_), zero))
         scores = written(seeds.join(got, seeds["host"] == got["to"], "left").select("host", step("allowed", "t").alias("trust"), step("blocked", "d").alias("distrust")), "host-scores")
@@ -95,7 +95,9 @@ def judge(pages: DataFrame, rules=RULES, damping: float = 0.7, rounds: int = 10,
     base = ruled(pages, rules, id_col, url_col)
     share = lambda v: F.avg(F.when(F.col("ruled") == v, 1.0).otherwise(0.0))
     hosts = written(base.where("host <> ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked")), "hosts")
-    scores = host_scores(hosts, host_edges(pages, hosts, url_col, html_col), damping, rounds)
+    # of a host that is blocked without any link the whole counts, not the share
+    whole = F.when((F.col("blocked") >= threshold) & (F.col("blocked") > F.col("allowed")), F.lit(1.0)).otherwise(F.col("blocked"))
+    scores = host_scores(hosts.withColumn("blocked", whole), host_edges(pages, hosts, url_col, html_col), damping, rounds)
     bad = scores.where((F.round("distrust", 9) >= threshold) & (F.round("distrust", 9) > F.round("trust", 9))).select("host", F.lit("block").alias("of_host"))
     joined = base.join(written(bad, "blocked-hosts"), "host", "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("ruled", "of_host", F.lit("allow")).alias("verdict"))
