@@ -2,21 +2,25 @@
 
 Rules judge urls directly: a rule is a domain and a path prefix, it fits the
 domain and all its subdomains, the longest fitting rule wins. Urls without a
-rule get the verdict of their host. Hosts form a graph: an edge for each host
+rule get the verdict of their host. The graph's hosts are those of pages and
+those of links, whether they have pages or not. It has an edge for each host
 that a page links to, and one in both directions between a host and its
-parent domain where both have pages. Trust is a personalised PageRank from
-the share of a host's pages that rules allow. Distrust runs against the edges
-from the share that rules block, and a host inherits the mean of the hosts it
+nearest ancestor in the graph. A host's seeds are the shares of its urls that
+rules allow and block: of its pages and of the other urls that different hosts
+link to, where of a host with pages only links count that a rule fits. Trust
+is a personalised PageRank from the allowed share. Distrust runs against the
+edges from the blocked share, and a host inherits the mean of the hosts it
 links to, so what it gets does not depend on how many others link there. A
-host that its own pages block passes on a whole seed. A host is blocked when its distrust, in units of a seed,
-is ``threshold`` at least and more than its trust.
+host that its own urls block passes on a whole seed. A host is blocked when
+its distrust, in units of a seed, is ``threshold`` at least and more than its
+trust.
 
 Scores are joined to host edges round by round, each round written to the
-shared folder; a host's pages are pre-aggregated before any shuffle.
+shared folder; a host's urls are pre-aggregated before any shuffle.
 
 Defined results: a null url or one without ``://`` has empty host and path;
 empty hosts take no part in the graph and are allowed; null html has no
-links; repeated rows are judged each and count each.
+links; repeated rows are judged each and count each; linked urls count once.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ RULES = (
     ("block", "net/fr/"),
 )
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+LINK = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)([^?#]*)"
 HREF = r"""(?i)href\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -60,18 +65,37 @@ def ruled(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str =
     return base.select("*", rule.alias("rule"), verdict.alias("ruled"))
 
 
-def host_edges(pages: DataFrame, hosts: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(src, dst), distinct, both with pages: links in html and parent domains in both directions."""
+def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(src, dst, path), distinct: the urls on other hosts that a host's pages link to."""
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     own = pages.select(parsed(pages, url_col)[0], F.regexp_extract_all(html, F.lit(HREF), F.lit(1)).alias("links"))
     # a link without a host stays on its own host and is no edge
-    outside = F.array_distinct(F.filter(F.transform("links", lambda x: lower_ascii(F.regexp_extract(x, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]+)", 1))), lambda x: x != ""))
-    linked = own.select(F.col("host").alias("src"), F.explode(outside).alias("dst")).distinct()
-    parent = F.regexp_extract("host", r"^[^.]+\.(.+)$", 1)
-    up = hosts.select(F.col("host").alias("src"), parent.alias("dst")).where("dst <> ''")
-    edges = linked.union(up).union(up.select(F.col("dst"), F.col("src"))).where("src <> dst").distinct()
-    known = hosts.select("host")
-    return edges.join(known.withColumnRenamed("host", "src"), "src").join(known.withColumnRenamed("host", "dst"), "dst").select("src", "dst")
+    target = lambda x: F.struct(lower_ascii(F.regexp_extract(x, LINK, 1)).alias("dst"), F.regexp_extract(x, LINK, 2).alias("path"))
+    outside = F.array_distinct(F.filter(F.transform("links", target), lambda x: x["dst"] != ""))
+    return own.select(F.col("host").alias("src"), F.explode(outside).alias("to")).select("src", "to.*").where("src <> '' AND src <> dst").distinct()
+
+
+def host_seeds(base: DataFrame, links: DataFrame, rules=RULES) -> DataFrame:
+    """(host, allowed, blocked) of every host of pages (host, path) and links: the shares of its urls that rules allow and block."""
+    urls = base.where("host <> ''").select("host", "path", F.lit(1).alias("page")).union(links.select("dst", "path", F.lit(0)))
+    urls = urls.groupBy("host", "path").agg(F.sum("page").alias("pages"))  # a linked page is a page
+    urls = urls.select("host", "pages", F.greatest("pages", F.lit(1)).alias("n"), _rule_columns(rules)[1].alias("ruled"))
+    total = lambda c, v: F.sum(F.when(v, F.col(c)).otherwise(0))
+    hosts = urls.groupBy("host").agg(F.sum("pages").alias("pages"), F.sum("n").alias("n"), total("n", F.col("ruled") == "allow").alias("a"), total("n", F.col("ruled") == "block").alias("b"), total("pages", F.col("ruled").isNull()).alias("rest"))
+    count = F.when(F.col("pages") > 0, F.col("a") + F.col("b") + F.col("rest")).otherwise(F.col("n"))
+    return hosts.select("host", (F.col("a") / count).alias("allowed"), (F.col("b") / count).alias("blocked"))
+
+
+def host_edges(links: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(src, dst), distinct: links between hosts, and a host and its nearest ancestor in ``hosts`` in both directions."""
+    parts = F.split("host", r"\.")
+    n = F.size(parts)
+    # a domain name has at most 127 labels
+    above = F.transform(F.filter(F.sequence(F.lit(2), F.greatest(F.lit(2), n)), lambda i: (i <= n) & (i > n - 127)), lambda i: F.struct(i.alias("skipped"), F.array_join(F.slice(parts, i, n - i + 1), ".").alias("dst")))
+    ancestors = hosts.select(F.col("host").alias("src"), F.explode(above).alias("up")).select("src", "up.*").where("dst <> ''")
+    found = ancestors.join(hosts.select(F.col("host").alias("dst")), "dst")
+    up = found.groupBy("src").agg(F.min(F.struct("skipped", "dst")).alias("up")).select("src", "up.dst")
+    return links.select("src", "dst").union(up).union(up.select(F.col("dst"), F.col("src"))).distinct()
 
 
 def host_scores(hosts: DataFrame, edges: DataFrame, damping: float = 0.7, rounds: int = 10) -> DataFrame:
@@ -93,11 +117,11 @@ def host_scores(hosts: DataFrame, edges: DataFrame, damping: float = 0.7, rounds
 def judge(pages: DataFrame, rules=RULES, damping: float = 0.7, rounds: int = 10, threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, host, path, rule, verdict), one row per input row."""
     base = ruled(pages, rules, id_col, url_col)
-    share = lambda v: F.avg(F.when(F.col("ruled") == v, 1.0).otherwise(0.0))
-    hosts = written(base.where("host <> ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked")), "hosts")
+    links = written(host_links(pages, url_col, html_col), "links")
+    hosts = written(host_seeds(base, links, rules), "hosts")
     # of a host that is blocked without any link the whole counts, not the share
     whole = F.when((F.col("blocked") >= threshold) & (F.col("blocked") > F.col("allowed")), F.lit(1.0)).otherwise(F.col("blocked"))
-    scores = host_scores(hosts.withColumn("blocked", whole), host_edges(pages, hosts, url_col, html_col), damping, rounds)
+    scores = host_scores(hosts.withColumn("blocked", whole), host_edges(links, hosts), damping, rounds)
     bad = scores.where((F.round("distrust", 9) >= threshold) & (F.round("distrust", 9) > F.round("trust", 9))).select("host", F.lit("block").alias("of_host"))
     joined = base.join(written(bad, "blocked-hosts"), "host", "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("ruled", "of_host", F.lit("allow")).alias("verdict"))

@@ -1,4 +1,6 @@
-"""Distrust over the host graph: many in-links."""
+"""Distrust over the host graph: many in-links, hosts without pages, distant ancestors."""
+
+import pytest
 
 from lakeloom.llm import urls
 
@@ -27,3 +29,37 @@ def test_a_link_farm_is_blocked_however_many_link_to_its_targets(spark):
 def test_a_farm_of_a_host_that_is_blocked_in_part(spark):
     rows = [(1, "http://a.net/es/1", None), (2, "http://a.net/es/2", None), (3, "http://a.net/en/1", None), (4, "http://farm.org/1", page("http://a.net/x", "//a.net/y"))]
     assert verdicts(spark, rows)[4] == "block"
+
+
+def test_linked_hosts_without_pages_count(spark):
+    rows = [
+        (1, "http://farm.org/1", page("http://x.net/es/1", "//X.net/fr/2")),  # a host of blocked urls only
+        (2, "http://shop.org/1", page("http://y.net/en/1", "http://y.net/es/1", "http://y.net/en/2")),  # a third is blocked
+        (3, "http://far.org/1", page("http://farm.org/")),  # over a blocked host
+        (4, "http://z.net/en/1", None), (5, "http://other.org/1", page("http://z.net/es/1", "http://z.net/es/2", "http://z.net/en/9")),  # z.net: two of three judged
+        (6, None, page("http://q.net/es/1")),
+    ]
+    assert verdicts(spark, rows) == {1: "block", 2: "allow", 3: "allow", 4: "block", 5: "block", 6: "allow"}
+
+
+def test_seeds_of_pages_and_links(spark):
+    base = spark.createDataFrame([("a.net", "/es/1"), ("a.net", "/es/1"), ("a.net", "/en/1"), ("", "")], "host string, path string")
+    links = spark.createDataFrame([("f", "a.net", "/es/1"), ("f", "a.net", "/en/7"), ("f", "a.net", "/fr/1"), ("g", "a.net", "/fr/1"), ("f", "b.net", "/fr/1"), ("f", "b.net", "/"), ("f", "c.com", "/")], "src string, dst string, path string")
+    got = {r.host: (r.allowed, r.blocked) for r in urls.host_seeds(base, links).collect()}
+    assert got == {"a.net": (0.0, pytest.approx(0.75)), "b.net": (0.0, 0.5), "c.com": (1.0, 0.0)}
+
+
+def test_a_host_is_linked_to_its_nearest_ancestor(spark):
+    hosts = spark.createDataFrame([(h,) for h in ("a.b.example.net", "example.net", "c.example.net", "x.c.example.net", "net", "other.org")], "host string")
+    links = spark.createDataFrame([], "src string, dst string, path string")
+    up = {("a.b.example.net", "example.net"), ("example.net", "net"), ("c.example.net", "example.net"), ("x.c.example.net", "c.example.net")}
+    got = [tuple(r) for r in urls.host_edges(links, hosts).collect()]
+    assert sorted(got) == sorted(up | {(b, a) for a, b in up})
+
+
+def test_paths_over_ancestors_and_uncrawled_hosts_are_not_cut(spark):
+    seeds = [("spam.example.net", 0.0, 1.0), ("example.net", 0.0, 0.0), ("a.b.example.net", 0.0, 0.0)]
+    hosts = spark.createDataFrame(seeds, "host string, allowed double, blocked double")
+    links = spark.createDataFrame([("example.net", "spam.example.net", "/")], "src string, dst string, path string")
+    got = {r.host: r.distrust for r in urls.host_scores(hosts, urls.host_edges(links, hosts), rounds=2).collect()}
+    assert got["a.b.example.net"] > 0
