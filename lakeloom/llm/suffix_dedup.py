@@ -7,13 +7,13 @@ prefixes:
 
 1. Sample the suffixes whose place in their document is in a difference cover
    modulo 31. Any two places meet the cover at a common offset below 31.
-2. Sort the samples by their first ``length - 30`` bytes and name them. The
-   general algorithm recurses on names until they tell all suffixes apart;
+2. Name the samples by a hash of their first ``length - 30`` bytes; the names
+   are sorted, not the bytes. The general algorithm recurses on names until they tell all suffixes apart;
    for bounded prefixes one level says all that is needed: which names occur
    more than once.
 3. Merge the remaining suffixes: a place can start a repeated string only if
    a sample with a repeated name lies less than 31 bytes after it. Those
-   places are sorted by the fingerprint of their ``length`` bytes.
+   places are sorted by the fingerprints of their ``length`` bytes.
 4. Compare adjacent ones: of equal prefixes the earliest start stays, all
    others cover their bytes.
 
@@ -23,7 +23,9 @@ place; were the input dealt out in another way meanwhile, no answers would be
 found for a block and the job would fail. Names and fingerprints go to buckets of the hash space, sorted
 and packed, each once a block, so a passage that every document has is one
 entry a block and no key is hot. Names have 8 bits more than the corpus' size needs (a
-clash only means more places to sort), prefixes are told apart by 64-bit polynomial fingerprints.
+clash only means more places to sort). Prefixes are told apart by 128 bits: a
+polynomial fingerprint and a second hash that chains their 64-bit words, which
+no clash of the first favours.
 
 Defined results: null text counts as empty; texts shorter than ``length``
 lose nothing; a null id is the smallest; of rows repeating an id the one
@@ -52,6 +54,8 @@ COVER = (1, 5, 11, 24, 25, 27)
 _BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("z", pa.binary())])
 _VALUES = np.random.default_rng(23).integers(1, 2**64, 256, dtype=np.uint64)
 _R = 0x9E3779B97F4A7C15
+_SEED = 0xD6E8FEB86659FD93
+_CHUNK = 1 << 16
 _POWERS: dict[int, np.ndarray] = {}
 
 
@@ -77,6 +81,21 @@ class _Windows:
         return mix((self.sums[places + length] - self.sums[places]) * self.back[places])
 
 
+def _checks(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """A second hash of windows, independent of the first: their words of 8 bytes, mixed one after another."""
+    out = np.zeros(len(places), np.uint64)
+    if not len(places):
+        return out
+    word = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view("<u8").ravel()  # at every byte
+    for a in range(0, len(places), _CHUNK):
+        at = places[a : a + _CHUNK]
+        h = np.full(len(at), _SEED, np.uint64)
+        for k in [*range(0, length - 8, 8), length - 8]:
+            h = mix(h * np.uint64(_R) + word[at + k])
+        out[a : a + _CHUNK] = h
+    return out
+
+
 def _blocks(block_bytes: int):
     def block(n, ids, texts):
         row = {"ids": pack(np.array(ids, np.int64)), "sizes": pack(np.array([len(t) for t in texts], np.uint64)), "z": zstandard.compress(b"".join(texts), 5)}
@@ -137,16 +156,16 @@ def _cut(keys: np.ndarray, buckets: int, bits: int) -> list[tuple[int, int, int]
     return [(i, a, z) for i, (a, z) in enumerate(zip(at, at[1:], strict=False)) if z > a]
 
 
-_SENT = "bucket int, block long, base long, keys binary, extra binary"
+_SENT = "bucket int, block long, base long, keys binary, extra binary, checks binary"
 _BACK = "block long, bucket int, bits binary"
 
 
-def _sent(block: int, parts, keys, extra):
+def _sent(block: int, parts, keys, extra, checks=None):
     base = int(extra.min()) if len(extra) else 0  # what follows is small where a block's ids are close
     extra = extra.astype(np.uint64) - np.uint64(base % 2**64)
     return pa.RecordBatch.from_arrays(
-        [pa.array([i for i, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()), pa.array([base] * len(parts), pa.int64()), pa.array([pack_sorted(keys[a:z]) for _, a, z in parts], pa.binary()), pa.array([pack(extra[a:z]) for _, a, z in parts], pa.binary())],
-        names=["bucket", "block", "base", "keys", "extra"],
+        [pa.array([i for i, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()), pa.array([base] * len(parts), pa.int64()), pa.array([pack_sorted(keys[a:z]) for _, a, z in parts], pa.binary()), pa.array([pack(extra[a:z]) for _, a, z in parts], pa.binary()), pa.array([None if checks is None else pack(checks[a:z]) for _, a, z in parts], pa.binary())],
+        names=["bucket", "block", "base", "keys", "extra", "checks"],
     )
 
 
@@ -186,27 +205,32 @@ def _live(opened: _Opened, right: pa.Table, length: int, buckets: int, bits: int
     return opened.suspects(length, places[_gathered(right, _cut(distinct, buckets, bits))[of]])
 
 
+def _changes(prints: np.ndarray, checks: np.ndarray) -> np.ndarray:
+    """Whether each sorted fingerprint differs from the one before it."""
+    new = np.ones(len(prints), bool)
+    new[1:] = (prints[1:] != prints[:-1]) | (checks[1:] != checks[:-1])
+    return new
+
+
 def _first_in_block(opened: _Opened, places: np.ndarray, length: int):
-    """(distinct fingerprints, the number in ``places`` of each one's earliest start)."""
-    prints = opened.windows.at(places, length)
+    """(distinct fingerprints, their checks, the number in ``places`` of each one's earliest start, its document's id)."""
+    prints, checks = opened.windows.at(places, length), _checks(opened.data, places, length)
     doc = np.searchsorted(opened.starts, places, side="right") - 1
     rank = np.argsort(np.argsort(opened.ids, kind="stable"))  # documents by id
-    order = np.lexsort((places, rank[doc], prints))
-    new = np.ones(len(order), bool)
-    new[1:] = prints[order][1:] != prints[order][:-1]
-    first = order[new]
-    return prints[first], first, opened.ids[doc[first]]
+    order = np.lexsort((places, rank[doc], checks, prints))
+    first = order[_changes(prints[order], checks[order])]
+    return prints[first], checks[first], first, opened.ids[doc[first]]
 
 
 def _prints(length: int, buckets: int, bits: int, more: int):
-    empty = pa.Table.from_pylist([], pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("base", pa.int64()), ("keys", pa.binary()), ("extra", pa.binary())]))
+    empty = pa.Table.from_pylist([], pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("base", pa.int64()), ("keys", pa.binary()), ("extra", pa.binary()), ("checks", pa.binary())]))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [empty]
         for row in left.to_pylist():
             opened = _Opened(row)
-            keys, _, ids = _first_in_block(opened, _live(opened, right, length, buckets, bits), length)
-            out.append(pa.Table.from_batches([_sent(row["block"], _cut(keys, more, 64), keys, ids)]).cast(empty.schema))
+            keys, checks, _, ids = _first_in_block(opened, _live(opened, right, length, buckets, bits), length)
+            out.append(pa.Table.from_batches([_sent(row["block"], _cut(keys, more, 64), keys, ids, checks)]).cast(empty.schema))
         return pa.concat_tables(out)
 
     return run
@@ -218,12 +242,10 @@ def _earliest(t: pa.Table) -> pa.Table:
     sizes = [len(k) for k in keys]
     ids = np.concatenate([unpack(x.as_py(), np.uint64).view(np.int64) + b for x, b in zip(t.column("extra"), t.column("base").to_pylist(), strict=True)])
     block = np.repeat(t.column("block").to_numpy(), sizes)
-    keys = np.concatenate(keys)
-    order = np.lexsort((block, ids, keys))
+    keys, checks = np.concatenate(keys), np.concatenate([unpack(x.as_py(), np.uint64) for x in t.column("checks")])
+    order = np.lexsort((block, ids, checks, keys))
     first = np.zeros(len(keys), bool)
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[order][1:] != keys[order][:-1]
-    first[order[new]] = True
+    first[order[_changes(keys[order], checks[order])]] = True
     return _flags(t, first, sizes)
 
 
@@ -237,7 +259,7 @@ def _removed(length: int, buckets: int, bits: int, more: int):
             opened = _Opened(row)
             at = right.filter(pa.compute.equal(right.column("kind"), 1)), right.filter(pa.compute.equal(right.column("kind"), 2))
             places = _live(opened, at[0], length, buckets, bits)
-            keys, first, _ = _first_in_block(opened, places, length)
+            keys, _, first, _ = _first_in_block(opened, places, length)
             earliest = first[_gathered(at[1], _cut(keys, more, 64))]
             later = np.delete(places, earliest)
             edge = np.zeros(len(opened.data) + 1, np.int64)
