@@ -53,10 +53,11 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
+    """Of each group of linked documents the one with the smallest id, and of that id's texts the least hash, stays."""
     configure(spark)
     linked = ngram_join.link_components(docs)
-    stay = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text_key")
+    least = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("component_key"))
+    stay = linked.where(least).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text_key")
     rows = _rows(docs).join(stay, KEY, "left_semi")
     # rows repeating an id and text are copies of each other: one of them stays
     first = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(0)))

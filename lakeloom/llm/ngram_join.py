@@ -330,10 +330,12 @@ def _verified(size: int, percent: int):
 
 
 def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, text_key), one row per input row.
+    """(doc_id, n_shingles, component_id, text_key, component_key), one row per input row.
 
     Documents link when 100 * intersection >= percent * union; component_id is
-    the smallest id that links lead to.
+    the smallest id that links lead to, and component_key the least text_key
+    that a row of that id has in the component, which tells apart components
+    that share an id and names one document of each.
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(id_of(id_col), F.lit(NO_ID)).alias("doc"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("text"))
@@ -401,10 +403,10 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     if not rest.isEmpty():
         labels = written(joined_components(labels, links(rest)), "labels")
 
-    named = classes.join(labels, classes["cid"] == labels["node"], "left").select(*key, classes["doc"].alias("least"), F.coalesce("root", "cid").alias("root"))
+    named = classes.join(labels, classes["cid"] == labels["node"], "left").select(*key, F.struct(classes["doc"], classes["text_key"]).alias("least"), F.coalesce("root", "cid").alias("root"))
     named = written(named, "named")
-    smallest = written(named.groupBy("root").agg(F.min("least").alias("component")), "smallest")
-    of_class = written(named.join(smallest, "root").select(*key, "component"), "components")
+    smallest = written(named.groupBy("root").agg(F.min("least").alias("smallest")), "smallest")
+    of_class = written(named.join(smallest, "root").select(*key, F.col("smallest.doc").alias("component"), F.col("smallest.text_key").alias("component_key")), "components")
     joined = members.join(of_class, key, "left")
     known = lambda c: F.when(c != NO_ID, c)
-    return joined.select(known(F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"), known(F.coalesce("component", "doc")).alias("component_id"), "text_key")
+    return joined.select(known(F.col("doc")).alias("doc_id"), F.col("n").alias("n_shingles"), known(F.coalesce("component", "doc")).alias("component_id"), "text_key", F.coalesce("component_key", "text_key").alias("component_key"))

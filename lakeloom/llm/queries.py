@@ -70,7 +70,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link_components(documents(spark, sf_dir)).drop("text_key")
+    return ngram_join.link_components(documents(spark, sf_dir)).drop("text_key", "component_key")
 
 
 def _op5_sql() -> str:
