@@ -58,7 +58,10 @@ def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
     """(dim, share): target shares proportional to the dimension's tokens to ``power``."""
     by = cells.groupBy(dim).agg(F.sum("tokens").alias("t"))
     weight = F.when(F.col("t") > 0, F.pow(F.col("t").cast("double"), F.lit(power))).otherwise(F.lit(0.0))
-    return by.select(dim, (weight / F.sum(weight).over(Window.partitionBy())).alias("share"))
+    weights = by.select(dim, weight.alias("weight"))
+    # one row, joined: a window over all values would put them in one task
+    total = weights.agg(F.sum("weight").alias("total"))
+    return weights.crossJoin(F.broadcast(total)).select(dim, (F.col("weight") / F.col("total")).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rate: float, rounds: int = 8) -> DataFrame:

@@ -80,3 +80,12 @@ def test_run_matches_plain_versions_chained(spark, docs_of, sample, tmp_path):
     want = sorted((i, np.array(t.encode(x or "", add_special_tokens=False).ids, "<u4").tobytes(), x or "") for i, x, *_ in four)
     got = sorted((r.doc_id, bytes(r.ids), r.text) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert got == want and 0 < len(got) < len(sample)
+
+
+def test_shares_are_totalled_without_a_window(spark):
+    cells = spark.createDataFrame([(f"s{i}", i) for i in range(5)], "source string, tokens long")
+    shares = mixing.tempered(cells, "source", 0.5)
+    assert "Window" not in shares._jdf.queryExecution().executedPlan().toString()
+    got = {r.source: r.share for r in shares.collect()}
+    roots = sum(i**0.5 for i in range(5))
+    assert all(abs(got[f"s{i}"] - i**0.5 / roots) < 1e-12 for i in range(5))
