@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -17,10 +14,3 @@ def spark():
     checkpoint_dir(s)
     yield s
     s.stop()
-
-
-def lines_df(spark, lines):
-    from pyspark.sql import functions as F
-
-    return spark.createDataFrame([(x,) for x in lines], "line string").withColumn(
-        "seq", F.monotonically_increasing_id())

@@ -1,6 +1,6 @@
 """Raw-line parsing and normalization edge cases (FIXTURES.md sections 1-2)."""
 
-from conftest import lines_df
+from shared import lines_df
 
 from lakeloom.operators.ingest import ingest, normalize_products, normalize_reviews
 from lakeloom.sources.raw import parse_records, split_records

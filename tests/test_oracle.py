@@ -5,7 +5,7 @@ import os
 import sys
 
 import pytest
-from conftest import SF_SMALL
+from shared import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 

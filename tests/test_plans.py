@@ -3,7 +3,7 @@ the plan shape does not depend on the data size, except for AQE's runtime
 choice between broadcast and shuffled joins)."""
 
 import pytest
-from conftest import SF_SMALL
+from shared import SF_SMALL
 
 from lakeloom.plans import catalog
 
