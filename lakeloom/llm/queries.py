@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lakeloom.llm import bpe, exact_dedup, line_dedup, lm, mixing, ngram_join, quality, suffix_dedup, token_files, urls
+from lakeloom.llm import bpe, conversations, exact_dedup, line_dedup, lm, mixing, ngram_join, quality, suffix_dedup, token_files, urls
 from lakeloom.llm.base import ORACLES, QUERIES, documents, register  # noqa: F401
 
 _OP8 = """
@@ -142,3 +142,63 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffix_dedup.remove_repeats(documents(spark, sf_dir))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of an ASCII text, bit by bit."""
+    bit = "lambda c, i: xor(c >> 1, 3988292384 * (c & 1))"
+    byte = f"lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], {bit}, xor(c, b))"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: unicode(substr({text}, i::INTEGER, 1))::BIGINT)"
+    return f"xor(4294967295::BIGINT, list_reduce({codes}, {byte}, 4294967295::BIGINT))"
+
+
+def _op13_sql() -> str:
+    """The edit lattice layer by layer: for each state the least (cost, audit), with the text it gives."""
+    states = {"z": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    roles = {"u": "user", "a": "assistant"}
+
+    def way(q, cost, edit, line=None):
+        text = f"d.{q}.t" if line is None else f"d.{q}.t || {line} || chr(10)"
+        return f"{{'c': d.{q}.c + {cost}, 'a': d.{q}.a || '{edit}', 't': {text}}}"
+
+    def least(ways):
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def step(edges):
+        return "{" + ", ".join(f"'{q}': {least(w)}" for q, w in edges.items()) + "}"
+
+    added = {q: [f"d.{q}", *[way(p, 5, "I", f"'{roles[r]}:'") for p, n in states.items() for r, to in n.items() if to == q and r != "s"]] for q in states}
+    edits = {q: [way(q, 2, "D")] for q in states}
+    for p, n in states.items():
+        for r, to in n.items():
+            kept = f"(CASE WHEN r.i = '{r}' AND r.f < 2 THEN 5 * r.f ELSE 1000000 END)"
+            edits[to].append(way(p, kept, "K", "r.role || ':' || r.text"))
+            if r != "s":
+                edits[to].append(way(p, "(CASE WHEN r.f < 2 THEN 1 + 5 * r.f ELSE 1000000 END)", "R", f"'{roles[r]}:' || r.text"))
+    apply = lambda value, body: f"list_transform([{value}], lambda d: {body})[1]"
+    layer = apply(apply("d", step(added)), step(edits))
+    empty = "{'c': %d, 'a': '', 't': ''}"
+    first = "{" + ", ".join(f"'{q}': {empty % (0 if q == 'z' else 1000000)}" for q in states) + "}"
+    end = apply("ways", f"{least(['d.z', added['a'][0], *added['a'][1:]])}")
+    space = r"[^\x20\x09-\x0D]"
+    key = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    return f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql(key)} % 20 AS k FROM conversations)
+, damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM c WHERE k <> 0)
+, o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos, substr(role, 1, 1) AS i FROM damaged)
+, f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '{space}') THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 3
+    WHEN right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS f,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY pos) || i AS pair FROM o)
+, g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE f = 2) AS blank, count(*) FILTER (WHERE f = 3) AS duplicate,
+    count(*) FILTER (WHERE f = 1) AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    list_reduce(list({{'i': i, 'f': f, 'role': role, 'text': text, 'd': {first}}} ORDER BY pos), lambda x, r: {{'i': r.i, 'f': r.f, 'role': r.role, 'text': r.text, 'd': {layer.replace('[d]', '[x.d]')}}}, {{'i': '', 'f': 0, 'role': '', 'text': '', 'd': {first}}}).d AS ways FROM f GROUP BY conv_id)
+, w AS (SELECT conv_id, gaps, blank, duplicate, truncated, illegal, {end} AS way FROM g)
+SELECT u.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(way.c, 0)::BIGINT AS cost, coalesce(way.a, '') AS audit, sha256(coalesce(left(way.t, length(way.t) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) u LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM u.conv_id
+"""
+
+
+@register("op13_conversation_repair", _op13_sql())
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
