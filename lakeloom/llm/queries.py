@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lakeloom.llm import bpe, conversations, exact_dedup, line_dedup, lm, mixing, ngram_join, quality, suffix_dedup, token_files, urls
+from lakeloom.llm import bpe, conversations, exact_dedup, line_dedup, lm, mixing, ngram_join, quality, spelling, suffix_dedup, token_files, urls
 from lakeloom.llm.base import ORACLES, QUERIES, documents, register  # noqa: F401
 
 _OP8 = """
@@ -145,11 +145,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crc32_sql(text: str) -> str:
-    """The unsigned crc32 of an ASCII text, bit by bit."""
+    """The unsigned crc32 of the UTF-8 bytes of a text without code points above U+07FF, bit by bit."""
     bit = "lambda c, i: xor(c >> 1, 3988292384 * (c & 1))"
     byte = f"lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], {bit}, xor(c, b))"
     codes = f"list_transform(range(1, length({text}) + 1), lambda i: unicode(substr({text}, i::INTEGER, 1))::BIGINT)"
-    return f"xor(4294967295::BIGINT, list_reduce({codes}, {byte}, 4294967295::BIGINT))"
+    octets = f"flatten(list_transform({codes}, lambda u: CASE WHEN u < 128 THEN [u] ELSE [192 + (u >> 6), 128 + (u & 63)] END))"
+    return f"xor(4294967295::BIGINT, list_reduce({octets}, {byte}, 4294967295::BIGINT))"
 
 
 def _op13_sql() -> str:
@@ -202,3 +203,25 @@ FROM (SELECT DISTINCT conv_id FROM conversations) u LEFT JOIN w ON w.conv_id IS
 @register("op13_conversation_repair", _op13_sql())
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+_OP12 = f"""
+WITH RECURSIVE r AS (SELECT coalesce(doc_id::VARCHAR, '') AS doc, translate(unnest(regexp_extract_all(coalesce(text, ''), '{spelling.RUN}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+, c AS (SELECT doc, run, count(*) AS n FROM r WHERE length(run) >= 5 GROUP BY ALL)
+, h AS (SELECT *, {crc32_sql("(doc || ':' || run)")} AS h FROM c)
+, d AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h)
+, v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM d WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3)
+, p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)
+, x AS MATERIALIZED (SELECT word, n, left(word, i - 1) AS a, substr(word, i + 1) AS b FROM p)
+, k AS (SELECT l.word, r.word AS near, r.n AS near_n FROM x l JOIN x r ON l.a = r.a AND l.b = r.b AND length(l.word) = length(r.word) AND l.word <> r.word
+  UNION SELECT v.word, x.word, x.n FROM v JOIN x ON x.a || x.b = v.word UNION SELECT x.word, v.word, v.n FROM v JOIN x ON x.a || x.b = v.word)
+, b AS (SELECT word, count(*) AS n_near, list_sort(list({{'n': -near_n, 'w': near}}))[1] AS best FROM k GROUP BY word)
+, f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= 2 * v.n THEN best.w END AS form, CASE WHEN -best.n >= 2 * v.n THEN (-best.n)::BIGINT END AS form_n FROM v LEFT JOIN b ON b.word = v.word)
+, w AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT w.word, w.next, f.form FROM w JOIN f ON f.word = w.next)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n FROM f JOIN w ON w.word = f.word AND w.next IS NULL
+"""
+
+
+@register("op12_spelling_variants", _OP12)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.damaged_runs(documents(spark, sf_dir)))
