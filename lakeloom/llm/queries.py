@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from lakeloom.llm import bpe, conversations, exact_dedup, line_dedup, lm, mixing, ngram_join, quality, spelling, suffix_dedup, token_files, urls
+from lakeloom.llm import bpe, conversations, exact_dedup, line_dedup, lm, mixing, ngram_join, passages, quality, spelling, suffix_dedup, token_files, urls
 from lakeloom.llm.base import ORACLES, QUERIES, documents, register  # noqa: F401
 
 _OP8 = """
@@ -225,3 +225,22 @@ SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n FROM f JOIN w ON w.word =
 @register("op12_spelling_variants", _OP12)
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.damaged_runs(documents(spark, sf_dir)))
+
+
+_OP11 = r"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS row_no, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+, k AS (SELECT doc_id, row_no, unnest(range(1, len(w) - 11)) AS i, w FROM t)
+, x AS MATERIALIZED (SELECT doc_id, row_no, i, array_to_string(w[i:i + 12], ' ') AS passage FROM k)
+, m AS (SELECT passage, min(coalesce(doc_id, -9223372036854775808)) AS least FROM x GROUP BY passage)
+, g AS (SELECT DISTINCT row_no, unnest(range(i, i + 13)) AS i FROM x JOIN m USING (passage) WHERE least < coalesce(doc_id, -9223372036854775808))
+, r AS (SELECT row_no, list(i) AS gone FROM g GROUP BY row_no)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(coalesce(gone, []), i)), lambda i: w[i]), ' ')) AS kept_sha256
+FROM t LEFT JOIN r USING (row_no)
+"""
+
+
+@register("op11_passage_dedup", _OP11)
+def op11_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passages.remove_passages(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
