@@ -68,8 +68,14 @@ class FMIndex:
             key[: n - done] += rank[done:] + 1
             order = np.argsort(key, kind="stable")
             key = key[order]
-            rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
+            first = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+            # a suffix' rank is where its group begins, so the intervals of ``done`` words can be kept
+            rank[order] = np.repeat(first, np.diff(np.append(first, n)))
             done *= 2
+            if done <= depth:
+                self.tail, self.tails = done, rank.copy()
+                self.tail_end = np.zeros(n + 1, np.int64)
+                self.tail_end[first] = np.append(first[1:], n)
         self.suffixes = order
         last = text[order - 1]
         symbols = int(text.max()) + 1 if n else 1
@@ -115,6 +121,21 @@ class FMIndex:
             length[going] += 1
         return length, low, high
 
+    def repeats(self, text: np.ndarray, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which of ``places`` of the index' own text start a string of ``size`` words that occurs elsewhere too,
+        interval of the suffixes that start with it). A search begins with the interval of its last words, kept
+        from the sorting, and ends once one suffix is left: that is the place itself."""
+        tail = min(self.tail, size)
+        low = self.tails[places + size - tail]
+        high = self.tail_end[low]
+        going = np.flatnonzero(high - low > 1)
+        low, high = low[going], high[going]
+        for k in range(size - tail - 1, -1, -1):
+            low, high = self.step(text[places[going] + k], low, high)
+            more = high - low > 1
+            going, low, high = going[more], low[more], high[more]
+        return going, low, high
+
 
 # --------------------------------------------------------------- blocks
 _BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("z", pa.binary())])
@@ -145,6 +166,19 @@ def _blocks(block_bytes: int):
     return run
 
 
+class _Prints:
+    """Hashes of strings of words."""
+
+    def __init__(self, words: np.ndarray):
+        power, back = np.full(len(words) + 1, _R), np.full(len(words) + 1, _BACK)
+        power[0] = back[0] = 1
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * np.cumprod(power)[:-1], dtype=np.uint64)])
+        self.back = np.cumprod(back)
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix(mix((self.sums[end] - self.sums[start]) * self.back[start]) + (end - start).astype(np.uint64))
+
+
 class _Opened:
     """A block's words and passages."""
 
@@ -154,7 +188,7 @@ class _Opened:
         self.offsets = np.concatenate([[0], np.cumsum(sizes)])
         self.words, self.counts = word_hashes(self.data, self.offsets, lower=False)
         self.doc = np.repeat(np.arange(len(self.counts), dtype=np.int32), self.counts)
-        n, self.size = len(self.words), size
+        n, self.size, self.hashes = len(self.words), size, None
         self.run = self.end = self.name = np.zeros(0, np.int64)
         if n < size:
             return
@@ -176,15 +210,9 @@ class _Opened:
         self.name = name[first]
 
     def prints(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """A hash of the words from ``start`` to ``end``."""
-        if not hasattr(self, "sums"):
-            power = np.full(len(self.words) + 1, _R)
-            power[0] = 1
-            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.words * np.cumprod(power)[:-1], dtype=np.uint64)])
-            power = np.full(len(self.words) + 1, _BACK)
-            power[0] = 1
-            self.back = np.cumprod(power)
-        return mix(mix((self.sums[end] - self.sums[start]) * self.back[start]) + (end - start).astype(np.uint64))
+        if self.hashes is None:
+            self.hashes = _Prints(self.words)
+        return self.hashes.of(start, end)
 
     def seeds(self, bits: int):
         """(sorted distinct names, number of each passage's name, passages by name, first of each name)."""
@@ -319,20 +347,27 @@ def _matched(size: int):
         least = np.concatenate([unpack(x.as_py(), np.int64) for x in t.column("least")])
         ends = np.cumsum(windows + size - 1)
         start = ends - windows - size + 1
+        # blocks have passages in common: each is indexed once, with the least of its documents
+        _, first, passage = np.unique(_Prints(words).of(start, ends), return_index=True, return_inverse=True)
+        least_of = np.full(len(first), 2**63 - 1, np.int64)
+        np.minimum.at(least_of, passage, least)
+        n_windows = windows[first]
         # the text: passages one after another, a separator after each
-        _, symbol = np.unique(words, return_inverse=True)
-        text = np.zeros(len(words) + len(windows), np.int64)
-        text[np.arange(len(words)) + np.repeat(np.arange(len(windows)), windows + size - 1)] = symbol + 1
-        begin = start + np.arange(len(windows))
-        owner = np.repeat(least, windows + size)
+        _, symbol = np.unique(words[_spread(start[first], n_windows + size - 1)], return_inverse=True)
+        text = np.zeros(len(symbol) + len(first), np.int64)
+        text[np.arange(len(symbol)) + np.repeat(np.arange(len(first)), n_windows + size - 1)] = symbol + 1
+        owner = np.repeat(least_of, n_windows + size)
         index = FMIndex(text, size)
-        places = _spread(begin, windows)
-        length, low, high = index.matches(text, places, size)
-        assert (length == size).all()  # each passage is in its shard's text itself
-        at, of = np.unique(low, return_inverse=True)
-        upto = np.zeros(len(at), np.int64)
-        upto[of] = high
-        smallest = np.minimum.reduceat(np.append(owner[index.suffixes], 2**63 - 1), np.column_stack([at, upto]).ravel())[::2][of]
+        offset = np.cumsum(n_windows) - n_windows
+        places = _spread(offset + np.arange(len(first)) * size, n_windows)
+        smallest = owner[places]  # of a match with nothing but itself
+        again, low, high = index.repeats(text, places, size)
+        if len(again):
+            at, of = np.unique(low, return_inverse=True)
+            upto = np.zeros(len(at), np.int64)
+            upto[of] = high
+            smallest[again] = np.minimum.reduceat(np.append(owner[index.suffixes], 2**63 - 1), np.column_stack([at, upto]).ravel())[::2][of]
+        smallest = smallest[_spread(offset[passage], windows)]
         cuts = np.cumsum([int(x.sum()) for x in each])[:-1]
         return pa.table({"block": t.column("block"), "shard": t.column("shard"), "smallest": pa.array([pack(x) for x in np.split(smallest, cuts)], pa.binary())})
 

@@ -54,6 +54,22 @@ def test_index_finds_all_matches(seed):
             assert not any(len(text[i : i + n + 1]) == n + 1 and (text[i : i + n + 1] == longer).all() for i in range(3000))
 
 
+@pytest.mark.parametrize("size", [8, 13, 16])
+def test_index_finds_own_repeats(size):
+    rnd = np.random.default_rng(size)
+    piece = rnd.integers(1, 400, 60)
+    parts = [rnd.integers(1, 400, rnd.integers(1, 40)) if rnd.random() < 0.5 else piece[rnd.integers(0, 30) :][: rnd.integers(5, 40)] for _ in range(80)]
+    text = np.concatenate([np.append(x, 0) for x in parts])
+    index = passages.FMIndex(text, size)
+    places = np.array([i for i in range(len(text) - size) if (text[i : i + size] != 0).all()])
+    again, low, high = index.repeats(text, places, size)
+    got = {int(places[a]): sorted(index.suffixes[x:y].tolist()) for a, x, y in zip(again, low, high, strict=True)}
+    same = {}
+    for p in places.tolist():
+        same.setdefault(tuple(text[p : p + size].tolist()), []).append(p)
+    assert got == {p: ps for ps in same.values() if len(ps) > 1 for p in ps} and len(got) > 50
+
+
 @pytest.fixture(scope="module")
 def texts():
     rnd = random.Random(4)
