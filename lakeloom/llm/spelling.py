@@ -43,7 +43,9 @@ ALPHABET = np.array([*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)], np.ui
 LONGEST = 64
 BITS_PER_WORD = 24
 BLOCK_BITS = 512
-FILTER_WORDS = 1 << 16
+FILTER_WORDS = 1 << 14
+#: Words whose edits one task probes.
+PROBE_WORDS = 20_000
 _STEP = 0x9E3779B97F4A7C15
 _BACK = pow(_STEP, -1, 2**64)
 #: Edits of one chunk of words and places.
@@ -224,7 +226,8 @@ def near_pairs(vocab: DataFrame, filter_words: int = FILTER_WORDS, round_bytes:
         shards = sorted({s for s, _ in now})
         ends = sorted({x for s in shards for x in (s, s + 1)} | ({LONGEST} if LONGEST in shards else set()))
         probing = hashed.where(F.col("shard").isin(ends)).select("word", "n")
-        probed.append(written(probing.repartition("word").mapInArrow(_probes(parts, shared), "word string, n long, edit string"), "edits"))
+        tasks = max(1, -(-sum(sizes.get(e, 0) for e in ends) // PROBE_WORDS))  # the work is in the edits, not in the bytes
+        probed.append(written(probing.repartition(tasks, "word").mapInArrow(_probes(parts, shared), "word string, n long, edit string"), "edits"))
         shared.unpersist()
     if not probed:
         return vocab.select(F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("word").alias("b"), F.col("n").alias("b_n")).limit(0)
