@@ -298,13 +298,13 @@ def _packed(packet_rows: int, packet_bytes: int):
         conv = part = None
         held, size, no, run_no, packets_in_run = [], 0, 0, -1, 0
 
-        def ready(last: bool, edge: bool) -> pa.RecordBatch:
+        def ready(last: bool, edge: bool) -> dict:
             nonlocal held, size, no, packets_in_run
             # a run at a partition's edge may go on in the next one
             whole = last and not edge and packets_in_run == 0 and run_no > 0
             row = _packet(conv, (part << 32) + no, whole, held)
             held, size, no, packets_in_run = [], 0, no + 1, packets_in_run + 1
-            return pa.RecordBatch.from_pylist([row], schema)
+            return row
 
         for b in batches:
             out = []
@@ -318,9 +318,10 @@ def _packed(packet_rows: int, packet_bytes: int):
                     out.append(ready(False, False))
                 held.append((turn, role, text, digest, gone))
                 size += len(text)
-            yield from out
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema)
         if run_no >= 0:
-            yield ready(True, True)
+            yield pa.RecordBatch.from_pylist([ready(True, True)], schema)
 
     return run
 
