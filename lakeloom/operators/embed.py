@@ -1,10 +1,12 @@
 """Embeddings (U1-U3 P26 P27 AG21), image download (S16) and resumable
 embedding jobs (S12 S13).
 
-* Text: the default encoder is a Spark ML pipeline (Tokenizer -> HashingTF ->
-  Normalizer) that runs in the JVM. Any other model is injected as a factory
-  ``() -> encode(list[str]) -> ndarray``; it runs in ``mapInPandas``, is
-  built once per Python worker and is fed ``batch_size`` texts at a time.
+* Text: the default encoder is signed feature hashing in the JVM: a token's
+  MD5 digest gives its dimension and its sign, tokens are counted by Spark ML
+  and the vector is normalized. It needs no model file, and SQL can compute it.
+  Any other model is injected as a factory ``() -> encode(list[str]) ->
+  ndarray``; it runs in ``mapInPandas``, is built once per Python worker and is
+  fed ``batch_size`` texts at a time.
 * Images: ``mapInPandas`` over the task table; downloads use a small thread
   pool per task and the retry rule 1 + ``retries`` attempts; a failure is a
   row with ``success = false`` and the error text, never a lost row.
@@ -26,7 +28,7 @@ from pyspark.sql import types as T
 
 from lakeloom.frames import with_one_row
 
-TEXT_MODEL = "hashing-tf"
+TEXT_MODEL = "signed-hash"
 IMAGE_MODEL = "byte-histogram-256"
 
 _WORKER_MODELS: dict[str, Callable] = {}
@@ -49,6 +51,35 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
 
 
 # -------------------------------------------------------------------- text
+#: Tokens of the built-in encoder: runs without ASCII white space, A-Z lower-cased.
+TOKEN = r"[^\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def hashed_vectors(df: DataFrame, text_col: str, dim: int) -> DataFrame:
+    """``df`` with ``_vec``: the unit vector of signed token counts. Of a token's
+    MD5 the first 32 bits choose the dimension and the next one the sign; an empty or
+    NULL text gives the zero vector."""
+    from pyspark.ml.feature import CountVectorizerModel, Normalizer
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    def place(token):
+        digest = F.md5(token.cast("binary"))
+        at = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dim
+        return F.when(F.substring(digest, 9, 1) < "8", at).otherwise(at + dim).cast("string")
+
+    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _UPPER.lower())
+    tokens = F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))
+    placed = df.withColumn("_places", F.transform(tokens, place))
+    # places of positive signs come first, those of negative signs after them
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(2 * dim)], inputCol="_places", outputCol="_counts", minTF=1.0)
+    counts = vector_to_array(F.col("_counts"))
+    signed = F.zip_with(F.slice(counts, 1, dim), F.slice(counts, dim + 1, dim), lambda x, y: x - y)
+    summed = counter.transform(placed).withColumn("_signed", array_to_vector(signed))
+    unit = Normalizer(inputCol="_signed", outputCol="_unit", p=2.0).transform(summed)
+    return unit.select(*df.columns, vector_to_array(F.col("_unit"), "float32").alias("_vec"))
+
+
 def embed_text(
     df: DataFrame,
     text_col: str,
@@ -64,18 +95,10 @@ def embed_text(
     if dim <= 0 or batch_size <= 0:
         raise ValueError("dim and batch_size must be positive")
     if encoder_factory is None:
-        from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
-        from pyspark.ml.functions import vector_to_array
-
-        tok = Tokenizer(inputCol="_text", outputCol="_tok")
-        tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim)
-        nz = Normalizer(inputCol="_tf", outputCol="_n", p=2.0)
-        base = df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-        vec = nz.transform(tf.transform(tok.transform(base)))
-        emb = vector_to_array(F.col("_n"), "float32")
+        vec = hashed_vectors(df.select(*keep, F.col(text_col).alias("_text")), "_text", dim)
         name = model_name or f"{TEXT_MODEL}-{dim}"
-        return vec.select(*keep, F.lit(name).alias("embedding_model"), F.size(emb).cast("int").alias("embedding_dimension"),
-                          emb.alias("embedding"))
+        return vec.select(*keep, F.lit(name).alias("embedding_model"), F.size("_vec").cast("int").alias("embedding_dimension"),
+                          F.col("_vec").alias("embedding"))
 
     name = model_name or "injected"
     in_schema = df.select(*keep).schema

@@ -8,7 +8,7 @@ all rows map-side, where a window would put the whole group in one task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +17,15 @@ from pyspark.sql import types as T
 
 from lakeloom.frames import skew_join
 from lakeloom.functions.text import normalize_lower, strip
+from lakeloom.sources.raw import POSITION
 
 # Mapping labels (match types, confidence, status).
 CANONICAL = "canonical"
 EXACT_ASIN_DUPLICATE = "exact_asin_duplicate"
 CONFIDENCE = 1.0
 RESOLVED = "resolved"
+MISSING_KEY = "missing_key"
+UNRESOLVED = "unresolved"
 
 
 def missing_key_count(products: DataFrame, key: str = "asin") -> int:
@@ -32,42 +35,71 @@ def missing_key_count(products: DataFrame, key: str = "asin") -> int:
 
 
 def require_keys(products: DataFrame, key: str = "asin") -> None:
-    """refuse to resolve when any key is missing."""
+    """F7 as a job of its own: refuse to resolve when any key is missing."""
     n = missing_key_count(products, key)
     if n:
         raise ValueError(f"{n} products have a missing {key}; resolve silver data only")
 
 
-def canonical_products(products: DataFrame, key: str = "asin", order_by: str = "seq") -> DataFrame:
-    """The first row (smallest ``order_by``) of every key, whole row."""
+def is_missing(key: str):
+    return F.col(key).isNull() | (strip(F.col(key)) == "")
+
+
+def guarded(products: DataFrame, key: str = "asin") -> DataFrame:
+    """F7 inside the plan: the rows as they are; a job that meets a missing key
+    (NULL or blank) fails. Nothing is counted beforehand, and the check can't be
+    optimized away, as the key itself goes through it."""
+    bad = F.raise_error(F.lit(f"a product has a missing {key}; resolve silver data only")).cast(products.schema[key].dataType)
+    return products.withColumn(key, F.when(is_missing(key), bad).otherwise(F.col(key)))
+
+
+def _order(order_by: str | Sequence[str]):
+    return F.col(order_by) if isinstance(order_by, str) else F.struct(*[F.col(c) for c in order_by])
+
+
+def canonical_products(products: DataFrame, key: str = "asin", order_by: str | Sequence[str] = POSITION) -> DataFrame:
+    """The first row of every key in the order of ``order_by`` (by default
+    the position in the source files), whole row."""
     others = [c for c in products.columns if c != key]
-    first = F.min_by(F.struct(*[F.col(c) for c in others]), F.col(order_by)).alias("_row")
+    first = F.min_by(F.struct(*[F.col(c) for c in others]), _order(order_by)).alias("_row")
     return products.groupBy(key).agg(first).select(key, "_row.*").select(*products.columns)
 
 
 def canonical_ids(products: DataFrame, key: str = "asin", product_id: str = "product_id",
-                  order_by: str = "seq") -> DataFrame:
+                  order_by: str | Sequence[str] = POSITION) -> DataFrame:
     """key -> canonical product id (the id of the first row)."""
-    return products.groupBy(key).agg(F.min_by(F.col(product_id), F.col(order_by)).alias("canonical_product_id"))
+    return products.groupBy(key).agg(F.min_by(F.col(product_id), _order(order_by)).alias("canonical_product_id"))
 
 
 def entity_mapping(products: DataFrame, key: str = "asin", product_id: str = "product_id",
-                   order_by: str = "seq") -> DataFrame:
+                   order_by: str | Sequence[str] = POSITION, on_missing: str = "fail") -> DataFrame:
     """Every source row with its canonical id, match type, confidence and
     status. The canonical table has one row per key; AQE broadcasts it or
-    splits a hot key. Rows with a NULL key have nothing to resolve to: call
-    ``require_keys`` first where they must not pass unnoticed."""
-    canon = canonical_ids(products, key, product_id, order_by).withColumnRenamed(key, "_ckey")
-    src = products.select(F.col(product_id).alias("source_product_id"), F.col(key))
-    return skew_join(src, canon, key, "_ckey", "inner").select(
+    splits a hot key.
+
+    F7: a row whose key is missing (NULL or blank) has nothing to resolve to.
+    With ``on_missing="fail"`` the job that meets one fails; with "unresolved" it
+    is returned without a canonical id, as ``missing_key``, confidence 0 and
+    status ``unresolved``. No row is ever left out."""
+    if on_missing not in ("fail", "unresolved"):
+        raise ValueError(f"on_missing must be 'fail' or 'unresolved', got {on_missing!r}")
+    if on_missing == "fail":
+        source = guarded(products, key)
+    else:
+        source = products.withColumn(key, F.when(~is_missing(key), F.col(key)))
+    canon = canonical_ids(source.where(F.col(key).isNotNull()), key, product_id, order_by).withColumnRenamed(key, "_ckey")
+    src = source.select(F.col(product_id).alias("source_product_id"), F.col(key))
+    found = F.col("_ckey").isNotNull()
+    return skew_join(src, canon, key, "_ckey", "left").select(
         "source_product_id",
         F.col(key).alias("asin"),
         "canonical_product_id",
-        F.when(F.col("source_product_id") == F.col("canonical_product_id"), CANONICAL)
+        F.when(~found, MISSING_KEY)
+        .when(F.col("source_product_id") == F.col("canonical_product_id"), CANONICAL)
         .otherwise(EXACT_ASIN_DUPLICATE)
         .alias("match_type"),
-        F.lit(CONFIDENCE).alias("confidence_score"),
-        F.lit(RESOLVED).alias("resolution_status"),
+        F.when(found, F.lit(CONFIDENCE)).otherwise(F.lit(0.0)).alias("confidence_score"),
+        F.when(found, RESOLVED).otherwise(UNRESOLVED).alias("resolution_status"),
     )
 
 

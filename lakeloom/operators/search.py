@@ -1,12 +1,15 @@
-"""Vector table, upsert and cosine top-k search (exact, batched, LSH), and
+"""Vector table, upsert and cosine top-k search (one query, batches, a text), and
 search enrichment with the gold tables.
 
 Scoring never materializes query x point pairs as rows:
 * one query: the query vector is a literal inside the score expression and
   ``orderBy().limit(k)`` becomes a per-partition top-k (TakeOrderedAndProject);
 * a batch of queries: queries and points are packed into blocks of a fixed
-  size, blocks meet in a join, and each pair of blocks gives the k best
-  points of every query (numpy on Arrow batches), which are then ranked.
+  size, blocks meet in a grid whose sides follow from both row counts, and each
+  pair of blocks gives the k best points of every query (numpy on Arrow
+  batches), which are then ranked.
+
+``vector_index`` holds the stored index, ``collection`` the stored vectors.
 """
 
 from __future__ import annotations
@@ -23,8 +26,8 @@ from lakeloom.functions.vectors import dot_literal, l2_normalize, norm
 
 #: Bytes of vectors in a block of points or queries.
 BLOCK_BYTES = 2 << 20
-#: Tasks that share the points of one query block (the join key of the blocks).
-POINT_SLOTS = 256
+#: Scores that one cell of the batch grid computes.
+CELL_SCORES = 1 << 28
 
 
 def _check_k(k: int) -> None:
@@ -101,10 +104,10 @@ def topk_exact(
     vec_col: str = "embedding",
     payload: Sequence[str] = (),
 ) -> DataFrame:
-    """Exact cosine top-k for one query, ranked from 1 (ties by id).
-    The vector is not returned."""
+    """Exact cosine top-k for one query, ranked from 1 (scores are
+    compared at 9 places, ties by id). The vector is not returned."""
     _check_k(k)
-    scored = points.select(F.col(id_col), *payload, cosine_literal(vec_col, query).alias("score"))
+    scored = points.select(F.col(id_col), *payload, F.round(cosine_literal(vec_col, query), 9).alias("score"))
     top = scored.orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k)
     # k rows only: a global window over them is bounded
     w = Window.orderBy(F.col("score").desc(), F.col(id_col).asc())
@@ -114,7 +117,7 @@ def topk_exact(
 _BLOCK = "block long, ids binary, vectors binary, missing binary"
 
 
-def _unit_matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def unit_matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(unit vectors, which are NULL) of an array column; zero vectors stay zero."""
     missing = column.is_null().to_numpy(zero_copy_only=False)
     size = set(np.diff(column.drop_null().offsets.to_numpy()).tolist()) if not missing.all() else set()
@@ -127,19 +130,23 @@ def _unit_matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return m / np.where(length == 0, 1.0, length), missing
 
 
-def _packed(block_bytes: int):
-    """mapInArrow body: rows (id, vec) to blocks of at most ``block_bytes`` of vectors, or one vector."""
+def packed_rows(block_bytes: int, key: str | None = None):
+    """mapInArrow body: rows (id, vec) to blocks of at most ``block_bytes`` of vectors, or one
+    vector; with ``key``, a column of integers, each block holds rows of one key and names it."""
 
     def run(batches):
         for b in batches:
             ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            m, missing = _unit_matrix(b.column("vec"))
+            m, missing = unit_matrix(b.column("vec"))
             step = max(1, block_bytes // max(8, 8 * m.shape[1]))
-            for i in range(0, len(ids), step):
-                at = slice(i, i + step)
-                order = i + np.argsort(ids[at], kind="stable")
-                row = [0, ids[order].tobytes(), m[order].tobytes(), missing[order].tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], names=["block", "ids", "vectors", "missing"])
+            keys = b.column(key).to_numpy() if key else np.zeros(len(ids), np.int64)
+            for k in np.unique(keys):
+                mine = np.flatnonzero(keys == k)
+                for i in range(0, len(mine), step):
+                    at = mine[i : i + step]
+                    order = at[np.argsort(ids[at], kind="stable")]
+                    row = [pa.array([k]), *(pa.array([x[order].tobytes()]) for x in (ids, m, missing))]
+                    yield pa.RecordBatch.from_arrays(row, names=[key or "block", "ids", "vectors", "missing"])
 
     return run
 
@@ -155,8 +162,9 @@ def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(np.ones_like(score, bool))
 
 
-def _block_topk(k: int):
+def best_of_blocks(k: int):
     """mapInArrow body: for each pair of blocks the k best points of every query.
+    Scores are compared at 9 places, so copies of a vector tie wherever they lie.
     A NULL point scores below all others (-inf here, NULL in the result)."""
 
     def run(batches):
@@ -168,7 +176,7 @@ def _block_topk(k: int):
                 p = np.frombuffer(part["vectors"], np.float64).reshape(len(pid), -1)
                 gone = np.frombuffer(part["missing"], bool)
                 for i in range(0, len(qid), 128):
-                    score = q[i : i + 128] @ p.T if p.shape[1] else np.zeros((len(qid[i : i + 128]), len(pid)))
+                    score = np.round(q[i : i + 128] @ p.T, 9) if p.shape[1] else np.zeros((len(qid[i : i + 128]), len(pid)))
                     score[:, gone] = -np.inf
                     x, y = _best(score, k)
                     yield pa.RecordBatch.from_arrays([pa.array(qid[i + x]), pa.array(pid[y]), pa.array(score[x, y])], names=["query_id", "id", "score"])
@@ -176,6 +184,29 @@ def _block_topk(k: int):
     return run
 
 
+def grid(n_points: int, n_queries: int, cell_scores: int = CELL_SCORES, least: int = 1) -> tuple[int, int]:
+    """(slots of points, slots of queries): so many that a cell computes about
+    ``cell_scores`` scores, and so parted that both sides are copied least: points
+    go to every slot of queries and queries to every slot of points, so replication
+    grows with the square root of the work."""
+    cells = max(least, -(-n_points * n_queries // cell_scores), 1)
+    queries = min(max(1, round((cells * n_queries / max(1, n_points)) ** 0.5)), max(1, n_queries), cells)
+    return -(-cells // queries), queries
+
+
+def _copies(slots: int):
+    return F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
+
+
+def ranked_hits(hits: DataFrame, k: int, query_id: str, id_col: str) -> DataFrame:
+    """The k best of each query's (query_id, id, score), ranked from 1, ties by id."""
+    # the rank filter also limits each task's rows of a query before the shuffle
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
+    ranked = hits.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= k)
+    score = F.when(F.col("score") != float("-inf"), F.col("score")).alias("score")
+    return ranked.select(F.col("query_id").alias(query_id), "rank", F.col("id").alias(id_col), score)
+
+
 def topk_batch(
     points: DataFrame,
     queries: DataFrame,
@@ -185,65 +216,47 @@ def topk_batch(
     query_id: str = "query_id",
     query_vec: str = "query_vec",
     block_bytes: int = BLOCK_BYTES,
-    slots: int = POINT_SLOTS,
+    slots: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Exact cosine top-k for any number of queries (ids must be integral;
     ties by id).
 
-    Nothing is collected or counted: both sides are packed into blocks, each
-    block of queries goes to every slot of point blocks, and a task holds one
-    pair of blocks at a time. As in ``topk_exact`` a zero vector scores 0 and
-    a NULL point comes last with a NULL score. NULL queries have no hits; no
-    queries or no points give no rows; all non-NULL vectors of a block and of
-    both sides must have one dimension."""
+    Both sides are packed into blocks that meet in a grid of ``slots`` (of
+    points, of queries), by default chosen from both row counts; a task holds
+    one pair of blocks at a time and nothing is collected. As in ``topk_exact``
+    a zero vector scores 0 and a NULL point comes last with a NULL score. NULL
+    queries have no hits; no queries or no points give no rows; all non-NULL
+    vectors of a block and of both sides must have one dimension."""
     _check_k(k)
-    if slots <= 0 or block_bytes <= 0:
+    queries = queries.where(F.col(query_vec).isNotNull())
+    if slots is None:
+        parallel = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slots = grid(points.count(), queries.count(), least=parallel)
+    of_points, of_queries = slots
+    if of_points <= 0 or of_queries <= 0 or block_bytes <= 0:
         raise ValueError("slots and block_bytes must be positive")
 
     def blocks(df, key, vec):
         rows = df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("vec"))
-        return rows.mapInArrow(_packed(block_bytes), _BLOCK)
-
-    slot = F.pmod(F.xxhash64("ids"), F.lit(slots)).alias("slot")
-    pts = blocks(points, id_col, vec_col).select(slot, "ids", "vectors", "missing")
-    qs = blocks(queries.where(F.col(query_vec).isNotNull()), query_id, query_vec).select(
-        F.explode(F.sequence(F.lit(0), F.lit(slots - 1)).cast("array<long>")).alias("slot"),
-        F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    pairs = pts.join(qs, "slot").select("ids", "vectors", "missing", "q_ids", "q_vectors")
-    hits = pairs.mapInArrow(_block_topk(k), "query_id long, id long, score double")
-    # the rank filter also limits each task's rows of a query before the shuffle
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
-    ranked = hits.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= k)
-    score = F.when(F.col("score") != float("-inf"), F.col("score")).alias("score")
-    return ranked.select(F.col("query_id").alias(query_id), "rank", F.col("id").alias(id_col), score)
+        return rows.mapInArrow(packed_rows(block_bytes), _BLOCK)
 
+    def slot(n):
+        return F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
 
-def topk_lsh(
-    points: DataFrame,
-    query: Sequence[float],
-    k: int = 10,
-    id_col: str = "point_id",
-    vec_col: str = "embedding",
-    bucket_length: float = 2.0,
-    num_tables: int = 4,
-    seed: int = 7,
-) -> DataFrame:
-    """T2 approximate: random-projection LSH on unit vectors (Euclidean order
-    equals cosine order there). Returns rank, id, score (cosine from the
-    distance) like ``topk_exact``."""
-    _check_k(k)
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.linalg import Vectors
-
-    unit = points.select(F.col(id_col), array_to_vector(l2_normalize(vec_col, "double")).alias("_v"))
-    model = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(unit)
-    q = np.asarray(query, dtype=np.float64)
-    q = q / (np.linalg.norm(q) or 1.0)
-    nn = model.approxNearestNeighbors(unit, Vectors.dense(q.tolist()), k, distCol="_d")
-    w = Window.orderBy(F.col("_d").asc(), F.col(id_col).asc())
-    return nn.select(F.row_number().over(w).alias("rank"), id_col, (1.0 - F.col("_d") * F.col("_d") / 2.0).alias("score"))
+    pts = blocks(points, id_col, vec_col).select(slot(of_points).alias("p"), _copies(of_queries).alias("q"), "ids", "vectors", "missing")
+    qs = blocks(queries, query_id, query_vec).select(
+        _copies(of_points).alias("p"), slot(of_queries).alias("q"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    pairs = pts.join(qs, ["p", "q"]).select("ids", "vectors", "missing", "q_ids", "q_vectors")
+    return ranked_hits(pairs.mapInArrow(best_of_blocks(k), "query_id long, id long, score double"), k, query_id, id_col)
+
+
+def topk_text(points: DataFrame, text: str, k: int = 10, id_col: str = "point_id", vec_col: str = "embedding", payload: Sequence[str] = (), **encoder) -> DataFrame:
+    """One query string to its k best points. ``encoder`` are the
+    arguments of ``embed_text`` that the points were embedded with; a blank text
+    is refused."""
+    from lakeloom.operators.embed import embed_query
+
+    return topk_exact(points, embed_query(points.sparkSession, text, **encoder), k, id_col, vec_col, payload)
 
 
 # ------------------------------------------------------------- enrichment

@@ -4,13 +4,17 @@ oracle computes the expected canonical values directly from the source."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakeloom.functions.values import clean_list, clean_number, field, style_json
-from lakeloom.operators import ingest
+from lakeloom.operators import ingest, resolve
 from lakeloom.plans import jsontext, roles
 from lakeloom.plans.registry import register, rounded
-from lakeloom.sources.raw import parse_records, split_records, spread
+from lakeloom.session import checkpoint_dir
+from lakeloom.sources.raw import head, parse_records, read_lines, split_records, spread, with_line_numbers
 
 c, lit = F.col, F.lit
 
@@ -279,3 +283,43 @@ FROM events""")
 def i8_style_json(spark, sf_dir):
     parsed = _event_values(spark, sf_dir, "style", _style_text)
     return parsed.select("event_id", style_json(field("record", "style")).alias("style"))
+
+
+# ------------------------------------------------- i9 / i10 source positions
+_FILES = 3
+
+
+def _raw_files(spark, sf_dir):
+    """Stand-in raw input: three files, the second one gzip, of lines in falling order of their number."""
+    base = os.path.join(checkpoint_dir(spark), f"i9-{uuid.uuid4().hex}")
+    part = roles.table(spark, sf_dir, "part").select("p_partkey")
+    line = F.concat(lit('{"asin":"A'), (F.floor(c("p_partkey") / 7) % 40).cast("string"), lit('","n":'), c("p_partkey").cast("string"), lit("}"))
+    for i in range(_FILES):
+        mine = part.where(c("p_partkey") % _FILES == i).repartition(1).sortWithinPartitions(F.desc("p_partkey"))
+        mine.select(line.alias("value")).write.option("compression", "gzip" if i == 1 else "none").text(f"{base}/f{i}")
+    lines = with_line_numbers(read_lines(spark, [f"{base}/f{i}" for i in range(_FILES)]))
+    good, _ = split_records(parse_records(lines))
+    record = c("record")
+    return good.select(
+        F.try_variant_get(field(record, "asin"), "$", "string").alias("asin"), F.try_variant_get(field(record, "n"), "$", "bigint").alias("n"),
+        F.regexp_extract("source_file", "/f([0-9]+)/[^/]*$", 1).cast("int").alias("file"), "line_no", "source_file", "block", "seq")
+
+
+_POSITIONS_SQL = f"""
+WITH p AS (SELECT 'A' || ((p_partkey // 7) % 40) AS asin, p_partkey AS n, (p_partkey % {_FILES})::INTEGER AS file,
+                  row_number() OVER (PARTITION BY p_partkey % {_FILES} ORDER BY p_partkey DESC) - 1 AS line_no FROM part)
+"""
+
+
+@register("i9_first_in_files", _POSITIONS_SQL + """
+SELECT asin, n, file, line_no FROM (SELECT *, row_number() OVER (PARTITION BY asin ORDER BY file, line_no) AS k FROM p) WHERE k = 1""")
+def i9_first_in_files(spark, sf_dir):
+    """Of each key the row that comes first in the files, whatever their splits."""
+    rows = _raw_files(spark, sf_dir)
+    return resolve.canonical_products(rows, key="asin").select("asin", "n", "file", "line_no")
+
+
+@register("i10_head_of_files", _POSITIONS_SQL + "SELECT asin, n, file, line_no FROM p ORDER BY file, line_no LIMIT 25")
+def i10_head_of_files(spark, sf_dir):
+    """The first 25 records in the order of the files (a head is the feature)."""
+    return head(_raw_files(spark, sf_dir), 25).select("asin", "n", "file", "line_no")

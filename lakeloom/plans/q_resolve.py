@@ -43,6 +43,21 @@ def r2_entity_mapping(spark, sf_dir):
     return resolve.entity_mapping(p, key="asin", product_id="product_key", order_by="product_key")
 
 
+@register("r9_missing_keys", """
+WITH k AS (SELECT doc_id, CASE WHEN lang IN ('de', 'es') THEN NULL ELSE 'D' || (doc_id // 2) END AS asin FROM documents),
+f AS (SELECT *, min(doc_id) OVER (PARTITION BY asin) AS first FROM k)
+SELECT doc_id AS source_product_id, asin, CASE WHEN asin IS NOT NULL THEN first END AS canonical_product_id,
+       CASE WHEN asin IS NULL THEN 'missing_key' WHEN doc_id = first THEN 'canonical' ELSE 'exact_asin_duplicate' END AS match_type,
+       CASE WHEN asin IS NULL THEN 0.0::DOUBLE ELSE 1.0 END AS confidence_score,
+       CASE WHEN asin IS NULL THEN 'unresolved' ELSE 'resolved' END AS resolution_status FROM f""")
+def r9_missing_keys(spark, sf_dir):
+    """NULL and blank keys come back as unresolved rows."""
+    d = roles.keyed_documents(spark, sf_dir)
+    key = F.when(F.col("asin").isin("", " \t") | F.col("asin").isNull(), F.when(F.col("asin") == "", " \t")).otherwise(
+        F.concat(F.lit("D"), F.floor(F.col("doc_id") / 2).cast("string")))
+    return resolve.entity_mapping(d.withColumn("asin", key), product_id="doc_id", order_by="doc_id", on_missing="unresolved")
+
+
 _LINK_SQL = f"""
 WITH m AS (SELECT p_partkey AS source_product_id,
                   min(p_partkey) OVER (PARTITION BY p_name) AS canonical_product_id

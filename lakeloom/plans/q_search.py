@@ -1,16 +1,21 @@
-"""s*: vector table, upsert, exact / batched / LSH top-k and enriched search
+"""s*: vector collection, exact / batched / indexed top-k and enriched search
 over the ``embeddings`` table. The query vector is the unit centroid of all
-embeddings (batch: one centroid per label), computed by Spark."""
+embeddings (batch: one centroid per label), computed by Spark; the index is
+asked for the neighbours of every 50th vector."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
-from lakeloom.operators import gold, search
+from lakeloom.operators import collection, gold, search, vector_index
 from lakeloom.plans import roles
 from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.q_gold import G1_SQL
 from lakeloom.plans.roles import PRODUCTS_SQL
+from lakeloom.session import checkpoint_dir
 
 K = 10
 K_BATCH = 5
@@ -115,19 +120,52 @@ FROM u GROUP BY point_id
 
 @register("s4_vector_upsert", S4_SQL)
 def s4_vector_upsert(spark, sf_dir):
+    """A collection is created and filled on shared storage, points are
+    replaced and added, the same write is repeated, and the points are read back."""
     e = _points(spark, sf_dir)
-    base = search.vector_table(e, "vec_id", payload=["label"], dim=64).withColumn("version", F.lit(1))
+    path = os.path.join(checkpoint_dir(spark), f"s4-{uuid.uuid4().hex}")
     changed = e.where(F.col("label") % 2 == 0)
-    upd = (search.vector_table(changed.withColumn("label", F.col("label") + 100), "vec_id", payload=["label"], dim=64)
-           .withColumn("version", F.lit(2)))
-    new = (search.vector_table(changed.withColumn("vec_id", F.col("vec_id") + 1000000), "vec_id", payload=["label"],
-                               dim=64).withColumn("version", F.lit(2)))
-    out = search.upsert(base, upd.unionByName(new))
-    return out.select("point_id", "version", "label", F.size("embedding").alias("embedding_dimension"))
+    updates = changed.withColumn("label", F.col("label") + 100).unionByName(changed.withColumn("vec_id", F.col("vec_id") + 1000000))
+    c = collection.create_collection(spark, path, 64, "given", {"label": "int"}, buckets=16)
+    c = collection.upsert(spark, c, e, "vec_id", version=1)
+    for _ in range(2):
+        c = collection.upsert(spark, c, updates, "vec_id", version=2)
+    out = collection.read(spark, collection.open_collection(spark, path))
+    return out.select("point_id", F.col("version").cast("int").alias("version"), "label", F.size("embedding").alias("embedding_dimension"))
+
+
+EVERY = 50
+S5_SQL = f"""
+WITH s AS (SELECT q.vec_id AS query_id, e.vec_id, list_cosine_similarity(e.v, q.v) AS score FROM {_E} e, {_E} q WHERE q.vec_id % {EVERY} = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= {K}
+"""
+
+
+def _index(spark, pts):
+    path = os.path.join(checkpoint_dir(spark), f"index-{uuid.uuid4().hex}")
+    vector_index.build(spark, pts, path, "vec_id", payload=["label"])
+    return vector_index.open_index(spark, path)
+
 
+def _queries(pts):
+    return pts.where(F.col("vec_id") % EVERY == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
 
-@register("s5_topk_lsh")
-def s5_topk_lsh(spark, sf_dir):
+
+@register("s5_index_exact", S5_SQL)
+def s5_index_exact(spark, sf_dir):
+    """The stored index of all vectors, all of its cells probed."""
     pts = _points(spark, sf_dir)
-    q = search.query_vector(pts)
-    return search.topk_lsh(pts, q, k=K, id_col="vec_id")
+    index = _index(spark, pts)
+    return rounded(vector_index.search(spark, index, _queries(pts), K, probes=index.cells))
+
+
+@register("s7_index_recall", f"""
+SELECT count(*) AS queries, {K} * count(*) AS true_hits, TRUE AS recall_reached FROM embeddings WHERE vec_id % {EVERY} = 0""")
+def s7_index_recall(spark, sf_dir):
+    """The stored index with as many probes as it measured for itself,
+    against the exact batch search: whether nine tenths of the true hits are found."""
+    pts = _points(spark, sf_dir)
+    found = vector_index.search(spark, _index(spark, pts), _queries(pts), K)
+    each = vector_index.recall_of(found, search.topk_batch(pts, _queries(pts), K, id_col="vec_id"), id_col="vec_id")
+    return each.agg(F.count(F.lit(1)).alias("queries"), F.sum("true_hits").alias("true_hits"), (F.sum("found") >= 0.9 * F.sum("true_hits")).alias("recall_reached"))

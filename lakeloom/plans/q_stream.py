@@ -13,6 +13,7 @@ from lakeloom.functions.values import field
 from lakeloom.plans import roles
 from lakeloom.plans.registry import register
 from lakeloom.session import checkpoint_dir
+from lakeloom.streaming import dedupe
 from lakeloom.streaming import ingest as stream
 
 c, lit = F.col, F.lit
@@ -46,3 +47,47 @@ def x1_stream_ingest(spark, sf_dir):
     q = stream.start_to_parquet(deduped, f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("event_id", "k")
+
+
+# ------------------------------------------------------- x2 review dedupe
+DELAY_DAYS = 500
+#: deliveries that a review's copies come in, besides its first one, by the last digit of its order
+AGAIN = {0: 0, 1: 1, 2: 2}
+KNOWN_DIGIT = 3
+_DELIVERIES = 5
+
+
+def _deliveries(spark, sf_dir):
+    """Stand-in deliveries: reviews by three years, some delivered again at once, later, or much later."""
+    li = roles.table(spark, sf_dir, "lineitem")
+    digit = c("l_orderkey") % 10
+    later = F.when(digit == 0, AGAIN[0]).when(digit == 1, AGAIN[1]).when(digit == 2, AGAIN[2])
+    first = F.floor((F.year("l_shipdate") - 1995) / 3).cast("int")
+    copies = F.when(later.isNull(), F.array(first)).otherwise(F.array(first, first + later))
+    return li.select(
+        # like the library's review ids, one that covers the review's time
+        F.concat_ws("-", "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyyMMdd")).alias("review_id"), c("l_orderkey").alias("order_key"),
+        c("l_quantity").alias("rating"), c("l_shipdate").cast("timestamp").alias("review_time"), F.explode(copies).alias("delivery"))
+
+
+@register("x2_stream_review_dedupe", f"""
+WITH f AS (SELECT l_orderkey || '-' || l_linenumber || '-' || strftime(l_shipdate, '%Y%m%d') AS review_id, l_orderkey AS k, l_quantity AS rating, l_shipdate AS t, (year(l_shipdate) - 1995) // 3 AS d FROM lineitem),
+r AS (SELECT review_id, k, rating, t, unnest(CASE WHEN k % 10 IN (0, 1, 2) THEN [d, d + k % 10] ELSE [d] END) AS delivery FROM f),
+m AS (SELECT delivery, max(max(t)) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {DELAY_DAYS} DAY AS watermark FROM r GROUP BY delivery),
+l AS (SELECT r.*, coalesce(t < watermark, FALSE) AS late, k % 10 = {KNOWN_DIGIT} AS known FROM r JOIN m USING (delivery)),
+e AS (SELECT *, CASE WHEN known THEN 'already_ingested' WHEN late THEN 'late_review'
+        WHEN row_number() OVER (PARTITION BY review_id, late ORDER BY delivery) > 1 THEN 'duplicate_review' END AS error FROM l)
+SELECT review_id, rating, delivery::INTEGER AS delivery, error FROM e""")
+def x2_stream_review_dedupe(spark, sf_dir):
+    """§2.9: reviews arrive in deliveries with repeats within and beyond the
+    watermark; the stream is stopped and started again between deliveries, and
+    its state comes from the checkpoint."""
+    base = os.path.join(checkpoint_dir(spark), f"x2-{uuid.uuid4().hex}")
+    rows = _deliveries(spark, sf_dir)
+    known = rows.where(c("order_key") % 10 == KNOWN_DIGIT).select("review_id")
+    for n in range(_DELIVERIES):
+        rows.where(c("delivery") == n).write.mode("append").parquet(f"{base}/in")
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        judged = dedupe.dedupe_reviews(arriving, known, delay=f"{DELAY_DAYS} days", buckets=16)
+        dedupe.stream_reviews(judged, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("review_id", "rating", "delivery", "error")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.frames import boundary
@@ -21,19 +21,37 @@ NOT_OBJECT = "not_object"
 BLANK = "blank"
 
 
-def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Lines of one or more text files with their source file and a sequence
-    number taken before any shuffle. Input keeps the scan's splits unless
-    ``partitions`` is given: gzip files are one task each, so few large ones
-    want it (the sequence number is taken before the rows move)."""
-    df = spark.read.text(path).select(
+#: Columns that order raw lines: file, byte at which the line's split of the file starts, row in the scan.
+POSITION = ("source_file", "block", "seq")
+
+
+def read_lines(spark: SparkSession, path: str | Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Lines of one or more text files with their position, taken from the
+    scan's metadata before any shuffle: ordered by ``POSITION`` they come as in
+    the files, whatever the size of splits and however splits are packed into
+    tasks (``seq`` alone ascends within a split only). Input keeps the scan's
+    splits unless ``partitions`` is given: gzip files are one task each, so few
+    large ones want it (the position is taken before the rows move)."""
+    df = spark.read.text(path if isinstance(path, str) else list(path)).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     )
     return df if partitions is None else spread(df, partitions)
 
 
+def with_line_numbers(lines: DataFrame) -> DataFrame:
+    """``lines`` of ``read_lines`` with ``line_no``, a line's number in its file
+    from 0. One row a split is aggregated (its first ``seq`` and its lines), and
+    the lines of a file's earlier splits are summed; no line is sorted."""
+    splits = lines.groupBy("source_file", "block").agg(F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    base = splits.select(F.col("source_file").alias("_f"), F.col("block").alias("_b"), "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    joined = lines.join(base, (F.col("source_file") == F.col("_f")) & (F.col("block") == F.col("_b")))
+    return joined.select(*lines.columns, (F.col("_base") + F.col("seq") - F.col("_first")).alias("line_no"))
+
+
 def _parallelism(spark: SparkSession) -> int:
     try:
         return spark.sparkContext.defaultParallelism
@@ -90,12 +108,11 @@ def split_records(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def head(records: DataFrame, n: int, order_by: str | Sequence[str] = ("source_file", "seq")) -> DataFrame:
-    """T1 (``--max-records``): the first ``n`` good records in source order.
-    Sequence numbers ascend within a file, not from file to file, so the file
-    comes first; columns that the records don't have are left out. The plan is
-    a per-partition top-n (TakeOrderedAndProject), so only n rows per task move
-    to the final merge."""
+def head(records: DataFrame, n: int, order_by: str | Sequence[str] = POSITION) -> DataFrame:
+    """T1 (``--max-records``): the first ``n`` good records in source order,
+    file by file; columns of the order that the records don't have are left out.
+    The plan is a per-partition top-n (TakeOrderedAndProject), so only n rows per
+    task move to the final merge."""
     if n <= 0:
         raise ValueError("n must be positive")
     given = [order_by] if isinstance(order_by, str) else list(order_by)
