@@ -18,9 +18,12 @@ at, all of them, each in the first tile the two share or soon after. So a
 group of near copies costs a few comparisons a member, and no component is
 missed.
 
-How common a shingle is comes from counts over 65,536 hash buckets: a table
-of fixed size whatever the input, which alone reaches the driver; any order
-gives right results, this one keeps tiles of common passages small.
+How common a shingle is, is counted: blocks of representatives send their
+distinct shingles, sorted and packed, to buckets of the hash space and get back
+for each one in how many sets it is, as a power of two. So a shingle that only
+one set has comes first in its order and into no tile, however large the corpus
+is. (A clash of the shortened hashes that are sent only makes a shingle look
+more common; any order gives right results.)
 
 Defined results: null, empty and blank texts have an empty set and are linked
 with nothing; texts of fewer words than a shingle are one shingle; rows
@@ -38,11 +41,13 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.base import NO_ID, id_of, text_of, written
 from lakeloom.llm.components import joined_components
-from lakeloom.llm.words import by_document, combined, mix, text_buffer, windows, word_hashes
+from lakeloom.llm.words import by_document, combined, mix, pack, pack_sorted, slices, text_buffer, unpack, unpack_sorted, windows, word_hashes
 
-_BUCKET_BITS = 16
 _SIG_WORDS = 8
-_SETS = "kind int, doc long, text_key long, n long, k1 long, k2 long, sig binary"
+_SETS = "doc long, text_key long, n long, k1 long, k2 long, sig binary"
+#: Bytes of text in a block of representatives, shingles in a bucket.
+BLOCK_BYTES = 2_000_000
+BUCKET_ENTRIES = 1_000_000
 
 
 def sets_of(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,10 +78,8 @@ def _signatures(grams: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
 
 def _measured(size: int):
     def run(batches):
-        seen = np.zeros(1 << _BUCKET_BITS, np.int64)
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, "text")):
             grams, doc, n = sets_of(b.column("text"), size)
-            seen += np.bincount((grams >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64), minlength=len(seen))
             some = np.flatnonzero(n)
             first = (np.cumsum(n) - n)[some]
             keys = [np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)]
@@ -85,12 +88,9 @@ def _measured(size: int):
                     k[some] = np.add.reduceat(mix(grams ^ np.uint64(salt << 40)), first)
             sig = _signatures(grams, doc, len(n))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(n), np.int32)), b.column("doc"), b.column("text_key"), pa.array(n), *(pa.array(k.view(np.int64)) for k in keys), pa.array([x.tobytes() for x in sig], pa.binary())],
+                [b.column("doc"), b.column("text_key"), pa.array(n), *(pa.array(k.view(np.int64)) for k in keys), pa.array([x.tobytes() for x in sig], pa.binary())],
                 names=_names(_SETS),
             )
-        at = np.flatnonzero(seen)
-        none = pa.array(np.zeros(len(at), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), pa.array(at), none, pa.array(seen[at]), none, none, pa.array([b""] * len(at), pa.binary())], names=_names(_SETS))
 
     return run
 
@@ -99,40 +99,88 @@ def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
-def _prefixes(size: int, percent: int, common):
-    """The first shingles of each set, rare ones first, packed."""
+def _blocked(block_bytes: int):
+    """mapInArrow body: representatives (cid, z) to blocks."""
 
     def run(batches):
-        # a bucket's place by count instead of its number: the same shingles in another order
-        place = np.empty(1 << _BUCKET_BITS, np.uint64)
-        place[np.argsort(common.value, kind="stable")] = np.arange(len(place), dtype=np.uint64)
-        low = np.uint64(64 - _BUCKET_BITS)
+        from pyspark import TaskContext
+
+        no, cids, z, total = TaskContext.get().partitionId() << 32, [], [], 0
+
+        def block():
+            return pa.RecordBatch.from_arrays([pa.array([no], pa.int64()), pa.array([cids], pa.list_(pa.int64())), pa.array([z], pa.list_(pa.binary()))], names=["block", "cids", "z"])
+
         for b in batches:
-            grams, doc, n = sets_of(b.column("text"), size)
-            key = (place[(grams >> low).astype(np.int64)] << low) | (grams & ((np.uint64(1) << low) - np.uint64(1)))
-            order = by_document(doc, key)
-            start = np.cumsum(n) - n
-            rank = np.arange(len(grams)) - start[doc]
-            first = rank <= n[doc] + (-percent * n[doc]) // 100  # n - ceil(percent * n) + 1 of them
-            grams, k = grams[order][first], np.bincount(doc[first], minlength=len(n))
-            cut = np.concatenate([[0], np.cumsum(k)])
-            raw = grams.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc"), b.column("text_key"), pa.array([raw[8 * a : 8 * z] for a, z in zip(cut.tolist(), cut[1:].tolist(), strict=False)], pa.binary())], names=["doc", "text_key", "prefix"]
-            )
+            for cid, x, n in zip(b.column("cid").to_pylist(), b.column("z").to_pylist(), b.column("bytes").to_pylist(), strict=True):
+                cids.append(cid)
+                z.append(x)
+                total += n
+                if total >= block_bytes:
+                    yield block()
+                    no, cids, z, total = no + 1, [], [], 0
+        if cids:
+            yield block()
 
     return run
 
 
-def _exploded(batches):
-    for b in batches:
-        for i in range(0, b.num_rows, 512):
-            part = b.slice(i, 512)
-            grams = np.frombuffer(b"".join(part.column("prefix").to_pylist()), np.int64)
-            k = np.array([len(x) // 8 for x in part.column("prefix").to_pylist()], np.int64)
-            pos = np.arange(len(grams)) - np.repeat(np.cumsum(k) - k, k)
-            n = np.repeat(part.column("n").to_numpy(), k)
-            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array((n << 32) | pos), pa.array(np.repeat(part.column("cid").to_numpy(), k))], names=["token", "np", "cid"])
+def _block_sets(row: dict, size: int):
+    return sets_of(pa.array([zstandard.decompress(z).decode() for z in row["z"]], pa.large_string()), size)
+
+
+def _cut(keys: np.ndarray, buckets: int, bits: int) -> list[tuple[int, int, int]]:
+    edges = np.array([(i << bits) // buckets for i in range(1, buckets)], np.uint64)
+    at = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+    return [(i, a, z) for i, (a, z) in enumerate(zip(at, at[1:], strict=False)) if z > a]
+
+
+def _counted(size: int, buckets: int, bits: int):
+    """mapInArrow body: a block's distinct shingles and in how many of its sets they are, by bucket."""
+
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                keys, n = np.unique(_block_sets(row, size)[0] >> np.uint64(64 - bits), return_counts=True)
+                parts = _cut(keys, buckets, bits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i for i, _, _ in parts], pa.int32()), pa.array([row["block"]] * len(parts), pa.int64()), pa.array([pack_sorted(keys[a:z]) for _, a, z in parts], pa.binary()), pa.array([pack(np.minimum(n[a:z], 65535).astype(np.uint16)) for _, a, z in parts], pa.binary())],
+                    names=["bucket", "block", "keys", "sets"],
+                )
+
+    return run
+
+
+def _totalled(t: pa.Table) -> pa.Table:
+    """Of each shingle in a bucket how many sets have it: 0 for one, else the power of two."""
+    keys = [unpack_sorted(x.as_py()) for x in t.column("keys")]
+    n = np.concatenate([unpack(x.as_py(), np.uint16) for x in t.column("sets")])
+    _, of = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(of, weights=n)
+    common = np.frexp(total - 0.5)[1].astype(np.uint8)[of]  # 1: 0, 2: 1, up to 4: 2, up to 8: 3
+    parts = np.split(common, np.cumsum([len(k) for k in keys])[:-1])
+    return pa.table({"block": t.column("block"), "bucket": t.column("bucket"), "common": pa.array([pack(x) for x in parts], pa.binary())})
+
+
+def _prefixes(size: int, percent: int, buckets: int, bits: int):
+    """Of each set's first shingles, rare ones first, those that another set may have."""
+    schema = pa.schema([("token", pa.int64()), ("np", pa.int64()), ("cid", pa.int64())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        answers = {r["bucket"]: r["common"] for r in right.to_pylist()}
+        out = [pa.Table.from_pylist([], schema)]
+        for row in left.to_pylist():
+            grams, doc, n = _block_sets(row, size)
+            keys, of = np.unique(grams >> np.uint64(64 - bits), return_inverse=True)
+            common = np.concatenate([np.zeros(0, np.uint8), *(unpack(answers[i], np.uint8) for i, _, _ in _cut(keys, buckets, bits))])[of]
+            order = np.lexsort((grams, common, doc))
+            grams, common, doc = grams[order], common[order], doc[order]
+            rank = np.arange(len(grams)) - (np.cumsum(n) - n)[doc]
+            first = (rank <= n[doc] + (-percent * n[doc]) // 100) & (common > 0)  # n - ceil(percent * n) + 1 of them
+            cid = np.array(row["cids"], np.int64)[doc[first]]
+            out.append(pa.table([grams[first].view(np.int64), (n[doc[first]] << 32) | rank[first], cid], schema=schema))
+        return pa.concat_tables(out)
+
+    return run
 
 
 def _shared(batches):
@@ -304,9 +352,13 @@ def _tile_pairs(percent: int, mode: str):
 
 
 def _zipped(batches):
-    for b in batches:
-        z = [zstandard.compress((x or "").encode(), 3) for x in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("text_key"), pa.array(z, pa.binary())], names=["doc", "text_key", "z"])
+    """Texts compressed; of rows that repeat an id and text in a batch only one goes on."""
+    for b in (part for whole in batches for part in slices(whole, "text")):
+        _, first = np.unique(np.stack([b.column("doc").to_numpy(), b.column("text_key").to_numpy()]), axis=1, return_index=True)
+        b = b.take(pa.array(np.sort(first)))
+        texts = [(x or "").encode() for x in b.column("text").to_pylist()]
+        z = [zstandard.compress(x, 3) for x in texts]
+        yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("text_key"), pa.array(z, pa.binary()), pa.array([len(x) for x in texts], pa.int64())], names=["doc", "text_key", "z", "bytes"])
 
 
 def _verified(size: int, percent: int):
@@ -337,30 +389,28 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     that a row of that id has in the component, which tells apart components
     that share an id and names one document of each.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.coalesce(id_of(id_col), F.lit(NO_ID)).alias("doc"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("text"))
     sets = written(rows.mapInArrow(_measured(size), _SETS), "sets")
-    counts = np.zeros(1 << _BUCKET_BITS, np.int64)
-    for r in sets.where("kind = 1").groupBy("doc").agg(F.sum("n").alias("n")).collect():  # a row a bucket at most
-        counts[r.doc] = r.n
-    common = spark.sparkContext.broadcast(counts)
-
-    members = sets.where("kind = 0").select("doc", "text_key", "n", "k1", "k2")
+    members = sets.select("doc", "text_key", "n", "k1", "k2")
     key = ["n", "k1", "k2"]
     classes = members.where("n > 0").groupBy(*key).agg(F.min(F.struct("doc", "text_key")).alias("m"))
     classes = written(classes.select(*key, "m.doc", "m.text_key").withColumn("cid", F.monotonically_increasing_id()), "classes")
-    reps = classes.select("doc", "text_key", "cid", "n")
+    reps = classes.select("doc", "text_key", "cid")
     one = ["doc", "text_key"]
-    sigs = sets.where("kind = 0").select(*one, "sig").join(reps, one).select("cid", "sig")
-
-    prefixes = rows.mapInArrow(_prefixes(size, percent, common), "doc long, text_key long, prefix binary").join(reps, one).select("cid", "n", "prefix")
-    tokens = prefixes.mapInArrow(_exploded, "token long, np long, cid long")
+    # rows that repeat an id and text are one: a class has one signature and one text
+    sigs = written(sets.select(*one, "sig").dropDuplicates(one).join(reps, one).select("cid", "sig"), "signatures")
+
+    # compressed once for all rounds; few texts are read into a comparison
+    zipped = rows.mapInArrow(_zipped, "doc long, text_key long, z binary, bytes long").dropDuplicates(one).join(reps, one).select("cid", "z", "bytes")
+    blocks = written(zipped.mapInArrow(_blocked(BLOCK_BYTES), "block long, cids array<long>, z array<binary>"), "texts", "uncompressed")
+    zipped = blocks.select(F.inline(F.arrays_zip("cids", "z"))).withColumnRenamed("cids", "cid")
+
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    bits, buckets = min(64, 8 + max(24, int(total).bit_length())), max(8, -(-total // BUCKET_ENTRIES))
+    counts = blocks.mapInArrow(_counted(size, buckets, bits), "bucket int, block long, keys binary, sets binary").groupBy("bucket").applyInArrow(_totalled, "block long, bucket int, common binary")
+    tokens = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_prefixes(size, percent, buckets, bits), "token long, np long, cid long")
     tiles = written(tokens.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_shared, "token long, np long, cid long"), "tiles")
 
-    # compressed once for all rounds; few of them are read into a comparison
-    zipped = rows.mapInArrow(_zipped, "doc long, text_key long, z binary").join(reps, one).select("cid", "z")
-    zipped = written(zipped, "zipped", "uncompressed")
-
     def found_in(rows_, mode):
         given = rows_.join(sigs, "cid").select("token", "np", "cid", "label", *_before_names(mode), "sig")
         return given.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tile_pairs(percent, mode), "a long, b long")

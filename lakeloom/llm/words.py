@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 _SPACE = np.zeros(256, bool)
@@ -38,6 +39,18 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[lo : int(offsets[-1])] if len(column) else data[:0], offsets - lo
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20):
+    """Parts of a batch with at most ``most`` bytes of text each, or one row."""
+    size = pc.fill_null(pc.cast(pc.binary_length(batch.column(column)), pa.int64()), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(size)
+    first = 0
+    while first < len(size):
+        before = total[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(total, before + most, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, number of words of every document)."""
     table = _LOWER if lower else _AS_IS
