@@ -106,6 +106,7 @@ def _encoded(vocabulary, dtype: str):
         for block, bucket, ws in zip(t.column("block").to_pylist(), t.column("bucket").to_pylist(), lists, strict=True):
             ids = [known[w] for w in ws]
             out.append({"block": block, "bucket": bucket, "lengths": pack(np.array([len(x) // size for x in ids], np.uint32)), "ids": pack(np.frombuffer(b"".join(ids), enc.dtype))})
+        enc.known.clear()  # the worker goes on to other stages
         return pa.Table.from_pylist(out, schema)
 
     return run

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.base import SPACE, id_of, text_of, written
 from lakeloom.llm.vocabulary import share
-from lakeloom.llm.words import by_document, text_buffer, windows, word_hashes
+from lakeloom.llm.words import by_document, slices, text_buffer, windows, word_hashes
 
 #: Fixed value: the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -43,7 +43,8 @@ _WORDS = re.compile("[^ \t-\r]+")
 _SCRIPTS = ((0x41, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x900, "indic"), (0xE00, "thai"), (0x1000, "other"), (0x3040, "kana"), (0x3400, "han"), (0xAC00, "hangul"), (0xD800, "other"))
 _STARTS = np.array([a for a, _ in _SCRIPTS])
 _LOADED: dict = {}
-_KEEP = 1_000_000
+#: Bytes of encoded words that a task remembers.
+_KEEP = 24 << 20
 
 #: measure, floor of the distance between the interval and an edge
 MEASURES = {"chars_per_token": 0.5, "byte_share": 0.05, "token_entropy": 0.06}
@@ -86,7 +87,7 @@ def _model(content: bytes):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=content)
-        _LOADED[key] = sp, np.array([sp.is_byte(i) for i in range(sp.vocab_size())]), {}
+        _LOADED[key] = sp, np.array([sp.is_byte(i) for i in range(sp.vocab_size())])
     return _LOADED[key]
 
 
@@ -108,17 +109,19 @@ def repeated_words(words: np.ndarray, counts: np.ndarray, size: int = 5) -> np.n
 
 def _measured(model):
     def run(batches):
-        sp, is_byte, known = _model(model.value)
-        for b in batches:
+        sp, is_byte = _model(model.value)
+        known, size = {}, 0  # forgotten with the task: workers go on to other stages
+        for b in (part for whole in batches for part in slices(whole, "text", 2 << 20)):
             texts = [t or "" for t in b.column("text").to_pylist()]
             words, counts = word_hashes(*text_buffer(b.column("text")), lower=False)
             repeats = repeated_words(words, counts)
             split = [_WORDS.findall(t) for t in texts]
-            if len(known) > _KEEP:
-                known.clear()
+            if size > _KEEP:
+                known, size = {}, 0
             new = list({w for ws in split for w in ws if w not in known})
             for w, ids in zip(new, sp.encode(new), strict=True):
                 known[w] = np.array(ids, "<u2").tobytes()
+                size += 160 + len(w) + len(known[w])
             out = []
             for t, ws, lang in zip(texts, split, b.column("lang").to_pylist(), strict=True):
                 lines = [x for x in t.split("\n") if x.strip(SPACE)]
