@@ -7,20 +7,24 @@ embedding jobs (S12 S13).
   Any other model is injected as a factory ``() -> encode(list[str]) ->
   ndarray``; it runs in ``mapInPandas``, is built once per Python worker and is
   fed ``batch_size`` texts at a time.
-* Images: ``mapInPandas`` over the task table; downloads use a small thread
-  pool per task and the retry rule 1 + ``retries`` attempts; a failure is a
-  row with ``success = false`` and the error text, never a lost row.
-* Resume: finished ids are read back from the output table and removed by an
-  anti join; each run appends its own ``run_id`` partition and readers keep
-  the newest row per id.
+* Images: ``mapInArrow`` over the task table; downloads use a small thread
+  pool per task with back-pressure, bounded slices and the retry rule 1 +
+  ``retries`` attempts; a failure is a row with ``success = false``, the error
+  text and the attempts, never a lost row.
+* Resume: ``run_resumable`` reads finished ids back from the output table and
+  removes them by an anti join; each run appends its own ``run_id`` partition
+  and readers keep the newest row per id. ``runs.run_committed`` does it with a
+  commit log and one scan of the input.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,17 +155,33 @@ def byte_histogram_encoder() -> Callable[[list[bytes]], np.ndarray]:
     return encode
 
 
-def _download(fetch: Callable[[str], bytes], url: str, retries: int) -> tuple[bytes | None, str | None]:
+def _download(fetch: Callable[[str], bytes], url: str, retries: int, max_bytes: int) -> tuple[bytes | None, str | None, int]:
+    """(content, error, attempts): the first try and up to ``retries`` more."""
     err = None
-    for _ in range(1 + retries):
+    for attempt in range(1, 2 + retries):
         try:
             data = fetch(url)
             if not data:
                 raise ValueError("empty content")
-            return data, None
         except Exception as ex:  # noqa: BLE001 - every failure becomes a row
             err = f"{type(ex).__name__}: {ex}"
-    return None, err
+            continue
+        if len(data) > max_bytes:  # another try would bring the same image
+            return None, f"ValueError: image of {len(data)} bytes is over {max_bytes}", attempt
+        return data, None, attempt
+    return None, err, 1 + retries
+
+
+def _in_flight(pool: ThreadPoolExecutor, work: Callable, items: Iterable, most: int) -> Iterator:
+    """Results in order, with at most ``most`` items submitted and not yet taken: whoever takes
+    them slowly holds the fetching back."""
+    waiting: deque = deque()
+    for item in items:
+        if len(waiting) >= most:
+            yield waiting.popleft().result()
+        waiting.append(pool.submit(work, item))
+    while waiting:
+        yield waiting.popleft().result()
 
 
 def embed_images(
@@ -175,52 +195,69 @@ def embed_images(
     threads: int = 16,
     retries: int = 2,
     batch_size: int = 32,
+    slice_bytes: int = 64 << 20,
+    max_bytes: int = 32 << 20,
 ) -> DataFrame:
-    """One row per task with success, error and (on success) a unit
-    float32 embedding. Content comes from ``content_col`` when the bytes are
-    already in the table (a NULL or empty value is a failed download), else
-    from ``fetch(url)``."""
+    """One row per task with success, error, attempts and (on success) a
+    unit float32 embedding. Content comes from ``content_col`` when the bytes are
+    already in the table (a NULL or empty value is a failed download, an attempt
+    all the same), else from ``fetch(url)``.
+
+    Images stream through fetch, encode and output in slices of at most
+    ``batch_size`` images or ``slice_bytes`` (a slice ends with the image that
+    reaches it). At most ``threads`` images are being fetched or wait for the
+    encoder, so a task holds ``threads + 1`` images of ``max_bytes`` besides a
+    slice, whatever an Arrow batch holds; a larger image is an error row."""
+    if min(threads, batch_size, slice_bytes, max_bytes) <= 0 or retries < 0:
+        raise ValueError("threads, batch_size, slice_bytes and max_bytes must be positive, retries not negative")
     fetch = fetch or http_fetch
     cols = list(keep) + [url_col] + ([content_col] if content_col else [])
     in_schema = tasks.select(*keep, url_col).schema
     out_schema = T.StructType(list(in_schema.fields) + [
         T.StructField("success", T.BooleanType()),
         T.StructField("error", T.StringType()),
+        T.StructField("attempts", T.IntegerType()),
         T.StructField("embedding_model", T.StringType()),
         T.StructField("embedding_dimension", T.IntegerType()),
         T.StructField("embedding", T.ArrayType(T.FloatType())),
     ])
+    names = out_schema.fieldNames()
+
+    def given(content) -> tuple[bytes | None, str | None, int]:
+        return _download(lambda _: content.as_buffer().to_pybytes() if content.is_valid else b"", "", 0, max_bytes)
 
     def run(batches):
         encode = _model(encoder_factory, model_name)
-        pool = ThreadPoolExecutor(max_workers=threads) if content_col is None else None
-        try:
-            for pdf in batches:
-                urls = pdf[url_col].tolist()
+
+        def encoded(rows: pa.RecordBatch, got: list) -> pa.RecordBatch:
+            vecs: list = [None] * len(got)
+            ok = [i for i, (data, _, _) in enumerate(got) if data is not None]
+            if ok:
+                for i, vec in zip(ok, _unit_rows(np.asarray(encode([got[i][0] for i in ok]), dtype=np.float64)), strict=True):
+                    vecs[i] = vec
+            more = [
+                pa.array([data is not None for data, _, _ in got]), pa.array([e for _, e, _ in got], pa.string()), pa.array([n for _, _, n in got], pa.int32()),
+                pa.array([model_name] * len(got)), pa.array([None if v is None else len(v) for v in vecs], pa.int32()), pa.array(vecs, pa.list_(pa.float32()))]
+            return pa.RecordBatch.from_arrays([*rows.columns, *more], names=names)
+
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            for b in batches:
+                rows = b.select(names[: len(in_schema)])
                 if content_col is not None:
-                    raw = pdf.pop(content_col).tolist()
-                    got = [(bytes(c), None) if c is not None and len(c) else (None, "ValueError: empty content")
-                           for c in raw]
+                    results = map(given, b.column(content_col))
                 else:
-                    got = list(pool.map(lambda u: _download(fetch, u, retries), urls))
-                ok = [i for i, (b, _) in enumerate(got) if b is not None]
-                vecs = [None] * len(urls)
-                for i in range(0, len(ok), batch_size):
-                    idx = ok[i:i + batch_size]
-                    m = _unit_rows(np.asarray(encode([got[j][0] for j in idx]), dtype=np.float64))
-                    for j, row in zip(idx, m):
-                        vecs[j] = row
-                pdf["success"] = [b is not None for b, _ in got]
-                pdf["error"] = [e for _, e in got]
-                pdf["embedding_model"] = model_name
-                pdf["embedding_dimension"] = [None if v is None else np.int32(len(v)) for v in vecs]
-                pdf["embedding"] = vecs
-                yield pdf
-        finally:
-            if pool is not None:
-                pool.shutdown()
-
-    return tasks.select(*cols).mapInPandas(run, out_schema)
+                    results = _in_flight(pool, lambda u: _download(fetch, u, retries, max_bytes), b.column(url_col).to_pylist(), threads)
+                first, got, size = 0, [], 0
+                for r in results:
+                    got.append(r)
+                    size += len(r[0] or b"")
+                    if len(got) >= batch_size or size >= slice_bytes:
+                        yield encoded(rows.slice(first, len(got)), got)
+                        first, got, size = first + len(got), [], 0
+                if got:
+                    yield encoded(rows.slice(first, len(got)), got)
+
+    return tasks.select(*cols).mapInArrow(run, out_schema)
 
 
 def embedding_totals(results: DataFrame, tasks_without_image: DataFrame | None = None) -> DataFrame:

@@ -35,18 +35,11 @@ def _pct(n: Column, d: Column, places: int | None) -> Column:
 
 
 # ------------------------------------------------------------ field profile
-def field_profile(
-    records: DataFrame,
-    record: str = "record",
-    required: Sequence[str] = (),
-    places: int | None = 4,
-) -> DataFrame:
-    """AG4 P12 P13: per top-level field of the VARIANT objects: present,
-    missing, empty counts, percentages and a type histogram (map type ->
-    count). Required fields that never occur are listed with zero presence
-    (SO2). Sorted by field (T3). The input is parsed once: the record count and
-    the required names pass through the same aggregation."""
-    spark = records.sparkSession
+def field_partial(records: DataFrame, record: str = "record") -> DataFrame:
+    """(field, type, n, e): records and empty values per field and type of the
+    VARIANT objects; the row without a field carries the record count. Partials
+    of parts of the input add up to the partial of the whole. The input is parsed
+    once."""
     # one entry without a name per record carries the record count in the same aggregation
     fields = F.map_entries(F.try_variant_get(F.col(record), "$", "map<string,variant>"))
     counter = F.array(F.lit(None).cast("struct<key:string,value:variant>"))
@@ -56,11 +49,17 @@ def field_profile(
     sch = F.col("_sch")
     typed = entries.select("field", value_type(F.col("v"), sch).alias("type"),
                            is_empty(F.col("v"), sch=sch).alias("empty"))
-    by_type = typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"), F.count_if("empty").alias("e"))
+    return typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"), F.count_if("empty").alias("e"))
+
+
+def fields_of(partials: DataFrame, required: Sequence[str] = (), places: int | None = 4) -> DataFrame:
+    """The field profile of one or several partials (see ``field_profile``)."""
+    by_type = partials.select("field", "type", "n", "e")
     if required:
         # names alone, with zero rows
-        names = spark.createDataFrame([(f,) for f in required], "field string")
+        names = partials.sparkSession.createDataFrame([(f,) for f in required], "field string")
         by_type = by_type.unionByName(names.select("field", F.lit(None).cast("string").alias("type"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("e")))
+    by_type = by_type.groupBy("field", "type").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
     by_field = by_type.groupBy("field").agg(
         F.sum("n").alias("present_records"),
         F.sum("e").alias("empty_records"),
@@ -84,6 +83,19 @@ def field_profile(
     )
 
 
+def field_profile(
+    records: DataFrame,
+    record: str = "record",
+    required: Sequence[str] = (),
+    places: int | None = 4,
+) -> DataFrame:
+    """AG4 P12 P13: per top-level field of the VARIANT objects: present,
+    missing, empty counts, percentages and a type histogram (map type ->
+    count). Required fields that never occur are listed with zero presence
+    (SO2). Sorted by field (T3)."""
+    return fields_of(field_partial(records, record), required, places)
+
+
 def required_violations(profile: DataFrame, required: Iterable[str]) -> DataFrame:
     """required fields with missing or empty records."""
     return profile.where(
@@ -132,23 +144,38 @@ def availability(
     )
 
 
-def text_lengths(df: DataFrame, fields: Sequence[str], by: Sequence[str] = (), places: int | None = 2) -> DataFrame:
-    """AG8 AG9: per text field, rows with non-blank text and the average
-    length of the whitespace-normalized text over those rows (0 if none)."""
+def text_partial(df: DataFrame, fields: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., text_field, with_text, length): per text field, rows with non-blank
+    text and the length of their whitespace-normalized texts; partials add up."""
     aggs = []
     for c in fields:
         n = normalize_text(c)
         ok = n != ""
-        aggs.append(F.count_if(ok).alias(f"with_{c}"))
-        aggs.append(F.sum(F.when(ok, F.length(n))).alias(f"_len_{c}"))
+        aggs += [F.count_if(ok).alias(f"with_{c}"), F.coalesce(F.sum(F.when(ok, F.length(n))), F.lit(0)).alias(f"len_{c}")]
     g = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    cols = [F.col(b) for b in by]
+    each = F.array(*[F.struct(F.lit(c).alias("text_field"), F.col(f"with_{c}").alias("with_text"), F.col(f"len_{c}").cast("long").alias("length")) for c in fields])
+    return g.select(*by, F.inline(each))
+
+
+def texts_of(partials: DataFrame, fields: Sequence[str], by: Sequence[str] = (), places: int | None = 2) -> DataFrame:
+    """The text lengths of one or several partials (see ``text_lengths``)."""
+    aggs, cols = [], [F.col(b) for b in by]
     for c in fields:
-        avg = F.coalesce(F.try_divide(F.col(f"_len_{c}").cast("double"), F.col(f"with_{c}")), F.lit(0.0))
-        cols += [F.col(f"with_{c}"), (F.round(avg, places) if places is not None else avg).alias(f"avg_{c}_length")]
+        mine = F.col("text_field") == c
+        aggs += [F.sum(F.when(mine, F.col(x)).otherwise(0)).alias(f"{x}_{c}") for x in ("with_text", "length")]
+        avg = F.coalesce(F.try_divide(F.col(f"length_{c}").cast("double"), F.col(f"with_text_{c}")), F.lit(0.0))
+        with_text = F.coalesce(F.col(f"with_text_{c}"), F.lit(0)).alias(f"with_{c}")
+        cols += [with_text, (F.round(avg, places) if places is not None else avg).alias(f"avg_{c}_length")]
+    g = partials.groupBy(*by).agg(*aggs) if by else partials.agg(*aggs)
     return g.select(*cols)
 
 
+def text_lengths(df: DataFrame, fields: Sequence[str], by: Sequence[str] = (), places: int | None = 2) -> DataFrame:
+    """AG8 AG9: per text field, rows with non-blank text and the average
+    length of the whitespace-normalized text over those rows (0 if none)."""
+    return texts_of(text_partial(df, fields, by), fields, by, places)
+
+
 def histogram(df: DataFrame, c: str, python_bool: bool = True) -> DataFrame:
     """AG10 AG11: rows per value text (``str(value)``); NULL values skipped."""
     col = F.col(c)
@@ -194,6 +221,12 @@ def raw_histogram(records: DataFrame, name: str, record: str = "record") -> Data
 
 
 # ---------------------------------------------------------- cardinality
+def clean_key(c: str) -> Column:
+    """A key as text without white space around it; blank keys are NULL."""
+    s = strip(F.col(c).cast("string"))
+    return F.when(s != "", s)
+
+
 def cardinality(
     products: DataFrame,
     reviews: DataFrame,
@@ -208,12 +241,7 @@ def cardinality(
     per extra row, blank keys ignored), unique review keys and reviewers,
     distinct orphan review keys and their share of the review keys. Orphans
     are judged against ``key_set`` (distinct product keys by default)."""
-    distinct = F.countDistinct if exact else F.approx_count_distinct
-
-    def clean(c):
-        s = strip(F.col(c).cast("string"))
-        return F.when(s != "", s)
-
+    distinct, clean = F.countDistinct if exact else F.approx_count_distinct, clean_key
     pk = products.select(clean(product_key).alias("k"))
     prod = pk.agg(distinct("k").alias("unique_asin"), (F.count("k") - distinct("k")).alias("duplicate_asin_records"))
     keys = key_set if key_set is not None else pk.where(F.col("k").isNotNull()).distinct()

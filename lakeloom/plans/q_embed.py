@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lakeloom.operators import embed
+from lakeloom.operators import embed, runs
 from lakeloom.plans import roles
 from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.q_features import _page_images
@@ -89,6 +91,72 @@ def e3_resume(spark, sf_dir):
     return latest.select("doc_id", "run_id", "embedding_dimension", shown("embedding").alias("embedding"))
 
 
+@register("e5_committed_runs", f"""
+WITH {embedding_ctes('d', 'documents', 'doc_id')}
+SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 2 END::BIGINT AS run_id, contents AS embedding FROM d_text JOIN documents USING (doc_id)""")
+def e5_committed_runs(spark, sf_dir):
+    """Run 1 (English) fails in the middle of a bucket, is started again
+    and finishes; run 2 does the rest; the runs are compacted and read back."""
+    docs = roles.table(spark, sf_dir, "documents")
+    english = docs.where(F.col("lang") == "en")
+    path = os.path.join(checkpoint_dir(spark), f"e5-{uuid.uuid4().hex}")
+    last = english.agg(F.max("doc_id")).first()[0]
+
+    def job(df):
+        return embed.embed_text(df, "text", ["doc_id"], dim=DIM)
+
+    def failing(df):
+        lost = F.raise_error(F.lit("injected failure")).cast("string")
+        return job(df.withColumn("text", F.when(F.col("doc_id") == last, lost).otherwise(F.col("text"))))
+
+    try:
+        runs.run_committed(english, "doc_id", failing, path, run_id=1, buckets=4)
+    except PySparkException as ex:
+        if "injected failure" not in str(ex):
+            raise
+    runs.run_committed(english, "doc_id", job, path, run_id=1, buckets=4)
+    runs.run_committed(docs, "doc_id", job, path, run_id=2, buckets=4)
+    runs.compact(spark, path, "doc_id")
+    return runs.latest(spark, path, "doc_id").select("doc_id", "run_id", shown("embedding").alias("embedding"))
+
+
+RETRIES = 2
+
+
+def flaky_fetch(url: str) -> bytes:
+    """A stand-in downloader: by the digest of a url it gives the bytes at the
+    first, second or third try, or never; the bytes are the url's own."""
+    faults = int(hashlib.md5(url.encode()).hexdigest()[:4], 16) % 5
+    tries = _TRIES.pop(url, 0)
+    if tries < faults:
+        if tries < RETRIES:
+            _TRIES[url] = tries + 1
+        raise OSError(f"fault {tries + 1}")
+    return url.encode()
+
+
+_TRIES: dict[str, int] = {}
+
+
+@register("e6_flaky_fetch", f"""
+WITH t AS (SELECT page_id, url || '#' || page_id AS u FROM pages WHERE page_id % 3 = 1),
+f AS (SELECT page_id, u, ('0x' || substr(md5(u), 1, 4))::INTEGER % 5 AS faults FROM t),
+b AS (SELECT page_id, ('0x' || substr(hex(encode(u)), (2 * i + 1)::INTEGER, 2))::INTEGER AS bin, count(*)::DOUBLE AS n
+      FROM (SELECT page_id, u, unnest(range(octet_length(encode(u)))) AS i FROM f) GROUP BY 1, 2),
+l AS (SELECT page_id, sqrt(sum(n * n)) AS len FROM b GROUP BY page_id),
+c AS (SELECT l.page_id, string_agg(coalesce(round((n / len)::FLOAT::DOUBLE * 1e6)::BIGINT, 0)::VARCHAR, ',' ORDER BY p.bin) AS contents
+      FROM l CROSS JOIN (SELECT unnest(range(256)) AS bin) p LEFT JOIN b ON b.page_id = l.page_id AND b.bin = p.bin GROUP BY l.page_id)
+SELECT f.page_id, faults <= {RETRIES} AS success, CASE WHEN faults > {RETRIES} THEN 'OSError: fault {RETRIES + 1}' END AS error,
+       least(faults + 1, {RETRIES + 1})::INTEGER AS attempts, CASE WHEN faults <= {RETRIES} THEN contents END AS embedding
+FROM f JOIN c USING (page_id)""")
+def e6_flaky_fetch(spark, sf_dir):
+    """Images are fetched with retries by a downloader that fails by rule, and encoded."""
+    tasks = image_tasks(_page_images(spark, sf_dir), id_col="page_id", keep=())
+    tasks = tasks.withColumn("image_url", F.concat_ws("#", "image_url", "page_id"))
+    out = embed.embed_images(tasks, keep=["page_id"], fetch=flaky_fetch, retries=RETRIES, threads=4)
+    return out.select("page_id", "success", "error", "attempts", shown("embedding").alias("embedding"))
+
+
 @register("e4_embedding_totals", """
 SELECT count(*) FILTER (WHERE page_id % 3 = 1) AS tasks,
        count(*) FILTER (WHERE page_id % 3 = 1 AND page_id % 7 <> 0) AS processed,

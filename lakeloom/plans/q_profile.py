@@ -3,15 +3,19 @@ histograms, cardinality and the check list."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakeloom.frames import with_one_row
-from lakeloom.operators import profile
+from lakeloom.operators import profile, profile_store
 from lakeloom.plans import roles
 from lakeloom.plans.registry import register, rounded
 from lakeloom.plans.jsontext import kv, obj, q, s
 from lakeloom.plans.q_ingest import _EVENT_LINES_SQL, _event_lines, _review_lines
 from lakeloom.plans.roles import PRODUCTS_SQL, reviews_sql, sql_normalize, sql_strip
+from lakeloom.session import checkpoint_dir
 from lakeloom.sources.raw import parse_records, spread
 
 c, lit = F.col, F.lit
@@ -357,3 +361,65 @@ WHERE field IN ({", ".join(repr(f) for f in REVIEW_REQUIRED)}) AND (missing_reco
 def p11_required_violations(spark, sf_dir):
     recs = parse_records(_review_lines(spark, sf_dir)).where("parse_error IS NULL")
     return profile.required_violations(profile.field_profile(recs, required=REVIEW_REQUIRED), REVIEW_REQUIRED)
+
+
+# ------------------------------------------------- p13 / p14 / p15 merged runs
+_RUNS = 3
+
+
+def _three_runs(spark, sf_dir, records=False, exact=True):
+    """The profile state of three ingest runs: raw review lines, and reviews and products as typed tables."""
+    path = os.path.join(checkpoint_dir(spark), f"profile-{uuid.uuid4().hex}")
+    reviews, products = roles.reviews(spark, sf_dir), roles.products(spark, sf_dir, with_description=False)
+    for run in range(_RUNS):
+        if records:
+            lines = _review_lines(spark, sf_dir).where(F.pmod(F.xxhash64("line"), lit(_RUNS)) == run)
+            profile_store.save_run(path, f"r{run}", parse_records(lines).where("parse_error IS NULL"))
+        else:
+            mine = reviews.where(c("l_orderkey") % _RUNS == run)
+            others = products.where(c("product_key") % _RUNS == run)
+            profile_store.save_run(path, f"r{run}", tables={
+                "reviews": (mine, ["review_text"], ["review_id", "reviewer_key", "product_key"]),
+                "products": (others, ["title", "brand"], ["product_key", "asin"])}, exact=exact)
+    return path
+
+
+@register("p13_merged_field_profile", P8_SQL)
+def p13_merged_field_profile(spark, sf_dir):
+    """AG4: the field profile of three runs' stored partials, no line read again."""
+    prof = profile_store.merged_fields(spark, _three_runs(spark, sf_dir, records=True), REVIEW_REQUIRED, places=None)
+    return rounded(prof.withColumn("types", _types_text(c("types"))))
+
+
+_P14_KEYS = [("reviews", "review_id"), ("reviews", "reviewer_key"), ("reviews", "product_key"), ("products", "product_key"), ("products", "asin")]
+P14_SQL = f"""
+WITH products AS ({PRODUCTS_SQL}), reviews AS ({reviews_sql()})
+""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{k}' AS key_name, count({k}) AS n, count(DISTINCT {k}) AS distinct_keys, TRUE AS estimate_close FROM {t}" for t, k in _P14_KEYS)
+
+
+@register("p14_merged_keys", P14_SQL)
+def p14_merged_keys(spark, sf_dir):
+    """AG12: distinct keys of three runs, exact from stored keys and estimated
+    from stored sketches (within 5 %, over six standard errors)."""
+    path = _three_runs(spark, sf_dir)
+    exact = profile_store.merged_keys(spark, path, exact=True)
+    guess = profile_store.merged_keys(spark, path).select(c("table_name").alias("_t"), c("key_name").alias("_k"), c("distinct_keys").alias("_d"))
+    both = exact.join(guess, (c("table_name") == c("_t")) & (c("key_name") == c("_k")))
+    close = F.abs(c("_d") - c("distinct_keys")) <= F.greatest(lit(1.0), 0.05 * c("distinct_keys"))
+    return both.select("table_name", "key_name", "n", "distinct_keys", close.alias("estimate_close"))
+
+
+@register("p15_merged_texts_and_orphans", f"""
+WITH products AS ({PRODUCTS_SQL}), reviews AS ({reviews_sql()}),
+t AS (SELECT count(*) FILTER (WHERE {sql_normalize('review_text')} <> '') AS with_review_text,
+             round(coalesce(avg(length({sql_normalize('review_text')})) FILTER (WHERE {sql_normalize('review_text')} <> ''), 0), 6) AS avg_review_text_length FROM reviews),
+o AS (SELECT count(DISTINCT r.product_key) AS keys, count(DISTINCT r.product_key) FILTER (WHERE p.product_key IS NULL) AS orphans
+      FROM reviews r LEFT JOIN products p ON p.product_key = r.product_key)
+SELECT * FROM t, o""")
+def p15_merged_texts_and_orphans(spark, sf_dir):
+    """AG9 AG12: text lengths and orphan keys over three runs' stored state."""
+    path = _three_runs(spark, sf_dir)
+    texts = profile_store.merged_texts(spark, path, "reviews", ["review_text"], places=None)
+    orphans = profile_store.merged_orphans(spark, path, ("reviews", "product_key"), ("products", "product_key"), exact=True)
+    return rounded(with_one_row(texts, orphans))
