@@ -62,11 +62,11 @@ class FMIndex:
     def __init__(self, text: np.ndarray, depth: int):
         n = len(text)
         rank, done = text.astype(np.int64), 1
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank)
         while done < depth:
             key = rank * np.int64(n + 2)
             key[: n - done] += rank[done:] + 1
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             key = key[order]
             first = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
             # a suffix' rank is where its group begins, so the intervals of ``done`` words can be kept
