@@ -162,14 +162,15 @@ def _totalled(t: pa.Table) -> pa.Table:
 
 
 def _prefixes(size: int, percent: int, buckets: int, bits: int):
-    """Of each set's first shingles, rare ones first, those that another set may have."""
-    schema = pa.schema([("token", pa.int64()), ("np", pa.int64()), ("cid", pa.int64())])
+    """Of each set's first shingles, rare ones first, those that another set may have, with the set's bitmap."""
+    schema = pa.schema([("token", pa.int64()), ("np", pa.int64()), ("cid", pa.int64()), ("sig", pa.binary())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         answers = {r["bucket"]: r["common"] for r in right.to_pylist()}
         out = [pa.Table.from_pylist([], schema)]
         for row in left.to_pylist():
             grams, doc, n = _block_sets(row, size)
+            sig = _signatures(grams, doc, len(n))
             keys, of = np.unique(grams >> np.uint64(64 - bits), return_inverse=True)
             common = np.concatenate([np.zeros(0, np.uint8), *(unpack(answers[i], np.uint8) for i, _, _ in _cut(keys, buckets, bits))])[of]
             order = np.lexsort((grams, common, doc))
@@ -177,7 +178,8 @@ def _prefixes(size: int, percent: int, buckets: int, bits: int):
             rank = np.arange(len(grams)) - (np.cumsum(n) - n)[doc]
             first = (rank <= n[doc] + (-percent * n[doc]) // 100) & (common > 0)  # n - ceil(percent * n) + 1 of them
             cid = np.array(row["cids"], np.int64)[doc[first]]
-            out.append(pa.table([grams[first].view(np.int64), (n[doc[first]] << 32) | rank[first], cid], schema=schema))
+            sigs = pa.Array.from_buffers(pa.binary(), len(cid), [None, pa.py_buffer(np.arange(len(cid) + 1, dtype=np.int32) * (8 * _SIG_WORDS)), pa.py_buffer(sig[doc[first]].tobytes())])
+            out.append(pa.table([grams[first].view(np.int64), (n[doc[first]] << 32) | rank[first], cid, sigs], schema=schema))
         return pa.concat_tables(out)
 
     return run
@@ -351,6 +353,32 @@ def _tile_pairs(percent: int, mode: str):
     return run
 
 
+_TILED = "token long, np long, cid long, a long, b long"
+
+
+def _tiled(percent: int):
+    """Rows of tiles of two sets or more, and the first round's pairs of these tiles, in one pass over rows sorted by shingle and size."""
+    stars = _tile_pairs(percent, ROUNDS[0])
+
+    def run(batches):
+        rows = []
+
+        def shared():
+            for b in _shared(batches):
+                none = pa.nulls(b.num_rows, pa.int64())
+                rows.append(pa.RecordBatch.from_arrays([*(b.column(c) for c in ("token", "np", "cid")), none, none], names=_names(_TILED)))
+                yield pa.RecordBatch.from_arrays([*b.columns, b.column("cid")], names=[*b.schema.names, "label"])
+
+        for pairs in stars(shared()):
+            yield from rows
+            rows.clear()
+            none = pa.nulls(pairs.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, *pairs.columns], names=_names(_TILED))
+        yield from rows
+
+    return run
+
+
 def _zipped(batches):
     """Texts compressed; of rows that repeat an id and text in a batch only one goes on."""
     for b in (part for whole in batches for part in slices(whole, "text")):
@@ -408,16 +436,17 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits, buckets = min(64, 8 + max(24, int(total).bit_length())), max(8, -(-total // BUCKET_ENTRIES))
     counts = blocks.mapInArrow(_counted(size, buckets, bits), "bucket int, block long, keys binary, sets binary").groupBy("bucket").applyInArrow(_totalled, "block long, bucket int, common binary")
-    tokens = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_prefixes(size, percent, buckets, bits), "token long, np long, cid long")
-    tiles = written(tokens.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_shared, "token long, np long, cid long"), "tiles")
+    tokens = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_prefixes(size, percent, buckets, bits), "token long, np long, cid long, sig binary")
+    tiled = written(tokens.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tiled(percent), _TILED), "tiles")
+    tiles = tiled.where("cid IS NOT NULL").select("token", "np", "cid")
 
     def found_in(rows_, mode):
         given = rows_.join(sigs, "cid").select("token", "np", "cid", "label", *_before_names(mode), "sig")
         return given.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tile_pairs(percent, mode), "a long, b long")
 
-    def few_pairs(rows_, mode, tried):
+    def few_pairs(found, tried):
         """Of the sets a set was found with the few it shares most tiles with; the last round has all the rest."""
-        votes = found_in(rows_, mode).groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
+        votes = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"))
         if tried is not None:
             votes = votes.join(tried, ["a", "b"], "left_anti")
         best = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("k"), "a"))
@@ -432,7 +461,7 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
 
     def links(pairs):
         used = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        texts = written(zipped.join(used, "cid").dropDuplicates(["cid"]), "texts", "uncompressed")
+        texts = written(zipped.join(used, "cid"), "texts", "uncompressed")
         sides = pairs.join(texts.select(F.col("cid").alias("a"), F.col("z").alias("za")), "a").join(texts.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
         return written(sides.select("a", "b", "za", "zb").mapInArrow(_verified(size, percent), "a long, b long"), "verified")
 
@@ -445,7 +474,8 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
 
     rows_, tried, labels = tiles.withColumn("label", F.col("cid")), None, None
     for mode in ROUNDS:
-        pairs = few_pairs(rows_, mode, tried)
+        first = mode == ROUNDS[0]
+        pairs = few_pairs(tiled.where("a IS NOT NULL").select("a", "b") if first else found_in(rows_, mode), tried)
         tried = pairs if tried is None else tried.union(pairs)
         labels = written(joined_components(labels, links(pairs)), "labels")
         rows_ = written(mixed(rows_, labels), "mixed")
