@@ -61,7 +61,7 @@ def tempered(cells: DataFrame, dim: str, power: float) -> DataFrame:
     weights = by.select(dim, weight.alias("weight"))
     # one row, joined: a window over all values would put them in one task
     total = weights.agg(F.sum("weight").alias("total"))
-    return weights.crossJoin(F.broadcast(total)).select(dim, (F.col("weight") / F.col("total")).alias("share"))
+    return weights.crossJoin(F.broadcast(total)).select(dim, F.coalesce(F.try_divide("weight", "total"), F.lit(0.0)).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rate: float, rounds: int = 8) -> DataFrame:
