@@ -28,10 +28,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.base import id_of, shuffle_partitions, text_of
+from lakeloom.llm.base import id_of, release, releasing, shuffle_partitions, text_of
 from lakeloom.llm.vocabulary import SPACED_WORDS, byte_pieces, encoder, id_type, read, share
 from lakeloom.llm.words import pack, unpack
 
+#: Bytes of text whose distinct words one bucket of the word table has, about.
+BUCKET_BYTES = 32 << 20
 
 
 def _blocks(block_chars: int):
@@ -107,6 +109,7 @@ def _encoded(vocabulary, dtype: str):
             ids = [known[w] for w in ws]
             out.append({"block": block, "bucket": bucket, "lengths": pack(np.array([len(x) // size for x in ids], np.uint32)), "ids": pack(np.frombuffer(b"".join(ids), enc.dtype))})
         enc.known.clear()  # the worker goes on to other stages
+        release()
         return pa.Table.from_pylist(out, schema)
 
     return run
@@ -157,7 +160,7 @@ def _with_ids(dtype: str, buckets: int):
     return run
 
 
-def encode(docs: DataFrame, vocabulary_path: str, block_chars: int = 16_000_000, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary_path: str, block_chars: int = 8_000_000, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids), one row per input row; ids are little-endian unsigned 32-bit integers.
 
     The ids are those of the tokenizers library for a byte-level BPE without
@@ -165,11 +168,14 @@ def encode(docs: DataFrame, vocabulary_path: str, block_chars: int = 16_000_000,
     """
     spark = docs.sparkSession
     content = read(vocabulary_path)
-    dtype, buckets = id_type(content), buckets or 8 * shuffle_partitions(spark)
+    dtype = id_type(content)
     rows = docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    parts = rows.mapInArrow(_word_parts(block_chars, buckets), "bucket int, block long, words binary")
+    if buckets is None:  # a bucket's words are a share of the text, whatever its size
+        total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        buckets = max(8 * shuffle_partitions(spark), total // BUCKET_BYTES)
+    parts = rows.mapInArrow(releasing(_word_parts(block_chars, buckets)), "bucket int, block long, words binary")
     table = parts.groupBy("bucket").applyInArrow(_encoded(share(spark, content), dtype), "block long, bucket int, lengths binary, ids binary")
-    coded = rows.mapInArrow(_coded(block_chars), "block long, n_words long, doc_ids array<long>, sizes binary, codes binary, buckets binary")
+    coded = rows.mapInArrow(releasing(_coded(block_chars)), "block long, n_words long, doc_ids array<long>, sizes binary, codes binary, buckets binary")
     return coded.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(_with_ids(dtype, buckets), "doc_id long, ids binary")
 
 
@@ -186,4 +192,4 @@ def _decoded(pieces, keep: list[str]):
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """(doc_id, ids, text): ids joined to the vocabulary's pieces."""
     pieces = share(encoded.sparkSession, byte_pieces(read(vocabulary_path)))
-    return encoded.select("doc_id", "ids").mapInArrow(_decoded(pieces, ["doc_id", "ids"]), "doc_id long, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(releasing(_decoded(pieces, ["doc_id", "ids"])), "doc_id long, ids binary, text string")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lakeloom.llm.base import NO_ID, SPACE, id_of, lower_ascii, text_of, written
+from lakeloom.llm.base import NO_ID, SPACE, id_of, lower_ascii, releasing, text_of, written
 
 _MARKS = "kind int, h1 long, h2 long, doc long, text_key long, pos int, n int"
 _DROP, _OPEN, _EDGE = 0, 1, 2
@@ -125,7 +125,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col
         raise ValueError("min_docs must be 2 at least")
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc()]
     ranged = line_rows(docs, min_chars, id_col, text_col).repartitionByRange(*order).sortWithinPartitions(*order, "pos")
-    marks = written(ranged.mapInArrow(_marks(min_docs), _MARKS), "line-marks")
+    marks = written(ranged.mapInArrow(releasing(_marks(min_docs)), _MARKS), "line-marks")
     edges = marks.where(F.col("kind") == _EDGE).groupBy("h1", "h2").agg(F.sum("n").alias("docs"), F.max("doc").alias("keeper"))
     settled = (
         marks.where(F.col("kind") == _OPEN)

@@ -39,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.base import NO_ID, id_of, text_of, written
+from lakeloom.llm.base import NO_ID, id_of, releasing, text_of, written
 from lakeloom.llm.components import joined_components
 from lakeloom.llm.words import by_document, combined, mix, pack, pack_sorted, slices, text_buffer, unpack, unpack_sorted, windows, word_hashes
 
@@ -418,7 +418,7 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     that share an id and names one document of each.
     """
     rows = docs.select(F.coalesce(id_of(id_col), F.lit(NO_ID)).alias("doc"), F.xxhash64(text_of(text_col)).alias("text_key"), text_of(text_col).alias("text"))
-    sets = written(rows.mapInArrow(_measured(size), _SETS), "sets")
+    sets = written(rows.mapInArrow(releasing(_measured(size)), _SETS), "sets")
     members = sets.select("doc", "text_key", "n", "k1", "k2")
     key = ["n", "k1", "k2"]
     classes = members.where("n > 0").groupBy(*key).agg(F.min(F.struct("doc", "text_key")).alias("m"))
@@ -429,20 +429,20 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
     sigs = written(sets.select(*one, "sig").dropDuplicates(one).join(reps, one).select("cid", "sig"), "signatures")
 
     # compressed once for all rounds; few texts are read into a comparison
-    zipped = rows.mapInArrow(_zipped, "doc long, text_key long, z binary, bytes long").dropDuplicates(one).join(reps, one).select("cid", "z", "bytes")
-    blocks = written(zipped.mapInArrow(_blocked(BLOCK_BYTES), "block long, cids array<long>, z array<binary>"), "texts", "uncompressed")
+    zipped = rows.mapInArrow(releasing(_zipped), "doc long, text_key long, z binary, bytes long").dropDuplicates(one).join(reps, one).select("cid", "z", "bytes")
+    blocks = written(zipped.mapInArrow(releasing(_blocked(BLOCK_BYTES)), "block long, cids array<long>, z array<binary>"), "texts", "uncompressed")
     zipped = blocks.select(F.inline(F.arrays_zip("cids", "z"))).withColumnRenamed("cids", "cid")
 
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits, buckets = min(64, 8 + max(24, int(total).bit_length())), max(8, -(-total // BUCKET_ENTRIES))
-    counts = blocks.mapInArrow(_counted(size, buckets, bits), "bucket int, block long, keys binary, sets binary").groupBy("bucket").applyInArrow(_totalled, "block long, bucket int, common binary")
+    counts = blocks.mapInArrow(releasing(_counted(size, buckets, bits)), "bucket int, block long, keys binary, sets binary").groupBy("bucket").applyInArrow(_totalled, "block long, bucket int, common binary")
     tokens = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(_prefixes(size, percent, buckets, bits), "token long, np long, cid long, sig binary")
-    tiled = written(tokens.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tiled(percent), _TILED), "tiles")
+    tiled = written(tokens.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(releasing(_tiled(percent)), _TILED), "tiles")
     tiles = tiled.where("cid IS NOT NULL").select("token", "np", "cid")
 
     def found_in(rows_, mode):
         given = rows_.join(sigs, "cid").select("token", "np", "cid", "label", *_before_names(mode), "sig")
-        return given.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(_tile_pairs(percent, mode), "a long, b long")
+        return given.repartition("token").sortWithinPartitions("token", "np", "cid").mapInArrow(releasing(_tile_pairs(percent, mode)), "a long, b long")
 
     def few_pairs(found, tried):
         """Of the sets a set was found with the few it shares most tiles with; the last round has all the rest."""
@@ -463,7 +463,7 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 75, id_col: s
         used = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
         texts = written(zipped.join(used, "cid"), "texts", "uncompressed")
         sides = pairs.join(texts.select(F.col("cid").alias("a"), F.col("z").alias("za")), "a").join(texts.select(F.col("cid").alias("b"), F.col("z").alias("zb")), "b")
-        return written(sides.select("a", "b", "za", "zb").mapInArrow(_verified(size, percent), "a long, b long"), "verified")
+        return written(sides.select("a", "b", "za", "zb").mapInArrow(releasing(_verified(size, percent)), "a long, b long"), "verified")
 
     def mixed(rows_, labels):
         """Rows of the tiles that still hold more than one component."""

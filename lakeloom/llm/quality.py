@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.base import SPACE, id_of, text_of, written
+from lakeloom.llm.base import SPACE, id_of, releasing, text_of, written
 from lakeloom.llm.vocabulary import share
 from lakeloom.llm.words import by_document, slices, text_buffer, windows, word_hashes
 
@@ -44,7 +44,7 @@ _SCRIPTS = ((0x41, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "arm
 _STARTS = np.array([a for a, _ in _SCRIPTS])
 _LOADED: dict = {}
 #: Bytes of encoded words that a task remembers.
-_KEEP = 24 << 20
+_KEEP = 48 << 20
 
 #: measure, floor of the distance between the interval and an edge
 MEASURES = {"chars_per_token": 0.5, "byte_share": 0.05, "token_entropy": 0.06}
@@ -146,7 +146,7 @@ def measure(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     with open(model_path, "rb") as f:
         model = share(docs.sparkSession, f.read())
     rows = docs.select(id_of(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("text_key"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    return rows.mapInArrow(_measured(model), _SCHEMA)
+    return rows.mapInArrow(releasing(_measured(model)), _SCHEMA)
 
 
 def judged(measure: str) -> Column:
