@@ -73,31 +73,39 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(documents(spark, sf_dir)).drop("text_key", "component_key")
 
 
-def _op5_sql() -> str:
-    """The same rules and rounds, one CTE a round."""
+def _op5_sql(rounds: int = 30) -> str:
+    """The same graph, seeds and walks, one CTE a round; with damping 0.7 what 30 rounds leave is below a 40,000th."""
     rules = sorted(urls.RULES, key=lambda r: -len(r[1]))
     fits = [f"((host = '{d}' OR ends_with(host, '.{d}')) AND starts_with(path, '/{p}'))" for d, p in (r.split("/", 1) for _, r in rules)]
     rule = "CASE " + " ".join(f"WHEN {f} THEN '{r}'" for f, (_, r) in zip(fits, rules, strict=True)) + " END"
     verdict = "CASE " + " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _) in zip(fits, rules, strict=True)) + " END"
     lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
-    href = urls.HREF.replace("'", "''")
-    rounds = "".join(
+    href, link = urls.HREF.replace("'", "''"), urls.LINK.replace("'", "''")
+    steps = "".join(
         f"""
-, s{i + 1} AS MATERIALIZED (SELECT h.host, h.allowed + 0.7::DOUBLE * coalesce(t.t, 0) AS trust, h.blocked + 0.7::DOUBLE * coalesce(d.d, 0) AS distrust FROM hosts h
-  LEFT JOIN (SELECT e.dst AS host, sum(s.trust / e.out_n) AS t FROM w e JOIN s{i} s ON s.host = e.src GROUP BY 1) t ON t.host = h.host
-  LEFT JOIN (SELECT e.src AS host, sum(s.distrust / e.in_n) AS d FROM w e JOIN s{i} s ON s.host = e.dst GROUP BY 1) d ON d.host = h.host)"""
-        for i in range(10)
+, s{i + 1} AS MATERIALIZED (SELECT h.host, h.allowed + 0.7::DOUBLE * coalesce(f.t, 0) AS t, 1 + 0.7::DOUBLE * coalesce(f.ta, 0) AS ta, h.blocked + 0.7::DOUBLE * coalesce(b.d, 0) AS d, 1 + 0.7::DOUBLE * coalesce(b.da, 0) AS da FROM hosts h
+  LEFT JOIN (SELECT e.dst AS host, sum(s.t / e.out_n) AS t, sum(s.ta / e.out_n) AS ta FROM w e JOIN s{i} s ON s.host = e.src GROUP BY 1) f ON f.host = h.host
+  LEFT JOIN (SELECT e.src AS host, sum(s.d / e.in_n) AS d, sum(s.da / e.in_n) AS da FROM w e JOIN s{i} s ON s.host = e.dst GROUP BY 1) b ON b.host = h.host)"""
+        for i in range(rounds)
     )
     return f"""
 WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{urls.URL}', 1), {lower}) AS host, regexp_extract(coalesce(url, ''), '{urls.URL}', 2) AS path, coalesce(html, '') AS html FROM pages)
 , base AS (SELECT page_id, host, path, {rule} AS rule, {verdict} AS ruled FROM p)
-, hosts AS MATERIALIZED (SELECT host, avg(CASE WHEN ruled = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS allowed, avg(CASE WHEN ruled = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS blocked FROM base WHERE host <> '' GROUP BY host)
-, links AS (SELECT host AS src, translate(regexp_extract(unnest(regexp_extract_all(html, '{href}', 1)), '^(?:[A-Za-z][A-Za-z0-9+.\\-]*:)?//([^/?#]+)', 1), {lower}) AS dst FROM p)
-, up AS (SELECT host AS src, regexp_extract(host, '^[^.]+\\.(.+)$', 1) AS dst FROM hosts)
-, e AS (SELECT DISTINCT src, dst FROM (SELECT * FROM links UNION ALL SELECT * FROM up UNION ALL SELECT dst, src FROM up) WHERE src <> dst AND src IN (SELECT host FROM hosts) AND dst IN (SELECT host FROM hosts))
+, hrefs AS (SELECT host AS src, unnest(regexp_extract_all(html, '{href}', 1)) AS href FROM p WHERE host <> '')
+, links AS MATERIALIZED (SELECT DISTINCT src, dst, path FROM (SELECT src, translate(regexp_extract(href, '{link}', 1), {lower}) AS dst, regexp_extract(href, '{link}', 2) AS path FROM hrefs) WHERE dst <> '' AND dst <> src)
+, urls AS (SELECT host, path, sum(page) AS pages FROM (SELECT host, path, 1 AS page FROM base WHERE host <> '' UNION ALL SELECT dst, path, 0 FROM links) GROUP BY host, path)
+, judged AS (SELECT host, pages, greatest(pages, 1) AS n, {verdict} AS ruled FROM urls)
+, counted AS (SELECT host, sum(pages) AS pages, sum(n) AS n, coalesce(sum(n) FILTER (WHERE ruled = 'allow'), 0) AS a, coalesce(sum(n) FILTER (WHERE ruled = 'block'), 0) AS b, coalesce(sum(pages) FILTER (WHERE ruled IS NULL), 0) AS rest FROM judged GROUP BY host)
+, shares AS (SELECT host, a::DOUBLE / CASE WHEN pages > 0 THEN a + b + rest ELSE n END AS allowed, b::DOUBLE / CASE WHEN pages > 0 THEN a + b + rest ELSE n END AS blocked FROM counted)
+, hosts AS MATERIALIZED (SELECT host, CASE WHEN blocked >= 0.5 AND blocked > allowed THEN 0.0::DOUBLE ELSE allowed END AS allowed, CASE WHEN blocked >= 0.5 AND blocked > allowed THEN 1.0::DOUBLE ELSE blocked END AS blocked FROM shares)
+, above AS (SELECT host, i, array_to_string(parts[i:], '.') AS up FROM (SELECT host, parts, unnest(range(2, len(parts) + 1)) AS i FROM (SELECT host, string_split(host, '.') AS parts FROM hosts)))
+, up AS (SELECT a.host AS src, arg_min(a.up, a.i) AS dst FROM above a JOIN hosts h ON h.host = a.up WHERE a.up <> '' GROUP BY a.host)
+, e AS (SELECT src, dst FROM links UNION SELECT src, dst FROM up UNION SELECT dst, src FROM up)
 , w AS MATERIALIZED (SELECT src, dst, count(*) OVER (PARTITION BY src) AS out_n, count(*) OVER (PARTITION BY dst) AS in_n FROM e)
-, s0 AS (SELECT host, allowed AS trust, blocked AS distrust FROM hosts){rounds}
-, bad AS (SELECT host FROM s10 WHERE round(distrust, 9) >= 0.5 AND round(distrust, 9) > round(trust, 9))
+, s0 AS (SELECT host, allowed AS t, 1.0::DOUBLE AS ta, blocked AS d, 1.0::DOUBLE AS da FROM hosts){steps}
+, scores AS (SELECT h.host, allowed + greatest(0, 1 - allowed - blocked) * CASE WHEN ta > 1 THEN (t - allowed) / (ta - 1) ELSE 0 END AS trust,
+    blocked + greatest(0, 1 - allowed - blocked) * CASE WHEN da > 1 THEN (d - blocked) / (da - 1) ELSE 0 END AS distrust FROM hosts h JOIN s{rounds} s ON s.host = h.host)
+, bad AS (SELECT host FROM scores WHERE round(distrust, 6) >= 0.5 AND round(distrust, 6) > round(trust, 6))
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM base
 """
 

@@ -7,16 +7,23 @@ those of links, whether they have pages or not. It has an edge for each host
 that a page links to, and one in both directions between a host and its
 nearest ancestor in the graph. A host's seeds are the shares of its urls that
 rules allow and block: of its pages and of the other urls that different hosts
-link to, where of a host with pages only links count that a rule fits. Trust
-is a personalised PageRank from the allowed share. Distrust runs against the
-edges from the blocked share, and a host inherits the mean of the hosts it
-links to, so what it gets does not depend on how many others link there. A
-host that its own urls block passes on a whole seed. A host is blocked when
-its distrust, in units of a seed, is ``threshold`` at least and more than its
-trust.
+link to, where of a host with pages only links count that a rule fits. A host of
+which rules block at least ``threshold``, and more than they allow, is a whole
+blocked seed.
+
+Trust is a personalised PageRank from the allowed shares along the edges,
+distrust one from the blocked shares against them. Both are set against the
+same walk from all hosts alike: of what reaches a host over its links, the
+part that comes from allowed (blocked) seeds is what it inherits. So inheritance
+is a share, whatever the number of links a host or its neighbours have. A host's
+trust is its allowed share, and what it inherits for the urls that no rule
+judges; its distrust alike. A host is blocked when its distrust is ``threshold``
+at least and more than its trust.
 
 Scores are joined to host edges round by round, each round written to the
-shared folder; a host's urls are pre-aggregated before any shuffle.
+shared folder, until no score changes by more than ``tolerance`` of the largest;
+damping bounds the rounds that takes. A host's urls are pre-aggregated before any
+shuffle, and the edges of a host with very many links are split.
 
 Defined results: a null url or one without ``://`` has empty host and path;
 empty hosts take no part in the graph and are allowed; null html has no
@@ -28,6 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.frames import skew_join
 from lakeloom.llm.base import lower_ascii, written
 
 #: Verdict and rule (domain and path prefix).
@@ -98,30 +106,46 @@ def host_edges(links: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.select("src", "dst").union(up).union(up.select(F.col("dst"), F.col("src"))).distinct()
 
 
-def host_scores(hosts: DataFrame, edges: DataFrame, damping: float = 0.7, rounds: int = 10) -> DataFrame:
-    """(host, trust, distrust) from (host, allowed, blocked) seeds, in units of a seed."""
-    out_n = edges.groupBy("src").agg(F.count(F.lit(1)).alias("out_n"))
-    weighted = written(edges.join(out_n, "src"), "host-edges")
-    seeds = written(hosts.select("host", "allowed", "blocked"), "host-seeds")
-    scores = seeds.select("host", F.col("allowed").alias("trust"), F.col("blocked").alias("distrust"))
-    for _ in range(rounds):
-        zero = F.lit(0.0)
-        forward = weighted.join(scores, weighted["src"] == scores["host"]).select(F.col("dst").alias("to"), (F.col("trust") / F.col("out_n")).alias("t"), zero.alias("d"))
-        back = weighted.join(scores, weighted["dst"] == scores["host"]).select(F.col("src").alias("to"), zero.alias("t"), (F.col("distrust") / F.col("out_n")).alias("d"))
-        got = forward.union(back).groupBy("to").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        step = lambda seed, got_: (F.col(seed) + F.lit(damping) * F.coalesce(F.col(got_), zero))
-        scores = written(seeds.join(got, seeds["host"] == got["to"], "left").select("host", step("allowed", "t").alias("trust"), step("blocked", "d").alias("distrust")), "host-scores")
-    return scores
-
-
-def judge(pages: DataFrame, rules=RULES, damping: float = 0.7, rounds: int = 10, threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def host_scores(hosts: DataFrame, edges: DataFrame, damping: float = 0.7, tolerance: float = 1e-4, rounds: int | None = None) -> DataFrame:
+    """(host, trust, distrust, trust_share, distrust_share) from (host, allowed, blocked) seeds: both walks' scores in
+    units of a seed, and as shares; ``rounds`` instead of the tolerance if given."""
+    degree = edges.select(F.col("src").alias("at"), F.lit(1).alias("o"), F.lit(0).alias("i")).union(edges.select("dst", F.lit(0), F.lit(1))).groupBy("at").agg(F.sum("o").alias("out_n"), F.sum("i").alias("in_n"))
+    degree = written(degree, "host-degrees")
+    weighted = skew_join(edges, degree.select(F.col("at").alias("_s"), "out_n"), "src", "_s", "inner").drop("_s")
+    weighted = written(skew_join(weighted, degree.select(F.col("at").alias("_d"), "in_n"), "dst", "_d", "inner").drop("_d"), "host-edges")
+    seeds = written(hosts.select("host", F.col("allowed").alias("t"), F.col("blocked").alias("d"), F.lit(1.0).alias("ta"), F.lit(1.0).alias("da")), "host-seeds")
+    scores, names, zero, done = seeds, ("t", "ta", "d", "da"), F.lit(0.0), 0
+    while True:
+        forward = skew_join(weighted, scores, "src", "host", "inner").select(F.col("dst").alias("to"), *[(F.col(c) / F.col("out_n")).alias(c) for c in ("t", "ta")], zero.alias("d"), zero.alias("da"))
+        back = skew_join(weighted, scores, "dst", "host", "inner").select(F.col("src").alias("to"), zero.alias("t"), zero.alias("ta"), *[(F.col(c) / F.col("in_n")).alias(c) for c in ("d", "da")])
+        got = forward.union(back).groupBy("to").agg(*[F.sum(c).alias(f"g_{c}") for c in names])
+        last = scores.select(F.col("host").alias("_h"), *[F.col(c).alias(f"l_{c}") for c in names])
+        step = {c: seeds[c] + F.lit(damping) * F.coalesce(F.col(f"g_{c}"), zero) for c in names}
+        joined = seeds.join(got, seeds["host"] == got["to"], "left").join(last, seeds["host"] == last["_h"])
+        moved = F.greatest(*[F.abs(step[c] - F.col(f"l_{c}")) for c in names])
+        scores = written(joined.select(seeds["host"], *[step[c].alias(c) for c in names], moved.alias("moved")), "host-scores")
+        done += 1
+        change, most = scores.agg(F.max("moved"), F.max(F.greatest("ta", "da"))).first()
+        scores = scores.drop("moved")
+        if done == rounds or (rounds is None and (change or 0.0) <= tolerance * (most or 1.0)):
+            break
+    # of what came over links the part that started at seeds
+    own = hosts.select(F.col("host").alias("_h"), "allowed", "blocked", F.greatest(zero, 1 - F.col("allowed") - F.col("blocked")).alias("open"))
+    both = scores.join(own, scores["host"] == own["_h"])
+    inherits = lambda c, seed: F.when(F.col(f"{c}a") > 1, (F.col(c) - F.col(seed)) / (F.col(f"{c}a") - 1)).otherwise(zero)
+    trust, distrust = (F.col(seed) + F.col("open") * inherits(c, seed) for c, seed in (("t", "allowed"), ("d", "blocked")))
+    return both.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"), trust.alias("trust_share"), distrust.alias("distrust_share"))
+
+
+def judge(pages: DataFrame, rules=RULES, damping: float = 0.7, tolerance: float = 1e-4, threshold: float = 0.5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, host, path, rule, verdict), one row per input row."""
     base = ruled(pages, rules, id_col, url_col)
     links = written(host_links(pages, url_col, html_col), "links")
     hosts = written(host_seeds(base, links, rules), "hosts")
     # of a host that is blocked without any link the whole counts, not the share
-    whole = F.when((F.col("blocked") >= threshold) & (F.col("blocked") > F.col("allowed")), F.lit(1.0)).otherwise(F.col("blocked"))
-    scores = host_scores(hosts.withColumn("blocked", whole), host_edges(links, hosts), damping, rounds)
-    bad = scores.where((F.round("distrust", 9) >= threshold) & (F.round("distrust", 9) > F.round("trust", 9))).select("host", F.lit("block").alias("of_host"))
-    joined = base.join(written(bad, "blocked-hosts"), "host", "left")
+    whole = (F.col("blocked") >= threshold) & (F.col("blocked") > F.col("allowed"))
+    hosts = hosts.select("host", F.when(whole, F.lit(0.0)).otherwise(F.col("allowed")).alias("allowed"), F.when(whole, F.lit(1.0)).otherwise(F.col("blocked")).alias("blocked"))
+    scores = host_scores(hosts, written(host_edges(links, hosts), "edges"), damping, tolerance)
+    bad = scores.where((F.round("distrust_share", 6) >= threshold) & (F.round("distrust_share", 6) > F.round("trust_share", 6))).select("host", F.lit("block").alias("of_host"))
+    joined = skew_join(base, written(bad, "blocked-hosts").withColumnRenamed("host", "_bad"), "host", "_bad", "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("ruled", "of_host", F.lit("allow")).alias("verdict"))

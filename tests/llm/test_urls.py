@@ -1,5 +1,10 @@
 """Distrust over the host graph: many in-links, hosts without pages, distant ancestors."""
 
+import itertools
+import random
+from collections import Counter
+
+import duckdb
 import pytest
 
 from lakeloom.llm import urls
@@ -63,3 +68,74 @@ def test_paths_over_ancestors_and_uncrawled_hosts_are_not_cut(spark):
     links = spark.createDataFrame([("example.net", "spam.example.net", "/")], "src string, dst string, path string")
     got = {r.host: r.distrust for r in urls.host_scores(hosts, urls.host_edges(links, hosts), rounds=2).collect()}
     assert got["a.b.example.net"] > 0
+
+
+def plain_scores(seeds, edges, rounds=200):
+    """{host: (trust, distrust)} as shares, by walking all edges, round by round."""
+    out_n, in_n = Counter(a for a, _ in edges), Counter(b for _, b in edges)
+    walk = {h: (a, 1.0, b, 1.0) for h, (a, b) in seeds.items()}
+    for _ in range(rounds):
+        got = {h: [0.0] * 4 for h in seeds}
+        for x, y in edges:
+            got[y][0] += walk[x][0] / out_n[x]
+            got[y][1] += walk[x][1] / out_n[x]
+            got[x][2] += walk[y][2] / in_n[y]
+            got[x][3] += walk[y][3] / in_n[y]
+        walk = {h: tuple(s + 0.7 * g for s, g in zip((a, 1.0, b, 1.0), got[h], strict=True)) for h, (a, b) in seeds.items()}
+    share = lambda x, seed, base: (x - seed) / (base - 1) if base > 1 else 0.0
+    return {h: (a + max(0, 1 - a - b) * share(walk[h][0], a, walk[h][1]), b + max(0, 1 - a - b) * share(walk[h][2], b, walk[h][3])) for h, (a, b) in seeds.items()}
+
+
+def test_scores_are_the_plain_walks(spark):
+    rnd = random.Random(2)
+    seeds = {f"h{k}": rnd.choice([(0.0, 0.0), (1.0, 0.0), (0.0, 1.0), (0.25, 0.5)]) for k in range(60)}
+    edges = sorted({(f"h{rnd.randrange(60)}", f"h{int(60 * rnd.random() ** 2)}") for _ in range(260)})
+    edges = [e for e in edges if e[0] != e[1]]
+    edges += [(f"h{k}", "hub") for k in range(60)] + [("hub", "h3")]  # a host that all link to
+    seeds["hub"], seeds["alone"] = (0.0, 0.0), (0.0, 0.4)
+    chain = [f"c{k}" for k in range(14)]  # a path longer than ten hosts
+    seeds |= dict.fromkeys(chain, (0.0, 0.0)) | {"c13": (0.0, 1.0)}
+    edges += list(itertools.pairwise(chain))
+    want = plain_scores(seeds, edges)
+    hosts = spark.createDataFrame([(h, a, b) for h, (a, b) in seeds.items()], "host string, allowed double, blocked double")
+    got = {r.host: (r.trust_share, r.distrust_share) for r in urls.host_scores(hosts, spark.createDataFrame(edges, "src string, dst string"), tolerance=1e-7).collect()}
+    assert got.keys() == want.keys() and want["c0"][1] > 0
+    for h in want:
+        assert got[h] == pytest.approx(want[h], abs=1e-5), h
+
+
+def link_rows(seed):
+    rnd = random.Random(seed)
+    hosts = [*(f"s{k}.net" for k in range(8)), *(f"www.s{k}.net" for k in range(4)), *(f"g{k}.com" for k in range(6)), *(f"o{k}.org" for k in range(30)), "a.b.example.com", "www.example.com", "example.com", "un.crawled.net"]
+    paths = ["", "/", "/es/1", "/fr/2", "/en/1", "/x?y#z"]
+    rows = []
+    for i in range(160):
+        near = rnd.choice([hosts[:12], hosts[12:18], hosts])
+        links = [f"{rnd.choice(['http://', '//', 'HTTPS://'])}{rnd.choice(near)}{rnd.choice(paths)}" for _ in range(rnd.randint(0, 5))]
+        rows.append((i, rnd.choice([f"http://{rnd.choice(hosts[:-1])}{rnd.choice(paths)}"] * 15 + [None, "no host", "http:///es/1"]), page(*links, "/own", "mailto:x")))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_sql_and_code_judge_linked_pages_alike(spark, seed):
+    from lakeloom.llm.queries import ORACLES
+
+    rows = link_rows(seed) + [(1000 + i, f"http://farm{i}.org/1", page(*[f"http://s{k}.net/x" for k in range(3)])) for i in range(40)]
+    rows += [(2000 + i, f"http://s{i % 3}.net/es/{i}", None) for i in range(90)]
+    df = spark.createDataFrame(rows, PAGES)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    want = sorted(con.execute(ORACLES["op5_url_filter"]).fetchall())
+    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judge(df).collect())
+    assert got == want
+    by_links = [r for r in got if r[3] is None and r[4] == "block"]
+    assert len(by_links) >= 15 and any(r[3] is None and r[4] == "allow" for r in got)
+    clash = df.selectExpr("page_id", "url", "html", "1 as host", "2 as path", "'x' as src", "3 as ruled")
+    assert sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judge(clash).collect()) == want
+
+
+def test_a_very_long_page_and_an_empty_table(spark):
+    rows = [(1, "http://a.org/", page(*[f"http://s{k}.net/es/{k}" for k in range(20000)])), (2, "http://b.org/", "x" * 2_000_000)]
+    assert verdicts(spark, rows) == {1: "block", 2: "allow"}
+    assert urls.judge(spark.createDataFrame([], PAGES)).count() == 0
