@@ -284,3 +284,46 @@ def checks(metrics: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("value"),
     )
     return rows.unionByName(overall)
+
+
+# What the report says of each check.
+DESCRIPTIONS = {
+    "product_asin_uniqueness": "Checks duplicate ASIN records in product metadata.",
+    "product_required_fields": "Checks required product fields.",
+    "review_required_fields": "Checks required review fields.",
+    "review_product_referential_integrity": "Checks whether review ASINs exist in product metadata.",
+    "malformed_json": "Checks malformed JSON records.",
+}
+
+
+def check_list(keys: DataFrame, product_violations: DataFrame, review_violations: DataFrame, malformed: DataFrame) -> DataFrame:
+    """AG19 with what each check found: (check, status, description, details)
+    and the overall row. ``details`` maps names to numbers: the violated fields
+    with their missing and empty records, malformed lines of products and of
+    reviews. ``keys`` and ``malformed`` are one row each (duplicate_asin_records,
+    orphan_asin_percentage; products, reviews), violations are rows of
+    ``required_violations``."""
+    entry = "array<struct<key:string,value:double>>"
+
+    def one(df, check, *columns):
+        return df.select(F.lit(check).alias("check"), F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in columns]).cast(entry).alias("found"))
+
+    def violated(df, check):
+        each = F.array(*[F.struct(F.concat_ws(".", "field", F.lit(c)).alias("key"), F.col(c).cast("double").alias("value")) for c in ("missing", "empty")])
+        return df.agg(F.flatten(F.collect_list(each)).cast(entry).alias("found")).select(F.lit(check).alias("check"), "found")
+
+    rows = one(keys, CHECKS[0], "duplicate_asin_records")
+    rows = rows.unionByName(violated(product_violations, CHECKS[1])).unionByName(violated(review_violations, CHECKS[2]))
+    rows = rows.unionByName(one(keys, CHECKS[3], "orphan_asin_percentage")).unionByName(one(malformed, CHECKS[4], "products", "reviews"))
+    bad = F.exists("found", lambda e: e["value"] > 0)
+    status = F.when(~bad, PASS).when(F.col("check") == CHECKS[-1], FAIL).otherwise(WARN)
+    text = F.lit(None).cast("string")
+    for check, description in DESCRIPTIONS.items():
+        text = F.when(F.col("check") == check, F.lit(description)).otherwise(text)
+    rows = rows.select("check", status.alias("status"), text.alias("description"), F.map_from_entries("found").alias("details"))
+    severity = F.when(F.col("status") == FAIL, 2).when(F.col("status") == WARN, 1).otherwise(0)
+    worst = rows.agg(F.max(severity).alias("s"))
+    overall = worst.select(
+        F.lit("overall").alias("check"), F.when(F.col("s") == 2, FAIL).when(F.col("s") == 1, WARN).otherwise(PASS).alias("status"),
+        F.lit(None).cast("string").alias("description"), F.lit(None).cast("map<string,double>").alias("details"))
+    return rows.unionByName(overall)

@@ -423,3 +423,48 @@ def p15_merged_texts_and_orphans(spark, sf_dir):
     texts = profile_store.merged_texts(spark, path, "reviews", ["review_text"], places=None)
     orphans = profile_store.merged_orphans(spark, path, ("reviews", "product_key"), ("products", "product_key"), exact=True)
     return rounded(with_one_row(texts, orphans))
+
+
+# ------------------------------------------------------------------ p16
+def _violations_sql(profile_sql, required):
+    names = ", ".join(repr(f) for f in required)
+    return f"""(SELECT field || '.missing' AS k, missing_records::DOUBLE AS v FROM ({profile_sql}) WHERE field IN ({names}) AND (missing_records > 0 OR empty_records > 0)
+     UNION ALL SELECT field || '.empty', empty_records::DOUBLE FROM ({profile_sql}) WHERE field IN ({names}) AND (missing_records > 0 OR empty_records > 0))"""
+
+
+P16_SQL = f"""
+WITH products AS ({PRODUCTS_SQL}), reviews AS ({reviews_sql()}),
+{_CARD_SQL},
+{_EVENT_LINES_SQL.strip().removeprefix("WITH ")},
+bad AS (SELECT (SELECT count(*) FROM ev WHERE trim(line) <> '' AND CASE WHEN json_valid(line) THEN json_type(line) <> 'OBJECT' ELSE TRUE END) AS p,
+               (SELECT count(*) FROM ({_review_lines_sql()}) WHERE trim(line) <> '' AND CASE WHEN json_valid(line) THEN json_type(line) <> 'OBJECT' ELSE TRUE END) AS r),
+found AS (
+  SELECT '{profile.CHECKS[0]}' AS "check", 'duplicate_asin_records' AS k, duplicate_asin_records::DOUBLE AS v FROM card
+  UNION ALL SELECT '{profile.CHECKS[1]}', k, v FROM {_violations_sql(P9_SQL, PRODUCT_REQUIRED)}
+  UNION ALL SELECT '{profile.CHECKS[2]}', k, v FROM {_violations_sql(P8_SQL, REVIEW_REQUIRED)}
+  UNION ALL SELECT '{profile.CHECKS[3]}', 'orphan_asin_percentage', orphan_asin_percentage FROM card
+  UNION ALL SELECT '{profile.CHECKS[4]}', 'products', p FROM bad UNION ALL SELECT '{profile.CHECKS[4]}', 'reviews', r FROM bad),
+names AS ({" UNION ALL ".join(f"SELECT '{c}' AS c, '{d}' AS description" for c, d in profile.DESCRIPTIONS.items())}),
+rows AS (SELECT c AS "check", CASE WHEN coalesce(max(v), 0) <= 0 THEN 'PASS' WHEN c = '{profile.CHECKS[4]}' THEN 'FAIL' ELSE 'WARN' END AS status, description,
+    coalesce(string_agg(k || '=' || round(v * 1e6)::BIGINT, ',' ORDER BY k), '') AS details
+  FROM names LEFT JOIN found ON "check" = c GROUP BY c, description)
+SELECT * FROM rows
+UNION ALL SELECT 'overall', CASE WHEN count(*) FILTER (WHERE status = 'FAIL') > 0 THEN 'FAIL' WHEN count(*) FILTER (WHERE status = 'WARN') > 0 THEN 'WARN' ELSE 'PASS' END, NULL, NULL FROM rows
+"""
+
+
+@register("p16_check_list", P16_SQL)
+def p16_check_list(spark, sf_dir):
+    """AG19: the check list with descriptions, violated fields and both malformed counts."""
+    from lakeloom.plans.q_ingest import _product_lines
+
+    def violations(lines, required):
+        return profile.required_violations(profile.field_profile(parse_records(lines).where("parse_error IS NULL"), required=required), required)
+
+    malformed = with_one_row(
+        parse_records(_event_lines(spark, sf_dir)).agg(F.count("parse_error").alias("products")),
+        parse_records(_review_lines(spark, sf_dir)).agg(F.count("parse_error").alias("reviews")))
+    out = profile.check_list(
+        _cardinality(spark, sf_dir), violations(_product_lines(spark, sf_dir), PRODUCT_REQUIRED), violations(_review_lines(spark, sf_dir), REVIEW_REQUIRED), malformed)
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("details")), lambda e: F.concat(e["key"], lit("="), F.round(e["value"] * 1e6).cast("bigint").cast("string"))), ",")
+    return out.select("check", "status", "description", shown.alias("details"))
