@@ -43,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.base import NO_ID, id_of, text_of, written
+from lakeloom.llm.base import NO_ID, id_of, release, releasing, text_of, written
 from lakeloom.llm.passages import _blocks, _cut, _spread
 from lakeloom.llm.words import mix, pack, pack_sorted, unpack, unpack_sorted
 
@@ -64,13 +64,13 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(step: int, n: int) -> np.ndarray:
-    """step**0 ... step**n modulo 2**64; those of a block's length are kept by the worker."""
+    """step**0 ... step**n modulo 2**64; short ones are kept by the worker."""
     have = _POWERS.get(step)
     if have is None or len(have) <= n:
         have = np.full(n + 1, step, np.uint64)
         have[0] = 1
         have = np.cumprod(have)
-        if n <= 1 << 22:
+        if n <= 1 << 20:
             _POWERS[step] = have
     return have[: n + 1]
 
@@ -117,7 +117,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
     name = np.empty(len(place), np.int64)
     name[order] = np.cumsum(new)
+    key = first = None  # not kept through the recursion
     if not new.all():  # names repeat: sort the suffixes of the text of names
+        new = order = None
         order = suffix_array(name)
         name[order] = np.arange(1, len(place) + 1)
     rank = np.zeros(n + 3, np.int64)  # of the sample's places; beyond the end: 0
@@ -243,7 +245,8 @@ def _seeded(length: int, buckets: int, bits: int):
 
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
                 opened = _Opened(row, length)
                 names, of = opened.seeds(bits)
                 if not len(names):
@@ -336,6 +339,8 @@ def _sent(length: int, buckets: int, bits: int, shards: int):
                 data = p.opened.data[_spread(p.start[at], p.strings[by] + length - 1)]
                 rows.append(
                     {"shard": shard, "block": row["block"], "bytes": zstandard.compress(data.tobytes(), 6), "strings": pack(p.strings[by].astype(np.uint16)), "ids": pack(p.opened.ids[p.doc[at]]), "places": pack(p.start[at])})
+            p = None
+            release()
         return pa.Table.from_pylist(rows, _SENT)
 
     return run
@@ -382,6 +387,8 @@ def _sorted(length: int):
         number[order] = np.cumsum(new) - 1
         flat = bit[_spread(offset[number], strings)] & np.repeat(is_first, strings)
         cuts = np.cumsum([int(x.sum()) for x in each])[:-1]
+        array = group = owner = inside = source = by = text = string = None
+        release()
         return pa.table({"block": t.column("block"), "shard": t.column("shard"), "bits": pa.array([zstandard.compress(np.packbits(x).tobytes(), 3) for x in np.split(flat, cuts)], pa.binary())})
 
     return run
@@ -420,22 +427,25 @@ def _removed(length: int, buckets: int, bits: int, shards: int):
                 g = gone[a : a + n]
                 spans = int(g[:1].sum()) + int((g[1:] & ~g[:-1]).sum())
                 out.append({"doc_id": None if i == NO_ID else i, "n_bytes": n, "n_removed": int(g.sum()), "n_spans": spans, "kept": opened.data[a : a + n][~g].tobytes()})
-        return pa.Table.from_pylist(out, _DONE)
+        done = pa.Table.from_pylist(out, _DONE)
+        out.clear()
+        release()
+        return done
 
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 2_000_000, bucket_entries: int = 1_000_000, shard_bytes: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 2_000_000, bucket_entries: int = 1_000_000, shard_bytes: int = 600_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): the bytes left of every text, one row per input row."""
     if length <= GRAM:
         raise ValueError("strings must be longer than a minimizer")
     rows = docs.select(F.coalesce(id_of(id_col), F.lit(NO_ID)).alias("doc"), text_of(text_col).alias("text"))
-    blocks = written(rows.mapInArrow(_blocks(block_bytes), "block long, ids binary, sizes binary, z binary"), "byte-blocks", "uncompressed")
+    blocks = written(rows.mapInArrow(releasing(_blocks(block_bytes)), "block long, ids binary, sizes binary, z binary"), "byte-blocks", "uncompressed")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = min(NAME_BITS, 8 + max(24, int(total).bit_length()))
     wide = length - GRAM + 1
     buckets = max(8, -(-2 * total // (wide * bucket_entries)))
-    names = blocks.mapInArrow(_seeded(length, buckets, bits), _SEEDS).groupBy("bucket").applyInArrow(_judged, _LIVE)
+    names = blocks.mapInArrow(releasing(_seeded(length, buckets, bits)), _SEEDS).groupBy("bucket").applyInArrow(_judged, _LIVE)
     names = written(names, "judged-names")
     live = names.agg(F.coalesce(F.sum("n_live"), F.lit(0))).first()[0]
     shards = max(8, -(-live * (length + wide // 2) // shard_bytes))
