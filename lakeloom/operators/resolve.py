@@ -13,8 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql import types as T
-
 from lakeloom.frames import skew_join
 from lakeloom.functions.text import normalize_lower, strip
 from lakeloom.sources.raw import POSITION
@@ -160,29 +158,22 @@ def diagnose_duplicates(
 ) -> DataFrame:
     """J8 AG16: over groups of exactly two rows, count exact duplicates and
     per-field differences. ``compare`` maps field -> 'text' (P16 normalized
-    equality) or 'value' (null-safe equality). The two rows are taken by
-    min_by/max_by over fixed-size digests of the compared values, so no group
-    is collected, no self-join is needed and long texts are not shuffled;
-    groups of three or more are counted as skipped (K17)."""
+    equality) or 'value' (null-safe equality). Two rows agree in a field where the
+    least and the greatest of two independent 64-bit hashes of it are the same, so
+    the aggregation state is a few longs a group: it is hash-aggregated, no group
+    is collected, nothing is sorted or joined with itself and texts are not
+    shuffled. As the two rows are alike, ``order_by`` does not matter to the counts.
+    Groups of three or more are counted as skipped (K17)."""
     k = F.col(key) if isinstance(key, str) else key
-    types = {f.name: f.dataType for f in df.schema.fields}
-
-    def comparable(name: str, kind: str) -> F.Column:
-        # fixed-size digests: the aggregation state stays small however long
-        # the texts are (equal digests <=> equal values)
-        if kind == "text":
-            return F.sha2(normalize_lower(name), 256)
-        if isinstance(types[name], T.StringType):
-            return F.sha2(F.col(name), 256)
-        return F.col(name)
-
-    cols = [comparable(c, kind).alias(c) for c, kind in compare.items()]
-    g = df.groupBy(k.alias("_key")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min_by(F.struct(*cols), F.col(order_by)).alias("a"),
-        F.max_by(F.struct(*cols), F.col(order_by)).alias("b"),
-    )
-    same = {name: F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}")) for name in compare}
+    hashes = {}
+    for name, kind in compare.items():
+        value = normalize_lower(name) if kind == "text" else F.col(name)
+        hashes |= {f"{name}.1": F.xxhash64(value), f"{name}.2": F.xxhash64(F.lit(1), value)}
+    rows = df.select(k.alias("_key"), *[h.alias(f"_{i}") for i, h in enumerate(hashes.values())])
+    ends = [f(f"_{i}").alias(f"{n}_{i}") for i in range(len(hashes)) for n, f in (("lo", F.min), ("hi", F.max))]
+    g = rows.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), *ends)
+    equal = lambda i: F.col(f"lo_{i}") == F.col(f"hi_{i}")
+    same = {name: equal(2 * i) & equal(2 * i + 1) for i, name in enumerate(compare)}
     pair = F.col("_n") == 2
     all_same = None
     for v in same.values():
