@@ -65,13 +65,13 @@ def _deliveries(spark, sf_dir):
     first = F.floor((F.year("l_shipdate") - 1995) / 3).cast("int")
     copies = F.when(later.isNull(), F.array(first)).otherwise(F.array(first, first + later))
     return li.select(
-        # like the library's review ids, one that covers the review's time
-        F.concat_ws("-", "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyyMMdd")).alias("review_id"), c("l_orderkey").alias("order_key"),
+        # like the library's review ids, one that covers the review's contents and time
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(c("l_quantity") * 100).cast("bigint"), F.date_format("l_shipdate", "yyyyMMdd")).alias("review_id"), c("l_orderkey").alias("order_key"),
         c("l_quantity").alias("rating"), c("l_shipdate").cast("timestamp").alias("review_time"), F.explode(copies).alias("delivery"))
 
 
 @register("x2_stream_review_dedupe", f"""
-WITH f AS (SELECT l_orderkey || '-' || l_linenumber || '-' || strftime(l_shipdate, '%Y%m%d') AS review_id, l_orderkey AS k, l_quantity AS rating, l_shipdate AS t, (year(l_shipdate) - 1995) // 3 AS d FROM lineitem),
+WITH f AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_quantity * 100)::BIGINT, strftime(l_shipdate, '%Y%m%d')) AS review_id, l_orderkey AS k, l_quantity AS rating, l_shipdate AS t, (year(l_shipdate) - 1995) // 3 AS d FROM lineitem),
 r AS (SELECT review_id, k, rating, t, unnest(CASE WHEN k % 10 IN (0, 1, 2) THEN [d, d + k % 10] ELSE [d] END) AS delivery FROM f),
 m AS (SELECT delivery, max(max(t)) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {DELAY_DAYS} DAY AS watermark FROM r GROUP BY delivery),
 l AS (SELECT r.*, coalesce(t < watermark, FALSE) AS late, k % 10 = {KNOWN_DIGIT} AS known FROM r JOIN m USING (delivery)),
