@@ -13,6 +13,7 @@ earlier in the corpus.
    buckets of the hash space, each once a block, so a passage that every
    document has is one entry a block. A minimizer of very many different contexts
    is dealt by whole strings in place of the minimizer.
+   A minimizer that only copies of one passage have leaves nothing to sort.
 2. Sorting, by the difference-cover algorithm modulo 3. The suffixes at places
    1 and 2 modulo 3 are the sample: their triples are sorted and named, and
    while names repeat the algorithm recurses on the text of names. The remaining
@@ -305,7 +306,8 @@ class _Passages:
             return
         a, b = prints(opened.data, self.start, self.end - self.start + length - 1)
         # dealt by the minimizer, or, where that is hot, by the string: the same in every block
-        key = np.concatenate([names[of[whole]], a[whole.sum() :]])
+        self.key = key = np.concatenate([names[of[whole]], a[whole.sum() :]])
+        self.again = np.concatenate([opened.again[whole], np.zeros(len(single), bool)])
         shard = (mix(key) % np.uint64(shards)).astype(np.int64)
         doc = np.searchsorted(opened.ends, self.start, side="right")
         rank = np.empty(len(opened.ids), np.int64)  # documents by id, then as they lie in the block
@@ -324,7 +326,9 @@ class _Passages:
         return [(int(self.shard[a]), a, z) for a, z in zip(at, at[1:], strict=False)]
 
 
-_SENT = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("bytes", pa.binary()), ("strings", pa.binary()), ("ids", pa.binary()), ("places", pa.binary())])
+_SENT = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("passages", pa.binary())])
+#: A row's passages: strings, whether some of them repeat in the passage, document, place and minimizer of each; then their bytes.
+_FIELDS = (("strings", np.uint16), ("again", np.uint8), ("ids", np.int64), ("places", np.int64), ("keys", np.uint64))
 
 
 def _sent(length: int, buckets: int, bits: int, shards: int):
@@ -336,9 +340,10 @@ def _sent(length: int, buckets: int, bits: int, shards: int):
                 # in the order of the text, so that passages side by side compress together
                 by = a + np.argsort(p.start[p.first[a:z]])
                 at = p.first[by]
-                data = p.opened.data[_spread(p.start[at], p.strings[by] + length - 1)]
-                rows.append(
-                    {"shard": shard, "block": row["block"], "bytes": zstandard.compress(data.tobytes(), 6), "strings": pack(p.strings[by].astype(np.uint16)), "ids": pack(p.opened.ids[p.doc[at]]), "places": pack(p.start[at])})
+                values = p.strings[by], p.again[at], p.opened.ids[p.doc[at]], p.start[at], p.key[at]
+                raw = [v.astype(kind).tobytes() for v, (_, kind) in zip(values, _FIELDS, strict=True)]
+                raw.append(p.opened.data[_spread(p.start[at], p.strings[by] + length - 1)].tobytes())
+                rows.append({"shard": shard, "block": row["block"], "n": z - a, "passages": zstandard.compress(b"".join(raw), 3)})
             p = None
             release()
         return pa.Table.from_pylist(rows, _SENT)
@@ -346,15 +351,26 @@ def _sent(length: int, buckets: int, bits: int, shards: int):
     return run
 
 
+def _received(t: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The fields of a shard's passages and their bytes, row after row."""
+    fields, data = {c: [] for c, _ in _FIELDS}, []
+    for n, blob in zip(t.column("n").to_pylist(), t.column("passages"), strict=True):
+        raw, at = zstandard.decompress(blob.as_py()), 0
+        for c, kind in _FIELDS:
+            fields[c].append(np.frombuffer(raw, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+        data.append(np.frombuffer(raw, np.uint8, offset=at))
+    return {c: np.concatenate(x) for c, x in fields.items()}, np.concatenate(data)
+
+
 def _sorted(length: int):
     """applyInArrow body: a shard's suffixes sorted; of each passage's strings those that start earliest where its block says."""
 
     def run(t: pa.Table) -> pa.Table:
-        data = np.concatenate([np.frombuffer(zstandard.decompress(x.as_py()), np.uint8) for x in t.column("bytes")])
-        each = [unpack(x.as_py(), np.uint16).astype(np.int64) for x in t.column("strings")]
-        strings = np.concatenate(each)
-        ids, places = (np.concatenate([unpack(x.as_py(), np.int64) for x in t.column(c)]) for c in ("ids", "places"))
-        block = np.repeat(t.column("block").to_numpy(), [len(x) for x in each])
+        fields, data = _received(t)
+        strings, ids, places = fields["strings"].astype(np.int64), fields["ids"], fields["places"]
+        sizes = t.column("n").to_numpy()
+        block = np.repeat(t.column("block").to_numpy(), sizes)
         ends = np.cumsum(strings + length - 1)
         start = ends - strings - length + 1
         # blocks have passages in common: each is sorted once, as of its earliest occurrence
@@ -363,37 +379,51 @@ def _sorted(length: int):
         new = np.ones(len(order), bool)
         new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
         first = order[new]
+        # a minimizer all of whose occurrences lie in copies of one passage leaves nothing to sort:
+        # each of its strings starts earliest where the passage does
+        _, of, contents = np.unique(fields["keys"][first], return_inverse=True, return_counts=True)
+        several = (contents[of] > 1) | (fields["again"][first] > 0)
         n = strings[first]
-        text = np.zeros(int((n + length).sum()), np.int64)  # a separator after each
-        begin = np.cumsum(n + length) - n - length
-        text[_spread(begin, n + length - 1)] = data[_spread(start[first], n + length - 1)].astype(np.int64) + 1
-        array = suffix_array(text + 1)
-        string = np.zeros(len(text), bool)
-        string[_spread(begin, n)] = True
-        array = array[string[array]]  # places with ``length`` bytes left in their passage
-        group = np.cumsum(~equal_neighbours(text.astype(np.uint8), array, length))  # no byte of UTF-8 is above 244
-        owner = np.searchsorted(begin, array, side="right") - 1
-        inside = array - begin[owner]
-        source = first[owner]
-        by = np.lexsort((places[source] + inside, block[source], ids[source], group))
-        earliest = by[np.diff(group[by], prepend=0) != 0]
-        bit = np.zeros(int(n.sum()), bool)
         offset = np.cumsum(n) - n
-        bit[offset[owner[earliest]] + inside[earliest]] = True
+        bit = np.ones(int(n.sum()), bool)
+        sort = np.flatnonzero(several)
+        if len(sort):
+            bit[_spread(offset[sort], n[sort])] = _earliest(data, start[first[sort]], n[sort], length, ids[first[sort]], block[first[sort]], places[first[sort]])
         # only the occurrence that was sorted can start earliest
         is_first = np.zeros(len(strings), bool)
         is_first[first] = True
         number = np.empty(len(strings), np.int64)
         number[order] = np.cumsum(new) - 1
         flat = bit[_spread(offset[number], strings)] & np.repeat(is_first, strings)
-        cuts = np.cumsum([int(x.sum()) for x in each])[:-1]
-        array = group = owner = inside = source = by = text = string = None
+        total = np.cumsum(np.add.reduceat(strings, np.cumsum(sizes) - sizes))
+        fields = data = None
         release()
-        return pa.table({"block": t.column("block"), "shard": t.column("shard"), "bits": pa.array([zstandard.compress(np.packbits(x).tobytes(), 3) for x in np.split(flat, cuts)], pa.binary())})
+        parts = np.split(flat, total[:-1])
+        return pa.table({"block": t.column("block"), "shard": t.column("shard"), "bits": pa.array([np.packbits(x).tobytes() for x in parts], pa.binary())})
 
     return run
 
 
+def _earliest(data: np.ndarray, start: np.ndarray, n: np.ndarray, length: int, ids: np.ndarray, block: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Of the ``n`` strings of each passage (at ``start`` in ``data``), one after another, which start
+    earliest there; ``ids``, ``block`` and ``places`` tell where the passages start."""
+    text = np.zeros(int((n + length).sum()), np.uint8)  # a separator after each
+    begin = np.cumsum(n + length) - n - length
+    text[_spread(begin, n + length - 1)] = data[_spread(start, n + length - 1)] + 1  # no byte of UTF-8 is above 244
+    array = suffix_array(text.astype(np.int64) + 1)
+    string = np.zeros(len(text), bool)
+    string[_spread(begin, n)] = True
+    array = array[string[array]]  # places with ``length`` bytes left in their passage
+    group = np.cumsum(~equal_neighbours(text, array, length))
+    owner = np.searchsorted(begin, array, side="right") - 1
+    inside = array - begin[owner]
+    by = np.lexsort((places[owner] + inside, block[owner], ids[owner], group))
+    first = by[np.diff(group[by], prepend=0) != 0]
+    bit = np.zeros(int(n.sum()), bool)
+    bit[(np.cumsum(n) - n)[owner[first]] + inside[first]] = True
+    return bit
+
+
 _DONE = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
 
@@ -412,7 +442,7 @@ def _removed(length: int, buckets: int, bits: int, shards: int):
                 for shard, a, z in p.parts():
                     by = a + np.argsort(p.start[p.first[a:z]])
                     to = _spread(offset[by], p.strings[by])
-                    earliest[to] = np.unpackbits(np.frombuffer(zstandard.decompress(found[shard]), np.uint8))[: len(to)].astype(bool)
+                    earliest[to] = np.unpackbits(np.frombuffer(found[shard], np.uint8))[: len(to)].astype(bool)
                 is_first = np.zeros(len(p.start), bool)
                 is_first[p.first] = True
                 for i in range(0, len(p.order), 1 << 16):  # every occurrence of a passage, in slices
@@ -435,7 +465,7 @@ def _removed(length: int, buckets: int, bits: int, shards: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 2_000_000, bucket_entries: int = 1_000_000, shard_bytes: int = 600_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 2_000_000, bucket_entries: int = 1_000_000, shard_bytes: int = 1_500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): the bytes left of every text, one row per input row."""
     if length <= GRAM:
         raise ValueError("strings must be longer than a minimizer")
@@ -450,7 +480,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = 2_000_
     live = names.agg(F.coalesce(F.sum("n_live"), F.lit(0))).first()[0]
     shards = max(8, -(-live * (length + wide // 2) // shard_bytes))
     by_block = blocks.groupBy("block")
-    sent = by_block.cogroup(names.groupBy("block")).applyInArrow(_sent(length, buckets, bits, shards), "shard int, block long, bytes binary, strings binary, ids binary, places binary")
+    sent = by_block.cogroup(names.groupBy("block")).applyInArrow(_sent(length, buckets, bits, shards), "shard int, block long, n long, passages binary")
     firsts = written(sent.groupBy("shard").applyInArrow(_sorted(length), "block long, shard int, bits binary"), "earliest")
     answers = names.select(F.lit(1).alias("kind"), "block", "bucket", "flags").union(firsts.select(F.lit(2), "block", "shard", "bits"))
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(_removed(length, buckets, bits, shards), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
