@@ -165,11 +165,12 @@ def equal_neighbours(text: np.ndarray, places: np.ndarray, length: int) -> np.nd
 
 
 # --------------------------------------------------------------- blocks
-def minimizers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For the string of ``length`` bytes at each place the least hash of ``GRAM`` bytes in it and where that is first."""
+def minimizers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The least hash of ``GRAM`` bytes in each string of ``length`` bytes: (places where another one is least than
+    in the string before, these hashes, places where the same hash is found at another place than before)."""
     n, wide = len(data) - length + 1, length - GRAM + 1
-    name, place = np.empty(n, np.uint64), np.empty(n, np.int64)
-    for a in range(0, n, _CHUNK):  # a chunk's arrays stay in the processor's cache
+    changes, names, moves, last = [], [], [], None
+    for a in range(0, n, _CHUNK):  # only a chunk's strings are in memory, and they fit the processor's cache
         b = min(n, a + _CHUNK)
         word = np.lib.stride_tricks.sliding_window_view(data[a : b + length - 1], 8).copy().view("<u8").ravel()
         grams = word[: b - a + wide - 1] * _FACTORS[0]
@@ -186,9 +187,17 @@ def minimizers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
             have *= 2
         if have < wide:
             grams = np.minimum(grams[: b - a], grams[wide - have : wide - have + b - a])
-        name[a:b] = grams >> np.uint64(16)
-        place[a:b] = (grams & np.uint64(0xFFFF)).astype(np.int64) + a
-    return name, place
+        name, place = grams >> np.uint64(16), (grams & np.uint64(0xFFFF)).astype(np.int32)
+        other, moved = np.ones(len(name), bool), np.ones(len(name), bool)
+        other[1:], moved[1:] = name[1:] != name[:-1], place[1:] != place[:-1]
+        if last is not None:
+            other[0], moved[0] = name[0] != last[0], a + int(place[0]) != last[1]
+        last = name[-1], a + int(place[-1])
+        at = np.flatnonzero(other)
+        changes.append(at + a)
+        names.append(name[at])
+        moves.append(np.flatnonzero(moved & ~other) + a)
+    return np.concatenate(changes), np.concatenate(names), np.concatenate(moves)
 
 
 class _Opened:
@@ -202,29 +211,26 @@ class _Opened:
         self.run = self.end = np.zeros(0, np.int64)
         self.name = np.zeros(0, np.uint64)
         self.again = np.zeros(0, bool)
-        n = len(self.data)
-        whole = np.zeros(n + 1, np.int8)  # places with ``length`` bytes left in their document
         long = self.sizes >= length
         if not long.any():
             return
-        whole[self.starts[long]] += 1
-        whole[self.ends[long] - length + 1] -= 1
-        at = np.flatnonzero(np.cumsum(whole[:-1], dtype=np.int8))
-        name, place = minimizers(self.data, length)
-        name = name[at]
-        new = np.ones(len(at), bool)
-        new[1:] = (name[1:] != name[:-1]) | (at[1:] != at[:-1] + 1)  # between documents there is a gap
-        first = np.flatnonzero(new)
-        size = np.diff(np.append(first, len(at)))
+        changes, names, moves = minimizers(self.data, length)
+        # strings lie within documents: from their starts, as long as ``length`` bytes are left
+        begin, over = self.starts[long], self.ends[long] - length + 1
+        cut = np.union1d(np.concatenate([changes, over]), begin)
+        size = np.diff(np.append(cut, len(self.data)))
+        doc = np.searchsorted(begin, cut, side="right") - 1
+        inside = (doc >= 0) & (cut < over[doc])
+        first, size = cut[inside], size[inside]
         if size.max() > LONGEST:
             pieces = -(-size // LONGEST)
+            end = np.repeat(first + size, pieces)
             first = np.repeat(first, pieces) + LONGEST * _spread(np.zeros(len(pieces), np.int64), pieces)
-            size = np.diff(np.append(first, len(at)))
-        self.run = at[first]
-        self.end = self.run + size
-        self.name = name[first]
+            size = np.minimum(LONGEST, end - first)
+        self.run, self.end = first, first + size
+        self.name = names[np.searchsorted(changes, first, side="right") - 1]
         # strings that repeat in a passage have their minimizers at different places
-        self.again = place[self.run] != place[self.end - 1]
+        self.again = np.searchsorted(moves, self.end) > np.searchsorted(moves, self.run, side="right")
 
     def contexts(self) -> np.ndarray:
         """16 bits of each passage's first and last bytes and its size."""
