@@ -71,7 +71,7 @@ def _powers(step: int, n: int) -> np.ndarray:
         have = np.full(n + 1, step, np.uint64)
         have[0] = 1
         have = np.cumprod(have)
-        if n <= 1 << 22:
+        if n <= 1 << 20:
             _POWERS[step] = have
     return have[: n + 1]
 
