@@ -88,6 +88,6 @@ def x2_stream_review_dedupe(spark, sf_dir):
     for n in range(_DELIVERIES):
         rows.where(c("delivery") == n).write.mode("append").parquet(f"{base}/in")
         arriving = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
-        judged = dedupe.dedupe_reviews(arriving, known, delay=f"{DELAY_DAYS} days", buckets=16)
+        judged = dedupe.dedupe_reviews(arriving, known, delay=f"{DELAY_DAYS} days")
         dedupe.stream_reviews(judged, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("review_id", "rating", "delivery", "error")

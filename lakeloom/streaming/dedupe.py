@@ -4,7 +4,8 @@ earlier runs are routed to quarantine with a code, never dropped in silence.
 ``dropDuplicatesWithinWatermark`` drops repeats and late rows without a trace,
 so the state is kept by ``applyInPandasWithState``: review ids are dealt to a
 fixed number of buckets, and a bucket's state holds the ids accepted so far with
-their event times. Ids whose event time lies behind the watermark leave the
+their event times. A Python worker holds one bucket's state at a time, so buckets
+are many and small; their number must stay the same for a checkpoint. Ids whose event time lies behind the watermark leave the
 state, as a repeat of them would be late; the state is as large as the
 watermark's window. A bucket's rows of one micro-batch are taken chunk by chunk.
 
@@ -28,6 +29,8 @@ from lakeloom.operators.silver import write_routed
 MISSING_ID, MISSING_TIME = "missing_review_id", "missing_review_timestamp"
 KNOWN, LATE, DUPLICATE = "already_ingested", "late_review", "duplicate_review"
 
+#: Buckets of ids: of 100 million ids in the watermark's window each holds 25,000.
+BUCKETS = 4096
 _STATE = "ids array<string>, times array<bigint>"
 _OUT = "payload string, error string"
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "ignoreNullFields": "false"}
@@ -51,7 +54,7 @@ def _judge(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[p
     state.update((list(seen), list(seen.values())))
 
 
-def dedupe_reviews(reviews: DataFrame, known: DataFrame | None = None, key: str = "review_id", event_time: str = "review_time", delay: str = "1 hour", buckets: int = 256) -> DataFrame:
+def dedupe_reviews(reviews: DataFrame, known: DataFrame | None = None, key: str = "review_id", event_time: str = "review_time", delay: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """The stream's rows with ``error``: NULL for the first row of an id, else a code.
 
     ``known``: a static table with the ids that earlier runs have ingested.

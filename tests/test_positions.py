@@ -2,10 +2,12 @@
 
 import gzip
 import itertools
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from shared import SF_SMALL
 
 from lakeloom.operators import resolve
 from lakeloom.sources import raw
@@ -90,6 +92,20 @@ def test_repeats_across_restarts_late_and_known_rows_are_routed(spark, tmp_path)
     assert (row.review_id, row.rating, row.tags) == ("f", 2.0, ["y", None]) and str(row.review_time) == "1970-01-01 03:15:00"
 
 
+def test_a_bucket_of_ids_is_small(spark):
+    """A worker holds a whole bucket's ids: sf0.001 has 6,000 reviews, the stand-in for any size."""
+    from lakeloom.plans import catalog
+    from lakeloom.session import checkpoint_dir
+
+    folder = Path(checkpoint_dir(spark))
+    before = set(folder.glob("x2-*"))
+    catalog.QUERIES["x2_stream_review_dedupe"](spark, SF_SMALL)
+    (mine,) = set(folder.glob("x2-*")) - before
+    state = spark.read.format("statestore").load(f"{mine}/checkpoint")
+    ids, largest = state.agg(F.sum(F.size("value.groupState.ids")), F.max(F.size("value.groupState.ids"))).first()
+    assert ids > 500 and largest <= 20
+
+
 def test_state_holds_the_watermark_window_only():
     class State:
         exists, value, watermark = False, None, 0
