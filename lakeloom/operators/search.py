@@ -14,6 +14,7 @@ Scoring never materializes query x point pairs as rows:
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Sequence
 
 import numpy as np
@@ -130,6 +131,23 @@ def unit_matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return m / np.where(length == 0, 1.0, length), missing
 
 
+def releasing(run):
+    """The batch function ``run``; when its task ends, memory it has freed goes back to
+    the system. A task of a chain of Python operators has a worker for each, idle workers
+    live on, and allocators keep what they once had: the peaks of all of them would add up."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def packed_rows(block_bytes: int, key: str | None = None):
     """mapInArrow body: rows (id, vec) to blocks of at most ``block_bytes`` of vectors, or one
     vector; with ``key``, a column of integers, each block holds rows of one key and names it."""
@@ -148,7 +166,7 @@ def packed_rows(block_bytes: int, key: str | None = None):
                     row = [pa.array([k]), *(pa.array([x[order].tobytes()]) for x in (ids, m, missing))]
                     yield pa.RecordBatch.from_arrays(row, names=[key or "block", "ids", "vectors", "missing"])
 
-    return run
+    return releasing(run)
 
 
 def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +199,7 @@ def best_of_blocks(k: int):
                     x, y = _best(score, k)
                     yield pa.RecordBatch.from_arrays([pa.array(qid[i + x]), pa.array(pid[y]), pa.array(score[x, y])], names=["query_id", "id", "score"])
 
-    return run
+    return releasing(run)
 
 
 def grid(n_points: int, n_queries: int, cell_scores: int = CELL_SCORES, least: int = 1) -> tuple[int, int]:

@@ -13,7 +13,9 @@ Search: queries meet the cells they probe in an equi-join of blocks; numpy
 scores one pair of blocks at a time exactly (a re-rank with the vectors
 themselves, no codes). Queries that find fewer than k points probe on, twice as
 many cells each time, until they have k or no cell is left. With ``probes`` set
-to the number of cells the result is exact.
+to the number of cells the result is exact: every query meets every stored vector,
+so blocks of both meet in the grid of the batch search, and no query is dealt to
+each of the cells.
 
 Reaching the driver: centres (``cells`` rows), histograms by cell, and the set of
 probed cells, all bounded by ``MOST_CELLS``.
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.functions.vectors import l2_normalize, norm
-from lakeloom.operators.search import BLOCK_BYTES, best_of_blocks, packed_rows, ranked_hits, topk_batch, unit_matrix
+from lakeloom.operators.search import BLOCK_BYTES, best_of_blocks, packed_rows, ranked_hits, releasing, topk_batch, unit_matrix
 
 #: Bounds of what the driver and each task hold: cells, and rows that centres are fitted on.
 MOST_CELLS = 65_536
@@ -94,7 +96,7 @@ def _assigned(centres):
             at = b.schema.get_field_index("vec")
             yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != at), pa.array(cell)], names=[*(n for n in b.schema.names if n != "vec"), "cell"])
 
-    return run
+    return releasing(run)
 
 
 def assign(spark: SparkSession, vectors: DataFrame, vec_col: str, centres: np.ndarray) -> DataFrame:
@@ -174,7 +176,7 @@ def _probing(centres, first: int, last: int):
             row = np.repeat(np.arange(len(unit)), cells.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(cells.ravel()), b.column("id").take(pa.array(row)), b.column("vec").take(pa.array(row))], names=["cell", "id", "vec"])
 
-    return run
+    return releasing(run)
 
 
 def search(spark: SparkSession, index: Index, queries: DataFrame, k: int = 10, query_id: str = "query_id", query_vec: str = "query_vec", probes: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -185,8 +187,11 @@ def search(spark: SparkSession, index: Index, queries: DataFrame, k: int = 10, q
     if k <= 0 or (probes is not None and probes <= 0):
         raise ValueError("k and probes must be positive")
     now = min(index.cells, probes or index.probes)
-    shared = spark.sparkContext.broadcast(index.centres)
     stored = points(spark, index)
+    if now == index.cells:
+        asked = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).cast("array<double>").alias(query_vec))
+        return topk_batch(stored, asked, k, index.id_col, query_id=query_id, query_vec=query_vec, block_bytes=block_bytes)
+    shared = spark.sparkContext.broadcast(index.centres)
     open_queries = queries.where(F.col(query_vec).isNotNull()).select(F.col(query_id).cast("long").alias("id"), F.col(query_vec).cast("array<double>").alias("vec"))
     found, before = None, 0
     while True:

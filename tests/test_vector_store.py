@@ -180,3 +180,25 @@ def test_one_text_finds_its_own_document(spark):
     text = docs.orderBy("doc_id").first().text
     hits = search.topk_text(embed.embed_text(docs, "text", ["doc_id"]), text, k=3, id_col="doc_id").collect()
     assert hits[0].score == pytest.approx(1.0) and hits[0].rank == 1
+
+
+def test_a_search_of_all_cells_deals_no_query_to_each_of_them(spark, tmp_path, monkeypatch):
+    pts = clustered(spark, 300)
+    index = vi.build(spark, pts, str(tmp_path / "i"), "point_id", cells=20)
+    queries = pts.where("point_id % 50 = 0").select(F.col("point_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    monkeypatch.setattr(vi, "_probing", lambda *_: pytest.fail("queries are dealt to cells"))
+    whole = vi.search(spark, index, queries, 10, probes=index.cells)
+    assert whole.columns == ["query_id", "rank", "point_id", "score"]
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, search.topk_batch(pts, queries, 10).collect()))
+
+
+def test_workers_give_freed_memory_back_when_a_task_ends(monkeypatch):
+    trimmed = []
+
+    class Libc:
+        malloc_trim = staticmethod(trimmed.append)
+
+    monkeypatch.setattr(search.ctypes, "CDLL", lambda _: Libc)
+    for run in (search.packed_rows(64), search.best_of_blocks(3), vi._assigned(None), vi._probing(None, 0, 1)):
+        assert list(run(iter([]))) == []
+    assert len(trimmed) == 4
