@@ -1,8 +1,8 @@
 """Embeddings (U1-U3 P26 P27 AG21), image download (S16) and resumable
 embedding jobs (S12 S13).
 
-* Text: the default encoder is signed feature hashing in the JVM: a token's
-  MD5 digest gives its dimension and its sign, tokens are counted by Spark ML
+* Text: the default encoder is signed feature hashing on Arrow batches: a token's
+  MD5 digest gives its dimension and its sign, tokens are counted
   and the vector is normalized. It needs no model file, and SQL can compute it.
   Any other model is injected as a factory ``() -> encode(list[str]) ->
   ndarray``; it runs in ``mapInPandas``, is built once per Python worker and is
@@ -19,6 +19,7 @@ embedding jobs (S12 S13).
 
 from __future__ import annotations
 
+import hashlib
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.frames import with_one_row
+from lakeloom.operators.search import releasing
 
 TEXT_MODEL = "signed-hash"
 IMAGE_MODEL = "byte-histogram-256"
@@ -57,31 +59,55 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
 # -------------------------------------------------------------------- text
 #: Tokens of the built-in encoder: runs without ASCII white space, A-Z lower-cased.
 TOKEN = r"[^\x20\x09-\x0D]+"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Tokens of one task whose places are kept; a table that is full starts anew.
+KEPT_TOKENS = 200_000
+
+
+class _Places(dict):
+    """Token -> its place: below ``dim`` with a positive sign, from there on with a negative one."""
+
+    def __init__(self, dim: int) -> None:
+        self.dim = dim
+
+    def __missing__(self, token: bytes) -> int:
+        digest = hashlib.md5(token, usedforsecurity=False).digest()
+        at = int.from_bytes(digest[:4], "big") % self.dim
+        if digest[4] >= 128:
+            at += self.dim
+        if len(self) >= KEPT_TOKENS:
+            self.clear()
+        self[token] = at
+        return at
+
+
+def _hashed(dim: int):
+    """mapInArrow body: ``_text`` becomes ``_vec``."""
+
+    def run(batches):
+        places = _Places(dim)
+        for b in batches:
+            at = b.schema.get_field_index("_text")
+            m = np.zeros((b.num_rows, dim))
+            for i, text in enumerate(b.column(at)):
+                # of bytes, lower() takes A-Z only and split() parts at ASCII white space only
+                tokens = text.as_buffer().to_pybytes().lower().split() if text.is_valid else []
+                if tokens:
+                    n = np.bincount(np.fromiter(map(places.__getitem__, tokens), np.int64, len(tokens)), minlength=2 * dim)
+                    m[i] = n[:dim] - n[dim:]
+            flat = pa.array(_unit_rows(m).ravel())
+            vec = pa.ListArray.from_arrays(pa.array(np.arange(0, b.num_rows * dim + 1, dim, dtype=np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([*(c for i, c in enumerate(b.columns) if i != at), vec], names=[*(n for n in b.schema.names if n != "_text"), "_vec"])
+
+    return releasing(run)
 
 
 def hashed_vectors(df: DataFrame, text_col: str, dim: int) -> DataFrame:
-    """``df`` with ``_vec``: the unit vector of signed token counts. Of a token's
-    MD5 the first 32 bits choose the dimension and the next one the sign; an empty or
-    NULL text gives the zero vector."""
-    from pyspark.ml.feature import CountVectorizerModel, Normalizer
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
-    def place(token):
-        digest = F.md5(token.cast("binary"))
-        at = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % dim
-        return F.when(F.substring(digest, 9, 1) < "8", at).otherwise(at + dim).cast("string")
-
-    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER, _UPPER.lower())
-    tokens = F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))
-    placed = df.withColumn("_places", F.transform(tokens, place))
-    # places of positive signs come first, those of negative signs after them
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(2 * dim)], inputCol="_places", outputCol="_counts", minTF=1.0)
-    counts = vector_to_array(F.col("_counts"))
-    signed = F.zip_with(F.slice(counts, 1, dim), F.slice(counts, dim + 1, dim), lambda x, y: x - y)
-    summed = counter.transform(placed).withColumn("_signed", array_to_vector(signed))
-    unit = Normalizer(inputCol="_signed", outputCol="_unit", p=2.0).transform(summed)
-    return unit.select(*df.columns, vector_to_array(F.col("_unit"), "float32").alias("_vec"))
+    """``df`` without its text and with ``_vec``: the unit vector of signed token counts. Of a
+    token's MD5 the first 32 bits choose the dimension and the next one the sign; an empty or
+    NULL text gives the zero vector. Words repeat, so a task hashes a token once."""
+    rest = [f for f in df.schema.fields if f.name != text_col]
+    schema = T.StructType([*rest, T.StructField("_vec", T.ArrayType(T.FloatType()))])
+    return df.select(*[f.name for f in rest], F.col(text_col).cast("string").alias("_text")).mapInArrow(_hashed(dim), schema)
 
 
 def embed_text(
@@ -101,7 +127,7 @@ def embed_text(
     if encoder_factory is None:
         vec = hashed_vectors(df.select(*keep, F.col(text_col).alias("_text")), "_text", dim)
         name = model_name or f"{TEXT_MODEL}-{dim}"
-        return vec.select(*keep, F.lit(name).alias("embedding_model"), F.size("_vec").cast("int").alias("embedding_dimension"),
+        return vec.select(*keep, F.lit(name).alias("embedding_model"), F.lit(dim).cast("int").alias("embedding_dimension"),
                           F.col("_vec").alias("embedding"))
 
     name = model_name or "injected"

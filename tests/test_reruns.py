@@ -85,3 +85,24 @@ def test_head_goes_file_by_file(spark):
     assert [r.seq for r in head(rows, 1, "seq").collect()] == [1]
     with pytest.raises(ValueError):
         head(rows.drop("seq", "source_file").selectExpr("1 as x"), 1)
+
+
+def test_a_token_is_hashed_once_in_a_task(monkeypatch):
+    """A text's words repeat, and so do those of a task's texts."""
+    import hashlib
+
+    import pyarrow as pa
+
+    asked = []
+
+    def md5(token, **kw):
+        asked.append(token)
+        return hashlib.new("md5", token, **kw)
+
+    monkeypatch.setattr(embed.hashlib, "md5", md5)
+    texts = pa.RecordBatch.from_pydict({"id": [1, 2, 3, 4], "_text": ["Ab ab\xa0c \x0b ab", None, "", "AB\x1cx ab Ä"]})
+    (got,) = embed._hashed(8)(iter([texts]))
+    # no-break space, information separators and capitals beyond A-Z belong to tokens as they are
+    assert sorted(asked) == sorted(x.encode() for x in ("ab", "ab\xa0c", "ab\x1cx", "Ä"))
+    vectors = got.column("_vec").to_pylist()
+    assert vectors[1] == vectors[2] == [0.0] * 8 and abs(sum(x * x for x in vectors[0]) - 1) < 1e-6
