@@ -166,3 +166,12 @@ def test_head_counts_only_good_records(spark):
     good, _ = split_records(parse_records(lines_df(spark, lines)))
     got = [r["line"] for r in head(good, 2).collect()]
     assert got == ['{"a":1}', '{"a":2}']
+
+
+def test_more_input_is_spread_over_more_tasks(spark, tmp_path):
+    from lakeloom.sources import raw
+
+    spark.range(60).repartition(30).selectExpr("cast(id as string) as value").write.text(str(tmp_path / "many"))
+    lines = raw.read_lines(spark, str(tmp_path / "many"))
+    assert raw.spread(lines).rdd.getNumPartitions() == max(spark.sparkContext.defaultParallelism, raw.TASKS_A_SPLIT * lines.rdd.getNumPartitions())
+    assert raw.spread(lines, 3).rdd.getNumPartitions() == 3
