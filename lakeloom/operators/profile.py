@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from lakeloom.frames import skew_join, with_one_row
 from lakeloom.functions.text import normalize_text, strip
-from lakeloom.functions.values import clean_value_string, field, is_empty, number_text, value_type
+from lakeloom.functions.values import clean_value_string, field, is_empty, number_text, type_of_schema, value_type, variant_text
 
 
 # Check names in report order, and the three statuses.
@@ -45,10 +45,12 @@ def field_partial(records: DataFrame, record: str = "record") -> DataFrame:
     counter = F.array(F.lit(None).cast("struct<key:string,value:variant>"))
     entries = records.select(F.explode(F.concat(counter, F.coalesce(fields, F.array().cast("array<struct<key:string,value:variant>>")))).alias("f"))
     entries = entries.select(F.col("f.key").alias("field"), F.col("f.value").alias("v"))
+    # schema, type and a string's text are columns: each test of the CASEs below would work them out again
     entries = entries.select("field", "v", F.schema_of_variant("v").alias("_sch"))
-    sch = F.col("_sch")
-    typed = entries.select("field", value_type(F.col("v"), sch).alias("type"),
-                           is_empty(F.col("v"), sch=sch).alias("empty"))
+    entries = entries.select("*", type_of_schema("_sch").alias("_t"))
+    entries = entries.select("*", F.when(F.col("_t") == "STRING", variant_text("v")).alias("_s"))
+    v, sch, t = F.col("v"), F.col("_sch"), F.col("_t")
+    typed = entries.select("field", value_type(v, sch, t).alias("type"), is_empty(v, t, sch, strip("_s")).alias("empty"))
     return typed.groupBy("field", "type").agg(F.count(F.lit(1)).alias("n"), F.count_if("empty").alias("e"))
 
 

@@ -85,3 +85,19 @@ def test_floats_print_as_python_prints_them(spark):
     values = [0.0, -0.0, 4.5, 1e7, 1.4e9, -1400000000.25, 123456789012345.67, 1e16, 1.5e16, 1.25e300, 1e-3, 1e-4, 0.00012345678901234567, 1e-5, -2.5e-7, 1e-12, float("inf"), float("nan")]
     df = spark.createDataFrame([(v,) for v in values], "v double").select("v", float_text("v").alias("t"))
     assert [r.t for r in df.collect()] == [str(v) for v in values]
+
+
+def test_strip_by_name_is_python_strip(spark):
+    samples = ["", " ", "a", "a ", " a", "\u3000a", "a\u2009", "\x7fa\x7f", "é", "é ", "~!", "a b", "\x1f~", None]
+    df = spark.createDataFrame([(s,) for s in samples], "x string")
+    got = [tuple(r) for r in df.select(TX.strip("x"), TX.strip(F.col("x"))).collect()]
+    assert got == [(None, None) if s is None else (s.strip(), s.strip()) for s in samples]
+
+
+def test_json_numbers_match_the_variant_cast(spark):
+    texts = ["0", "-0.0", "5.0", "1.50", "100.0", "0.1", "1e999", "-1e999", "1e-7", "1.9e9", "123456789012345678901", "9007199254740993", "0.30000000000000004441", "true", "false", "null", '"5"', "[]", "{}"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string").select("x", F.parse_json("x").alias("v"))
+    for r in df.select("x", V.json_number("v").alias("n"), F.try_variant_get("v", "$", "double").alias("m")).collect():
+        assert r["n"] == r["m"] or r["x"] == '"5"', r
+    ints = df.where(V.vtype("v") == "BIGINT")
+    assert ints.where(~V.json_int("v").eqNullSafe(F.try_variant_get("v", "$", "bigint"))).count() == 0 and ints.count() == 2

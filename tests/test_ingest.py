@@ -175,3 +175,14 @@ def test_more_input_is_spread_over_more_tasks(spark, tmp_path):
     lines = raw.read_lines(spark, str(tmp_path / "many"))
     assert raw.spread(lines).rdd.getNumPartitions() == max(spark.sparkContext.defaultParallelism, raw.TASKS_A_SPLIT * lines.rdd.getNumPartitions())
     assert raw.spread(lines, 3).rdd.getNumPartitions() == 3
+
+
+def test_a_line_is_parsed_once(spark):
+    lines = {'{"a":{"b":1}}': None, '{"a":{}}{"b":2}': "malformed_json", '{"a":{}},{"b":2}': "malformed_json", '{"a":{}} x': "malformed_json",
+             ' {"a":"}"} ': None, '[{}]': "not_object", '{"a":{}': "malformed_json", '1]': "malformed_json", '1,2': "malformed_json", '"}"': "not_object", "5": "not_object"}
+    parsed = parse_records(lines_df(spark, list(lines)))
+    assert parsed._jdf.queryExecution().executedPlan().toString().count("parseJson") == 1
+    got = {r["line"]: (r["parse_error"], r["record"]) for r in parsed.selectExpr("line", "parse_error", "to_json(record) record").collect()}
+    assert {k: e for k, (e, _) in got.items()} == lines
+    assert got['{"a":{"b":1}}'][1] == '{"a":{"b":1}}' and got[' {"a":"}"} '][1] == '{"a":"}"}'
+    assert all(r is None for e, r in got.values() if e)
