@@ -67,3 +67,16 @@ def test_field_profile_parses_its_input_once(spark):
 def test_row_counts_read_no_column(spark):
     p = plan(spark, "k4_row_counts")
     assert p.count("ReadSchema: struct<>") == p.count("FileScan parquet")
+
+
+def test_normalization_reads_each_value_few_times(spark):
+    key = "spark.sql.debug.maxToStringFields"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    try:
+        p = plan(spark, "i4_normalize_reviews")
+    finally:
+        spark.conf.set(key, old)
+    # a cast from VARIANT builds an expression for every row
+    assert 0 < p.count("try_variant_get") < 40
+    assert 0 < p.count("schemaOfVariant") < 12
