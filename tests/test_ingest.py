@@ -1,5 +1,6 @@
 """Raw-line parsing and normalization edge cases (FIXTURES.md sections 1-2)."""
 
+from pyspark.sql import functions as F
 from shared import lines_df
 
 from lakeloom.operators.ingest import ingest, normalize_products, normalize_reviews
@@ -186,3 +187,31 @@ def test_a_line_is_parsed_once(spark):
     assert {k: e for k, (e, _) in got.items()} == lines
     assert got['{"a":{"b":1}}'][1] == '{"a":{"b":1}}' and got[' {"a":"}"} '][1] == '{"a":"}"}'
     assert all(r is None for e, r in got.values() if e)
+
+
+def test_generated_methods_can_be_compiled(spark):
+    """The JVM never compiles a method over 8,000 bytes and makes no optimized code of one with some 50 arguments or more."""
+    import re
+
+    out = ingest(lines_df(spark, [_line()]), "reviews")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(out._jdf.queryExecution().executedPlan())
+    for i in range(stages.size()):
+        source, stats = stages.apply(i)._2(), stages.apply(i)._3()
+        arguments = [a.count(",") + 1 for a in re.findall(r"void \w+_doConsume_\d+\(([^)]*)\)", source)]
+        assert max(arguments, default=0) <= 40, arguments
+        assert stats.maxMethodCodeSize() < 8000
+
+
+def test_json_text_and_type_match_the_variant(spark):
+    from lakeloom.functions import values as V
+
+    texts = ['""', '" "', '"a"', '"q\\"x"', '"b\\\\s"', '"\\u00e9"', '"é"', '"\\ud83d\\ude00"', '"a\\nb"', '"/"', '"Infinity"', '"-Infinity"', '"NaN"', "1e999", "-1e999",
+             "0", "-1", "5.0", "1e-7", "123456789012345678901", "true", "false", "null", "[]", "{}", "[1]", '{"a":1}', '"null"', '"{}"']
+    df = spark.createDataFrame([(t,) for t in texts], "x string").select("x", F.parse_json("x").alias("v"))
+    df = df.unionByName(df.limit(1).selectExpr("'none' x", "variant_get(v, '$.none', 'variant') v"))
+    df = df.select("x", "v", F.to_json("v").alias("j")).withColumn("b", F.ascii("j"))
+    got = df.select("x", V.json_text("v", "j").alias("s"), V.variant_text("v").alias("want"), V.json_type("v", "j", "b").alias("t"), V.vtype("v").alias("type")).collect()
+    assert len(got) == len(texts) + 1
+    for r in got:
+        assert r["s"] == r["want"] and r["t"] == r["type"], r
